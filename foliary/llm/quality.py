@@ -1,6 +1,6 @@
 """Quality rules: base statistics of every document and a short-circuit cascade of cheap rejections.
 
-A rule reads whole texts and rejects some. On a sample of at most SAMPLE_ROWS texts each rule's cost (seconds a byte)
+A rule reads whole texts and rejects some. On a sample of about SAMPLE_ROWS texts each rule's cost (seconds a byte)
 and selectivity (share rejected) are measured; rules then run in order of rejection per cost, each only on the texts that
 all rules before it kept. A document is kept if no rule rejects it, so the order changes the cost, never the verdict.
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from foliary.llm.frames import map_text
 from foliary.llm.kernels import _POWERS, SAME, SPACED, Words, covered, mix, spread, sums_by_text
 
-#: Bound of the sample on which cost and selectivity are estimated.
+#: Size of the sample on which cost and selectivity are estimated.
 SAMPLE_ROWS = 2000
 MIN_WORDS = 50
 #: Fixed by the contract: characters that count as symbols.
@@ -134,23 +134,28 @@ RULES: tuple[Rule, ...] = (
 
 
 def order_rules(documents: DataFrame, rules: Sequence[Rule] = RULES, *, text: str = "text", rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by rejection per cost, as measured on at most `rows` texts from all over the table."""
+    """The rules by rejection per cost, as measured where the texts are, on about `rows` whole texts of the table."""
     n = documents.count()
     if not n:
         return list(rules)
-    some = documents.select(F.col(f"`{text}`").cast("string").alias("text")).where(F.col("text").isNotNull())
-    taken = [r[0] for r in some.sample(fraction=min(1.0, 1.5 * rows / n), seed=7).select(F.left("text", F.lit(20_000))).limit(rows).collect()]
-    if not taken:
-        return list(rules)
-    texts = pa.array([t.encode() for t in taken], pa.large_binary())
-    n_words = Words(texts, SPACED, SAME).count
 
-    def worth(rule: Rule) -> float:
-        began = time.perf_counter()
-        share = float(np.mean(rule.reject(texts, n_words)))
-        return share / max(time.perf_counter() - began, 1e-6)
+    def make():
+        def kernel(texts):
+            n_words, seconds, rejected = Words(texts, SPACED, SAME).count, [], []
+            for rule in rules:
+                began = time.perf_counter()
+                rejected.append(rule.reject(texts, n_words).astype(float))
+                seconds.append(np.full(len(texts), (time.perf_counter() - began) / len(texts)))
+            flat = lambda x: pa.array(np.stack(x, 1).tolist(), pa.list_(pa.float64()))
+            return [flat(seconds), flat(rejected)]
+
+        return kernel
 
-    return sorted(rules, key=worth, reverse=True)
+    some = documents.select(F.col(f"`{text}`").cast("string").alias("text")).where(F.length("text") > 0).sample(fraction=min(1.0, rows / n), seed=7)
+    measured = map_text(some, make, [("seconds", "array<double>"), ("rejected", "array<double>")], keep=())
+    r = measured.agg(*[F.sum(F.col(c)[i]).alias(f"{c}{i}") for c in ("seconds", "rejected") for i in range(len(rules))]).first()
+    worth = [(r[f"rejected{i}"] or 0) / max(r[f"seconds{i}"] or 0, 1e-9) for i in range(len(rules))]
+    return [rules[i] for i in sorted(range(len(rules)), key=lambda i: -worth[i])]
 
 
 def cascade(texts: pa.Array, n_words: np.ndarray, alive: np.ndarray, rules: Sequence[Rule]) -> np.ndarray:

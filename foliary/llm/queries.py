@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from foliary.llm import decontaminate, quality
+from foliary.llm import decontaminate, near_duplicates, quality
 
 QUERIES = {
+    "op7_ngram_jaccard": near_duplicates.op7_ngram_jaccard,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_quality": quality.op10_quality,
 }
 ORACLES = {
+    "op7_ngram_jaccard": near_duplicates.OP7_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
     "op10_quality": quality.OP10_SQL,
 }
