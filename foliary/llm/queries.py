@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from foliary.llm import decontaminate, near_duplicates, quality
+from foliary.llm import decontaminate, near_duplicates, packing, quality, wavelet
 
 QUERIES = {
+    "op1_best_fit": packing.op1_best_fit,
+    "op5_token_shards": wavelet.op5_token_shards,
     "op7_ngram_jaccard": near_duplicates.op7_ngram_jaccard,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_quality": quality.op10_quality,
