@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliary.llm import decontaminate, near_duplicates, packing, quality
+from foliary.llm import decontaminate, near_duplicates, packing, quality, secrets
 from foliary.llm.frames import written
 
 
@@ -24,6 +24,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; every document stays."""
+    return secrets.redact(docs)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 2048: a row for each piece of a document with its place."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -33,6 +38,7 @@ STAGES = [
     ("quality_rules", quality_rules),
     ("ngram_jaccard_join", ngram_jaccard_join),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
     ("best_fit_packing", best_fit_packing),
 ]
 ORACLE_SQL = None

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from foliary.llm import decontaminate, near_duplicates, packing, quality, wavelet
+from foliary.llm import decontaminate, near_duplicates, packing, quality, secrets, wavelet
 
 QUERIES = {
     "op1_best_fit": packing.op1_best_fit,
     "op5_token_shards": wavelet.op5_token_shards,
     "op7_ngram_jaccard": near_duplicates.op7_ngram_jaccard,
+    "op8_secrets": secrets.op8_secrets,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_quality": quality.op10_quality,
 }
 ORACLES = {
     "op7_ngram_jaccard": near_duplicates.OP7_SQL,
+    "op8_secrets": secrets.OP8_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
     "op10_quality": quality.OP10_SQL,
 }
