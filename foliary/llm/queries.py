@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from foliary.llm import decontaminate, licenses, near_duplicates, packing, quality, secrets, wavelet
+from foliary.llm import decontaminate, language, licenses, near_duplicates, packing, quality, secrets, wavelet
 
 QUERIES = {
     "op1_best_fit": packing.op1_best_fit,
+    "op2_language": language.op2_language,
     "op4_licenses": licenses.op4_licenses,
     "op5_token_shards": wavelet.op5_token_shards,
     "op7_ngram_jaccard": near_duplicates.op7_ngram_jaccard,
