@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from foliary.llm import decontaminate, language, licenses, near_duplicates, packing, quality, secrets, wavelet
+from foliary.llm import decontaminate, html_text, language, licenses, near_duplicates, packing, quality, secrets, token_counts, wavelet
 
 QUERIES = {
     "op1_best_fit": packing.op1_best_fit,
     "op2_language": language.op2_language,
+    "op3_html_text": html_text.op3_html_text,
     "op4_licenses": licenses.op4_licenses,
     "op5_token_shards": wavelet.op5_token_shards,
+    "op6_token_counts": token_counts.op6_token_counts,
     "op7_ngram_jaccard": near_duplicates.op7_ngram_jaccard,
     "op8_secrets": secrets.op8_secrets,
     "op9_decontamination": decontaminate.op9_decontamination,
