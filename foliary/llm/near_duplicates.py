@@ -2,16 +2,18 @@
 
 Texts are sets of five-word shingles (a text of one to four words is one shingle); two texts are linked at a Jaccard
 similarity of 0.8 or more. Documents of one word sequence are copies and stand for one *text*, named by its least
-doc_id. Band and row counts follow from the recall wanted at the threshold. In every bucket of a band:
-
-1. each text is compared with the bucket's least text, its leader (a star, not all pairs);
-2. for a text a and leader L put w(a) = 5 |L - a| + 4 |a - L|. a and L are linked if and only if w(a) <= |L|, and two texts
-   with w(a) + w(b) <= |L| are always linked (a bound on their intersection). Texts with 2 w(a) <= |L| join L's *core*: all
-   of a core are linked to each other, and their links are counted, never listed;
-3. what stays outside its bucket's largest core is compared with all other texts of that bucket, so no pair of
-   different texts that shares a bucket goes unverified.
-
-A group of any number of near copies thus costs rows in proportion to its texts. Null, empty and wordless texts have no
+doc_id. Band and row counts follow from the recall wanted at the threshold. Then:
+
+1. each text is compared with the least text of each of its buckets, the bucket's leader (stars, not all pairs). The verified
+   links join texts to groups;
+2. two texts of one bucket that are in different groups are compared by rarity: of two sets at the threshold or above, the rarest
+   fifths (in any one order of the shingles) have a shingle in common, so texts are joined on the rarest fifth of their shingles,
+   by how many such texts hold them. A passage that many texts share is no reason to compare them, and no pair is lost;
+3. links within a group are counted in blocks of texts: a task takes two blocks, multiplies their shingle matrices and
+   returns one number for each text, not a row for each pair. Near copies that lie about the threshold leave no other way to an
+   exact count; a group of m texts takes m^2 / BLOCK_TEXTS rows.
+
+So every pair of different texts that shares a bucket is verified. Null, empty and wordless texts have no
 links and are classes of their own; rows that repeat a doc_id are copies of each other; rows without a doc_id are reported
 with a null id. An empty table gives an empty result.
 """
@@ -35,6 +37,9 @@ RECALL = 0.9999
 MOST_HASHES = 96
 #: Ids up to this many (16 MB) are broadcast; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
+#: Texts and shingles of a block when the links of a group are counted; a larger text is a block of its own.
+BLOCK_TEXTS, BLOCK_GRAMS = 512, 1 << 22
+_COLUMNS = 1 << 14
 _SEED = 20_011
 
 
@@ -149,9 +154,96 @@ def _components(edges: DataFrame) -> DataFrame:
         before = mark
 
 
-def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", recall: float = RECALL, most_hashes: int = MOST_HASHES) -> DataFrame:
+def _across(members: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """a < b: pairs of texts in different groups that share a mixed bucket and, as all pairs at the threshold do, a shingle of
+    their rarest fifths. A shingle of one text alone takes a place there but finds no partner, so it is only counted."""
+    placed = members.join(groups, "text_id")
+    mixed = placed.groupBy("bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("bucket")
+    wanted = written(placed.join(mixed, "bucket").select("text_id", "group").distinct())
+    held = sets.withColumnRenamed("doc_id", "text_id").join(wanted, "text_id")
+    grams = written(held.select("text_id", F.explode("grams").alias("gram")))
+    shared = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = grams.join(shared, "gram").groupBy("text_id").agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("rare"))
+    size, found = F.size("grams"), F.size("rare")
+    places = size - F.ceil(size * THRESHOLD).cast("int") + 1 - (size - found)
+    first = held.join(ranked, "text_id").select("text_id", "group", size.alias("size"), F.slice("rare", 1, F.greatest(places, F.lit(0))).alias("rare"))
+    keys = written(first.select("text_id", "group", "size", F.explode("rare.gram").alias("gram")))
+    several = keys.groupBy("gram").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("gram")
+    keys = keys.join(several, "gram")
+    right = keys.select("gram", F.col("text_id").alias("b"), F.col("group").alias("gb"), F.col("size").alias("nb"))
+    near = (F.col("a") < F.col("b")) & (F.col("group") != F.col("gb")) & (F.least("size", "nb") * 5 >= F.greatest("size", "nb") * 4)
+    return keys.withColumnRenamed("text_id", "a").join(right, "gram").where(near).select("a", "b").distinct()
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set on the left has in common with each on the right."""
+    grams, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    out = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    for lo in range(0, len(grams), _COLUMNS):
+        a, b = np.searchsorted(place, (lo, lo + _COLUMNS))
+        held = np.zeros((len(left) + len(right), min(_COLUMNS, len(grams) - lo)), np.float32)
+        held[owner[a:b], place[a:b] - lo] = 1
+        out += held[: len(left)] @ held[len(left) :].T
+    return out
+
+
+def _links_within(groups: DataFrame, sets: DataFrame, copies: DataFrame) -> DataFrame:
+    """text_id and links: the documents of other texts of its group at the threshold or above."""
+    full = groups.join(sets.withColumnRenamed("doc_id", "text_id"), "text_id").join(copies, "text_id")
+    many = full.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.size("grams").cast("long")).alias("all")).where("n > 1")
+    blocks = many.select("group", F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("all") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    dealt = full.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("text_id"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    pairs = dealt.select("group", "text_id", "copies", "grams", "own", other.alias("other")).select("group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "text_id", "copies", "grams")
+
+    def count(rows: list[tuple]) -> tuple[list, list]:
+        """rows of one pair of blocks: (own, i, text_id, copies, grams)."""
+        left, right = [r for r in rows if r[0] == r[1]], [r for r in rows if r[0] != r[1]]
+        alone = not right and rows[0][1] == rows[0][5]
+        if alone:
+            right = left
+        if not left or not right:
+            return [], []
+        na, nb = (np.array([len(r[4]) for r in x], np.float64) for x in (left, right))
+        linked = 9 * _shared([r[4] for r in left], [r[4] for r in right]).astype(np.float64) >= 4 * (na[:, None] + nb[None, :])
+        if alone:
+            np.fill_diagonal(linked, False)
+        ids, found = [r[2] for r in left], (linked @ np.array([r[3] for r in right], np.int64)).tolist()
+        if not alone:
+            ids, found = ids + [r[2] for r in right], found + (np.array([r[3] for r in left], np.int64) @ linked).tolist()
+        return ids, found
+
+    def run(batches):
+        key, rows = None, []
+        for batch in batches:
+            group, i, j, own, text_id, copies = (batch.column(k).to_pylist() for k in range(6))
+            grams = batch.column(6)
+            flat, at = grams.values.to_numpy(zero_copy_only=False), grams.offsets.to_numpy()
+            ids, found = [], []
+            for k in range(len(group)):
+                if (group[k], i[k], j[k]) != key:
+                    if rows:
+                        a, b = count(rows)
+                        ids += a
+                        found += b
+                    key, rows = (group[k], i[k], j[k]), []
+                rows.append((own[k], i[k], text_id[k], copies[k], flat[at[k] : at[k + 1]].copy(), j[k]))
+            if ids:
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.int64())], names=["text_id", "links"])
+        if rows:
+            ids, found = count(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.int64())], names=["text_id", "links"])
+
+    ordered = pairs.select("group", "i", "j", "own", "text_id", "copies", "grams").repartition("group", "i", "j").sortWithinPartitions("group", "i", "j")
+    return ordered.mapInArrow(run, "text_id bigint, links bigint").groupBy("text_id").agg(F.sum("links").alias("links"))
+
+
+def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", recall: float = RECALL, most_hashes: int = MOST_HASHES, count_links: bool = True) -> DataFrame:
     """One row for each row of documents: doc_id, class_id (least doc_id that links reach), copy_id (least doc_id of the
-    same word sequence), n_links (other documents at a similarity of 0.8 or more, copies among them)."""
+    same word sequence), n_links (other documents at a similarity of 0.8 or more, copies among them; null if they aren't to be counted)."""
     bands, rows = bands_and_rows(THRESHOLD, recall, most_hashes)
     signed = written(_signatures(documents, doc_id, text, bands, rows))
     texts = written(signed.where("f1 is not null").groupBy("f1", "f2").agg(F.coalesce(F.min("doc_id"), F.col("f1")).alias("text_id"), F.count("*").alias("copies"), F.min(F.struct("doc_id", "bands"))["bands"].alias("bands")))
@@ -162,33 +254,32 @@ def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     stars = written(members.where("text_id > leader").select(F.col("leader").alias("a"), F.col("text_id").alias("b")).distinct())
     wanted = written(stars.select(F.explode(F.array("a", "b")).alias("text_id")).distinct())
     sets = written(_sets(only(documents, wanted.select(F.col("text_id").alias(doc_id)), doc_id).dropDuplicates([doc_id]), doc_id, text))
-    verified = written(_verified(stars, sets))
-
-    weight = (F.col("na") - F.col("both")) * 5 + (F.col("nb") - F.col("both")) * 4
-    core = written(verified.where(weight * 2 <= F.col("na")).select(F.col("b").alias("text_id"), F.col("a").alias("core")).unionByName(wanted.select("text_id", F.col("text_id").alias("core"))).groupBy("text_id").agg(F.min("core").alias("core")))
-    placed = members.join(core, "text_id")
-    shares = placed.groupBy("bucket", "core").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max_by("core", F.struct("n", "core")).alias("main"), F.count("*").alias("cores")).where("cores > 1").select("bucket", "main")
-    mixed = written(placed.join(shares, "bucket"))  # buckets whose texts are not one core
-    outside = mixed.where("core <> main").select("bucket", F.col("text_id").alias("x"), F.col("core").alias("cx"))
-    rest = outside.join(mixed, "bucket").where("cx <> core and x <> leader and text_id <> leader").select(F.least("x", "text_id").alias("a"), F.greatest("x", "text_id").alias("b")).distinct()
-    rest = written(rest.join(stars, ["a", "b"], "left_anti"))
-    links = written(verified.where("linked").select("a", "b").unionByName(_verified(rest, sets).where("linked").select("a", "b")))
-
-    size = texts.select("text_id", "copies")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    ends = both.join(core.select(F.col("text_id").alias("a"), F.col("core").alias("ca")), "a").join(core.select(F.col("text_id").alias("b"), F.col("core").alias("cb")), "b").where("ca <> cb")
-    listed = ends.join(size.withColumnRenamed("text_id", "b"), "b").groupBy(F.col("a").alias("text_id")).agg(F.sum("copies").alias("listed"))
-    in_core = core.join(size, "text_id")
-    counted = in_core.join(in_core.groupBy("core").agg(F.sum("copies").alias("all")), "core").select("text_id", (F.col("all") - F.col("copies")).alias("counted"))
-    roots = _components(links)
-    found = texts.select("f1", "f2", "text_id", "copies").join(counted, "text_id", "left").join(listed, "text_id", "left").join(roots.withColumnRenamed("node", "text_id"), "text_id", "left")
-    found = found.select("f1", "f2", "text_id", F.coalesce("root", "text_id").alias("root"), (F.col("copies") - 1 + F.coalesce("counted", F.lit(0)) + F.coalesce("listed", F.lit(0))).alias("links"))
-    return signed.select("doc_id", "f1", "f2").join(written(found), ["f1", "f2"], "left").select(F.col("doc_id"), F.coalesce("root", "doc_id").alias("class_id"), F.coalesce("text_id", "doc_id").alias("copy_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    near = written(_verified(stars, sets).where("linked").select("a", "b"))
+    roots = _components(near).withColumnRenamed("node", "text_id")
+    groups = written(wanted.join(roots, "text_id", "left").select("text_id", F.coalesce("root", "text_id").alias("group")))
+    across = written(_verified(_across(members, groups, sets), sets).where("linked").select("a", "b"))
+
+    names = groups.select(F.col("text_id").alias("a"), F.col("group").alias("ga"))
+    joined = across.join(names, "a").join(names.toDF("b", "gb"), "b").select(F.least("ga", "gb").alias("a"), F.greatest("ga", "gb").alias("b"))
+    merged = _components(joined).withColumnRenamed("node", "group")
+    found = texts.select("f1", "f2", "text_id", "copies").join(groups.join(merged, "group", "left").select("text_id", F.coalesce("root", "group").alias("root")), "text_id", "left")
+    if count_links:
+        size = texts.select("text_id", "copies")
+        within = _links_within(groups, sets, size)
+        both = across.unionByName(across.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        beyond = both.join(size.withColumnRenamed("text_id", "b"), "b").groupBy(F.col("a").alias("text_id")).agg(F.sum("copies").alias("beyond"))
+        found = found.join(within, "text_id", "left").join(beyond, "text_id", "left")
+        links = (F.col("copies") - 1 + F.coalesce("links", F.lit(0)) + F.coalesce("beyond", F.lit(0))).cast("long")
+    else:
+        links = F.lit(None).cast("long")
+    found = written(found.select("f1", "f2", "text_id", F.coalesce("root", "text_id").alias("root"), links.alias("n_links")))
+    out = signed.select("doc_id", "f1", "f2").join(found, ["f1", "f2"], "left")
+    return out.select("doc_id", F.coalesce("root", "doc_id").alias("class_id"), F.coalesce("text_id", "doc_id").alias("copy_id"), (F.coalesce("n_links", F.lit(0).cast("long")) if count_links else F.col("n_links")).alias("n_links"))
 
 
 def keep_first(documents: DataFrame) -> DataFrame:
     """The documents with one left of each class: that with the least doc_id, once. Rows without a doc_id stay."""
-    found = written(near_duplicates(documents))
+    found = written(near_duplicates(documents, count_links=False))
     out = only(documents, written(found.where("doc_id <> class_id").select("doc_id").distinct()), "doc_id", "left_anti")
     again = written(found.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if not again.take(1):
