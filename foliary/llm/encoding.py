@@ -3,24 +3,30 @@
 The tokenizer's pattern never joins characters across white space, so a text's ids are those of its blank-separated runs
 one after the other. A worker keeps the ids of runs that it has met of late and asks the library for the others;
 a punctuation tail after an ASCII letter or digit is a piece of its own in that pattern and is looked up apart. Texts that hold
-the opening of a special token are encoded by the library as a whole.
+the opening of a special token are encoded by the library as a whole. New runs go to the library many at a time, as one text
+with a mark between them, and the ids between the marks are theirs.
 """
 
 from __future__ import annotations
 
+import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
 #: Runs in each of the two generations of a worker's memo; both take about 120 MB.
 MEMO_RUNS = 300_000
+#: Stands between new runs; a run that holds it is encoded alone. Runs of one call to the library.
+_MARK, _CALL_RUNS = b"\x01", 5000
 _TAIL = re.compile(rb"(?<=[a-z0-9])[.,!?;:#$%&*|]+$")
 
 
 class Encoder:
-    """encode(text bytes) -> the ids as little-endian unsigned 32-bit integers."""
+    """encode(texts, as bytes) -> the ids of each as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -28,16 +34,34 @@ class Encoder:
         self.older: dict[bytes, bytes] = {}
         self.whole = re.compile(b"|".join(re.escape(t.content[:2].encode()) for t in self.tokenizer.get_added_tokens_decoder().values()) or b"(?!)")
 
+        mark = self.tokenizer.encode(_MARK.decode(), add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+
     def _library(self, texts: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _learn(self, runs: list[bytes]) -> None:
+    def _runs(self, runs: list[bytes]) -> list[bytes]:
+        """The ids of each run."""
+        alone = [r for r in runs if self.mark is None or _MARK in r]
+        found = dict(zip(alone, self._library(alone), strict=True)) if alone else {}
+        rest = [r for r in runs if r not in found]
+        for lo in range(0, len(rest), _CALL_RUNS):
+            part = rest[lo : lo + _CALL_RUNS]
+            ids = np.frombuffer(self._library([b" \x01 ".join(part)])[0], "<u4")
+            cuts = np.flatnonzero(ids == self.mark)
+            raw, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
+            starts = [0, *(e + 4 for e in ends[:-1])]
+            found.update(zip(part, [raw[a:b] for a, b in zip(starts, ends, strict=True)], strict=True))
+        return [found[r] for r in runs]
+
+    def _learn(self, runs: set[bytes]) -> None:
+        """Brings runs into the memo."""
         if len(self.memo) > MEMO_RUNS:
             self.memo, self.older = {}, self.memo
         memo, older = self.memo, self.older
         split, new = [], set()
-        for run in {r for r in runs if r not in memo}:
+        for run in runs.difference(memo):
             if run in older:
                 memo[run] = older[run]
                 continue
@@ -51,17 +75,18 @@ class Encoder:
             if tail:
                 split.append((run, *parts))
         ordered = list(new)
-        memo.update(zip(ordered, self._library(ordered), strict=True))
+        memo.update(zip(ordered, self._runs(ordered), strict=True))
         for run, head, end in split:
             memo[run] = memo[head] + memo[end]
 
-    def encode(self, text: bytes) -> bytes:
-        if self.whole.search(text):
-            return self._library([text])[0]
-        runs = text.lower().split()
-        memo = self.memo
-        try:
-            return b"".join([memo[r] for r in runs])
-        except KeyError:
-            self._learn(runs)
-        return b"".join([self.memo[r] for r in runs])
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        runs = [None if self.whole.search(t) else t.lower().split() for t in texts]
+        self._learn(set().union(*(r for r in runs if r)))
+        of = self.memo.__getitem__
+        return [self._library([t])[0] if r is None else b"".join(map(of, r)) for t, r in zip(texts, runs, strict=True)]
+
+
+@lru_cache(2)
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker, whose memory outlives a task."""
+    return Encoder(path)

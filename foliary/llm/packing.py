@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliary.llm.encoding import Encoder
+from foliary.llm.encoding import encoder
 from foliary.llm.frames import map_text, written
 
 CAPACITY = 2048
@@ -38,12 +38,12 @@ def cut(documents: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_i
     kind = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("nth", pa.int64()), *([("ids", pa.binary())] if with_ids else [])]
 
     def make():
-        encoder, seen, bucket = Encoder(tokenizer), Counter(), TaskContext.get().partitionId()
+        ids_of, seen, bucket = encoder(tokenizer).encode, Counter(), TaskContext.get().partitionId()
 
         def kernel(texts):
             out = []
-            for t in texts:
-                ids = encoder.encode(t.as_py()) + end
+            for own in ids_of(texts.to_pylist()):
+                ids = own + end
                 pieces = []
                 for at in range(0, len(ids), 4 * capacity):
                     part = ids[at : at + 4 * capacity]

@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliary.llm.encoding import Encoder
-from foliary.llm.frames import scratch
+from foliary.llm.encoding import encoder
+from foliary.llm.frames import scratch, segments
 
 #: Ids after which a shard is closed at the next document's end.
 SHARD_IDS = 1 << 20
@@ -152,7 +152,7 @@ def write_shards(documents: DataFrame, tokenizer: str, path: str, *, end_id: int
     dealt = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def run(batches):
-        encoder, part, shard = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        ids_of, part, shard = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0
         ids, docs, lengths, held = [], [], [], 0
 
         def row():
@@ -161,15 +161,15 @@ def write_shards(documents: DataFrame, tokenizer: str, path: str, *, end_id: int
 
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary())
-            for d, t in zip(batch.column(0).to_pylist(), texts, strict=True):
-                own = encoder.encode(t.as_py()) + end
-                ids.append(own)
-                docs.append(d)
-                lengths.append(len(own) // 4)
-                held += lengths[-1]
-                if held >= shard_ids:
-                    yield row()
-                    ids, docs, lengths, held, shard = [], [], [], 0, shard + 1
+            for lo, hi in segments(pa.compute.binary_length(texts).to_pylist()):
+                for d, own in zip(batch.column(0).slice(lo, hi - lo).to_pylist(), ids_of(texts.slice(lo, hi - lo).to_pylist()), strict=True):
+                    ids += own, end
+                    docs.append(d)
+                    lengths.append(len(own) // 4 + 1)
+                    held += lengths[-1]
+                    if held >= shard_ids:
+                        yield row()
+                        ids, docs, lengths, held, shard = [], [], [], 0, shard + 1
         if docs:
             yield row()
 
