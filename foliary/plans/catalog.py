@@ -3,10 +3,293 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from foliary import schema as S
+from foliary.functions import text as X
+from foliary.operators import chunking, merge
+from foliary.operators import selection as Q
+from foliary.plans.standins import ctes, frame
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
+def query(sql: str | None = None, tables: tuple[str, ...] = ()):
+    """Registers a query under its function's name, with the SQL that gives the same rows over the tables' stand-ins."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = f"WITH {ctes(*tables)} {sql}" if tables else sql
+        return f
+
+    return add
+
+
+_DEPARTMENTS = ("1", "3", "5")
+_IN = "('1', '3', '5')"
+_FIRST = "split_part(all_org_nm, ' ', 1)"
+
+
+# Selections
+
+_TARGET = "SELECT transferyear, rc_rfile_no, rc_ritem_no, mngno, detno, prodyear, org_file_path, save_file_name FROM catalog c WHERE transferyear = '2023' AND save_file_name IS NOT NULL AND NOT EXISTS (SELECT 1 FROM extracts e WHERE e.rc_rfile_no = c.rc_rfile_no AND e.rc_ritem_no = c.rc_ritem_no AND e.file_name = c.save_file_name AND e.extract_status IN ({}))"
+
+
+@query(_TARGET.format("'PASS', 'FAIL'"), ("catalog", "extracts"))
+def select_extract_targets(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.extract_targets(frame(spark, sf, "catalog"), frame(spark, sf, "extracts"), Q.Params())
+
+
+@query(_TARGET.format("'PASS'"), ("catalog", "extracts"))
+def select_extract_targets_retry(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.extract_targets(frame(spark, sf, "catalog"), frame(spark, sf, "extracts"), Q.Params(retry=True))
+
+
+@query(_TARGET.format("'PASS', 'FAIL'") + " ORDER BY rc_rfile_no, rc_ritem_no, save_file_name, transferyear, mngno, detno, prodyear, org_file_path NULLS FIRST LIMIT 100 OFFSET 200", ("catalog", "extracts"))
+def select_extract_targets_page(spark: SparkSession, sf: str) -> DataFrame:
+    """The page is the feature: targets 201 to 300."""
+    p = Q.Params(limit=100, offset=200).resolved()
+    return Q.page(select_extract_targets(spark, sf), ("rc_rfile_no", "rc_ritem_no", "save_file_name"), p.limit, p.offset)
+
+
+_CHUNKABLE = "SELECT idx AS extract_idx, file_name, zip_entry_file_name, rc_rfile_no, rc_ritem_no, zip_seq, file_type, file_gubun, indexing_contents, hwp_sub_title, data_year FROM doc_extracts e WHERE extract_status = 'PASS' AND trim(indexing_contents) <> ''"
+
+
+@query(_CHUNKABLE + " AND NOT EXISTS (SELECT 1 FROM doc_chunks c WHERE c.extract_idx = e.idx)", ("doc_extracts", "doc_chunks"))
+def select_chunk_targets(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.chunk_targets(frame(spark, sf, "doc_extracts"), frame(spark, sf, "catalog"), frame(spark, sf, "doc_chunks"))
+
+
+_LINES = _CHUNKABLE.replace("doc_extracts", "extracts")
+
+
+@query(_LINES + " AND data_year >= 0 AND EXISTS (SELECT 1 FROM catalog c WHERE c.transferyear = '2023' AND c.rc_rfile_no = e.rc_rfile_no AND c.rc_ritem_no = e.rc_ritem_no)", ("extracts", "catalog"))
+def select_chunk_targets_recreate(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.chunk_targets(frame(spark, sf, "extracts"), frame(spark, sf, "catalog"), frame(spark, sf, "doc_chunks"), transfer_year="2023", recreate=True)
+
+
+_SUMMARY = "SELECT z.rc_rfile_no, z.rc_ritem_no, z.file_name, z.indexing_contents, z.zip_seq, z.zip_entry_file_name, z.file_type, z.file_gubun, b.prodyear, b.org_file_path, a.rc_code, a.bnd_ttl, a.jemok, a.all_org_nm, a.prodregdate FROM extracts z JOIN catalog b ON b.rc_rfile_no = z.rc_rfile_no AND b.rc_ritem_no = z.rc_ritem_no AND b.save_file_name = z.file_name AND b.transferyear = '2023' JOIN items a ON a.rc_rfile_no = z.rc_rfile_no AND a.rc_ritem_no = z.rc_ritem_no WHERE z.extract_status = 'PASS' AND z.has_contents = 'Y' AND z.indexing_contents IS NOT NULL AND z.indexing_contents <> '' AND {}"
+
+
+@query(_SUMMARY.format("z.summary_flag IS NULL AND z.llm_summary_status IS NULL"), ("extracts", "catalog", "items"))
+def select_summary_targets(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.summary_targets(frame(spark, sf, "extracts"), frame(spark, sf, "catalog"), frame(spark, sf, "items"), Q.Params())
+
+
+@query(_SUMMARY.format("(z.llm_summary_status IS NULL OR z.llm_summary_status <> 'PASS')"), ("extracts", "catalog", "items"))
+def select_summary_targets_retry(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.summary_targets(frame(spark, sf, "extracts"), frame(spark, sf, "catalog"), frame(spark, sf, "items"), Q.Params(retry=True))
+
+
+_COLUMNS = "a.rc_code, a.rc_rfile_no, a.rc_ritem_no, a.bnd_ttl, a.jemok, a.all_org_nm, a.prodregdate"
+_FANOUT = "FROM items a JOIN (SELECT rc_rfile_no, rc_ritem_no, mngno, kikwancode, prodyear FROM catalog WHERE transferyear = '2023' {} GROUP BY ALL) b ON a.rc_rfile_no = b.rc_rfile_no AND a.rc_ritem_no = b.rc_ritem_no WHERE "
+
+
+@query(f"SELECT {_COLUMNS}, b.prodyear {_FANOUT.format('')} a.llm_policy_status IS NULL", ("items", "catalog"))
+def select_policy_targets(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.item_targets(frame(spark, sf, "items"), frame(spark, sf, "catalog"), Q.Params())
+
+
+@query(f"SELECT {_COLUMNS}, b.prodyear {_FANOUT.format("AND prodyear = '1998'")} (a.llm_event_status IS NULL OR a.llm_event_status <> 'PASS')", ("items", "catalog"))
+def select_event_targets_retry(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.item_targets(frame(spark, sf, "items"), frame(spark, sf, "catalog"), Q.Params(prod_year="1998", retry=True), S.EVENT)
+
+
+@query(f"SELECT {_COLUMNS}, b.prodyear {_FANOUT.format('')} a.llm_activity_status IS NULL", ("items", "catalog"))
+def select_activity_targets(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.item_targets(frame(spark, sf, "items"), frame(spark, sf, "catalog"), Q.Params(), S.ACTIVITY)
+
+
+_STATUSES = "a.llm_policy_status, a.llm_event_status, a.llm_activity_status"
+
+
+@query(f"SELECT {_COLUMNS}, {_STATUSES}, b.prodyear {_FANOUT.format('')} (a.llm_policy_status IS NULL OR a.llm_event_status IS NULL OR a.llm_activity_status IS NULL)", ("items", "catalog"))
+def select_subject_targets(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.subject_targets(frame(spark, sf, "items"), frame(spark, sf, "catalog"), Q.Params())
+
+
+@query(f"SELECT t.*, subject, status FROM (SELECT {_COLUMNS}, {_STATUSES}, b.prodyear {_FANOUT.format('')} (a.llm_policy_status IS NULL OR a.llm_event_status IS NULL OR a.llm_activity_status IS NULL)) t, LATERAL (SELECT 'POLICY' AS subject, t.llm_policy_status AS status UNION ALL SELECT 'EVENT', t.llm_event_status UNION ALL SELECT 'ACTIVITY', t.llm_activity_status) s WHERE status IS NULL OR trim(status) = ''", ("items", "catalog"))
+def subject_work(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.subject_work(select_subject_targets(spark, sf))
+
+
+_YEAR = Q.Params(prod_year="1998")
+_DEPT = f"SELECT {_COLUMNS}, {_FIRST} AS dept_nm, '1998' AS prodyear FROM items a JOIN (SELECT rc_rfile_no, rc_ritem_no FROM catalog WHERE transferyear = '2023' AND prodyear = '1998' GROUP BY ALL) b ON a.rc_rfile_no = b.rc_rfile_no AND a.rc_ritem_no = b.rc_ritem_no WHERE {_FIRST} IN {_IN}"
+
+
+@query(_DEPT, ("items", "catalog"))
+def select_department_items(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.department_items(frame(spark, sf, "items"), frame(spark, sf, "catalog"), _DEPARTMENTS, _YEAR)
+
+
+@query(_DEPT.replace("'1998' AS prodyear", "a.prodyear").replace("rc_ritem_no FROM catalog", "rc_ritem_no, mngno FROM catalog"), ("items", "catalog"))
+def select_department_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.department_sample(frame(spark, sf, "items"), frame(spark, sf, "catalog"), _DEPARTMENTS, _YEAR)
+
+
+@query(_DEPT + " AND (policy_cd IS NULL OR policy_cd = '' OR policy_nm IS NULL OR policy_nm = '해당없음')", ("items", "catalog"))
+def select_department_unmapped(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.department_unmapped(frame(spark, sf, "items"), frame(spark, sf, "catalog"), _DEPARTMENTS, _YEAR)
+
+
+@query(_DEPT.replace("'1998' AS prodyear", "a.prodyear, policy_cd, llm_policy_status, llm_policy_err_msg") + " AND policy_cd IS NULL AND (llm_policy_status IS NULL OR llm_policy_status <> 'PASS')", ("items", "catalog"))
+def select_department_compare(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.department_compare(frame(spark, sf, "items"), frame(spark, sf, "catalog"), _DEPARTMENTS, _YEAR)
+
+
+@query(f"SELECT min(rc_code) AS rc_code, rc_rfile_no, min(bnd_ttl) AS bnd_ttl, min(all_org_nm) AS all_org_nm, split_part(min(all_org_nm), ' ', 1) AS dept_nm, '1998' AS prodyear FROM items WHERE {_FIRST} IN {_IN} AND rc_rfile_no IN (SELECT rc_rfile_no FROM catalog WHERE transferyear = '2023' AND prodyear = '1998') GROUP BY rc_rfile_no", ("items", "catalog"))
+def file_rollup_min(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.department_files(frame(spark, sf, "items"), frame(spark, sf, "catalog"), _DEPARTMENTS, _YEAR)
+
+
+@query(f"SELECT {_COLUMNS}, {_FIRST} AS dept_nm, b.prodyear FROM items a JOIN (SELECT DISTINCT rc_rfile_no, prodyear FROM catalog WHERE transferyear = '2023' AND prodyear = '1998') b USING (rc_rfile_no) WHERE rc_rfile_no IN (SELECT rc_rfile_no FROM items WHERE {_FIRST} IN {_IN})", ("items", "catalog"))
+def select_file_items(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.file_items(frame(spark, sf, "items"), frame(spark, sf, "catalog"), file_rollup_min(spark, sf), _YEAR)
+
+
+# Candidates
+
+_NORM = "substr(replace(replace(replace(replace({}, '-', ''), '.', ''), '/', ''), ' ', ''), 1, 8)"
+_DATE = "CASE WHEN coalesce(trim(prodregdate), '') = '' THEN '' WHEN length(regexp_replace(prodregdate, '[^0-9]', '', 'g')) >= 8 THEN substr(regexp_replace(prodregdate, '[^0-9]', '', 'g'), 1, 8) WHEN length(regexp_replace(prodregdate, '[^0-9]', '', 'g')) = 4 THEN regexp_replace(prodregdate, '[^0-9]', '', 'g') || '0101' ELSE prodregdate END"
+_PRODYEAR = "CASE WHEN coalesce(trim(prodyear), '') = '' THEN '' WHEN length(regexp_replace(prodyear, '[^0-9]', '', 'g')) >= 4 THEN substr(regexp_replace(prodyear, '[^0-9]', '', 'g'), 1, 4) ELSE prodyear END"
+_KEYS = f"keyed AS (SELECT DISTINCT cls_cd, {_DATE} AS production_date, {_PRODYEAR} AS production_year FROM items, (VALUES ('POLICY'), ('EVENT'), ('ACTIVITY')) v(cls_cd))"
+_FOUND = f"found AS (SELECT k.production_date, k.production_year, c.* FROM keyed k JOIN codes c ON c.cls_cd = k.cls_cd AND CASE WHEN k.production_date <> '' THEN c.tern_start IS NOT NULL AND c.tern_end IS NOT NULL AND {_NORM.format('c.tern_start')} <= {_NORM.format('k.production_date')} AND {_NORM.format('c.tern_end')} >= {_NORM.format('k.production_date')} ELSE k.production_year <> '' AND c.start_year <= k.production_year AND c.end_year >= k.production_year END)"
+
+
+def _keys(spark: SparkSession, sf: str) -> DataFrame:
+    dates = frame(spark, sf, "items").select(X.production_date(F.col("prodregdate")).alias("production_date"), X.production_year(F.col("prodyear")).alias("production_year")).distinct()
+    return dates.select(F.explode(F.array(*map(F.lit, S.SUBJECTS))).alias("cls_cd"), "production_date", "production_year")
+
+
+@query()
+def candidates_in_force(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.candidates(frame(spark, sf, "codes"), _keys(spark, sf)).select("cls_cd", "production_date", "production_year", *Q.CANDIDATE_COLUMNS)
+
+
+ORACLES["candidates_in_force"] = f"WITH {ctes('items', 'codes')}, {_KEYS}, {_FOUND} SELECT cls_cd, production_date, production_year, item_cd, sub_cls_nm, topic_nm, prev_gov_nm, tern_start, tern_end, description FROM found"
+
+
+@query()
+def candidate_json(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.candidate_lists(Q.candidates(frame(spark, sf, "codes"), _keys(spark, sf)))
+
+
+_OBJECT = "'{' || " + " || ',' || ".join(f"""'"{c.upper()}":' || coalesce('"' || replace(replace({c}, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"', 'null')""" for c in Q.CANDIDATE_COLUMNS) + " || '}'"
+ORACLES["candidate_json"] = f"WITH {ctes('items', 'codes')}, {_KEYS}, {_FOUND} SELECT cls_cd, production_date, production_year, '[' || string_agg({_OBJECT}, ',' ORDER BY prev_gov_cd, sub_cls_cd, topic_cd, item_cd) || ']' AS candidates FROM found GROUP BY ALL"
+
+
+@query("SELECT gov_task_no, gov_task_nm, detail_task_cd, detail_task_nm, direct_mapping_terms, conditional_mapping_terms, expand_candidate_terms, required_combine_terms, block_terms, note, lead_agency FROM codes WHERE cls_cd = 'POLICY' AND prev_gov_cd = 'LMB' AND lead_agency LIKE 'Brand#1%'", ("codes",))
+def dictionary_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.mapping_dictionary(frame(spark, sf, "codes"), "Brand#1")
+
+
+# Names, dates and text
+
+_STEM = "regexp_replace(save_file_name, '(.)\\.[^.]*$', '\\1')"
+_MARK = f"CASE WHEN regexp_matches(upper(list_filter(string_split({_STEM}, '_'), lambda t: regexp_matches(upper(t), '^[NS][0-9]'))[-1]), '^[NS]') THEN upper(list_filter(string_split({_STEM}, '_'), lambda t: regexp_matches(upper(t), '^[NS][0-9]'))[-1])[1] ELSE 'UNKNOWN' END"
+_EXT = "lower(regexp_extract(coalesce(save_file_name, ''), '\\.([^.]+)$', 1))"
+_TYPE = f"CASE {_EXT} WHEN 'hwp' THEN 'HWP' WHEN 'pdf' THEN 'PDF' WHEN 'docx' THEN 'WORD' WHEN '' THEN 'UNKNOWN' ELSE upper({_EXT}) END"
+
+
+@query(f"SELECT rc_ritem_no, detno, save_file_name, {_EXT} AS extension, {_MARK} AS role_mark, {_TYPE} AS file_type, CASE {_EXT} WHEN 'hwp' THEN 'HWP' WHEN 'pdf' THEN 'PDF' WHEN 'docx' THEN 'OFFICE' ELSE 'ETC' END AS file_group, CASE WHEN {_MARK} <> 'UNKNOWN' THEN {_MARK} WHEN {_EXT} = 'zip' THEN 'ZIP' WHEN {_EXT} <> '' THEN {_TYPE} ELSE 'text/plain' END AS effective_type FROM catalog", ("catalog",))
+def file_role_type(spark: SparkSession, sf: str) -> DataFrame:
+    name = F.col("save_file_name")
+    forced = F.when(X.extension(name) == "zip", "ZIP")
+    return frame(spark, sf, "catalog").select("rc_ritem_no", "detno", name, X.extension(name).alias("extension"), X.role_mark(name).alias("role_mark"), X.file_type(name).alias("file_type"), X.file_group(name).alias("file_group"), X.effective_type(name, forced, F.lit("text/plain")).alias("effective_type"))
+
+
+@query("SELECT rc_ritem_no, detno, save_file_name, CASE WHEN coalesce(trim(org_file_path), '') <> '' THEN CASE WHEN replace(org_file_path, chr(92), '/') LIKE '%/' THEN replace(org_file_path, chr(92), '/') || save_file_name ELSE replace(org_file_path, chr(92), '/') || '/' || save_file_name END ELSE '/base/' || transferyear || '/' || rc_rfile_no || '/' || rc_ritem_no || coalesce('/' || save_file_name, '') END AS path FROM catalog", ("catalog",))
+def path_resolve(spark: SparkSession, sf: str) -> DataFrame:
+    path = X.resolved_path(F.col("org_file_path"), F.col("save_file_name"), F.col("transferyear"), F.col("rc_rfile_no"), F.col("rc_ritem_no"), "/base", "2023")
+    return frame(spark, sf, "catalog").select("rc_ritem_no", "detno", "save_file_name", path.alias("path"))
+
+
+@query(f"SELECT rc_ritem_no, {_DATE} AS production_date, {_PRODYEAR} AS production_year, {_NORM.format('prodregdate')} AS term_date, TRY_CAST(nullif(trim(prodyear), '') AS INTEGER) AS data_year, {_FIRST} AS department, split_part(trim(jemok), ' ', 1) AS first_token FROM items", ("items",))
+def normalize_dates(spark: SparkSession, sf: str) -> DataFrame:
+    date, year = F.col("prodregdate"), F.col("prodyear")
+    return frame(spark, sf, "items").select("rc_ritem_no", X.production_date(date).alias("production_date"), X.production_year(year).alias("production_year"), X.term_date(date).alias("term_date"), X.data_year(year, F.lit(None).cast("string")).alias("data_year"), X.department(F.col("all_org_nm")).alias("department"), X.first_token(F.col("jemok")).alias("first_token"))
+
+
+_EDGE = "regexp_replace({}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+_CHUNK_TEXT = _EDGE.format("regexp_replace(regexp_replace(regexp_replace(replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[\\t\\x0B\\f]+', ' ', 'g'), '(?m)[ ]{2,}$', '', 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")
+_PLAIN_TEXT = _EDGE.format("regexp_replace(regexp_replace(regexp_replace(replace(text, chr(12), chr(10)), '[ \\t\\x0B\\f\\r]+', ' ', 'g'), '(?m)^\\s*[-–—]?\\s*\\d+\\s*[-–—]?\\s*$', '', 'g'), '\\n{3,}', chr(10) || chr(10), 'g')")
+
+
+@query(f"SELECT doc_id, {_CHUNK_TEXT} AS for_chunks, {_PLAIN_TEXT} AS extracted FROM documents")
+def text_normalize(spark: SparkSession, sf: str) -> DataFrame:
+    text = F.col("text")
+    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", X.normalize_for_chunks(text).alias("for_chunks"), X.normalize_extracted(text).alias("extracted"))
+
+
+@query("SELECT doc_id, CAST(CASE WHEN regexp_matches(coalesce(text, ''), '\\S') THEN greatest(1, len(regexp_extract_all(text, '[A-Za-z0-9_]+')) + ceil(len(regexp_extract_all(text, '[가-힣]')) / 2.5)) ELSE 0 END AS INTEGER) AS tokens FROM documents")
+def token_estimate(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", X.token_estimate(F.col("text")).alias("tokens"))
+
+
+_SAMPLE = "substr(coalesce(text, ''), 1, 20000)"
+_ROWS = f"string_split(regexp_replace({_SAMPLE}, '\\n+$', ''), chr(10))"
+
+
+@query(f"SELECT doc_id, CAST(len(regexp_extract_all({_SAMPLE}, '제\\s*\\d+\\s*(장|절|관|조(?:\\s*의\\s*\\d+)?)')) + len(regexp_extract_all({_SAMPLE}, '[①②③④⑤⑥⑦⑧⑨⑩]')) AS INTEGER) AS law, CAST(len(regexp_extract_all({_SAMPLE}, '(?m)^((Ⅰ|Ⅱ|Ⅲ|Ⅳ|Ⅴ|Ⅵ|Ⅶ|Ⅷ|Ⅸ|Ⅹ)\\.|[0-9]+(\\.[0-9]+)*\\.|[가-하]\\.|[A-Z]\\.)\\s+.+$')) AS INTEGER) AS headings, len({_ROWS}) >= 5 AND len(list_filter({_ROWS}, lambda x: contains(x, '|') OR len(regexp_split_to_array(regexp_replace(x, '\\s{{2,}}$', ''), '\\s{{2,}}')) >= 4)) >= greatest(5, floor(len({_ROWS}) / 3)) AS table_like FROM documents")
+def doc_type_scores(spark: SparkSession, sf: str) -> DataFrame:
+    sample = F.substring(X.null_to_blank(F.col("text")), 1, S.TYPE_SAMPLE)
+    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", chunking.law_score(sample).cast("int").alias("law"), chunking.heading_score(sample).alias("headings"), chunking.table_like(sample).alias("table_like"))
+
+
+# Chunks
+
+
+@query()
+def chunk_documents(spark: SparkSession, sf: str) -> DataFrame:
+    sources = frame(spark, sf, "doc_extracts").where(F.col("extract_status") == S.PASS).withColumnRenamed("idx", "extract_idx")
+    return chunking.chunk_documents(sources)
+
+
+@query()
+def chunk_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    found = chunk_documents(spark, sf).groupBy("doc_type")
+    return found.agg(F.count("*").alias("n_chunks"), F.countDistinct("extract_idx").alias("n_documents"), F.sum("char_count").alias("chars"), F.max("char_count").alias("longest"), F.sum("token_count").alias("tokens"))
+
+
+_KEPT = "SELECT extract_idx, 1 AS chunk_seq, 'old' AS chunk_text, 'READY' AS chunk_status FROM doc_chunks"
+
+
+@query(f"SELECT * FROM ({_KEPT}) WHERE extract_idx NOT IN (SELECT idx FROM doc_extracts WHERE extract_status = 'FAIL') UNION ALL SELECT idx, 0, 'No content to split', 'SKIP' FROM doc_extracts WHERE extract_status = 'FAIL'", ("doc_extracts", "doc_chunks"))
+def chunk_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks of failed documents give way to markers."""
+    old = frame(spark, sf, "doc_chunks").select("extract_idx", F.lit(1).alias("chunk_seq"), F.lit("old").alias("chunk_text"), F.lit(S.READY).alias("chunk_status"))
+    sources = frame(spark, sf, "doc_extracts").where(F.col("extract_status") == S.FAIL).select(F.col("idx").alias("extract_idx"))
+    return merge.replace_chunks(old, old.limit(0), sources)
+
+
+# Keyed writes
+
+_SUMMED = "SELECT rc_code, rc_rfile_no, rc_ritem_no, {} FROM items"
+
+
+@query(_SUMMED.format("CASE WHEN o_error IS NULL THEN code ELSE policy_cd END AS policy_cd, CASE WHEN o_error IS NULL THEN name ELSE policy_nm END AS policy_nm, CASE WHEN o_error IS NULL THEN 'PASS' ELSE 'FAIL' END AS llm_policy_status, CASE WHEN o_error IS NOT NULL THEN substr(o_error, 1, 100) WHEN name IN ('제외', '검토 필요', '간접 관련 없음') THEN 'because ' || rc_code END AS llm_policy_err_msg").replace("FROM items", "FROM (SELECT *, CASE WHEN llm_event_status = 'FAIL' THEN repeat(rc_ritem_no || ' ', 40) END AS o_error, 'N' || rc_code AS code, CASE rc_code WHEN 'C0' THEN '제외' WHEN 'C1' THEN '검토 필요' ELSE 'new' END AS name FROM items)"), ("items",))
+def status_update_case(spark: SparkSession, sf: str) -> DataFrame:
+    items = frame(spark, sf, "items")
+    results = items.select(*S.ITEM_KEY, F.when(F.col("llm_event_status") == S.FAIL, F.repeat(F.concat("rc_ritem_no", F.lit(" ")), 40)).alias("error"), F.concat(F.lit("N"), "rc_code").alias("code"), F.when(F.col("rc_code") == "C0", "제외").when(F.col("rc_code") == "C1", "검토 필요").otherwise("new").alias("name"), F.concat(F.lit("because "), "rc_code").alias("reason"))
+    return merge.item_results(items, results).select(*S.ITEM_KEY, *merge.RESULT_COLUMNS[S.POLICY])
+
+
+@query(", ".join(["WITH " + ctes("items"), "decided AS (SELECT rc_rfile_no, min(policy_cd) AS code, min(policy_nm) AS name FROM items WHERE policy_cd <> '' AND policy_nm <> '해당없음' GROUP BY rc_rfile_no)"]) + " SELECT rc_code, i.rc_rfile_no, rc_ritem_no, coalesce(d.code, policy_cd) AS policy_cd, coalesce(d.name, policy_nm) AS policy_nm, CASE WHEN d.code IS NULL THEN llm_policy_status ELSE 'PASS' END AS llm_policy_status FROM items i LEFT JOIN decided d ON d.rc_rfile_no = i.rc_rfile_no")
+def file_decision_propagate(spark: SparkSession, sf: str) -> DataFrame:
+    items = frame(spark, sf, "items")
+    decided = items.where(Q.determined(F.col("policy_cd"), F.col("policy_nm"))).groupBy("rc_rfile_no").agg(F.min("policy_cd").alias("code"), F.min("policy_nm").alias("name"))
+    return merge.propagate_files(items, decided).select(*S.ITEM_KEY, "policy_cd", "policy_nm", "llm_policy_status")
+
+
+@query("SELECT coalesce(o.doc_id, n.doc_id) AS doc_id, CASE WHEN n.doc_id IS NULL THEN o.lang ELSE n.lang END AS lang, CASE WHEN o.doc_id IS NULL THEN n.summary ELSE o.summary END AS summary FROM (SELECT doc_id, 'old' AS lang, 'kept' AS summary FROM labels) o FULL JOIN (SELECT doc_id, lang, 'new' AS summary FROM documents) n ON o.doc_id = n.doc_id")
+def upsert_documents(spark: SparkSession, sf: str) -> DataFrame:
+    old = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.lit("old").alias("lang"), F.lit("kept").alias("summary"))
+    new = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", F.lit("new").alias("summary"))
+    return merge.merged(old, new, ("doc_id",), keep=("summary",))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+    """Web pages to chunks: text of the pages, split by kind, as statistics of each kind."""
+    return chunk_statistics(spark, sf_dir)
