@@ -7,8 +7,10 @@ doc_id. Band and row counts follow from the recall wanted at the threshold. Then
 1. each text is compared with the least text of each of its buckets, the bucket's leader (stars, not all pairs). The verified
    links join texts to groups;
 2. two texts of one bucket that are in different groups are compared by rarity: of two sets at the threshold or above, the rarest
-   fifths (in any one order of the shingles) have a shingle in common, so texts are joined on the rarest fifth of their shingles,
-   by how many such texts hold them. A passage that many texts share is no reason to compare them, and no pair is lost;
+   fifths (in any one order of the shingles) have a shingle in common, and what precedes the first of these is no more than
+   the sets may differ by. So texts are joined on the rarest fifth of their shingles, by how many such texts hold them: first as
+   stars, which join groups, then as all pairs of what is still apart, each once, at its first common shingle. A passage that
+   many texts share is no reason to compare them, and no pair is lost;
 3. links within a group are counted in blocks of texts: a task takes two blocks, multiplies their shingle matrices and
    returns one number for each text, not a row for each pair. Near copies that lie about the threshold leave no other way to an
    exact count; a group of m texts takes m^2 / BLOCK_TEXTS rows.
@@ -154,25 +156,43 @@ def _components(edges: DataFrame) -> DataFrame:
         before = mark
 
 
-def _across(members: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """a < b: pairs of texts in different groups that share a mixed bucket and, as all pairs at the threshold do, a shingle of
-    their rarest fifths. A shingle of one text alone takes a place there but finds no partner, so it is only counted."""
+def _rare_keys(members: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """text_id, size, gram, at, rare: a row for each shingle of the rarest fifth of the texts of mixed buckets that another such text holds;
+    at is how many rarer ones the text has, rare all of its row's shingles in order. A shingle of one text alone takes its place but
+    finds no partner, so it is only counted."""
     placed = members.join(groups, "text_id")
     mixed = placed.groupBy("bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("bucket")
-    wanted = written(placed.join(mixed, "bucket").select("text_id", "group").distinct())
+    wanted = written(placed.join(mixed, "bucket").select("text_id").distinct())
     held = sets.withColumnRenamed("doc_id", "text_id").join(wanted, "text_id")
     grams = written(held.select("text_id", F.explode("grams").alias("gram")))
     shared = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     ranked = grams.join(shared, "gram").groupBy("text_id").agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("rare"))
-    size, found = F.size("grams"), F.size("rare")
-    places = size - F.ceil(size * THRESHOLD).cast("int") + 1 - (size - found)
-    first = held.join(ranked, "text_id").select("text_id", "group", size.alias("size"), F.slice("rare", 1, F.greatest(places, F.lit(0))).alias("rare"))
-    keys = written(first.select("text_id", "group", "size", F.explode("rare.gram").alias("gram")))
-    several = keys.groupBy("gram").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("gram")
+    alone = F.col("size") - F.size("rare")
+    first = held.join(ranked, "text_id").select("text_id", F.size("grams").alias("size"), "rare").withColumn("alone", alone)
+    places = F.col("size") - F.ceil(F.col("size") * THRESHOLD).cast("int") + 1 - F.col("alone")
+    first = first.select("text_id", "size", "alone", F.slice("rare", 1, F.greatest(places, F.lit(0)))["gram"].alias("rare"))
+    keys = first.select("text_id", "size", "alone", "rare", F.posexplode("rare").alias("at", "gram"))
+    return written(keys.select("text_id", "size", "gram", (F.col("alone") + F.col("at")).alias("at"), "rare"))
+
+
+def _across(keys: DataFrame, groups: DataFrame, *, stars: bool) -> DataFrame:
+    """a < b: pairs of texts in different groups that may be linked by their rare keys; of stars only those with the shingle's least text."""
+    keys = keys.join(groups, "text_id")
+    several = keys.groupBy("gram").agg(F.min("group").alias("x"), F.max("group").alias("y"), F.min("text_id").alias("least")).where("x <> y").select("gram", "least")
     keys = keys.join(several, "gram")
-    right = keys.select("gram", F.col("text_id").alias("b"), F.col("group").alias("gb"), F.col("size").alias("nb"))
-    near = (F.col("a") < F.col("b")) & (F.col("group") != F.col("gb")) & (F.least("size", "nb") * 5 >= F.greatest("size", "nb") * 4)
-    return keys.withColumnRenamed("text_id", "a").join(right, "gram").where(near).select("a", "b").distinct()
+    left = keys.where(F.col("text_id") == F.col("least")) if stars else keys
+    left = left.select("gram", F.col("text_id").alias("a"), F.col("group").alias("ga"), F.col("size").alias("na"), F.col("at").alias("ata"), F.col("rare").alias("ra"))
+    right = keys.select("gram", F.col("text_id").alias("b"), F.col("group").alias("gb"), F.col("size").alias("nb"), F.col("at").alias("atb"), F.col("rare").alias("rb"))
+    near = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & (F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")) * 9 >= (F.col("na") + F.col("nb")) * 4)
+    first = F.get(F.array_intersect("ra", "rb"), 0) == F.col("gram")
+    return left.join(right, "gram").where(near & first).select("a", "b").distinct()
+
+
+def _regrouped(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """The groups after links between their texts."""
+    ends = links.join(groups.toDF("a", "ga"), "a").join(groups.toDF("b", "gb"), "b").where("ga <> gb").select(F.least("ga", "gb").alias("a"), F.greatest("ga", "gb").alias("b"))
+    roots = _components(ends).withColumnRenamed("node", "group")
+    return written(groups.join(roots, "group", "left").select("text_id", F.coalesce("root", "group").alias("group")))
 
 
 def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -254,25 +274,17 @@ def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     stars = written(members.where("text_id > leader").select(F.col("leader").alias("a"), F.col("text_id").alias("b")).distinct())
     wanted = written(stars.select(F.explode(F.array("a", "b")).alias("text_id")).distinct())
     sets = written(_sets(only(documents, wanted.select(F.col("text_id").alias(doc_id)), doc_id).dropDuplicates([doc_id]), doc_id, text))
-    near = written(_verified(stars, sets).where("linked").select("a", "b"))
-    roots = _components(near).withColumnRenamed("node", "text_id")
-    groups = written(wanted.join(roots, "text_id", "left").select("text_id", F.coalesce("root", "text_id").alias("group")))
-    across = written(_verified(_across(members, groups, sets), sets).where("linked").select("a", "b"))
-
-    names = groups.select(F.col("text_id").alias("a"), F.col("group").alias("ga"))
-    joined = across.join(names, "a").join(names.toDF("b", "gb"), "b").select(F.least("ga", "gb").alias("a"), F.greatest("ga", "gb").alias("b"))
-    merged = _components(joined).withColumnRenamed("node", "group")
-    found = texts.select("f1", "f2", "text_id", "copies").join(groups.join(merged, "group", "left").select("text_id", F.coalesce("root", "group").alias("root")), "text_id", "left")
+    groups = _regrouped(wanted.select("text_id", F.col("text_id").alias("group")), written(_verified(stars, sets).where("linked").select("a", "b")))
+    keys = _rare_keys(members, groups, sets)
+    for only_stars in (True, False):
+        groups = _regrouped(groups, written(_verified(_across(keys, groups, stars=only_stars), sets).where("linked").select("a", "b")))
+    found = texts.select("f1", "f2", "text_id", "copies").join(groups, "text_id", "left")
     if count_links:
-        size = texts.select("text_id", "copies")
-        within = _links_within(groups, sets, size)
-        both = across.unionByName(across.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        beyond = both.join(size.withColumnRenamed("text_id", "b"), "b").groupBy(F.col("a").alias("text_id")).agg(F.sum("copies").alias("beyond"))
-        found = found.join(within, "text_id", "left").join(beyond, "text_id", "left")
-        links = (F.col("copies") - 1 + F.coalesce("links", F.lit(0)) + F.coalesce("beyond", F.lit(0))).cast("long")
+        found = found.join(_links_within(groups, sets, texts.select("text_id", "copies")), "text_id", "left")
+        links = (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long")
     else:
         links = F.lit(None).cast("long")
-    found = written(found.select("f1", "f2", "text_id", F.coalesce("root", "text_id").alias("root"), links.alias("n_links")))
+    found = written(found.select("f1", "f2", "text_id", F.coalesce("group", "text_id").alias("root"), links.alias("n_links")))
     out = signed.select("doc_id", "f1", "f2").join(found, ["f1", "f2"], "left")
     return out.select("doc_id", F.coalesce("root", "doc_id").alias("class_id"), F.coalesce("text_id", "doc_id").alias("copy_id"), (F.coalesce("n_links", F.lit(0).cast("long")) if count_links else F.col("n_links")).alias("n_links"))
 
