@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliary.functions.text import blank_to_null, has_text
@@ -87,15 +87,11 @@ def body(text: Column, *, strict: bool = False) -> Column:
     return F.coalesce(after, listed)
 
 
-def letter_columns(file_name: Column, contents: Column, indexing: Column, *, strict: bool = False) -> dict[str, Column]:
-    """Columns of an extracted document; null (indexing_contents: as given) where the file is no letter or says nothing."""
-    ours, text = is_letter(file_name, contents), prepared(contents)
-    sent, received = number_and_date(text, SENT), number_and_date(text, RECEIVED)
-    return {
-        "hwp_sub_title": F.when(ours, title(text)),
-        "implement_org": F.when(ours, sent["number"]),
-        "implement_date": F.when(ours, sent["date"]),
-        "receipt_org": F.when(ours, received["number"]),
-        "receipt_date": F.when(ours, received["date"]),
-        "indexing_contents": F.when(ours, F.coalesce(body(text, strict=strict), indexing)).otherwise(indexing),
-    }
+def with_letters(rows: DataFrame, *, file_name: str = "file_name", contents: str = "contents", indexing: str = "indexing_contents", strict: bool = False) -> DataFrame:
+    """rows with hwp_sub_title, implement_org, implement_date, receipt_org, receipt_date (null where the file is no letter or doesn't say) and the
+    indexing column replaced by the letter's body if it has one."""
+    text = F.col("__p")
+    rows = rows.withColumn("__p", F.when(is_letter(F.col(file_name), F.col(contents)), prepared(F.col(contents))))
+    rows = rows.withColumns({"__s": number_and_date(text, SENT), "__r": number_and_date(text, RECEIVED), "__b": body(text, strict=strict), "hwp_sub_title": title(text)})
+    found = {"implement_org": "__s.number", "implement_date": "__s.date", "receipt_org": "__r.number", "receipt_date": "__r.date"}
+    return rows.withColumns({k: F.col(c) for k, c in found.items()} | {indexing: F.coalesce("__b", indexing)}).drop("__p", "__s", "__r", "__b")

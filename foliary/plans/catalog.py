@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary import schema as S
+from foliary.functions import letters
 from foliary.functions import text as X
-from foliary.operators import chunking, merge
+from foliary.operators import chunking, columns, ledger, merge, prompting, responses, rules
 from foliary.operators import selection as Q
+from foliary.plans import workflow
 from foliary.plans.standins import ctes, frame
+from foliary.sources import files
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -290,6 +295,138 @@ def upsert_documents(spark: SparkSession, sf: str) -> DataFrame:
     return merge.merged(old, new, ("doc_id",), keep=("summary",))
 
 
+# Files, letters and columns
+
+
+@query()
+def html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return files.page_text(spark.read.parquet(f"{sf}/pages.parquet")).select("page_id", "url", "text")
+
+
+@query()
+def page_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    text = files.page_text(spark.read.parquet(f"{sf}/pages.parquet"))
+    sources = text.select(F.col("page_id").alias("extract_idx"), F.lit("page.html").alias("file_name"), F.lit(None).cast("string").alias("zip_entry_file_name"), F.col("text").alias("indexing_contents"))
+    return chunking.chunk_documents(sources)
+
+
+_LETTER = "concat('제목 | ', jemok, ' | 1. 본문', chr(10), '시행 | ', rc_code, '-', substr(rc_ritem_no, 2), ' | (', substr({d}, 1, 4), '. ', CAST(CAST(substr({d}, 6, 2) AS INT) AS STRING), '. ', CAST(CAST(substr({d}, 9, 2) AS INT) AS STRING), '.) | 접수 | ', all_org_nm, chr(10), bnd_ttl, ' 끝.', chr(10), 'tail')"
+
+
+@query("SELECT rc_ritem_no, jemok AS hwp_sub_title, rc_code || '-' || substr(rc_ritem_no, 2) AS implement_org, prodregdate AS implement_date, CAST(NULL AS VARCHAR) AS receipt_org, 'File ' || substr(rc_rfile_no, 2) || ' 끝.' AS body FROM items WHERE prodregdate LIKE '____-__-__'", ("items",))
+def letter_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Letters written from the items that have a full date, and read again."""
+    items = frame(spark, sf, "items").where(F.col("prodregdate").like("____-__-__"))
+    rows = items.select("rc_ritem_no", F.lit("1_2_N01.hwp").alias("name"), F.expr(_LETTER.format(d="prodregdate")).alias("text"))
+    found = letters.with_letters(rows.withColumn("body", F.col("text")), file_name="name", contents="text", indexing="body")
+    return found.select("rc_ritem_no", "hwp_sub_title", "implement_org", "implement_date", "receipt_org", "body")
+
+
+@query()
+def pdf_column_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as text runs of pages: an order is a page."""
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet")
+    x = (F.col("l_discount") * 5000).cast("int").cast("double")
+    runs = rows.select(F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("page"), F.concat(F.lit("p"), "l_partkey").alias("text"), x.alias("min_x"), (x + 90).alias("max_x"), (F.col("l_linenumber") * 10.0).alias("min_y"), (F.col("l_linenumber") * 10.0 + 8).alias("max_y"), F.lit(600.0).alias("page_width"))
+    return columns.reading_order(runs)
+
+
+@query("SELECT conv_id, turn, 1 AS zip_seq, role || '.txt' AS entry_name, 'PASS' AS status, length(regexp_replace(text, '[\\x00-\\x20]+$', '')) > 0 AS has_text FROM conversations")
+def zip_expand(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns packed as archives of one file and opened again."""
+    rows = spark.read.parquet(f"{sf}/conversations.parquet")
+    packed = files._added(rows.withColumn("save_file_name", F.lit("turn.zip")), "content", "binary", files.pa.binary(), ("role", "text"), files.parsers.packed)
+    opened = files.expand_archives(packed)
+    done = files._added(opened, "r", files._RESULT, files._RESULT_ARROW, ("entry_name", "content"), files.parsers.extract)
+    return done.select("conv_id", "turn", "zip_seq", "entry_name", F.col("r.status").alias("status"), X.has_text(F.col("r.contents")).alias("has_text"))
+
+
+# Prompts and answers
+
+_JSON_ESCAPED = "replace(replace(replace(replace(replace({}, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"
+
+
+@query(f"SELECT conv_id, turn, 'Q ' || coalesce(role, '') || ' raw ' || coalesce(text, '') || ' json \"' || {_JSON_ESCAPED.format("coalesce(text, '')")} || '\" none {{gap}}' AS prompt, substr(coalesce(text, ''), 1, 12000) AS cut FROM conversations")
+def prompt_render(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf}/conversations.parquet")
+    made = prompting.render('Q {ROLE} raw ${TEXT} json "{{TEXT}}" none {gap}', {"ROLE": F.col("role"), "TEXT": F.col("text")})
+    return rows.select("conv_id", "turn", made.alias("prompt"), X.cut(F.col("text"), S.CONTENT_CHARS).alias("cut"))
+
+
+@query("SELECT event_id, CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'click' THEN 'Y' ELSE 'N' END AS flag, CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'click' THEN 'k is ' || json_extract_string(props, '$.k') ELSE '' END AS summary, event_type = 'error' AS failed FROM events")
+def llm_json_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers written from events: fenced, wrapped and broken ones."""
+    k = F.get_json_object("props", "$.k")
+    inner = F.concat(F.lit('```json\n{"flag": "'), F.when(F.col("event_type") == "click", "y").otherwise("no"), F.lit('", "summary": " k is '), k, F.lit('"}\n```'))
+    body = F.to_json(F.struct(F.array(F.struct(F.struct(inner.alias("content")).alias("message"))).alias("choices")))
+    wrapped = F.concat(F.lit("response_data: "), F.to_json(F.struct(body.alias("response_data"))))
+    response = F.when(F.col("event_type") == "error", "no json").when(F.col("event_type") == "view", wrapped).otherwise(body)
+    answers = spark.read.parquet(f"{sf}/events.parquet").select("event_id", response.alias("response"), F.lit(None).cast("string").alias("call_error"))
+    return responses.parse_summaries(answers).select("event_id", "flag", "summary", F.col("error").isNotNull().alias("failed"))
+
+
+_RULES = "(SELECT DISTINCT detail_task_cd, direct_mapping_terms AS d, conditional_mapping_terms AS c, expand_candidate_terms AS e FROM codes WHERE cls_cd = 'POLICY' AND prev_gov_cd = 'LMB' AND lead_agency LIKE 'Brand#1%')"
+
+
+@query(f"SELECT rc_code, rc_rfile_no, rc_ritem_no, coalesce(max(CASE r WHEN 0 THEN '직접' WHEN 1 THEN '검토' ELSE '제외' END) FILTER (r = m), '후보없음') AS decision FROM (SELECT i.*, r, min(r) OVER (PARTITION BY rc_ritem_no) AS m FROM items i LEFT JOIN LATERAL (SELECT CASE WHEN contains(t.ttl, lower(d)) THEN CASE WHEN contains(t.ttl, 'lease') THEN 1 ELSE 0 END WHEN contains(t.ttl, 'lease') THEN 2 WHEN contains(t.ttl, lower(c)) AND contains(t.ttl, 'plan') THEN 0 ELSE 1 END AS r FROM (SELECT lower(i.bnd_ttl || ' ' || i.jemok) AS ttl) t, {_RULES} z WHERE contains(t.ttl, lower(d)) OR list_contains(string_split(t.ttl, ' '), lower(c)) OR list_contains(string_split(t.ttl, ' '), lower(e))) ON true) GROUP BY rc_code, rc_rfile_no, rc_ritem_no", ("items", "codes"))
+def rule_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    found = rules.map_by_rules(frame(spark, sf, "items"), Q.mapping_dictionary(frame(spark, sf, "codes"), "Brand#1"))
+    return found.select(*S.ITEM_KEY, "decision")
+
+
+# Runs
+
+_EVENT_STATUS = "CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'error' THEN 'FAIL' ELSE 'RUNNING' END"
+
+
+@query(f"SELECT user_id AS run_id, status, CAST(loop_count AS BIGINT) AS loop_count FROM (SELECT user_id, {_EVENT_STATUS} AS status, event_id AS loop_count, row_number() OVER (PARTITION BY user_id ORDER BY {_EVENT_STATUS} = 'RUNNING', CASE WHEN {_EVENT_STATUS} = 'RUNNING' THEN -epoch_us(ts) ELSE epoch_us(ts) END) AS n FROM events) WHERE n = 1")
+def run_ledger_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as a ledger: each user a run, purchases and errors its ends."""
+    zero = F.lit(0).cast("bigint")
+    events = spark.read.parquet(f"{sf}/events.parquet").select(F.col("user_id").alias("run_id"), F.col("ts").alias("at"), F.expr(_EVENT_STATUS).alias("status"), F.col("event_id").alias("loop_count"), zero.alias("total_target_count"), zero.alias("total_success_count"), zero.alias("total_fail_count"), F.lit(None).cast("string").alias("error_msg"))
+    return ledger.run_states(events).select("run_id", "status", "loop_count")
+
+
+@query("SELECT event_type AS subject, count(*) AS total_target_count, count(*) FILTER (value >= 5) AS total_success_count, count(*) FILTER (value < 5) AS total_fail_count FROM events GROUP BY event_type")
+def run_tally(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_type").alias("subject"), F.when(F.col("value") >= 5, S.PASS).otherwise(S.FAIL).alias("status"))
+    return ledger.tally(rows, "subject")
+
+
+@query()
+def subject_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A run of one subject with a client that answers from the prompt itself."""
+    items, catalog = frame(spark, sf, "items"), frame(spark, sf, "catalog")
+    targets = Q.item_targets(items, catalog, Q.Params())
+    after, _ = workflow.subject_run(items, targets, '{"title": "{{JEMOK}}"}', workflow_client, S.POLICY)
+    return after.select(*S.ITEM_KEY, *merge.RESULT_COLUMNS[S.POLICY])
+
+
+def workflow_client():
+    """A stub: the policy is the title's last word."""
+
+    def send(body: str) -> str:
+        title = json.loads(json.loads(body)["messages"][1]["content"])["title"]
+        return json.dumps({"choices": [{"text": json.dumps({"ITEM_CD": "X", "POLICY": title.split()[-1], "REASON": "stub"})}]})
+
+    return send
+
+
+_ASKED = "(SELECT DISTINCT a.rc_ritem_no FROM items a JOIN catalog b ON a.rc_rfile_no = b.rc_rfile_no AND a.rc_ritem_no = b.rc_ritem_no WHERE b.transferyear = '2023' AND a.llm_policy_status IS NULL)"
+ORACLES["subject_run"] = f"WITH {ctes('items', 'catalog')} SELECT rc_code, rc_rfile_no, i.rc_ritem_no, CASE WHEN q.rc_ritem_no IS NULL THEN policy_cd ELSE 'X' END AS policy_cd, CASE WHEN q.rc_ritem_no IS NULL THEN policy_nm ELSE string_split(jemok, ' ')[-1] END AS policy_nm, CASE WHEN q.rc_ritem_no IS NULL THEN llm_policy_status ELSE 'PASS' END AS llm_policy_status, CASE WHEN q.rc_ritem_no IS NULL THEN llm_policy_err_msg END AS llm_policy_err_msg FROM items i LEFT JOIN {_ASKED} q ON q.rc_ritem_no = i.rc_ritem_no"
+
+
+@query("SELECT id, title, description FROM (SELECT doc_id AS id, CASE WHEN l.labelled IS NULL THEN lang ELSE 'changed' END AS title, source AS description FROM documents d LEFT JOIN (SELECT DISTINCT doc_id AS labelled FROM labels WHERE toxic = 0) l ON l.labelled = d.doc_id WHERE d.doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))")
+def records_crud(spark: SparkSession, sf: str) -> DataFrame:
+    """Records updated and deleted by id."""
+    records = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("id"), F.col("lang").alias("title"), F.col("source").alias("description"))
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    changed = labels.where("toxic = 0").select(F.col("doc_id").alias("id"), F.lit("changed").alias("title")).distinct()
+    gone = labels.where("toxic = 1").select(F.col("doc_id").alias("id"))
+    return merge.merged(records, changed, ("id",), insert=False).join(gone, "id", "left_anti")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web pages to chunks: text of the pages, split by kind, as statistics of each kind."""
-    return chunk_statistics(spark, sf_dir)
+    """Web pages to chunks, as statistics of each kind of document."""
+    found = page_chunks(spark, sf_dir).groupBy("doc_type")
+    return found.agg(F.count("*").alias("n_chunks"), F.countDistinct("extract_idx").alias("n_pages"), F.sum("char_count").alias("chars"), F.sum("token_count").alias("tokens"))
