@@ -11,7 +11,7 @@ common skeleton is the reference; every other skeleton is aligned with it by sim
 
 Where a host has too few pages to tell, and besides, elements that say what they are (nav, footer, aside, form, roles, telling
 class names) are template. If the page marks its article (article, main, role, itemprop), content lies there; otherwise it is
-the deepest element that holds most of the text that is left, without link lists.
+the deepest element that holds most of the text that is left, and the title, without link lists.
 
 Corpus-wide work is joins and sums by host, slot and block hash; no host's pages meet in one task. Wrappers (one row a host) are
 broadcast if they are few, else joined by shuffle. Null, empty and markup-only pages give an empty text; pages without a
@@ -422,9 +422,13 @@ def content(page: Page, template: frozenset[int] = frozenset(), constant: frozen
         held[node] += len(text)
     for i in range(len(held) - 1, 0, -1):
         held[page.parents[i]] += held[i]
-    root = 0
+    root, above = 0, next((node for node, _, _ in prose if page.tags[node] == "h1"), 0)  # the title stays inside
+    path = {0}
+    while above:
+        path.add(above)
+        above = page.parents[above]
     for i in range(1, len(held)):  # parents come before children, so this walks down the one path that holds most
-        if page.parents[i] == root and 5 * held[i] >= 4 * size and page.tags[i] not in ("p", "li", "td"):
+        if page.parents[i] == root and 5 * held[i] >= 4 * size and page.tags[i] not in ("p", "li", "td") and (len(path) == 1 or i in path):
             root = i
     inside = [False] * len(held)
     for at in range(len(held)):

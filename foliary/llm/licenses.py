@@ -12,6 +12,7 @@ labels; repeated rows are scanned each on its own; an empty table gives an empty
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -88,10 +89,15 @@ VERSIONED = (
 )
 
 
+def _wide(pattern: str) -> str:
+    """The pattern with any number of blanks wherever it has one."""
+    return re.sub(r"(?<!\[) ", " +", pattern)
+
+
 def _gate() -> str:
     """Matches in every text in which any rule does."""
     names = "|".join(name for _, name, _, _ in FAMILIES)
-    return rf"(?i)licen[cs]|\b{_GRANT}|\b(?:{names}){_VERSION}[0-9]"
+    return _wide(rf"(?i)licen[cs]|\b{_GRANT}|\b(?:{names}){_VERSION}[0-9]")
 
 
 def rules() -> list[tuple[str, int, tuple[str, ...], str, str]]:
@@ -100,11 +106,11 @@ def rules() -> list[tuple[str, int, tuple[str, ...], str, str]]:
     for label, name, keywords, versions in FAMILIES:
         fill = {"name": name, "label": label}
         for form, need, priority in PLAIN:
-            out.append((label, priority, tuple(keywords.split("|")) if need != "spdx" else (label,), need, form.format(**fill)))
+            out.append((label, priority, tuple(keywords.split("|")) if need != "spdx" else (label,), need, _wide(form.format(**fill))))
         for v in versions.split():
             exact = v.removesuffix(".0").replace(".", r"\.") + (r"(?:\.0)?" if "clause" not in v and (v.endswith(".0") or "." not in v) else "")
             for form, need, priority in VERSIONED:
-                out.append((f"{label}-{v}", priority, tuple(keywords.split("|")) if need != "spdx" else (label,), need, form.format(**fill, version=exact)))
+                out.append((f"{label}-{v}", priority, tuple(keywords.split("|")) if need != "spdx" else (label,), need, _wide(form.format(**fill, version=exact))))
     return sorted(out, key=lambda r: (-r[1], r[0], r[4]))
 
 
@@ -125,7 +131,8 @@ def scan(documents: DataFrame, *, text: str = "text", keep: Sequence[str] = ("do
     first = F.when(F.col("__hit"), count(F.element_at(gaps, 1)))
     back = F.when(F.col("__hit"), count(F.element_at(gaps, -1)) + count(F.element_at(hits, -1)))
     label = lambda h: reduce(lambda e, p: e.when(F.lower(F.substring(h, 1, 2)) == p[0][:2], p[1]), PHRASES.items(), F.when(F.lit(False), ""))
-    signatures = F.when(t.rlike(_gate()), _detections(t)).otherwise(F.array().cast(_FOUND))
+    blank = F.translate(t, "\t\n\x0b\x0c\r", " " * 5)  # a line may end within a name
+    signatures = F.when(blank.rlike(_gate()), _detections(blank)).otherwise(F.array().cast(_FOUND))
     rows = rows.withColumn("__hit", hit).select(*kept, "__t", "__hit", count(t).alias("n_words"), F.when(F.col("__hit"), F.regexp_count(t, F.lit(base)).cast("long")).otherwise(0).alias("n_base"), first.alias("first_word"), back.alias("__back"), F.when(F.col("__hit"), F.array_sort(F.array_distinct(F.transform(hits, label)))).otherwise(F.array().cast("array<string>")).alias("base_labels"), signatures.alias("__found"))
     rows = rows.select("*", F.filter("__found", lambda x: ~F.exists("__found", lambda y: _suppresses(y, x))).alias("detections"))
     labels = F.array_sort(F.array_union("base_labels", F.transform("detections", lambda x: x["label"])))
@@ -140,7 +147,7 @@ def _detections(t: Column) -> Column:
     """All matches of the rules whose keywords the text holds."""
     rows = [{"label": a, "priority": b, "keywords": list(c), "need": d, "pattern": f"(?i){e}"} for a, b, c, d, e in rules()]
     table = F.from_json(F.lit(json.dumps(rows)), "array<struct<label:string,priority:int,keywords:array<string>,need:string,pattern:string>>")
-    lower = F.lower(t)
+    lower = F.regexp_replace(F.lower(t), " +", " ")
     tried = F.filter(table, lambda r: lower.contains(r["need"]) & F.exists(r["keywords"], lambda k: lower.contains(k)))
     each = F.transform(tried, lambda r: F.transform(gated(F.regexp_like(t, r["pattern"]), spans(t, r["pattern"])), lambda s: F.struct(r["label"].alias("label"), r["priority"].alias("priority"), s["start"].alias("start"), s["end"].alias("end"))))
     return F.flatten(each)
