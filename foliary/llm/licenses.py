@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliary.llm.spans import gated, spans
+from foliary.llm.spans import bound, gated, spans
 
 #: Fixed by the contract: phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -125,14 +125,17 @@ def scan(documents: DataFrame, *, text: str = "text", keep: Sequence[str] = ("do
     kept = [F.col(f"`{k}`") for k in keep]
     t, base = F.col("__t"), _base_pattern()
     rows = documents.select(*kept, F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("__t"))
-    hit = t.rlike(base)
+    rows = rows.withColumn("__l", F.lower("__t"))
+    lower = F.col("__l")
+    hit = (lower.contains("license") | lower.contains("cc")) & t.rlike(base)  # every phrase holds one of the two
     gaps, hits = F.split(t, base, -1), F.regexp_extract_all(t, F.lit(base), F.lit(0))
     count = lambda c: F.regexp_count(c, F.lit(WORD)).cast("long")
     first = F.when(F.col("__hit"), count(F.element_at(gaps, 1)))
     back = F.when(F.col("__hit"), count(F.element_at(gaps, -1)) + count(F.element_at(hits, -1)))
     label = lambda h: reduce(lambda e, p: e.when(F.lower(F.substring(h, 1, 2)) == p[0][:2], p[1]), PHRASES.items(), F.when(F.lit(False), ""))
     blank = F.translate(t, "\t\n\x0b\x0c\r", " " * 5)  # a line may end within a name
-    signatures = F.when(blank.rlike(_gate()), _detections(blank)).otherwise(F.array().cast(_FOUND))
+    able = lower.contains("licen") | lower.contains("under") | t.rlike("[0-9]")  # as every rule needs a name's licence, a grant or a version
+    signatures = F.when(able & blank.rlike(_gate()), _detections(blank)).otherwise(F.array().cast(_FOUND))
     rows = rows.withColumn("__hit", hit).select(*kept, "__t", "__hit", count(t).alias("n_words"), F.when(F.col("__hit"), F.regexp_count(t, F.lit(base)).cast("long")).otherwise(0).alias("n_base"), first.alias("first_word"), back.alias("__back"), F.when(F.col("__hit"), F.array_sort(F.array_distinct(F.transform(hits, label)))).otherwise(F.array().cast("array<string>")).alias("base_labels"), signatures.alias("__found"))
     rows = rows.select("*", F.filter("__found", lambda x: ~F.exists("__found", lambda y: _suppresses(y, x))).alias("detections"))
     labels = F.array_sort(F.array_union("base_labels", F.transform("detections", lambda x: x["label"])))
@@ -147,9 +150,12 @@ def _detections(t: Column) -> Column:
     """All matches of the rules whose keywords the text holds."""
     rows = [{"label": a, "priority": b, "keywords": list(c), "need": d, "pattern": f"(?i){e}"} for a, b, c, d, e in rules()]
     table = F.from_json(F.lit(json.dumps(rows)), "array<struct<label:string,priority:int,keywords:array<string>,need:string,pattern:string>>")
-    lower = F.regexp_replace(F.lower(t), " +", " ")
-    tried = F.filter(table, lambda r: lower.contains(r["need"]) & F.exists(r["keywords"], lambda k: lower.contains(k)))
-    each = F.transform(tried, lambda r: F.transform(gated(F.regexp_like(t, r["pattern"]), spans(t, r["pattern"])), lambda s: F.struct(r["label"].alias("label"), r["priority"].alias("priority"), s["start"].alias("start"), s["end"].alias("end"))))
+
+    def tried(lower: Column) -> Column:
+        return F.filter(table, lambda r: lower.contains(r["need"]) & F.exists(r["keywords"], lambda k: lower.contains(k)))
+
+    kept = bound(F.regexp_replace(F.lower(t), " +", " "), tried)
+    each = F.transform(kept, lambda r: F.transform(gated(F.regexp_like(t, r["pattern"]), spans(t, r["pattern"])), lambda s: F.struct(r["label"].alias("label"), r["priority"].alias("priority"), s["start"].alias("start"), s["end"].alias("end"))))
     return F.flatten(each)
 
 

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NO_SPANS = "array<struct<start:bigint,end:bigint,hit:string>>"
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value worked out once, however often a lambda in body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def spans(text: Column, pattern: Column) -> Column:
     """array<struct<start, end, hit>> of the leftmost non-overlapping matches (none may be empty), from 0, end exclusive.
 
