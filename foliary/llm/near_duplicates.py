@@ -17,7 +17,7 @@ doc_id. Band and row counts follow from the recall wanted at the threshold. Then
 
 So every pair of different texts that shares a bucket is verified. Null, empty and wordless texts have no
 links and are classes of their own; rows that repeat a doc_id are copies of each other; rows without a doc_id are reported
-with a null id. An empty table gives an empty result.
+with a null id and matched with their copies only. An empty table gives an empty result.
 """
 
 from __future__ import annotations
