@@ -37,8 +37,8 @@ _PART = "CASE p_partkey % 4 WHEN 0 THEN '-' WHEN 1 THEN '.' WHEN 2 THEN '/' ELSE
 CODES = f"""SELECT CASE p_size % 3 WHEN 0 THEN 'POLICY' WHEN 1 THEN 'EVENT' ELSE 'ACTIVITY' END AS cls_cd, 'I' || p_partkey AS item_cd, CASE WHEN p_retailprice < 1500 THEN 'LMB' ELSE 'NMH' END AS prev_gov_cd, 'Gov ' || p_size AS prev_gov_nm,
   p_type AS sub_cls_cd, CASE WHEN p_type = 'PROMO' THEN NULL ELSE 'Class ' || p_type END AS sub_cls_nm, p_name AS topic_cd, 'Topic ' || p_name AS topic_nm,
   CASE WHEN p_size = 50 THEN NULL ELSE CAST(1993 + p_size % 5 AS STRING) || {_PART} || lpad(CAST(1 + p_size % 12 AS STRING), 2, '0') || {_PART} || '01' END AS tern_start,
-  CAST(1996 + p_size % 4 AS STRING) || {_PART} || lpad(CAST(1 + p_size % 12 AS STRING), 2, '0') || {_PART} || '28' AS tern_end,
-  CASE WHEN p_size = 49 THEN NULL ELSE CAST(1993 + p_size % 5 AS STRING) END AS start_year, CAST(1996 + p_size % 4 AS STRING) AS end_year, 'About "' || p_name || '"' AS description,
+  CAST(1993 + p_size % 5 + CASE WHEN p_size % 10 = 0 THEN 2 ELSE 0 END AS STRING) || {_PART} || lpad(CAST(1 + p_size % 12 AS STRING), 2, '0') || {_PART} || '28' AS tern_end,
+  CASE WHEN p_size = 49 THEN NULL ELSE CAST(1993 + p_size % 5 AS STRING) END AS start_year, CAST(1993 + p_size % 5 + CASE WHEN p_size % 10 = 0 THEN 2 ELSE 0 END AS STRING) AS end_year, 'About "' || p_name || '"' AS description,
   'G' || (p_size % 10) AS gov_task_no, 'Task ' || (p_size % 10) AS gov_task_nm, 'T' || p_partkey AS detail_task_cd, 'Detail ' || p_name AS detail_task_nm, p_name AS direct_mapping_terms, substr(p_name, 1, instr(p_name, ' ') - 1) AS conditional_mapping_terms,
   substr(p_name, instr(p_name, ' ') + 1) AS expand_candidate_terms, 'plan' AS required_combine_terms, 'lease' AS block_terms, CAST(NULL AS STRING) AS note, p_brand AS lead_agency FROM {{part}}"""
 

@@ -85,6 +85,18 @@ def extract_files(rows: DataFrame) -> DataFrame:
     return with_letters(made)
 
 
+_IMAGE = "array<struct<seq:int,data:binary>>"
+_IMAGE_ARROW = pa.list_(pa.struct([("seq", pa.int32()), ("data", pa.binary())]))
+
+
+def image_files(rows: DataFrame, base: str, name: str = "save_file_name") -> DataFrame:
+    """A row for each picture in the files of catalogued rows: keys, seq, data and the path that it belongs at,
+    base/year/file/item/name without extension/imgN.png. Write data by path where a store of pictures is wanted."""
+    found = _added(rows, "__i", _IMAGE, _IMAGE_ARROW, ("content",), parsers.images).select(*[c for c in rows.columns if c != "content"], F.explode("__i").alias("i"))
+    folder = F.concat_ws("/", F.lit(base), "transferyear", "rc_rfile_no", "rc_ritem_no", F.regexp_replace(name, r"\.[^.]*$", ""))
+    return found.select("rc_rfile_no", "rc_ritem_no", name, "i.seq", F.concat(folder, F.lit("/img"), F.col("i.seq").cast("string"), F.lit(".png")).alias("image_path"), "i.data")
+
+
 def page_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """pages with text: the whole body's text, tables as rows of cells."""
     made = _added(pages.withColumn("__b", F.encode(html, "UTF-8")), "text", "string", pa.string(), ("__b",), lambda b: parsers.web_page(b or b""))

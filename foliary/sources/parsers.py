@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import io
 import re
+import signal
+import threading
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -230,8 +233,42 @@ def _kind(name: str, content: bytes) -> str:
     return "txt" if b"\0" not in content[:4096] else ext or "bin"
 
 
-def extract(name: str, content: bytes | None) -> dict:
-    """status, code, message, media_type, contents of one file; never raises."""
+@contextlib.contextmanager
+def _limit(seconds: float) -> Iterator[None]:
+    """Raises ParseError after so many seconds, in the worker's main thread (elsewhere there is no limit)."""
+    if threading.current_thread() is not threading.main_thread():
+        yield
+        return
+
+    def stop(*_) -> None:
+        raise ParseError("EXTRACT_TIMEOUT", f"no result after {seconds:g} s")
+
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        yield
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)
+
+
+#: Folders of pictures in zipped formats, and how pictures begin.
+_MEDIA = re.compile(r"(?:word/media|xl/media|ppt/media|BinData)/[^/]+")
+_PICTURES = (b"\x89PNG\r\n\x1a\n", b"\xff\xd8\xff", b"GIF8", b"BM")
+
+
+def images(content: bytes | None) -> list[dict]:
+    """seq (from 1) and data of the pictures in a zipped document; what isn't a picture takes no number."""
+    try:
+        with zipfile.ZipFile(io.BytesIO(content or b"")) as z:
+            found = [d for n in sorted(z.namelist()) if _MEDIA.fullmatch(n) and (d := z.read(n)).startswith(_PICTURES)]
+    except Exception:  # a file without pictures, then
+        found = []
+    return [{"seq": i, "data": d} for i, d in enumerate(found, 1)]
+
+
+def extract(name: str, content: bytes | None, seconds: float = 60) -> dict:
+    """status, code, message, media_type, contents of one file; never raises, and gives up after so many seconds."""
     if content is None:
         return {"status": "FAIL", "code": "FILE_NOT_FOUND", "message": f"no such file: {name}", "media_type": None, "contents": None}
     kind = _kind(name or "", content)
@@ -239,7 +276,9 @@ def extract(name: str, content: bytes | None) -> dict:
     try:
         if parser is None:
             raise ParseError("PDF_PARSE_FAILED" if kind == "pdf" else "UNSUPPORTED_FORMAT", f"no parser is registered for {kind}")
-        return {"status": "PASS", "code": None, "message": None, "media_type": media, "contents": parser(content)}
+        with _limit(seconds):
+            text = parser(content)
+        return {"status": "PASS", "code": None, "message": None, "media_type": media, "contents": text}
     except ParseError as e:
         code, message = e.code, str(e)
     except (zipfile.BadZipFile, ElementTree.ParseError, KeyError) as e:

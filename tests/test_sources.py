@@ -98,3 +98,14 @@ def test_names(spark, name, ext, mark, kind, group):
     c = F.col("n")
     row = spark.createDataFrame([(name,)], "n string").select(X.extension(c), X.role_mark(c), X.file_type(c), X.file_group(c)).first()
     assert tuple(row) == (ext, mark, kind, group)
+
+
+def test_slow_files_time_out_and_pictures_are_found(spark):
+    import time
+
+    parsers.register("slow", "x/slow", lambda content: time.sleep(5))
+    assert parsers.extract("a.slow", b"x", seconds=0.05)["code"] == "EXTRACT_TIMEOUT"
+    docx = archive([("word/media/image1.png", b"\x89PNG\r\n\x1a\nxx"), ("word/media/image2.emf", b"??"), ("word/media/image3.jpg", b"\xff\xd8\xffyy"), ("word/document.xml", "<d/>")])
+    assert [(i["seq"], i["data"][-2:]) for i in parsers.images(docx)] == [(1, b"xx"), (2, b"yy")] and parsers.images(None) == []
+    rows = spark.createDataFrame([("2023", "F", "R", "a.docx", docx)], "transferyear string, rc_rfile_no string, rc_ritem_no string, save_file_name string, content binary")
+    assert [r.image_path for r in files.image_files(rows, "/img").orderBy("seq").collect()] == ["/img/2023/F/R/a/img1.png", "/img/2023/F/R/a/img2.png"]
