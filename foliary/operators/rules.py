@@ -34,6 +34,8 @@ def map_by_rules(items: DataFrame, dictionary: DataFrame, key: tuple[str, ...] =
     tasks = dictionary.select("detail_task_cd", "detail_task_nm", *[terms(F.col(c)).alias(c) for c in _TERMS])
     kinds = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).alias("terms")) for i, c in enumerate(_TERMS[:3])])
     each = tasks.select("detail_task_cd", "detail_task_nm", "required_combine_terms", "block_terms", F.explode(kinds).alias("k")).select("detail_task_cd", "detail_task_nm", "required_combine_terms", "block_terms", "k.kind", F.explode("k.terms").alias("term"))
+    alike = ("required_combine_terms", "block_terms", "kind", "term")  # tasks that only differ by code decide alike, so the least stands for them
+    each = each.groupBy(*alike).agg(F.min(F.struct("detail_task_cd", "detail_task_nm")).alias("t")).select(*alike, "t.*")
     each = each.withColumn("word", F.get(title_words(F.col("term")), 0)).where("word IS NOT NULL")
     title = F.lower(F.concat_ws(" ", file_title, item_title))
     rows = items.select(*key, title.alias("__t"), F.lower(null_to_blank(F.col(item_title))).alias("__i"))
