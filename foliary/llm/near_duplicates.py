@@ -156,10 +156,10 @@ def _components(edges: DataFrame) -> DataFrame:
         before = mark
 
 
-def _rare_keys(members: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """text_id, size, gram, at, rare: a row for each shingle of the rarest fifth of the texts of mixed buckets that another such text holds;
-    at is how many rarer ones the text has, rare all of its row's shingles in order. A shingle of one text alone takes its place but
-    finds no partner, so it is only counted."""
+def _rare_keys(members: DataFrame, groups: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Keys (text_id, size, gram, at): a row for each shingle of the rarest fifth of the texts of mixed buckets that another such text holds;
+    at is how many rarer ones the text has. And (text_id, rare): those shingles in order. A shingle of one text alone takes its place
+    but finds no partner, so it is only counted."""
     placed = members.join(groups, "text_id")
     mixed = placed.groupBy("bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("bucket")
     wanted = written(placed.join(mixed, "bucket").select("text_id").distinct())
@@ -168,24 +168,28 @@ def _rare_keys(members: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFr
     shared = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     ranked = grams.join(shared, "gram").groupBy("text_id").agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("rare"))
     alone = F.col("size") - F.size("rare")
-    first = held.join(ranked, "text_id").select("text_id", F.size("grams").alias("size"), "rare").withColumn("alone", alone)
+    first = held.select("text_id", F.size("grams").alias("size")).join(ranked, "text_id").withColumn("alone", alone)
     places = F.col("size") - F.ceil(F.col("size") * THRESHOLD).cast("int") + 1 - F.col("alone")
-    first = first.select("text_id", "size", "alone", F.slice("rare", 1, F.greatest(places, F.lit(0)))["gram"].alias("rare"))
-    keys = first.select("text_id", "size", "alone", "rare", F.posexplode("rare").alias("at", "gram"))
-    return written(keys.select("text_id", "size", "gram", (F.col("alone") + F.col("at")).alias("at"), "rare"))
+    first = written(first.select("text_id", "size", "alone", F.slice("rare", 1, F.greatest(places, F.lit(0)))["gram"].alias("rare")))
+    keys = first.select("text_id", "size", "alone", F.posexplode("rare").alias("at", "gram"))
+    return keys.select("text_id", "size", "gram", (F.col("alone") + F.col("at")).alias("at")), first.select("text_id", "rare")
 
 
-def _across(keys: DataFrame, groups: DataFrame, *, stars: bool) -> DataFrame:
-    """a < b: pairs of texts in different groups that may be linked by their rare keys; of stars only those with the shingle's least text."""
+def _across(keys: DataFrame, rare: DataFrame, groups: DataFrame, *, stars: bool) -> DataFrame:
+    """a < b: pairs of texts in different groups that may be linked by their rare keys; of stars only those with the shingle's least text
+    (a row for each key at most), else all, each at its first common shingle."""
     keys = keys.join(groups, "text_id")
     several = keys.groupBy("gram").agg(F.min("group").alias("x"), F.max("group").alias("y"), F.min("text_id").alias("least")).where("x <> y").select("gram", "least")
     keys = keys.join(several, "gram")
-    left = keys.where(F.col("text_id") == F.col("least")) if stars else keys
-    left = left.select("gram", F.col("text_id").alias("a"), F.col("group").alias("ga"), F.col("size").alias("na"), F.col("at").alias("ata"), F.col("rare").alias("ra"))
-    right = keys.select("gram", F.col("text_id").alias("b"), F.col("group").alias("gb"), F.col("size").alias("nb"), F.col("at").alias("atb"), F.col("rare").alias("rb"))
+    left = keys.where(F.col("text_id") == F.col("least")) if stars else keys.join(rare, "text_id")
+    right = keys if stars else left
+    names = {"text_id": "", "group": "g", "size": "n", "at": "at", **({} if stars else {"rare": "r"})}
+    left = left.select("gram", *[F.col(c).alias(f"{k}a") for c, k in names.items()])
+    right = right.select("gram", *[F.col(c).alias(f"{k}b") for c, k in names.items()])
     near = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & (F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")) * 9 >= (F.col("na") + F.col("nb")) * 4)
-    first = F.get(F.array_intersect("ra", "rb"), 0) == F.col("gram")
-    return left.join(right, "gram").where(near & first).select("a", "b").distinct()
+    if not stars:
+        near = near & (F.get(F.array_intersect("ra", "rb"), 0) == F.col("gram"))
+    return left.join(right, "gram").where(near).select("a", "b").distinct()
 
 
 def _regrouped(groups: DataFrame, links: DataFrame) -> DataFrame:
@@ -275,9 +279,9 @@ def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     wanted = written(stars.select(F.explode(F.array("a", "b")).alias("text_id")).distinct())
     sets = written(_sets(only(documents, wanted.select(F.col("text_id").alias(doc_id)), doc_id).dropDuplicates([doc_id]), doc_id, text))
     groups = _regrouped(wanted.select("text_id", F.col("text_id").alias("group")), written(_verified(stars, sets).where("linked").select("a", "b")))
-    keys = _rare_keys(members, groups, sets)
+    keys, rare = _rare_keys(members, groups, sets)
     for only_stars in (True, False):
-        groups = _regrouped(groups, written(_verified(_across(keys, groups, stars=only_stars), sets).where("linked").select("a", "b")))
+        groups = _regrouped(groups, written(_verified(_across(keys, rare, groups, stars=only_stars), sets).where("linked").select("a", "b")))
     found = texts.select("f1", "f2", "text_id", "copies").join(groups, "text_id", "left")
     if count_links:
         found = found.join(_links_within(groups, sets, texts.select("text_id", "copies")), "text_id", "left")
