@@ -15,9 +15,11 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,22 +31,32 @@ BLOCK_WINDOWS = 200_000
 _BITS = 20
 
 
+def _packed(parts: list[bytes]) -> tuple[bytes, np.ndarray]:
+    """The parts, one after the other, and the n + 1 offsets in them."""
+    return b"".join(parts), np.cumsum([0, *(len(p) for p in parts)])
+
+
 class WindowSet:
     """Windows by length and hash: for each, the words and the items that hold it."""
 
     def __init__(self) -> None:
-        self.by: dict[int, dict[int, dict[bytes, list]]] = defaultdict(lambda: defaultdict(dict))
+        self.by: dict[int, dict[tuple[int, bytes], set[str]]] = defaultdict(lambda: defaultdict(set))
+
+    def add(self, length: int, h: int, words: bytes, item: str | None) -> None:
+        found = self.by[length][h, words]
+        if item is not None:
+            found.add(item)
 
-    def add(self, length: int, h: int, words: bytes, item) -> None:
-        self.by[length][h].setdefault(words, []).append(item)
+    def lookup(self) -> dict[int, tuple]:
+        """By window length: the windows' hashes in order; their words, packed; their items, packed, the items' offsets and where each window's begin.
 
-    def lookup(self) -> dict[int, tuple[np.ndarray, dict]]:
-        """By window length: a bit table on the hashes' top bits, and the windows."""
+        Flat arrays, which a worker loads about as fast as it copies them.
+        """
         out = {}
         for length, found in self.by.items():
-            bits = np.zeros(1 << _BITS, bool)
-            bits[np.fromiter(found, np.uint64, len(found)) >> np.uint64(64 - _BITS)] = True
-            out[length] = (bits, {h: {w: sorted({str(i) for i in items if i is not None}) for w, items in x.items()} for h, x in found.items()})
+            windows = sorted(found)
+            items = [sorted(found[w]) for w in windows]
+            out[length] = (np.array([h for h, _ in windows], np.uint64), *_packed([w for _, w in windows]), *_packed([i.encode("utf-8") for x in items for i in x]), np.cumsum([0, *map(len, items)]))
         return out
 
 
@@ -83,19 +95,38 @@ def _blocks(windows: DataFrame, most: int) -> Iterator[WindowSet]:
         yield held
 
 
-def _scan(words: Words, lookup: dict) -> tuple[np.ndarray, np.ndarray, list[set]]:
-    """Starts and lengths (in words) of verified hits, and each text's items."""
+def _sent(documents: DataFrame, benchmark: DataFrame, n: int, item: str, text: str, most: int) -> list[Broadcast]:
+    """The benchmark's windows, broadcast in blocks of at most `most`."""
+    context = documents.sparkSession.sparkContext
+    return [context.broadcast(block.lookup()) for block in _blocks(_windows_of(benchmark, n, item, text), most)]
+
+
+def _loaded(blocks: list[Broadcast]) -> Iterator[dict[int, tuple]]:
+    """The blocks one after the other; a worker keeps a lone block, and of more it holds two at most."""
+    for block in blocks:  # a value that Spark has put there already (it does so where it encrypts) costs no second one
+        yield block.value if len(blocks) == 1 or hasattr(block, "_value") else block.load_from_path(block._path)
+
+
+def _scan(words: Words, blocks: list[Broadcast]) -> tuple[np.ndarray, np.ndarray, list[set]]:
+    """Starts and lengths (in words) of verified hits of every block, and each text's items."""
     h = words.hashes()
+    windows = lru_cache(None)(lambda k: words.windows(h, k))
     starts, lengths, items = [], [], [set() for _ in words.count]
-    for k, (bits, found) in lookup.items():
-        g, at = words.windows(h, k)
-        maybe = np.flatnonzero(bits[g >> np.uint64(64 - _BITS)])
-        for j in maybe.tolist():
-            same = found.get(int(g[j]))
-            if same is not None and (own := same.get(words.text(i := int(at[j]), k))) is not None:
-                starts.append(i)
-                lengths.append(k)
-                items[int(np.searchsorted(words.first, i, "right")) - 1].update(own)
+    for lookup in _loaded(blocks):
+        for k, (hashes, held, ends, names, stops, own) in lookup.items():
+            g, at = windows(k)
+            bits = np.zeros(1 << _BITS, bool)
+            bits[hashes >> np.uint64(64 - _BITS)] = True
+            maybe = np.flatnonzero(bits[g >> np.uint64(64 - _BITS)])
+            lo, hi = (np.searchsorted(hashes, g[maybe], side) for side in ("left", "right"))
+            for j in np.flatnonzero(lo < hi).tolist():
+                i = int(at[maybe[j]])
+                said = words.text(i, k)
+                for w in range(int(lo[j]), int(hi[j])):
+                    if held[ends[w] : ends[w + 1]] == said:
+                        starts.append(i)
+                        lengths.append(k)
+                        items[int(np.searchsorted(words.first, i, "right")) - 1].update(names[stops[x] : stops[x + 1]].decode("utf-8") for x in range(int(own[w]), int(own[w + 1])))
     return np.array(starts, np.int64), np.array(lengths, np.int64), items
 
 
@@ -112,17 +143,13 @@ def _runs(hit: np.ndarray) -> list[dict]:
 
 def find_contamination(documents: DataFrame, benchmark: DataFrame, *, n: int = WORDS, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """One row for each document: its id, n_words, items (sorted ids of items with occurring windows) and hits (ranges of hit words)."""
-    context = documents.sparkSession.sparkContext
     parts = []
-    for block in _blocks(_windows_of(benchmark, n, item_id, item_text), block_windows):
-        sent = context.broadcast(block.lookup())
+    for sent in _sent(documents, benchmark, n, item_id, item_text, block_windows):
 
         def make(sent=sent):
-            lookup = sent.value
-
             def kernel(texts):
                 words = Words(texts)
-                starts, lengths, items = _scan(words, lookup)
+                starts, lengths, items = _scan(words, [sent])
                 hit = covered(starts, lengths, len(words.start))
                 hits = [[]] * len(items)
                 if len(starts):  # items without an id leave no name, but their ranges count
@@ -153,49 +180,45 @@ def _merged(parts: list[DataFrame], doc_id: str) -> DataFrame:
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, *, n: int = WORDS, most_share: float = 0.5, item_text: str = "text", block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """The columns of documents, without benchmark passages: hit spans are cut out of the text; a document goes whole
-    if hit words are more than `most_share` of its words.
+    if hit words are more than `most_share` of its words. Hits are those of all blocks in the text as it came.
 
     A span runs from its first hit word's first character to the next word after it (so what parts the words goes with
     them). n_chars, where it is a column, follows the new text. Untouched documents are returned as they are.
     """
-    context = documents.sparkSession.sparkContext
     names = documents.columns
-    out = documents
-    for block in _blocks(_windows_of(benchmark, n, "item_id", item_text), block_windows):
-        sent = context.broadcast(block.lookup())
-
-        def make(sent=sent):
-            lookup = sent.value
+    blocks = _sent(documents, benchmark, n, "item_id", item_text, block_windows)
+    if not blocks:  # no window at all
+        return documents
 
-            def kernel(texts):
-                words = Words(texts)
-                starts, lengths, _ = _scan(words, lookup)
-                clean, drop = [None] * len(words.count), np.zeros(len(words.count), bool)
-                if len(starts):
-                    hit = covered(starts, lengths, len(words.start))
-                    for d in np.unique(np.searchsorted(words.first, starts, "right") - 1).tolist():
-                        a, b = int(words.first[d]), int(words.first[d + 1])
-                        runs = _runs(hit[a:b])
-                        if sum(r["end"] - r["start"] for r in runs) > most_share * (b - a):
-                            drop[d] = True
-                            continue
-                        at, pieces = int(words.offsets[d]), []
-                        for r in runs:
-                            pieces.append(words.raw[at : words.start[a + r["start"]]].tobytes())
-                            at = int(words.start[a + r["end"]]) if a + r["end"] < b else int(words.offsets[d + 1])
-                        pieces.append(words.raw[at : words.offsets[d + 1]].tobytes())
-                        clean[d] = b"".join(pieces).decode("utf-8", "replace")
-                return [pa.array(clean, pa.string()), pa.array(drop)]
+    def make():
+        def kernel(texts):
+            words = Words(texts)
+            starts, lengths, _ = _scan(words, blocks)
+            clean, drop = [None] * len(words.count), np.zeros(len(words.count), bool)
+            if len(starts):
+                hit = covered(starts, lengths, len(words.start))
+                for d in np.unique(np.searchsorted(words.first, starts, "right") - 1).tolist():
+                    a, b = int(words.first[d]), int(words.first[d + 1])
+                    runs = _runs(hit[a:b])
+                    if sum(r["end"] - r["start"] for r in runs) > most_share * (b - a):
+                        drop[d] = True
+                        continue
+                    at, pieces = int(words.offsets[d]), []
+                    for r in runs:
+                        pieces.append(words.raw[at : words.start[a + r["start"]]].tobytes())
+                        at = int(words.start[a + r["end"]]) if a + r["end"] < b else int(words.offsets[d + 1])
+                    pieces.append(words.raw[at : words.offsets[d + 1]].tobytes())
+                    clean[d] = b"".join(pieces).decode("utf-8", "replace")
+            return [pa.array(clean, pa.string()), pa.array(drop)]
 
-            return kernel
+        return kernel
 
-        keep = out.withColumn("__whole", F.col("text"))
-        found = map_text(keep, make, [("__clean", "string"), ("__drop", "boolean")], keep=(*names[: names.index("text")], "__whole", *names[names.index("text") + 1 :]))
-        changes = {"text": F.coalesce("__clean", "__whole")}
-        if "n_chars" in names:
-            changes["n_chars"] = F.when(F.col("__clean").isNotNull(), F.length("__clean").cast("long")).otherwise(F.col("n_chars"))
-        out = found.where(~F.col("__drop")).select(*[changes.get(c, F.col(f"`{c}`")).alias(c) for c in names])
-    return out
+    keep = documents.withColumn("__whole", F.col("text"))
+    found = map_text(keep, make, [("__clean", "string"), ("__drop", "boolean")], keep=(*names[: names.index("text")], "__whole", *names[names.index("text") + 1 :]))
+    changes = {"text": F.coalesce("__clean", "__whole")}
+    if "n_chars" in names:
+        changes["n_chars"] = F.when(F.col("__clean").isNotNull(), F.length("__clean").cast("long")).otherwise(F.col("n_chars"))
+    return found.where(~F.col("__drop")).select(*[changes.get(c, F.col(f"`{c}`")).alias(c) for c in names])
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

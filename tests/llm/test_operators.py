@@ -306,6 +306,24 @@ def test_contamination_equals_brute_force(spark):
     assert 20 not in clean and 21 not in clean and 23 not in clean and clean[24] == "so lo" and clean[25] is None
 
 
+def test_decontaminate_gives_the_same_in_any_blocks(spark):
+    def run(a, k):
+        return " ".join(f"{a}{i}" for i in range(k))
+
+    a, b = run("a", 12), run("b", 12)
+    over = " ".join([*(f"a{i}" for i in range(6, 12)), *(f"c{i}" for i in range(6))])  # overlaps the end of a
+    joint = " ".join([*(f"x{i}" for i in range(5)), *(f"y{i}" for i in range(5))])  # arises only where a is cut out
+    benchmark = spark.createDataFrame(list(enumerate([a, b, over, joint])), "item_id long, text string").coalesce(1)
+    texts = [
+        f"{a} {run('p', 8)} {b} {run('q', 8)}",  # each item is 30%, both are 60%
+        f"{run('p', 20)} {a} c0 c1 c2 c3 c4 c5 {run('q', 20)}",
+        f"{run('p', 20)} {run('x', 5)} {a} {run('y', 5)} {run('q', 20)}",
+    ]
+    want = {1: f"{run('p', 20)} {run('q', 20)}", 2: f"{run('p', 20)} {run('x', 5)} {run('y', 5)} {run('q', 20)}"}
+    for size in (200_000, 3, 1):
+        assert {x.doc_id: x.text for x in decontaminate.decontaminate(frame(spark, texts), benchmark, block_windows=size).collect()} == want
+
+
 # 10: quality
 
 
