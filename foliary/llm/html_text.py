@@ -3,10 +3,12 @@
 A page becomes a tree of block elements (inline markup is transparent) whose leaves are text blocks. Its *skeleton* is the tree of
 labels (tag, id, classes; digits folded), where neighbours of one label and shape are one node. For each host the most
 common skeleton is the reference; every other skeleton is aligned with it by simple tree matching, which gives each page's nodes
-*slots* of the reference. What a slot says is then counted over the whole host, one page for each title:
+*slots* of the reference. What a slot says is then counted over the whole host, one page for each content (the marked article,
+or without one all blocks that no keyword marks), so copies count once and differing pages each, whatever their headings:
 
 * a block that most of the pages repeat in its slot is constant, hence template;
 * a slot outside the article whose blocks nearly all recur on other pages (a rotating advert) is template;
+* copies of an article among changing adverts are no evidence: pages that repeat a block must differ in heading or longest blocks;
 * other slots vary and are content.
 
 Where a host has too few pages to tell, and besides, elements that say what they are (nav, footer, aside, form, roles, telling
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from foliary.llm.frames import map_text, written
 
 MOST_DEPTH = 48
-#: Pages with different titles that a host must have before its slots are judged.
+#: Pages with different contents that a host must have before its slots are judged.
 LEAST_PAGES = 8
 #: Share of the host's pages that repeat a constant block, and of a rotating slot's blocks that recur.
 CONSTANT, ROTATING = 0.7, 0.8
@@ -342,27 +344,31 @@ _SEEN_ARROW = pa.list_(pa.struct([("node", pa.int32()), ("hash", pa.int64()), ("
 
 
 def _shapes(pages: DataFrame, source: str) -> DataFrame:
-    """host, shape, lead (hash of the page's title in its text) and seen (the places of its blocks, and whether they lie in a marked article)."""
+    """host, shape, said (hash of the page's content), gist (hash of its heading and two longest blocks) and seen (the places of its blocks, and whether they lie in a marked article)."""
 
     def make():
         def kernel(texts):
-            shapes, leads, seen = [], [], []
+            shapes, said, gists, seen = [], [], [], []
             for t in texts:
                 page = parse(t.as_py().decode("utf-8", "replace"))
                 shape, places = skeleton(page)
                 standing = _standing(page)
                 own = {(places[node], _hash(text), standing[node] == ARTICLE) for node, text, _ in page.blocks}
-                lead = next((text for node, text, _ in page.blocks if page.tags[node] == "h1" and standing[node] != DROP), None)
-                if lead is None:
-                    lead = next((text for node, text, _ in page.blocks if standing[node] != DROP), "")
+                open_ = [(node, text) for node, text, _ in page.blocks if standing[node] != DROP]
+                marked = [(node, text) for node, text in open_ if standing[node] == ARTICLE]
+                if 4 * sum(len(text) for _, text in marked) >= sum(len(text) for _, text in open_):  # as content() asks
+                    open_ = marked
+                told = [text for _, text in open_] or [text for _, text, _ in page.blocks]
+                lead = next((text for node, text in open_ if page.tags[node] == "h1"), told[0] if told else "")
                 shapes.append(shape)
-                leads.append(_hash(lead))
+                said.append(_hash("\n\n".join(told)))
+                gists.append(_hash("\n\n".join([lead, *sorted(set(told), key=lambda t: (-len(t), t))[:2]])))
                 seen.append([{"node": a, "hash": b, "inside": c} for a, b, c in sorted(own)])
-            return [pa.array(shapes, pa.string()), pa.array(leads, pa.int64()), pa.array(seen, _SEEN_ARROW)]
+            return [pa.array(shapes, pa.string()), pa.array(said, pa.int64()), pa.array(gists, pa.int64()), pa.array(seen, _SEEN_ARROW)]
 
         return kernel
 
-    return map_text(pages, make, [("shape", "string"), ("lead", "bigint"), ("seen", _SEEN)], text=source, keep=("host",))
+    return map_text(pages, make, [("shape", "string"), ("said", "bigint"), ("gist", "bigint"), ("seen", _SEEN)], text=source, keep=("host",))
 
 
 def _by_host(rows: DataFrame, table: DataFrame) -> DataFrame:
@@ -373,22 +379,22 @@ def _by_host(rows: DataFrame, table: DataFrame) -> DataFrame:
 def induce(pages: DataFrame, *, url: str = "url", source: str = "html") -> DataFrame:
     """One row for each host: host, reference, template (slots) and constant (array<struct<slot, hash>>)."""
     shapes = written(_shapes(_hosted(pages, url, source), source))
-    titled = written(shapes.groupBy("host", "lead").agg(F.min(F.struct("shape", "seen")).alias("p")).select("host", "p.shape", "p.seen"))
-    common = titled.groupBy("host", "shape").agg(F.count("*").alias("n"))
+    distinct = written(shapes.groupBy("host", "said").agg(F.min(F.struct("shape", "seen", "gist")).alias("p")).select("host", "p.*"))
+    common = distinct.groupBy("host", "shape").agg(F.count("*").alias("n"))
     reference = written(common.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("reference"), F.sum("n").alias("pages")))
-    placed = _by_host(titled, reference).where(F.col("pages") >= LEAST_PAGES).select("host", "shape", "reference", "pages", "seen")
+    placed = _by_host(distinct, reference).where(F.col("pages") >= LEAST_PAGES).select("host", "shape", "reference", "pages", "gist", "seen")
 
     def run(batches):
         matcher = _Matcher()
         for batch in batches:
-            host, shape, ref, pages, seen = (batch.column(i).to_pylist() for i in range(5))
-            out = [(h, p, slot, s["hash"], s["inside"]) for h, x, r, p, own in zip(host, shape, ref, pages, seen, strict=True) for slots in (matcher(x, r),) for s in own if (slot := slots[s["node"]]) >= 0]
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()))], names=["host", "pages", "slot", "hash", "inside"])
-
-    blocks = placed.mapInArrow(run, "host string, pages bigint, slot int, hash bigint, inside boolean")
-    counts = blocks.groupBy("host", "slot", "hash").agg(F.count("*").alias("n"), F.max("pages").alias("pages"), F.max("inside").alias("inside"))
-    constant = F.col("n") >= F.col("pages") * CONSTANT
-    slots = counts.groupBy("host", "slot").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("again"), F.max("inside").alias("inside"), F.collect_list(F.when(constant, F.struct("slot", "hash"))).alias("constant"))
+            host, shape, ref, pages, gist, seen = (batch.column(i).to_pylist() for i in range(6))
+            out = [(h, p, g, slot, s["hash"], s["inside"]) for h, x, r, p, g, own in zip(host, shape, ref, pages, gist, seen, strict=True) for slots in (matcher(x, r),) for s in own if (slot := slots[s["node"]]) >= 0]
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()))], names=["host", "pages", "gist", "slot", "hash", "inside"])
+
+    blocks = placed.mapInArrow(run, "host string, pages bigint, gist bigint, slot int, hash bigint, inside boolean")
+    counts = blocks.groupBy("host", "slot", "hash").agg(F.count("*").alias("n"), F.max("pages").alias("pages"), F.max("inside").alias("inside"), (F.min("gist") < F.max("gist")).alias("varied"))
+    constant = F.col("varied") & (F.col("n") >= F.col("pages") * CONSTANT)
+    slots = counts.groupBy("host", "slot").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("varied"), F.col("n")).otherwise(0)).alias("again"), F.max("inside").alias("inside"), F.collect_list(F.when(constant, F.struct("slot", "hash"))).alias("constant"))
     rotating = ~F.col("inside") & (F.col("again") >= F.col("all") * ROTATING) & (F.col("all") >= LEAST_PAGES)
     found = slots.groupBy("host").agg(F.collect_list(F.when(rotating, F.col("slot"))).alias("template"), F.flatten(F.collect_list("constant")).alias("constant"))
     return written(reference.join(found, "host", "left").select("host", "reference", F.coalesce("template", F.array().cast("array<int>")).alias("template"), F.coalesce("constant", F.array().cast("array<struct<slot:int,hash:bigint>>")).alias("constant")))

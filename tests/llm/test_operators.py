@@ -179,6 +179,30 @@ def test_template_is_learned_from_the_host(spark):
     assert found == want
 
 
+def test_pages_of_one_heading_are_evidence_and_copies_are_not(spark):
+    r, rows, want = random.Random(8), [], {}
+
+    def prose(i):
+        return " ".join(r.choices(["lorem", "ipsum", "dolor", "sit", "amet"], k=30)) + f" {i}."
+
+    heads = {"h1": "<div><h1>Site name</h1></div>", "div": "<div>Site name</div>"}
+    for i in range(40):  # every page starts with the site's name; titles stand in h2; adverts rotate
+        for k, head in enumerate(heads.values()):
+            title, body = f"Title {i}", [prose(i), prose(-i)]
+            html = f"<div id=a>{head}</div><div id=r>Buy now number {i % 5}</div><div id=b><h2>{title}</h2><p>{body[0]}</p><p>{body[1]}</p></div><div id=c>Imprint and terms of all our services</div>"
+            rows.append((100 * k + i, f"https://s{k}.example.org/{i}", html))
+            want[100 * k + i] = "\n\n".join([title, *body])
+    for i in range(40):  # each article comes four times, among other adverts
+        if i % 4 == 0:
+            title, body = f"Title {i}", [prose(i), prose(-i)]
+        html = f"<div id=a>Site name of this host</div><div id=b><h1>{title}</h1><p>{body[0]}</p><p>{body[1]}</p></div><div id=r>Buy now number {i % 7}</div>"
+        rows.append((200 + i, f"https://s2.example.org/{i}", html))
+        want[200 + i] = "\n\n".join([title, *body])
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {x.page_id: x.text for x in html_text.extract(d, html_text.induce(d)).collect()}
+    assert found == want
+
+
 def test_parser_and_matching():
     p = html_text.parse("<p><b>one<br>two<p>three&nbsp;&lt;x&gt;<ul><li>a<li>b<ul><li>c</ul></ul><!-- <p>no --><script>'</p>'</script>x < y")
     assert [b[1] for b in p.blocks] == ["one two", "three <x>", "a", "b", "c", "x < y"]
