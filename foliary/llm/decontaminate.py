@@ -4,7 +4,8 @@ Words are runs of digits, letters and non-ASCII characters after A-Z are lower-c
 benchmark item are a window; an item of fewer words (not none) is one window of its own length. A worker looks up the
 rolling hash of every document window in the set, then compares the words themselves, so a hit is never a hash
 collision. The set is broadcast in blocks of at most `block_windows` windows (a proven bound: about 60 MB); a larger
-benchmark takes one scan for each block, and the blocks' hits are merged by document.
+benchmark's blocks are all looked up, one loaded after the other, in a single pass over the documents, so each row has its
+hits of the whole benchmark without a join.
 
 Null or empty texts have no words; a null item id counts as no item, though its windows still hit; repeated items and
 repeated documents are each taken as they are; empty tables give no hits or no rows.
@@ -143,39 +144,23 @@ def _runs(hit: np.ndarray) -> list[dict]:
 
 def find_contamination(documents: DataFrame, benchmark: DataFrame, *, n: int = WORDS, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """One row for each document: its id, n_words, items (sorted ids of items with occurring windows) and hits (ranges of hit words)."""
-    parts = []
-    for sent in _sent(documents, benchmark, n, item_id, item_text, block_windows):
+    blocks = _sent(documents, benchmark, n, item_id, item_text, block_windows)
 
-        def make(sent=sent):
-            def kernel(texts):
-                words = Words(texts)
-                starts, lengths, items = _scan(words, [sent])
-                hit = covered(starts, lengths, len(words.start))
-                hits = [[]] * len(items)
-                if len(starts):  # items without an id leave no name, but their ranges count
-                    touched = np.zeros(len(items), bool)
-                    touched[np.searchsorted(words.first, starts, "right") - 1] = True
-                    hits = [_runs(hit[a:b]) if t else [] for t, a, b in zip(touched, words.first[:-1], words.first[1:], strict=True)]
-                return [pa.array(words.count, pa.int64()), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(hits, _RANGES_ARROW)]
-
-            return kernel
-
-        parts.append(map_text(documents, make, _FIELDS, text=text, keep=(doc_id,)))
-    if not parts:  # no window at all
-        return map_text(documents, lambda: lambda texts: [pa.array(Words(texts).count, pa.int64()), pa.array([[]] * len(texts), pa.list_(pa.string())), pa.array([[]] * len(texts), _RANGES_ARROW)], _FIELDS, text=text, keep=(doc_id,))
-    if len(parts) == 1:
-        return parts[0]
-    return _merged(parts, doc_id)
-
-
-def _merged(parts: list[DataFrame], doc_id: str) -> DataFrame:
-    """The blocks' findings, one row for each document: ranges united, items united. Needs document ids to be unique."""
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    rows = every.groupBy(f"`{doc_id}`").agg(F.max("n_words").alias("n_words"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.sort_array(F.flatten(F.collect_list("hits"))).alias("hits"))
-    step = lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= x["start"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(acc, F.array(x)))
-    return rows.withColumn("hits", F.aggregate("hits", F.slice("hits", 1, 0), step))
+    def make():
+        def kernel(texts):
+            words = Words(texts)
+            starts, lengths, items = _scan(words, blocks)
+            hit = covered(starts, lengths, len(words.start))
+            hits = [[]] * len(items)
+            if len(starts):  # items without an id leave no name, but their ranges count
+                touched = np.zeros(len(items), bool)
+                touched[np.searchsorted(words.first, starts, "right") - 1] = True
+                hits = [_runs(hit[a:b]) if t else [] for t, a, b in zip(touched, words.first[:-1], words.first[1:], strict=True)]
+            return [pa.array(words.count, pa.int64()), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(hits, _RANGES_ARROW)]
+
+        return kernel
+
+    return map_text(documents, make, _FIELDS, text=text, keep=(doc_id,))
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, *, n: int = WORDS, most_share: float = 0.5, item_text: str = "text", block_windows: int = BLOCK_WINDOWS) -> DataFrame:

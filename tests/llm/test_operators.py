@@ -348,6 +348,15 @@ def test_decontaminate_gives_the_same_in_any_blocks(spark):
         assert {x.doc_id: x.text for x in decontaminate.decontaminate(frame(spark, texts), benchmark, block_windows=size).collect()} == want
 
 
+def test_rows_of_one_id_keep_their_own_hits_in_any_blocks(spark):
+    benchmark = spark.createDataFrame([(1, "alpha beta"), (2, "gamma"), (3, "delta")], "item_id long, text string")
+    d = spark.createDataFrame([(None, "x gamma"), (None, "y"), (7, "alpha beta z"), (7, "delta"), (7, "delta")], "doc_id long, text string")
+    want = sorted([("None", 2, ["2"], [(1, 2)]), ("None", 1, [], []), ("7", 3, ["1"], [(0, 2)]), ("7", 1, ["3"], [(0, 1)]), ("7", 1, ["3"], [(0, 1)])])
+    for size in (200_000, 1):
+        rows = decontaminate.find_contamination(d, benchmark, block_windows=size).collect()
+        assert sorted((str(x.doc_id), x.n_words, x["items"], [(h.start, h.end) for h in x.hits]) for x in rows) == want
+
+
 # 10: quality
 
 
