@@ -1,6 +1,7 @@
 """The archive's tables out of the driver's test tables: one SQL text each, read by Spark and by the SQL that checks it.
 
-They only rename and combine columns; all rows of the source table are there.
+They only rename and combine columns. All rows of the source table are there, but for `extracts`, which leaves out line items
+whose l_returnflag is 'N' (catalogued files that nothing has been extracted from yet), and `doc_chunks`, which has the labels with toxic = 0.
 """
 
 from __future__ import annotations
