@@ -8,7 +8,8 @@ or without one all blocks that no keyword marks), so copies count once and diffe
 
 * a block that most of the pages repeat in its slot is constant, hence template;
 * a slot outside the article whose blocks nearly all recur on other pages (a rotating advert) is template;
-* copies of an article among changing adverts are no evidence: pages that repeat a block must differ in heading or longest blocks;
+* copies of an article among changing adverts are no evidence: pages that repeat a block must differ in heading or two longest blocks
+  (so a host where these are boilerplate on every page gets no wrapper);
 * other slots vary and are content.
 
 Where a host has too few pages to tell, and besides, elements that say what they are (nav, footer, aside, form, roles, telling
