@@ -13,21 +13,30 @@ def _inverse(a: int) -> int:
     return pow(a, -1, 1 << 64)
 
 
+#: Bytes of which hashes are summed at once; the powers for so many are kept.
+CHUNK = 1 << 18
+
+
 class _Powers:
-    """Powers of the hash base and of its inverse modulo 2**64, grown on demand."""
+    """Powers of the hash base and of its inverse modulo 2**64; more than CHUNK of them are made anew at each call."""
 
     def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
+        self.kept: tuple[np.ndarray, np.ndarray] | None = None
+
+    def _make(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        out = []
+        for base in (int(_BASE), _inverse(int(_BASE))):
+            a = np.full(n, base, np.uint64)
+            a[0] = 1
+            out.append(np.multiply.accumulate(a))
+        return out[0], out[1]
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 1 << 20)
-            with np.errstate(over="ignore"):
-                for name, base in (("up", int(_BASE)), ("down", _inverse(int(_BASE)))):
-                    a = np.full(size, base, np.uint64)
-                    a[0] = 1
-                    setattr(self, name, np.multiply.accumulate(a))
-        return self.up[:n], self.down[:n]
+        if n > CHUNK + 1:
+            return self._make(n)
+        if self.kept is None:
+            self.kept = self._make(CHUNK + 1)
+        return self.kept[0][:n], self.kept[1][:n]
 
 
 _POWERS = _Powers()
@@ -59,6 +68,20 @@ def spread(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of the bytes of each range; ranges are in order and apart. Each byte counts as itself, or as values[byte]."""
+    out, lo, n = np.empty(len(start), np.uint64), 0, len(start)
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(end, start[lo] + CHUNK, "right")))
+        a, b = int(start[lo]), int(end[hi - 1])
+        up, down = _POWERS.get(b - a + 1)
+        sums = np.zeros(b - a + 1, np.uint64)
+        np.cumsum((data[a:b] if values is None else values[data[a:b]]) * up[:-1], out=sums[1:])
+        out[lo:hi] = mix((sums[end[lo:hi] - a] - sums[start[lo:hi] - a]) * down[start[lo:hi] - a])
+        lo = hi
+    return out
+
+
 class Words:
     """The words of many texts. data: folded bytes; start, end: each word's bytes; first: n + 1 word positions of the texts."""
 
@@ -79,10 +102,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
-        up, down = _POWERS.get(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(self.data * up[:-1], out=sums[1:])
-        return mix((sums[self.end] - sums[self.start]) * down[self.start])
+        return hash_ranges(self.data, self.start, self.end)
 
     def windows(self, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all k-word windows that lie in one text, and the position of each one's first word."""

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliary.llm.encoding import encoder
+from foliary.llm.encoding import Encoder
 from foliary.llm.frames import map_text, written
 
 CAPACITY = 2048
@@ -34,28 +34,34 @@ END_ID = 0
 def cut(documents: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """A row for each piece: doc_id, piece, start, length, ids_crc32 (and ids as little-endian bytes), bucket (the task) and
     nth (its rank among the task's pieces of that length)."""
-    end = np.array([end_id], "<u4").tobytes()
-    kind = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("nth", pa.int64()), *([("ids", pa.binary())] if with_ids else [])]
+    fields = {"piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "nth": "bigint"} | ({"ids": "binary"} if with_ids else {})
 
     def make():
-        ids_of, seen, bucket = encoder(tokenizer).encode, Counter(), TaskContext.get().partitionId()
+        encoder, seen, bucket = Encoder(tokenizer), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
 
         def kernel(texts):
-            out = []
-            for own in ids_of(texts.to_pylist()):
-                ids = own + end
-                pieces = []
-                for at in range(0, len(ids), 4 * capacity):
-                    part = ids[at : at + 4 * capacity]
-                    n = len(part) // 4
-                    pieces.append({"piece": at // (4 * capacity), "start": at // 4, "length": n, "ids_crc32": zlib.crc32(part), "nth": seen[n]} | ({"ids": part} if with_ids else {}))
-                    seen[n] += 1
-                out.append(pieces)
-            return [pa.array([bucket] * len(texts), pa.int32()), pa.array(out, pa.list_(pa.struct(kind)))]
+            ids, offsets = encoder.encode(texts, end_id)
+            size, raw = np.diff(offsets), memoryview(ids.astype("<u4", copy=False)).cast("B")
+            many = -(-size // capacity)
+            first = np.concatenate([[0], np.cumsum(many)])
+            piece = np.arange(first[-1]) - np.repeat(first[:-1], many)
+            start = piece * capacity
+            length = np.minimum(np.repeat(size, many) - start, capacity)
+            at = (4 * (np.repeat(offsets[:-1], many) + start)).tolist()
+            parts = [raw[a : a + 4 * n] for a, n in zip(at, length.tolist(), strict=True)]
+            order = np.argsort(length, kind="stable")
+            nth = np.empty(len(order), np.int64)
+            nth[order] = np.arange(len(order)) - np.searchsorted(length[order], length[order])
+            nth += seen[length]
+            np.add.at(seen, length, 1)
+            columns = [pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array([zlib.crc32(p) for p in parts], pa.int64()), pa.array(nth)]
+            if with_ids:
+                columns.append(pa.array([bytes(p) for p in parts], pa.binary()))
+            return [pa.array(np.full(len(texts), bucket), pa.int32()), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.StructArray.from_arrays(columns, names=list(fields)))]
 
         return kernel
 
-    ddl = "piece:int,start:bigint,length:bigint,ids_crc32:bigint,nth:bigint" + ",ids:binary" * with_ids
+    ddl = ",".join(f"{name}:{kind}" for name, kind in fields.items())
     rows = map_text(documents, make, [("bucket", "int"), ("pieces", f"array<struct<{ddl}>>")], text=text, keep=(doc_id,))
     return rows.select(F.col(f"`{doc_id}`").alias("doc_id"), "bucket", F.explode("pieces").alias("p")).select("doc_id", "bucket", "p.*")
 

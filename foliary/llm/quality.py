@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary.llm.frames import map_text
-from foliary.llm.kernels import _POWERS, SAME, SPACED, Words, covered, mix, spread, sums_by_text
+from foliary.llm.kernels import SAME, SPACED, Words, covered, hash_ranges, mix, spread, sums_by_text
 
 #: Size of the sample on which cost and selectivity are estimated.
 SAMPLE_ROWS = 2000
@@ -36,6 +36,7 @@ def _table(chars) -> np.ndarray:
 
 _SYMBOL, _UPPER, _LETTER, _BANG = _table(SYMBOLS), _table(range(65, 91)), _table([*range(65, 91), *range(97, 123)]), _table(b"!")
 _WORDY = _table([*range(65, 91), *range(97, 123), *range(128, 256)])
+_ABOVE_ZERO = np.arange(1, 257, dtype=np.uint64)  # a line may begin with zero bytes
 _HEAD = ~_table(range(128, 192))  # all bytes but those that continue a code point
 
 
@@ -69,10 +70,7 @@ def _dup_lines(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray) -> tu
     np.cumsum(in_word, out=flags[1:])
     full = flags[end] > flags[start]
     start, end, owner = start[full], end[full], owner[full]
-    up, down = _POWERS.get(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data + np.uint64(1)) * up[:-1], out=sums[1:])
-    h = mix((sums[end] - sums[start]) * down[start]) ^ mix(owner.astype(np.uint64))
+    h = hash_ranges(data, start, end, _ABOVE_ZERO) ^ mix(owner.astype(np.uint64))
     _, first = np.unique(h, return_index=True)
     lines = np.bincount(owner, minlength=n)
     return lines - np.bincount(owner[first], minlength=n), lines

@@ -21,10 +21,10 @@ import pyarrow as pa
 import public_tokenizers
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliary.llm.encoding import encoder
+from foliary.llm.encoding import Encoder
 from foliary.llm.frames import scratch, segments
 
 #: Ids after which a shard is closed at the next document's end.
@@ -40,11 +40,11 @@ def build(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> byt
     packer = zstandard.ZstdCompressor(level=1)
     a = ids.astype(np.uint16 if bits <= 16 else np.uint32)
     for k in range(bits - 1, -1, -1):
-        one = (a >> k & 1).astype(bool)
-        low = a[~one]
+        one = a & a.dtype.type(1 << k) != 0
+        low, high = a[np.flatnonzero(~one)], a[np.flatnonzero(one)]
         body = packer.compress(np.packbits(one).tobytes())
         head += [struct.pack("<QI", len(low), len(body)), body]
-        a = np.concatenate([low, a[one]])
+        a = np.concatenate([low, high])
     return b"".join(head)
 
 
@@ -141,52 +141,64 @@ class Shard:
         for k in range(self.bits - 1, -1, -1):
             one = np.unpackbits(self.planes[k], count=self.n).astype(bool)
             up = np.empty_like(a)
-            up[~one], up[one] = a[: self.zeros[k]], a[self.zeros[k] :] + a.dtype.type(1 << (self.bits - 1 - k))
+            up[np.flatnonzero(~one)] = a[: self.zeros[k]]
+            up[np.flatnonzero(one)] = a[self.zeros[k] :] + a.dtype.type(1 << (self.bits - 1 - k))
             a = up
         return a.astype("<u4")
 
 
 def write_shards(documents: DataFrame, tokenizer: str, path: str, *, end_id: int = END_ID, shard_ids: int = SHARD_IDS, doc_id: str = "doc_id", text: str = "text") -> None:
-    """Encodes whole texts in ascending doc_id order into shards: rows (part, shard, n_tokens, blob) of a Parquet table at path."""
-    end = np.array([end_id], "<u4").tobytes()
-    dealt = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    """Encodes whole texts in ascending doc_id order into shards: rows (part, shard, before, n_tokens, blob) of a Parquet table at path.
+
+    before: the ids of the part's earlier shards. Rows of one id (or none) are dealt by their text's hash and their place too, so
+    many of them don't meet in one task.
+    """
+    given = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    order = ("doc_id", "__tie", "__row")
+    dealt = given.withColumn("__tie", F.xxhash64("text")).withColumn("__row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches):
-        ids_of, part, shard = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0
+        encoder, part, shard, before = Encoder(tokenizer), TaskContext.get().partitionId(), 0, 0
         ids, docs, lengths, held = [], [], [], 0
 
         def row():
-            blob = build(np.frombuffer(b"".join(ids), "<u4"), docs, lengths)
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([held], pa.int64()), pa.array([blob], pa.binary())], names=["part", "shard", "n_tokens", "blob"])
+            blob = build(np.concatenate(ids), docs, lengths)
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([before], pa.int64()), pa.array([held], pa.int64()), pa.array([blob], pa.binary())], names=["part", "shard", "before", "n_tokens", "blob"])
 
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary())
             for lo, hi in segments(pa.compute.binary_length(texts).to_pylist()):
-                for d, own in zip(batch.column(0).slice(lo, hi - lo).to_pylist(), ids_of(texts.slice(lo, hi - lo).to_pylist()), strict=True):
-                    ids += own, end
-                    docs.append(d)
-                    lengths.append(len(own) // 4 + 1)
-                    held += lengths[-1]
+                own, offsets = encoder.encode(texts.slice(lo, hi - lo), end_id)
+                names, ends, at = batch.column(0).slice(lo, hi - lo).to_pylist(), offsets[1:], 0
+                while at < len(names):  # up to the document that fills the shard
+                    to = min(int(np.searchsorted(ends, offsets[at] + shard_ids - held)) + 1, len(names))
+                    ids.append(own[offsets[at] : offsets[to]])
+                    docs += names[at:to]
+                    lengths += np.diff(offsets[at : to + 1]).tolist()
+                    held += len(ids[-1])
+                    at = to
                     if held >= shard_ids:
                         yield row()
-                        ids, docs, lengths, held, shard = [], [], [], 0, shard + 1
+                        ids, docs, lengths, held, shard, before = [], [], [], 0, shard + 1, before + held
         if docs:
             yield row()
 
-    dealt.mapInArrow(run, "part int, shard int, n_tokens bigint, blob binary").write.option("maxRecordsPerFile", 1).option("compression", "uncompressed").parquet(path)
+    dealt.mapInArrow(run, _TABLE).write.option("maxRecordsPerFile", 1).option("compression", "uncompressed").parquet(path)
+
+
+_TABLE = "part int, shard int, before bigint, n_tokens bigint, blob binary"
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """The shards with `before`, the ids of all shards before each one. Only a number for each writing task reaches the driver."""
-    shards = spark.read.schema("part int, shard int, n_tokens bigint, blob binary").parquet(path)
-    parts, before, total = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect(), [], 0
+    """The shards with `before`, the ids of all shards before each one. Only a number for each writing task reaches the driver
+    and the executors; blobs stay where they are."""
+    shards = spark.read.schema(_TABLE).parquet(path)
+    parts, earlier, total = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect(), [], 0
     for p in parts:
-        before.append((p["part"], total))
+        earlier.append((p["part"], total))
         total += p["n"]
-    table = F.broadcast(spark.createDataFrame(before, "part int, earlier bigint"))
-    inside = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    places = shards.select("part", "shard", "n_tokens").join(table, "part").select("part", "shard", (F.col("earlier") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).alias("before"))
-    return shards.join(places, ["part", "shard"])
+    table = F.broadcast(spark.createDataFrame(earlier, "part int, earlier bigint"))
+    return shards.join(table, "part").withColumn("before", F.col("before") + F.col("earlier")).drop("earlier")
 
 
 def documents_of(shards: DataFrame) -> DataFrame:

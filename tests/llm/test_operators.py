@@ -8,12 +8,13 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from foliary.llm import decontaminate, html_text, language, licenses, near_duplicates, packing, quality, secrets, token_counts, wavelet
-from foliary.llm.encoding import encoder
+from foliary.llm.encoding import Encoder
 
 WORD_BPE, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -77,13 +78,30 @@ def ids_of(text, end):
     return np.array(ids, "<u4")
 
 
+def encoded(encoder, texts, end=0):
+    ids, offsets = encoder.encode(pa.array([t.encode() for t in texts], pa.large_binary()), end)
+    return [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
 def test_encoder_equals_library():
-    r, e = random.Random(3), encoder(WORD_BPE)
-    letters = "abcXYZ123 .,!?'’éÉß中文́\x01<|>#$%&\n\t  -_İſ "
-    texts = ["".join(r.choices(letters, k=r.randint(0, 60))) for _ in range(2000)] + ["it's they've I'll DON'T", "<|startoftext|>x", "a\x01b", "\x01", "", ".́", "ÉTÉ été Σ"]
-    library = Tokenizer.from_file(WORD_BPE)
-    for t, found in zip(texts, e.encode([t.encode() for t in texts]), strict=True):
-        assert np.frombuffer(found, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
+    r = random.Random(3)
+    letters = "abcXYZ123 .,!?'’éÉß中文́\x01<|>#$%&\n\t  -_İſ "
+    texts = ["".join(r.choices(letters, k=r.randint(0, 60))) for _ in range(2000)] + ["it's they've I'll DON'T", "<|startoftext|>x", "", "<|endoftext|>", "a\x01b", "\x01", "", ".́", "ÉTÉ été Σ", "x" * 3000 + " " + "y" * 3000]
+    byte_bpe = public_tokenizers.path("byte_bpe_50k.json")  # joins blanks to words, so texts go to the library as they are
+    for path, most in ((WORD_BPE, 48 << 20), (WORD_BPE, 3000), (byte_bpe, 3000)):
+        library, e = Tokenizer.from_file(path), Encoder(path, most)
+        for lo in range(0, len(texts), 90):
+            part = texts[lo : lo + 90]
+            for t, found in zip(part, encoded(e, part), strict=True):
+                assert found == [*library.encode(t, add_special_tokens=False).ids, 0], t
+    assert encoded(e, []) == []
+
+
+def test_memory_of_the_encoder_is_bounded():
+    r, e = random.Random(5), Encoder(WORD_BPE, 4 << 20)
+    for _ in range(12):
+        e.encode(pa.array([" ".join("".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(r.randint(15, 400))) for _ in range(300)).encode() for _ in range(3)], pa.large_binary()), 0)
+        assert e.memo.size() < 6 << 20 and e.memo.ids.nbytes < 12 << 20
 
 
 def test_packing_places_every_piece(spark):
@@ -142,6 +160,18 @@ def test_shards_round_trip(spark, tmp_path):
         start += len(ids)
 
 
+def test_shards_of_odd_tables(spark, odd, tmp_path):
+    """Null and repeated ids, null, empty and very long texts: each row has its place and the ids of its own text."""
+    for name, table in (("odd", odd), ("empty", odd.limit(0))):
+        path = str(tmp_path / name)
+        wavelet.write_shards(table, WORD_BPE, path, shard_ids=2000)
+        rows = sorted(wavelet.documents_of(wavelet.read_shards(spark, path)).collect(), key=lambda x: x.start)
+        given = [(-1 if x.doc_id is None else x.doc_id, *(lambda ids: (len(ids), zlib.crc32(ids.tobytes())))(ids_of(x.text, 2))) for x in table.collect()]
+        assert sorted((-1 if x.doc_id is None else x.doc_id, x.n_tokens, x.ids_crc32) for x in rows) == sorted(given)
+        assert [x.start for x in rows] == [sum(y.n_tokens for y in rows[:i]) for i in range(len(rows))]
+        assert [-1 if x.doc_id is None else x.doc_id for x in rows] == sorted(x[0] for x in given)
+
+
 # 2: language
 
 
