@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -52,6 +55,14 @@ def segments(sizes: Sequence[int], most: int = SEGMENT_BYTES) -> Iterator[tuple[
         yield lo, len(sizes)
 
 
+def _let_go() -> None:
+    """Gives the memory that a task has freed back to the system: the worker waits for its next task beside others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # other C libraries do so by themselves
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_text(df: DataFrame, make: Callable[[], Callable], fields: Sequence[tuple[str, str]], *, text: str = "text", keep: Sequence[str] = ("doc_id",), sizes: int = SEGMENT_BYTES) -> DataFrame:
     """Columns `keep` of df beside the columns `fields` that a kernel derives from the whole text of each row.
 
@@ -72,5 +83,13 @@ def map_text(df: DataFrame, make: Callable[[], Callable], fields: Sequence[tuple
                 part = batch.slice(lo, hi - lo)
                 made = kernel(texts.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *made], names=[*kept, *new])
+        del kernel
+        _let_go()
 
     return given.mapInArrow(run, schema)
+
+
+def aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with its columns under names of no other use (__0, __1, ...), and the new name of each."""
+    alias = {c: f"__{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*alias.values()), alias

@@ -1,8 +1,9 @@
 """N-gram Jaccard join by MinHash banding, verified on the full n-gram sets, without a row for each pair of a group.
 
 Texts are sets of five-word shingles (a text of one to four words is one shingle); two texts are linked at a Jaccard
-similarity of 0.8 or more. Documents of one word sequence are copies and stand for one *text*, named by its least
-doc_id. Band and row counts follow from the recall wanted at the threshold. Then:
+similarity of 0.8 or more. Documents of one word sequence are copies and stand for one *text*, known by 128 bits of its words,
+whatever its documents' ids are; ids, of any type, only label texts and classes in the result. Band and row counts follow from the
+recall wanted at the threshold. Then:
 
 1. each text is compared with the least text of each of its buckets, the bucket's leader (stars, not all pairs). The verified
    links join texts to groups;
@@ -11,13 +12,14 @@ doc_id. Band and row counts follow from the recall wanted at the threshold. Then
    the sets may differ by. So texts are joined on the rarest fifth of their shingles, by how many such texts hold them: first as
    stars, which join groups, then as all pairs of what is still apart, each once, at its first common shingle. A passage that
    many texts share is no reason to compare them, and no pair is lost;
-3. links within a group are counted in blocks of texts: a task takes two blocks, multiplies their shingle matrices and
-   returns one number for each text, not a row for each pair. Near copies that lie about the threshold leave no other way to an
-   exact count; a group of m texts takes m^2 / BLOCK_TEXTS rows.
-
-So every pair of different texts that shares a bucket is verified. Null, empty and wordless texts have no
-links and are classes of their own; rows that repeat a doc_id are copies of each other; rows without a doc_id are reported
-with a null id and matched with their copies only. An empty table gives an empty result.
+3. links within a group are counted in blocks of texts, where counts are asked for: a task takes two blocks, multiplies their shingle
+   matrices and returns one number for each text, not a row for each pair. A text is sent as what it has and lacks against
+   its group's first text, so near copies are sent as a few numbers. Near copies that lie about the threshold leave no other way
+   to an exact count; a group of m texts takes m^2 / BLOCK_TEXTS such rows. Classes alone (count_links=False) need no such step.
+
+So every pair of different texts that shares a bucket is verified. Null, empty and wordless texts have no links and are
+classes of their own. Rows that repeat an id are judged each by its own text; rows without an id are matched like others, and label
+a copy or class with null only if none of its documents has an id. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliary.llm.frames import map_text, written
+from foliary.llm.frames import aside, map_text, written
 from foliary.llm.kernels import Words, mix
 
 WORDS = 5
@@ -39,9 +41,10 @@ RECALL = 0.9999
 MOST_HASHES = 96
 #: Ids up to this many (16 MB) are broadcast; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
-#: Texts and shingles of a block when the links of a group are counted; a larger text is a block of its own.
-BLOCK_TEXTS, BLOCK_GRAMS = 512, 1 << 22
-_COLUMNS = 1 << 14
+#: Most texts of a block when the links of a group are counted, and shingles in which they differ from the group's first text;
+#: a text that differs by more is a block of its own. Cells of the matrices that are multiplied at once.
+BLOCK_TEXTS, BLOCK_GRAMS = 4096, 1 << 21
+_CELLS = 1 << 23
 _SEED = 20_011
 
 
@@ -76,8 +79,22 @@ def shingles(words: Words, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     return g, np.bincount(owner, minlength=len(words.count))
 
 
+def _prints(words: Words) -> list[pa.Array]:
+    """128 bits of each text's word sequence in two numbers; null without words."""
+    h, out = words.hashes(), []
+    place = (np.arange(len(h)) - np.repeat(words.first[:-1], words.count)).astype(np.uint64)
+    for salt in (1, 2):
+        total = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(mix(mix(h + np.uint64(salt)) + place * np.uint64(0x9E3779B97F4A7C15)), out=total[1:])
+        out.append(pa.array((total[words.first[1:]] - total[words.first[:-1]]).view(np.int64), mask=words.count == 0))
+    return out
+
+
+_PRINT = [("f1", "bigint"), ("f2", "bigint")]
+
+
 def _signatures(documents: DataFrame, doc_id: str, text: str, bands: int, rows: int) -> DataFrame:
-    """doc_id, f1 and f2 (128 bits of the word sequence; null without words), bands (a key for each band)."""
+    """doc_id, f1 and f2 (the word sequence; null without words), bands (a key for each band)."""
     odd = np.random.default_rng(_SEED).integers(0, 1 << 63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
 
     def make():
@@ -93,45 +110,39 @@ def _signatures(documents: DataFrame, doc_id: str, text: str, bands: int, rows:
                 if len(full):
                     keys[:, j // rows] = mix(keys[:, j // rows] + np.minimum.reduceat(scaled, first))
             keys = mix(keys + np.arange(1, bands + 1, dtype=np.uint64))
-            h = words.hashes()
-            place = (np.arange(len(h)) - np.repeat(words.first[:-1], words.count)).astype(np.uint64)
-            prints = []
-            for salt in (1, 2):
-                total = np.zeros(len(h) + 1, np.uint64)
-                np.cumsum(mix(mix(h + np.uint64(salt)) + place * np.uint64(0x9E3779B97F4A7C15)), out=total[1:])
-                prints.append(pa.array((total[words.first[1:]] - total[words.first[:-1]]).view(np.int64), mask=words.count == 0))
             offsets = np.concatenate([[0], np.cumsum(np.where(count > 0, bands, 0))]).astype(np.int32)
-            return [*prints, pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64).ravel()))]
+            return [*_prints(words), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64).ravel()))]
 
         return kernel
 
-    return map_text(documents, make, [("f1", "bigint"), ("f2", "bigint"), ("bands", "array<bigint>")], text=text, keep=(doc_id,)).withColumnRenamed(doc_id, "doc_id")
+    return map_text(documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), make, [*_PRINT, ("bands", "array<bigint>")])
 
 
-def _sets(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id and the sorted distinct shingle hashes of the whole text."""
+def _sets(documents: DataFrame, text: str) -> DataFrame:
+    """f1, f2 and the sorted distinct shingle hashes of the whole text."""
 
     def make():
         def kernel(texts):
-            g, count = shingles(Words(texts))
+            words = Words(texts)
+            g, count = shingles(words)
             parts = [np.unique(x) for x in np.split(g, np.cumsum(count)[:-1])] if len(count) else []
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)))]
+            return [*_prints(words), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)))]
 
         return kernel
 
-    return map_text(documents, make, [("grams", "array<bigint>")], text=text, keep=(doc_id,)).withColumnRenamed(doc_id, "doc_id")
+    return map_text(documents, make, [*_PRINT, ("grams", "array<bigint>")], text=text, keep=())
 
 
-def only(df: DataFrame, ids: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
-    """df with (or by left_anti without) the ids of a written table: broadcast if they are few, by shuffle otherwise."""
-    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, on, how)
+def beside(df: DataFrame, table: DataFrame, on, how: str) -> DataFrame:
+    """df joined with a written table: broadcast if its rows are few, by shuffle otherwise."""
+    return df.join(F.broadcast(table) if table.count() <= BROADCAST_IDS else table, on, how)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b, both sizes and the intersection of their sets."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("gb"))
+    left = sets.select(F.col("text_id").alias("a"), F.col("grams").alias("ga"))
+    right = sets.select(F.col("text_id").alias("b"), F.col("grams").alias("gb"))
     near = F.col("both") * 9 >= (F.col("na") + F.col("nb")) * 4
     return pairs.join(right, "b").join(left, "a").select("a", "b", F.size("ga").alias("na"), F.size("gb").alias("nb"), F.size(F.array_intersect("ga", "gb")).alias("both")).withColumn("linked", near)
 
@@ -163,7 +174,7 @@ def _rare_keys(members: DataFrame, groups: DataFrame, sets: DataFrame) -> tuple[
     placed = members.join(groups, "text_id")
     mixed = placed.groupBy("bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("bucket")
     wanted = written(placed.join(mixed, "bucket").select("text_id").distinct())
-    held = sets.withColumnRenamed("doc_id", "text_id").join(wanted, "text_id")
+    held = sets.join(wanted, "text_id")
     grams = written(held.select("text_id", F.explode("grams").alias("gram")))
     shared = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     ranked = grams.join(shared, "gram").groupBy("text_id").agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("rare"))
@@ -200,108 +211,140 @@ def _regrouped(groups: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """How many shingles each set on the left has in common with each on the right."""
-    grams, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
-    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    """How many numbers each set on the left has in common with each on the right."""
+    both, grams = [*left, *right], np.concatenate([*left, *right])
+    place = np.unique(grams, return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(both)), [len(x) for x in both])
     out = np.zeros((len(left), len(right)), np.float32)
     order = np.argsort(place, kind="stable")
     place, owner = place[order], owner[order]
-    for lo in range(0, len(grams), _COLUMNS):
-        a, b = np.searchsorted(place, (lo, lo + _COLUMNS))
-        held = np.zeros((len(left) + len(right), min(_COLUMNS, len(grams) - lo)), np.float32)
+    size, top = max(_CELLS // len(both), 1), int(place[-1]) + 1 if len(place) else 0
+    for lo in range(0, top, size):
+        a, b = np.searchsorted(place, (lo, lo + size))
+        held = np.zeros((len(both), min(size, top - lo)), np.float32)
         held[owner[a:b], place[a:b] - lo] = 1
         out += held[: len(left)] @ held[len(left) :].T
     return out
 
 
 def _links_within(groups: DataFrame, sets: DataFrame, copies: DataFrame) -> DataFrame:
-    """text_id and links: the documents of other texts of its group at the threshold or above."""
-    full = groups.join(sets.withColumnRenamed("doc_id", "text_id"), "text_id").join(copies, "text_id")
-    many = full.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.size("grams").cast("long")).alias("all")).where("n > 1")
-    blocks = many.select("group", F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("all") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    """text_id and links: the documents of other texts of its group at the threshold or above.
+
+    Of sets a and b that lack ma and mb shingles of the group's first text, r in number, and have others besides, the
+    intersection is r - ma - mb and the numbers that both lack or both have besides.
+    """
+    many = groups.groupBy("group").agg(F.count("*").alias("n"), F.min("text_id").alias("first")).where("n > 1")
+    placed = written(groups.join(many, "group"))
+    reference = sets.join(placed.where("text_id = first").select("text_id", "group", F.ceil(F.col("n") / BLOCK_TEXTS).cast("int").alias("parts")), "text_id").select("group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("grams").alias("ref"))
+    dealt = sets.join(placed.select("text_id", "group", F.pmod(F.xxhash64("text_id"), F.ceil(F.col("n") / BLOCK_TEXTS)).cast("int").alias("part")), "text_id")
+    lacks, has = F.array_except("ref", "grams"), F.array_except("grams", "ref")
+    full = dealt.join(reference, ["group", "part"]).select("group", "text_id", F.size("grams").alias("size"), (F.size("ref") - 2 * F.size(lacks)).alias("base"), F.concat(lacks, has).alias("grams"))
+    full = written(full.join(copies, "text_id").select("group", "text_id", "copies", "size", "base", "grams"))
+    sums = full.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.size("grams").cast("long")).alias("all"))
+    blocks = sums.select("group", F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("all") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     dealt = full.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("text_id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    pairs = dealt.select("group", "text_id", "copies", "grams", "own", other.alias("other")).select("group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "text_id", "copies", "grams")
+    pairs = dealt.select("group", "text_id", "copies", "size", "base", "grams", "own", other.alias("other")).select("group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "text_id", "copies", "size", "base", "grams")
 
-    def count(rows: list[tuple]) -> tuple[list, list]:
-        """rows of one pair of blocks: (own, i, text_id, copies, grams)."""
-        left, right = [r for r in rows if r[0] == r[1]], [r for r in rows if r[0] != r[1]]
-        alone = not right and rows[0][1] == rows[0][5]
-        if alone:
+    def count(rows: list[tuple], i: int, j: int) -> tuple[list, list]:
+        """rows of one pair of blocks: (own, text_id, copies, size, base, grams)."""
+        left, right = [r for r in rows if r[0] == i], [r for r in rows if r[0] != i]
+        if i == j:
             right = left
         if not left or not right:
             return [], []
-        na, nb = (np.array([len(r[4]) for r in x], np.float64) for x in (left, right))
-        linked = 9 * _shared([r[4] for r in left], [r[4] for r in right]).astype(np.float64) >= 4 * (na[:, None] + nb[None, :])
-        if alone:
+        (na, ba), (nb, bb) = (np.array([(r[3], r[4]) for r in x], np.float64).T for x in (left, right))
+        common = _shared([r[5] for r in left], [r[5] for r in right]).astype(np.float64) + (ba[:, None] + bb[None, :]) / 2
+        linked = 9 * common >= 4 * (na[:, None] + nb[None, :])
+        if i == j:
             np.fill_diagonal(linked, False)
-        ids, found = [r[2] for r in left], (linked @ np.array([r[3] for r in right], np.int64)).tolist()
-        if not alone:
-            ids, found = ids + [r[2] for r in right], found + (np.array([r[3] for r in left], np.int64) @ linked).tolist()
+        ids, found = [r[1] for r in left], (linked @ np.array([r[2] for r in right], np.int64)).tolist()
+        if i != j:
+            ids, found = ids + [r[1] for r in right], found + (np.array([r[2] for r in left], np.int64) @ linked).tolist()
         return ids, found
 
     def run(batches):
         key, rows = None, []
         for batch in batches:
-            group, i, j, own, text_id, copies = (batch.column(k).to_pylist() for k in range(6))
-            grams = batch.column(6)
+            group, i, j, *columns = (batch.column(k).to_pylist() for k in range(8))
+            grams = batch.column(8)
             flat, at = grams.values.to_numpy(zero_copy_only=False), grams.offsets.to_numpy()
             ids, found = [], []
-            for k in range(len(group)):
+            for k, own in enumerate(zip(*columns, strict=True)):
                 if (group[k], i[k], j[k]) != key:
                     if rows:
-                        a, b = count(rows)
+                        a, b = count(rows, *key[1:])
                         ids += a
                         found += b
                     key, rows = (group[k], i[k], j[k]), []
-                rows.append((own[k], i[k], text_id[k], copies[k], flat[at[k] : at[k + 1]].copy(), j[k]))
+                rows.append((*own, flat[at[k] : at[k + 1]].copy()))
             if ids:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.int64())], names=["text_id", "links"])
         if rows:
-            ids, found = count(rows)
+            ids, found = count(rows, *key[1:])
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.int64())], names=["text_id", "links"])
 
-    ordered = pairs.select("group", "i", "j", "own", "text_id", "copies", "grams").repartition("group", "i", "j").sortWithinPartitions("group", "i", "j")
+    ordered = pairs.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j")
     return ordered.mapInArrow(run, "text_id bigint, links bigint").groupBy("text_id").agg(F.sum("links").alias("links"))
 
 
-def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", recall: float = RECALL, most_hashes: int = MOST_HASHES, count_links: bool = True) -> DataFrame:
-    """One row for each row of documents: doc_id, class_id (least doc_id that links reach), copy_id (least doc_id of the
-    same word sequence), n_links (other documents at a similarity of 0.8 or more, copies among them; null if they aren't to be counted)."""
+def _classes(documents: DataFrame, doc_id: str, text: str, recall: float, most_hashes: int, count_links: bool) -> tuple[DataFrame, DataFrame]:
+    """(f1, f2, doc_id) of every row, and a row for each text: f1, f2, text_id, label (its least doc_id), copies, root (its group), links."""
     bands, rows = bands_and_rows(THRESHOLD, recall, most_hashes)
     signed = written(_signatures(documents, doc_id, text, bands, rows))
-    texts = written(signed.where("f1 is not null").groupBy("f1", "f2").agg(F.coalesce(F.min("doc_id"), F.col("f1")).alias("text_id"), F.count("*").alias("copies"), F.min(F.struct("doc_id", "bands"))["bands"].alias("bands")))
+    texts = signed.where("f1 is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("label"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
+    texts = written(texts.withColumn("text_id", F.monotonically_increasing_id()))
     keyed = texts.select("text_id", F.explode("bands").alias("bucket"))
     leaders = keyed.groupBy("bucket").agg(F.min("text_id").alias("leader"), F.count("*").alias("n")).where("n > 1").select("bucket", "leader")
     members = written(keyed.join(leaders, "bucket"))  # of buckets with two texts or more
 
     stars = written(members.where("text_id > leader").select(F.col("leader").alias("a"), F.col("text_id").alias("b")).distinct())
-    wanted = written(stars.select(F.explode(F.array("a", "b")).alias("text_id")).distinct())
-    sets = written(_sets(only(documents, wanted.select(F.col("text_id").alias(doc_id)), doc_id).dropDuplicates([doc_id]), doc_id, text))
+    wanted = written(texts.join(stars.select(F.explode(F.array("a", "b")).alias("text_id")).distinct(), "text_id").select("f1", "f2", "text_id", "label"))
+    labels = written(wanted.select(F.col("label").alias("__label")).distinct())
+    given = beside(documents.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("text")), labels, F.col("__id").eqNullSafe(F.col("__label")), "left_semi")
+    sets = written(beside(_sets(given, "text"), wanted.drop("label"), ["f1", "f2"], "inner").select("text_id", "grams").dropDuplicates(["text_id"]))
     groups = _regrouped(wanted.select("text_id", F.col("text_id").alias("group")), written(_verified(stars, sets).where("linked").select("a", "b")))
     keys, rare = _rare_keys(members, groups, sets)
     for only_stars in (True, False):
         groups = _regrouped(groups, written(_verified(_across(keys, rare, groups, stars=only_stars), sets).where("linked").select("a", "b")))
-    found = texts.select("f1", "f2", "text_id", "copies").join(groups, "text_id", "left")
+    found = texts.drop("bands").join(groups, "text_id", "left").withColumn("root", F.coalesce("group", "text_id")).drop("group")
     if count_links:
-        found = found.join(_links_within(groups, sets, texts.select("text_id", "copies")), "text_id", "left")
-        links = (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long")
-    else:
-        links = F.lit(None).cast("long")
-    found = written(found.select("f1", "f2", "text_id", F.coalesce("group", "text_id").alias("root"), links.alias("n_links")))
-    out = signed.select("doc_id", "f1", "f2").join(found, ["f1", "f2"], "left")
-    return out.select("doc_id", F.coalesce("root", "doc_id").alias("class_id"), F.coalesce("text_id", "doc_id").alias("copy_id"), (F.coalesce("n_links", F.lit(0).cast("long")) if count_links else F.col("n_links")).alias("n_links"))
+        links = _links_within(groups, sets, texts.select("text_id", "copies"))
+        return signed, written(found.join(links, "text_id", "left").withColumn("links", F.col("copies") - 1 + F.coalesce("links", F.lit(0))))
+    return signed, written(found)
+
+
+def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", recall: float = RECALL, most_hashes: int = MOST_HASHES, count_links: bool = True) -> DataFrame:
+    """One row for each row of documents: doc_id, class_id (least doc_id that links reach), copy_id (least doc_id of the
+    same word sequence), n_links (other documents at a similarity of 0.8 or more, copies among them; null if they aren't to be counted)."""
+    signed, texts = _classes(documents, doc_id, text, recall, most_hashes, count_links)
+    several = texts.groupBy("root").agg(F.min("label").alias("class_id"))
+    named = written(texts.join(several, "root").select("f1", "f2", "class_id", F.col("label").alias("copy_id"), (F.col("links") if count_links else F.lit(None)).cast("long").alias("n_links")))
+    out = signed.select("doc_id", "f1", "f2").join(named, ["f1", "f2"], "left")
+    alone = F.col("f1").isNull()
+    own = lambda c: F.when(alone, F.col("doc_id")).otherwise(F.col(c)).alias(c)
+    return out.select("doc_id", own("class_id"), own("copy_id"), (F.when(alone, 0).otherwise(F.col("n_links")) if count_links else F.col("n_links")).cast("long").alias("n_links"))
 
 
 def keep_first(documents: DataFrame) -> DataFrame:
-    """The documents with one left of each class: that with the least doc_id, once. Rows without a doc_id stay."""
-    found = written(near_duplicates(documents, count_links=False))
-    out = only(documents, written(found.where("doc_id <> class_id").select("doc_id").distinct()), "doc_id", "left_anti")
-    again = written(found.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    if not again.take(1):
-        return out
-    repeated = only(out, again, "doc_id")
-    return only(out, again, "doc_id", "left_anti").unionByName(repeated.dropDuplicates(["doc_id"]))
+    """The documents with one left of each class: that with the least doc_id (any one, of those without), once. Rows are told by their
+    words, so of rows that share an id only those go that are copies or near copies of another."""
+    signed, texts = _classes(documents, "doc_id", "text", RECALL, MOST_HASHES, False)
+    first = texts.groupBy("root").agg(F.min(F.struct(F.col("label").isNull().alias("none"), "label", "text_id"))["text_id"].alias("first"), F.sum("copies").alias("size")).where("size > 1")
+    marks = written(texts.join(first, "root").select(F.col("f1").alias("__f1"), F.col("f2").alias("__f2"), F.col("label").alias("__label"), (F.col("text_id") == F.col("first")).alias("__first")))
+    here, stays = (F.col("f1") == F.col("__f1")) & (F.col("f2") == F.col("__f2")), F.col("__first") & F.col("doc_id").eqNullSafe(F.col("__label"))
+    again = written(beside(signed, marks, here, "inner").where(stays).groupBy("f1", "f2").count().where("count > 1").select("f1", "f2"))
+
+    def make():
+        return lambda texts: _prints(Words(texts))
+
+    given, alias = aside(documents)
+    rows = map_text(given, make, _PRINT, text=alias["text"], keep=tuple(alias.values())).withColumn("doc_id", F.col(alias["doc_id"]))
+    rows = beside(rows, marks, here, "left").where(F.col("__first").isNull() | stays)
+    if again.take(1):
+        repeated = beside(rows, again, ["f1", "f2"], "left_semi").dropDuplicates(["f1", "f2"])
+        rows = beside(rows, again, ["f1", "f2"], "left_anti").select(*alias.values()).unionByName(repeated.select(*alias.values()))
+    return rows.select(*[F.col(a).alias(c) for c, a in alias.items()])
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import json
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 
 from foliary.llm import decontaminate, html_text, language, licenses, near_duplicates, packing, quality, secrets, token_counts, wavelet
 from foliary.llm.encoding import Encoder
+from foliary.llm.spans import running, spans
 
 WORD_BPE, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -187,6 +189,34 @@ def test_language_learns_and_holds_out(spark):
     assert all(held[i] == (zlib.crc32(str(i).encode()) % 3 == 1) for i, _, _ in rows)
 
 
+def test_forward_pass_equals_a_plain_one():
+    r = np.random.default_rng(1)
+    net = language.fit(r.integers(0, 256, (40, language.WINDOW)).astype(np.uint8), r.integers(0, 3, 40), ["a", "b", "c"], epochs=1)
+    x, _, _ = language.windows(pa.array([b"A short\ttext " * 30, b"\xc3\xa9", b"z" * 600], pa.large_binary()))
+    for row, found in zip(x, net.log_probabilities(x), strict=True):
+        values = []
+        for w, taps in zip(language.WIDTHS, net.taps, strict=True):
+            for f in range(language.FILTERS):
+                values.append(max(sum(float(taps[j, row[i + j], f]) for j in range(w)) for i in range(language.WINDOW - w + 1)))
+        hidden = [max(v + float(b), 0) for v, b in zip(values, net.bias, strict=True)]
+        z = [sum(h * float(net.weights[i, k]) for i, h in enumerate(hidden)) + float(net.offset[k]) for k in range(3)]
+        want = [v - max(z) - np.log(sum(np.exp(u - max(z)) for u in z)) for v in z]
+        assert np.allclose(want, found, atol=1e-3)
+
+
+def test_training_sample_is_bounded_and_from_anywhere(spark, monkeypatch):
+    """One window a text, at most TRAIN_DOCS a language and TRAIN_WINDOWS in all, from any part of the text; repeated rows train once."""
+    rows = [(str(i), f"{'x' * 3000} middle {'y' * 3000} {i}", f"l{i % 5}") for i in range(400)] + [(None, "same row of a hot id", "l0")] * 500
+    d, seen = spark.createDataFrame(rows, "doc_id string, text string, lang string"), []
+    monkeypatch.setattr(language, "fit", lambda x, y, names: seen.append((x, y, names)))
+    language.train(d, docs=30, most=100)
+    x, y, names = seen[0]
+    assert names == [f"l{i}" for i in range(5)] and len(x) <= 100 and np.bincount(y).max() <= 20
+    starts = {bytes(w[:1]) for w in x}
+    assert b"x" in starts and b"y" in starts
+    assert sum(bytes(w).startswith(b"same row") for w in x) <= 1
+
+
 # 3: pages
 
 
@@ -233,6 +263,28 @@ def test_pages_of_one_heading_are_evidence_and_copies_are_not(spark):
     assert found == want
 
 
+def test_what_elements_say_counts_at_any_depth():
+    for depth in (3, 47, 60, 300):
+        html = "<div>" * depth + "<nav><p>menu</p></nav><article><h1>Title</h1><p>text of it</p><aside>advert<div><article>no</article></div></aside></article><aside>more</aside>" + "</div>" * depth
+        assert html_text.content(html_text.parse(html)) == "Title\n\ntext of it", depth
+    deep = html_text.parse("<nav><article>" * 3000 + "x" + "</article></nav>" * 3000)
+    assert html_text.content(deep) == "" and html_text.match(html_text.skeleton(deep)[0], html_text.skeleton(deep)[0])[0] == 0
+
+
+@pytest.mark.parametrize("most", [10_000, 2])
+def test_hosts_of_few_pages_and_of_many(spark, monkeypatch, most):
+    """Two pages tell a template; hosts beyond the bound of a broadcast give the same texts."""
+    monkeypatch.setattr(html_text, "BROADCAST_HOSTS", most)
+    r, rows, want = random.Random(16), [], {}
+    for i in range(60):
+        host = 0 if i < 40 else 1 + i % 9
+        title, body = f"Title {i}", [" ".join(r.choices(["lorem", "ipsum", "dolor", "sit"], k=30)) + f" {i} {k}." for k in range(2)]
+        rows.append((i, f"https://n{host}.example.org/{i}", f"<div id=a>Site name of host</div><div id=b><h1>{title}</h1><p>{body[0]}</p><p>{body[1]}</p></div><div id=c>Imprint and terms of all our services</div>"))
+        want[i] = "\n\n".join([title, *body])
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {x.page_id: x.text for x in html_text.extract(d, html_text.induce(d)).collect()} == want
+
+
 def test_parser_and_matching():
     p = html_text.parse("<p><b>one<br>two<p>three&nbsp;&lt;x&gt;<ul><li>a<li>b<ul><li>c</ul></ul><!-- <p>no --><script>'</p>'</script>x < y")
     assert [b[1] for b in p.blocks] == ["one two", "three <x>", "a", "b", "c", "x < y"]
@@ -257,6 +309,88 @@ def test_licenses_base_and_labels(spark):
     assert rows[0].labels == ["apache", "apache-2.0", "mit"] and "gpl-3" in rows[3].labels and rows[6].labels == ["apache-2.0"] and rows[2].labels == []
 
 
+NOTICES = [
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\n of this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO",
+    " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions are met:\n * 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n * Neither the name of the X nor the names of its contributors may be used to endorse or promote products derived from this software",
+    "# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation; either version 2 of the License, or\n# (at your option) any later version.",
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+    "Copyright (c) 2019 Someone. All rights reserved. Unauthorized copying of this file is strictly prohibited.",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. MIT license, gpl-2.0, cc by-sa 4.0",
+    "This is free and unencumbered software released into the public domain.",
+    "prose about a warranty and a public license of no kind",
+]
+
+
+def test_license_wording_and_suppression_equal_brute_force(spark):
+    rules = licenses.rules()
+    assert len(rules) > 400 and all(any(k.strip() in r for k in [keyword]) for _, _, keyword, r in licenses.WORDING) and all(any(g in r for g in licenses.WORDING_GATES) for _, _, _, r in licenses.WORDING)
+    texts = [*NOTICES, "\n".join(NOTICES), " ".join(NOTICES[3:6] * 5), None]
+    for t, row in zip(texts, licenses.scan(frame(spark, texts)).orderBy("doc_id").collect(), strict=True):
+        blank = (t or "").translate(str.maketrans("\t\n\x0b\x0c\r", " " * 5))
+        found = {(label, priority, m.start(), m.end()) for label, priority, _, _, p in rules for m in re.finditer(f"(?i){p}", blank)}
+
+        def void(x):
+            return any(y[2] <= x[2] and x[3] <= y[3] and (y[1] > x[1] or y[1] == x[1] and ((y[3] - y[2], x[0]) > (x[3] - x[2], y[0]))) for y in found)
+
+        assert {tuple(x) for x in row.detections} == {x for x in found if not void(x)}, t
+    labels = [set(row.labels) for row in licenses.scan(frame(spark, NOTICES)).orderBy("doc_id").collect()]
+    assert "mit" in labels[0] and {"bsd", "bsd-3-clause"} <= labels[1] and "gpl-2-or-later" in labels[2] and "apache-2.0" in labels[3] and "proprietary" in labels[4] and "mpl-2.0" in labels[5] and "unlicense" in labels[6] and not labels[7]
+
+
+def test_markov_ratio_on_what_never_trained():
+    """Precision and recall on names of the standard library and on random strings from other seeds and alphabets."""
+    ratio, states = secrets.ratios(), secrets._STATES
+
+    def is_secret(s):
+        at = [0, *(secrets.ALPHABET.index(c) + 1 for c in s)]
+        return sum(ratio[a * states + b] for a, b in zip(at, at[1:], strict=False)) >= secrets.MARGIN * len(s)
+
+    modules = ["asyncio", "ast", "http.client", "logging", "multiprocessing", "os", "signal", "socket", "ssl", "subprocess", "tarfile", "threading", "unittest", "urllib.request", "xml.dom.minidom", "zipfile", "tkinter", "errno", "email.message", "inspect"]
+    names = set()
+    for m in modules:
+        try:
+            module = __import__(m, fromlist=["x"])
+        except ImportError:
+            continue
+        names |= {n for x in [module, *vars(module).values()] for n in dir(x) if len(n) >= secrets.TOKEN_CHARS and set(n) <= set(secrets.ALPHABET) and not n.startswith("__")}
+    assert len(names) > 500 and sum(map(is_secret, names)) <= len(names) / 50
+    r = random.Random(2024)
+    for letters in (secrets.ALPHABET[:64], secrets.ALPHABET[:62], secrets.ALPHABET[:52], secrets.ALPHABET[26:62]):
+        for length in (16, 20, 40):
+            assert sum(is_secret("".join(r.choices(letters, k=length))) for _ in range(500)) >= 475
+
+
+def test_many_matches_in_one_text_take_seconds(spark):
+    began = time.monotonic()
+    texts = [" ".join("deadbeef" * 2 + f"{i:06x}" for i in range(20_000)), "the MIT License of it\n" * 4000]
+    d = frame(spark, texts)
+    found = secrets.scan(d).orderBy("doc_id").select(F.size("secrets").alias("n")).collect()
+    assert found[0].n == 20_000 and licenses.scan(d).orderBy("doc_id").collect()[1].n_base == 4000
+    clean = secrets.redact(d).orderBy("doc_id").first().text
+    assert clean == " ".join(["[SECRET]"] * 20_000)
+    assert time.monotonic() - began < 60
+
+
+def test_running_and_spans_equal_plain_ones(spark):
+    r = random.Random(17)
+    for n in (0, 1, 2, 7, 64, 65):
+        values = [r.randint(-9, 9) for _ in range(n)]
+        d = spark.createDataFrame([(values, "".join(r.choices("aé1 ", k=3 * n)))], "v array<long>, t string")
+        row = d.select(running(F.col("v"), lambda a, b: a + b).alias("sum"), running(F.col("v"), F.greatest).alias("top"), spans(F.col("t"), F.lit("[aé]+")).alias("s"), "t").first()
+        assert row["sum"] == [sum(values[: i + 1]) for i in range(n)] and row.top == [max(values[: i + 1]) for i in range(n)]
+        assert [tuple(x) for x in row.s] == [(m.start(), m.end(), m.group()) for m in re.finditer("[aé]+", row.t)]
+
+
+def test_columns_of_any_name_survive(spark):
+    names = ["cut", "secrets", "spans", "__text", "__clean", "__drop", "__kept", "__0", "f1", "label", "root", "detections", "n_hit"]
+    d = spark.createDataFrame([(1, "password: abcdefghij1234 " + " ".join(f"word{i} of" for i in range(60)), None, "s", 3, *names), (2, None, None, None, None, *[None] * len(names))], SCHEMA + ", " + ", ".join(f"{n} string" for n in names))
+    items = spark.createDataFrame([(1, "of word1 of word2")], "item_id long, text string")
+    for run in (secrets.redact, quality.filter_quality, near_duplicates.keep_first, lambda x: decontaminate.decontaminate(x, items)):
+        out = run(d)
+        assert out.columns == d.columns and [out.where("doc_id = 1").first()[n] for n in names] == names
+    assert "[SECRET]" in secrets.redact(d).where("doc_id = 1").first().text
+
+
 def test_secrets_and_redaction(spark):
     token = "Zk3vQ9xL2mP7tR4wB8nC"
     texts = [f"password = '{'a1' * 8}' and AKIA{'B2' * 8}", f"see {token} here", "the_long_identifier_name_of_2023", "deadbeef" * 3 + " é " + "0" * 16, f"secret: {token} token={'x' * 11}", None]
@@ -322,6 +456,29 @@ def test_links_equal_brute_force(spark):
     assert kept == set(root)
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_rows_are_judged_by_their_text_whatever_their_ids(spark, kind):
+    """Ids that repeat with other texts, and none at all: links, classes and what stays follow the texts."""
+    r = random.Random(12)
+    a, b, c, e = (" ".join(r.choices([f"w{i}" for i in range(300)], k=60)) for _ in range(4))
+    rows = [(1, a), (1, b), (2, b + " tail"), (3, a), (4, c), (4, c), (4, e), (None, e + " end"), (None, c), (None, "alone here"), (None, None), (9, None), (5, "own text of five")]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if (w := words(t)) else set() for _, t in rows]
+    linked = [[j for j in range(len(rows)) if j != i and sets[i] and sets[j] and 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j]))] for i in range(len(rows))]
+    least = lambda ids: min((x for x in ids if x is not None), default=None)
+    name = lambda i: None if i is None else i if kind == "long" else str(i)
+    want = []
+    for i, (d, t) in enumerate(rows):
+        copies = [rows[j][0] for j in [i, *linked[i]] if sets[i] and words(rows[j][1]) == words(t)]
+        want.append((name(d), name(least([d, *(rows[j][0] for j in linked[i])]) if sets[i] else d), name(least(copies) if sets[i] else d), len(linked[i])))
+    given = spark.createDataFrame([(name(d), t, "x", i) for i, (d, t) in enumerate(rows)], f"doc_id {kind}, text string, f1 string, grams int")
+    order = lambda x: tuple(str(v) for v in x)
+    assert sorted((tuple(x) for x in near_duplicates.near_duplicates(given).collect()), key=order) == sorted(want, key=order)
+    kept = near_duplicates.keep_first(given)
+    assert kept.columns == given.columns
+    left = sorted((str(x.doc_id), x.text or "") for x in kept.collect())
+    assert left == sorted([("1", a), ("1", b), ("4", c), ("4", e), ("None", "alone here"), ("None", ""), ("9", ""), ("5", "own text of five")])
+
+
 def test_blocks_count_what_one_block_counts(spark, monkeypatch):
     r = random.Random(9)
     base = r.choices([f"w{i}" for i in range(300)], k=100)
