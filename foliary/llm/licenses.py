@@ -1,9 +1,10 @@
 """License scans: ordered signature rules behind a keyword prefilter, with containment suppression.
 
-Rules come from a table of license families and a few phrase forms: each is a regex with a label, a priority and a keyword.
-A text that holds none of the gate words is not looked at again. Otherwise a rule's regex runs only if its keyword stands in
-the text; of the detections, one whose span lies within that of another with a higher priority (or the same priority and a
-longer span, or an earlier label) is suppressed. All of it is Column expressions on the executors.
+Rules are signatures of what licences and notices say (license_wording), and the names of license families in a few phrase forms:
+each is a regex with a label, a priority and a keyword. A text that holds none of the gate words is not looked at again. Otherwise
+a rule's regex runs only if its keyword stands in the text; of the detections, one whose span lies within that of another with a
+higher priority (or the same priority and a longer span, or an earlier label) is suppressed: by start and length, a detection is void if
+a surer or equal one before it ends no sooner. All of it is Column expressions on the executors, n log n in the matches.
 
 The contract's base phrases are found apart from the rules and always stay. Null and empty texts have no words and no
 labels; repeated rows are scanned each on its own; an empty table gives an empty result.
@@ -19,7 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliary.llm.spans import bound, gated, spans
+from foliary.llm.license_wording import WORDING, WORDING_GATES
+from foliary.llm.spans import bound, gated, running, spans
 
 #: Fixed by the contract: phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -94,8 +96,17 @@ def _wide(pattern: str) -> str:
     return re.sub(r"(?<!\[) ", " +", pattern)
 
 
+#: What may stand between words of a notice: blanks and the leaders of comments.
+_GAP = "[ *#/;]"
+
+
+def _loose(pattern: str) -> str:
+    """The pattern of a signature with any blanks and comment leaders wherever it has a blank."""
+    return re.sub(r"(?<!\[) (\??)", lambda m: _GAP + ("*" if m[1] else "+"), pattern)
+
+
 def _gate() -> str:
-    """Matches in every text in which any rule does."""
+    """Matches in every text in which any rule of a family does."""
     names = "|".join(name for _, name, _, _ in FAMILIES)
     return _wide(rf"(?i)licen[cs]|\b{_GRANT}|\b(?:{names}){_VERSION}[0-9]")
 
@@ -111,6 +122,7 @@ def rules() -> list[tuple[str, int, tuple[str, ...], str, str]]:
             exact = v.removesuffix(".0").replace(".", r"\.") + (r"(?:\.0)?" if "clause" not in v and (v.endswith(".0") or "." not in v) else "")
             for form, need, priority in VERSIONED:
                 out.append((f"{label}-{v}", priority, tuple(keywords.split("|")) if need != "spdx" else (label,), need, _wide(form.format(**fill, version=exact))))
+    out += [(label, priority, (keyword,), "", _loose(pattern)) for label, priority, keyword, pattern in WORDING]
     return sorted(out, key=lambda r: (-r[1], r[0], r[4]))
 
 
@@ -135,9 +147,10 @@ def scan(documents: DataFrame, *, text: str = "text", keep: Sequence[str] = ("do
     label = lambda h: reduce(lambda e, p: e.when(F.lower(F.substring(h, 1, 2)) == p[0][:2], p[1]), PHRASES.items(), F.when(F.lit(False), ""))
     blank = F.translate(t, "\t\n\x0b\x0c\r", " " * 5)  # a line may end within a name
     able = lower.contains("licen") | lower.contains("under") | t.rlike("[0-9]")  # as every rule needs a name's licence, a grant or a version
-    signatures = F.when(able & blank.rlike(_gate()), _detections(blank)).otherwise(F.array().cast(_FOUND))
+    worded = reduce(lambda e, g: e | lower.contains(g), WORDING_GATES[1:], lower.contains(WORDING_GATES[0]))
+    signatures = F.when(worded | (able & blank.rlike(_gate())), _detections(blank)).otherwise(F.array().cast(_FOUND))
     rows = rows.withColumn("__hit", hit).select(*kept, "__t", "__hit", count(t).alias("n_words"), F.when(F.col("__hit"), F.regexp_count(t, F.lit(base)).cast("long")).otherwise(0).alias("n_base"), first.alias("first_word"), back.alias("__back"), F.when(F.col("__hit"), F.array_sort(F.array_distinct(F.transform(hits, label)))).otherwise(F.array().cast("array<string>")).alias("base_labels"), signatures.alias("__found"))
-    rows = rows.select("*", F.filter("__found", lambda x: ~F.exists("__found", lambda y: _suppresses(y, x))).alias("detections"))
+    rows = rows.select("*", bound(_ordered(F.col("__found")), _unsuppressed).alias("detections"))
     labels = F.array_sort(F.array_union("base_labels", F.transform("detections", lambda x: x["label"])))
     score = F.greatest(F.coalesce(F.array_max(F.transform("detections", lambda x: x["priority"])), F.lit(0)), F.when(F.col("n_base") > 0, 50).otherwise(0)) / 100
     return rows.select(*kept, "n_words", "n_base", "first_word", (F.col("n_words") - F.col("__back")).alias("last_word"), "base_labels", labels.alias("labels"), "detections", score.cast("double").alias("score"))
@@ -151,19 +164,29 @@ def _detections(t: Column) -> Column:
     rows = [{"label": a, "priority": b, "keywords": list(c), "need": d, "pattern": f"(?i){e}"} for a, b, c, d, e in rules()]
     table = F.from_json(F.lit(json.dumps(rows)), "array<struct<label:string,priority:int,keywords:array<string>,need:string,pattern:string>>")
 
-    def tried(lower: Column) -> Column:
-        return F.filter(table, lambda r: lower.contains(r["need"]) & F.exists(r["keywords"], lambda k: lower.contains(k)))
+    def tried(lower: Column, words: Column) -> Column:
+        return F.filter(table, lambda r: lower.contains(r["need"]) & F.exists(r["keywords"], lambda k: lower.contains(k) | words.contains(k)))
 
-    kept = bound(F.regexp_replace(F.lower(t), " +", " "), tried)
+    kept = bound(F.regexp_replace(F.lower(t), f"{_GAP}+", " "), lambda words: bound(F.regexp_replace(F.lower(t), " +", " "), lambda lower: tried(lower, words)))
     each = F.transform(kept, lambda r: F.transform(gated(F.regexp_like(t, r["pattern"]), spans(t, r["pattern"])), lambda s: F.struct(r["label"].alias("label"), r["priority"].alias("priority"), s["start"].alias("start"), s["end"].alias("end"))))
     return F.flatten(each)
 
 
-def _suppresses(y: Column, x: Column) -> Column:
-    """Whether detection y makes x void: x lies within y, and y is surer, or as sure and longer, or earlier by label."""
-    inside = (y["start"] <= x["start"]) & (x["end"] <= y["end"])
-    longer = (y["end"] - y["start"]) - (x["end"] - x["start"])
-    return inside & ((y["priority"] > x["priority"]) | ((y["priority"] == x["priority"]) & ((longer > 0) | ((longer == 0) & (y["label"] < x["label"])))))
+def _ordered(found: Column) -> Column:
+    """By start, then the longer, the surer and the label: whatever may suppress a detection stands before it."""
+    return F.array_sort(F.transform(found, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), (-x["priority"]).alias("low"), x["label"].alias("label"))))
+
+
+def _unsuppressed(found: Column) -> Column:
+    """Of ordered detections those that lie in no surer (or as sure and longer, or earlier by label) one before them."""
+    levels = sorted({r[1] for r in rules()})
+    furthest = F.struct(*[running(F.transform(found, lambda x, p=p: F.when(-x["low"] >= p, -x["back"]).otherwise(F.lit(-1).cast("long"))), F.greatest).alias(f"p{p}") for p in levels])
+
+    def kept(ends: Column) -> Column:
+        before = lambda x, i: reduce(lambda e, p: e.when(-x["low"] == p, F.get(ends[f"p{p}"], i - 1)), levels, F.when(F.lit(False), F.lit(-1).cast("long")))
+        return F.filter(found, lambda x, i: F.coalesce(before(x, i), F.lit(-1).cast("long")) < -x["back"])
+
+    return F.transform(bound(furthest, kept), lambda x: F.struct(x["label"].alias("label"), (-x["low"]).alias("priority"), x["start"].alias("start"), (-x["back"]).alias("end")))
 
 
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
