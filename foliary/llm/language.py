@@ -6,16 +6,18 @@ at every tap; each filter's largest value in the window goes to a softmax over t
 language with the largest sum of log-probabilities over its windows, weighted by their bytes; its score is that language's
 mean probability.
 
-The network is fitted on the driver to a bounded sample: about TRAIN_DOCS documents of each language (and at most TRAIN_WINDOWS
-windows in all), chosen by a hash of the id. Prediction runs where the texts are.
+The network is fitted on the driver to a bounded sample: one window of each of at most TRAIN_DOCS texts of a language, and at most
+TRAIN_WINDOWS windows in all, which the languages share alike (one each, should there be more of them than that). Texts are chosen by
+a hash of id and text, and the window's place in the whole text by another. Prediction runs where the texts are.
 
 A null text, or one without letters, is `und` with score 0. Rows without a language train nothing; without any labelled row
-every text is `und`. Rows that repeat are predicted alike; an empty table gives an empty result.
+every text is `und`. Rows that repeat are predicted alike, and train once; ids may be of any type; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -136,28 +138,30 @@ def train(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", l
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return None
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    limit = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int((1 << 30) * min(1.0, docs / n)))])[F.col("lang")]
-    each = max(1, most // (docs * len(counts)))
+    each = max(1, min(docs, most // len(counts)))
+    top = 1 << 30
+    limit = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(top * min(1.0, each / n)))])[F.col("lang")]
+    drawn = rows.withColumn("draw", F.pmod(F.xxhash64("doc_id", "text"), F.lit(top))).where(F.col("draw") < limit)
 
     def make():
-        def kernel(texts):
-            x, owner, held = windows(texts)
-            out = [[] for _ in range(len(texts))]
-            for d in range(len(texts)):
-                own = np.flatnonzero((owner == d) & (held >= min(64, held[owner == d].max())))
-                out[d] = [x[i].tobytes() for i in own[np.linspace(0, len(own) - 1, min(each, len(own))).astype(int)]]
-            return [pa.array(out, pa.list_(pa.binary()))]
-
-        return kernel
+        return lambda texts: [pa.array([_drawn(t.as_py()) for t in texts], pa.binary())]
 
-    picked = map_text(rows.where(draw < limit), make, [("windows", "array<binary>")], keep=("doc_id", "lang"))
-    got = sorted((r["lang"], r["doc_id"] or 0, bytes(w)) for r in picked.collect() for w in r["windows"])
+    picked = map_text(drawn.select("lang", "draw", "text"), make, [("window", "binary")], keep=("lang", "draw"))
+    once = picked.groupBy("lang", "draw").agg(F.min("window").alias("window")).groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("draw", "window"))), 1, each).alias("own"))
+    got = sorted((r["lang"], w["draw"], bytes(w["window"])) for r in once.collect() for w in r["own"])
     languages = sorted({g[0] for g in got})
+    if not languages:
+        return None
     x = np.frombuffer(b"".join(g[2] for g in got), np.uint8).reshape(-1, WINDOW)
     return fit(x, np.array([languages.index(g[0]) for g in got]), languages)
 
 
+def _drawn(text: bytes) -> bytes:
+    """A folded window from anywhere in the text, as its hash has it; a short text is one window."""
+    start = zlib.crc32(text) % max(len(text) - WINDOW + 1, 1)
+    return windows(pa.array([text[start : start + WINDOW]], pa.large_binary()))[0][0].tobytes()
+
+
 def _lettered(texts: pa.Array) -> np.ndarray:
     data, offsets = spread(texts)
     total = np.zeros(len(data) + 1, np.int64)
