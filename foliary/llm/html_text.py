@@ -6,7 +6,8 @@ common skeleton is the reference; every other skeleton is aligned with it by sim
 *slots* of the reference. What a slot says is then counted over the whole host, one page for each content (the marked article,
 or without one all blocks that no keyword marks), so copies count once and differing pages each, whatever their headings:
 
-* a block that most of the pages repeat in its slot is constant, hence template;
+* a block that most of the pages repeat in its slot is constant, hence template: outside marked articles two pages can tell, in
+  them (where a sub-heading may recur) LEAST_PAGES;
 * a slot outside the article whose blocks nearly all recur on other pages (a rotating advert) is template;
 * copies of an article among changing adverts are no evidence: pages that repeat a block must differ in heading or two longest blocks
   (so a host where these are boilerplate on every page gets no wrapper);
@@ -18,8 +19,8 @@ the deepest element that holds most of the text that is left, and the title, wit
 
 Corpus-wide work is joins and sums by host, slot and block hash; no host's pages meet in one task. Wrappers (one row a host) are
 broadcast if they are few, else joined by shuffle. Null, empty and markup-only pages give an empty text; pages without a
-url are one host; repeated rows are extracted each on its own; no rows, no rows. Elements nested deeper than MOST_DEPTH count as
-children of the element at that depth; their text stays.
+url are one host; repeated rows are extracted each on its own; no rows, no rows. Skeletons stop at MOST_DEPTH levels: deeper elements are
+no nodes of their own unless what they say of themselves (template, article) changes what holds there, which counts at any depth.
 """
 
 from __future__ import annotations
@@ -37,8 +38,8 @@ from pyspark.sql import functions as F
 from foliary.llm.frames import map_text, written
 
 MOST_DEPTH = 48
-#: Pages with different contents that a host must have before its slots are judged.
-LEAST_PAGES = 8
+#: Pages with different contents that a host must have for rotating slots, and for constants in marked articles and elsewhere.
+LEAST_PAGES, LEAST_OUTSIDE = 8, 2
 #: Share of the host's pages that repeat a constant block, and of a rotating slot's blocks that recur.
 CONSTANT, ROTATING = 0.7, 0.8
 #: Hosts up to this many are broadcast with their wrappers (a wrapper is a few kB); more are joined by shuffle.
@@ -106,18 +107,18 @@ _DIGITS = str.maketrans("123456789", "000000000")
 
 @dataclass
 class Page:
-    """Nodes (0 is the root) and blocks: (node, text, characters in links) in page order."""
+    """Nodes (0 is the root) and blocks: (node, text, characters in links, innermost block element) in page order."""
 
     labels: list[str] = field(default_factory=lambda: ["root"])
     kinds: list[int] = field(default_factory=lambda: [NEUTRAL])
     parents: list[int] = field(default_factory=lambda: [-1])
     tags: list[str] = field(default_factory=lambda: ["root"])
-    blocks: list[tuple[int, str, int]] = field(default_factory=list)
+    blocks: list[tuple[int, str, int, str]] = field(default_factory=list)
 
 
 def parse(source: str) -> Page:
     page = Page()
-    stack, parts, links, in_link, at = [("root", 0)], [], 0, False, 0
+    stack, parts, links, in_link, at = [("root", 0, NEUTRAL)], [], 0, False, 0  # tag, node and what holds there
     n, search, last = len(source), _TOKEN.search, source.rfind(">")
 
     def flush() -> None:
@@ -127,7 +128,7 @@ def parse(source: str) -> Page:
             if text and not text.isspace():
                 own = " ".join((html.unescape(text) if "&" in text else text).split())
                 if own:
-                    page.blocks.append((stack[-1][1], own, links))
+                    page.blocks.append((stack[-1][1], own, links, stack[-1][0]))
         parts, links, in_link = [], 0, False
 
     while at < n:
@@ -176,14 +177,16 @@ def parse(source: str) -> Page:
         if tag in _ENDS:
             _end(stack, *_ENDS[tag])
         label, kind = _element(tag, m[3])
-        if len(stack) <= MOST_DEPTH:
+        above = stack[-1][2]
+        holds = _within(above, kind)
+        if len(stack) <= MOST_DEPTH or holds != above:
             page.labels.append(label)
             page.kinds.append(kind)
             page.tags.append(tag)
             page.parents.append(stack[-1][1])
-            stack.append((tag, len(page.labels) - 1))
+            stack.append((tag, len(page.labels) - 1, holds))
         else:
-            stack.append((tag, stack[-1][1]))
+            stack.append((tag, stack[-1][1], above))
     flush()
     return page
 
@@ -326,17 +329,20 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def _within(above: int, kind: int) -> int:
+    """What holds in an element of this kind, given what holds around it: DROP, ARTICLE or NEUTRAL."""
+    if above == DROP:
+        return DROP
+    if kind == HEAD:
+        return above if above == ARTICLE else DROP
+    return kind if kind != NEUTRAL else above
+
+
 def _standing(page: Page) -> list[int]:
-    """What holds for each node with its ancestors: DROP, ARTICLE or NEUTRAL."""
-    out = []
+    """What holds for each node with its ancestors."""
+    out: list[int] = []
     for kind, parent in zip(page.kinds, page.parents, strict=True):
-        above = out[parent] if parent >= 0 else NEUTRAL
-        if above == DROP:
-            out.append(DROP)
-        elif kind == HEAD:
-            out.append(above if above == ARTICLE else DROP)
-        else:
-            out.append(kind if kind != NEUTRAL else above)
+        out.append(_within(out[parent] if parent >= 0 else NEUTRAL, kind))
     return out
 
 
@@ -354,13 +360,13 @@ def _shapes(pages: DataFrame, source: str) -> DataFrame:
                 page = parse(t.as_py().decode("utf-8", "replace"))
                 shape, places = skeleton(page)
                 standing = _standing(page)
-                own = {(places[node], _hash(text), standing[node] == ARTICLE) for node, text, _ in page.blocks}
-                open_ = [(node, text) for node, text, _ in page.blocks if standing[node] != DROP]
-                marked = [(node, text) for node, text in open_ if standing[node] == ARTICLE]
-                if 4 * sum(len(text) for _, text in marked) >= sum(len(text) for _, text in open_):  # as content() asks
+                own = {(places[node], _hash(text), standing[node] == ARTICLE) for node, text, *_ in page.blocks}
+                open_ = [(node, text, tag) for node, text, _, tag in page.blocks if standing[node] != DROP]
+                marked = [b for b in open_ if standing[b[0]] == ARTICLE]
+                if 4 * sum(len(b[1]) for b in marked) >= sum(len(b[1]) for b in open_):  # as content() asks
                     open_ = marked
-                told = [text for _, text in open_] or [text for _, text, _ in page.blocks]
-                lead = next((text for node, text in open_ if page.tags[node] == "h1"), told[0] if told else "")
+                told = [b[1] for b in open_] or [b[1] for b in page.blocks]
+                lead = next((text for _, text, tag in open_ if tag == "h1"), told[0] if told else "")
                 shapes.append(shape)
                 said.append(_hash("\n\n".join(told)))
                 gists.append(_hash("\n\n".join([lead, *sorted(set(told), key=lambda t: (-len(t), t))[:2]])))
@@ -373,17 +379,29 @@ def _shapes(pages: DataFrame, source: str) -> DataFrame:
 
 
 def _by_host(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """rows beside the host's row of a written table: by broadcast if the hosts are few, by shuffle otherwise."""
-    return rows.join(F.broadcast(table) if table.count() <= BROADCAST_HOSTS else table, "host", "left")
+    """rows beside the host's row of a written table (with `rows`, the host's pages): by broadcast if the hosts are few. Otherwise those
+    with more than a BROADCAST_HOSTS-th of all pages, which are fewer than that, are broadcast, and their rows spread over the
+    shuffle that joins the others."""
+    n, total = table.agg(F.count("*"), F.sum("rows")).first()
+    if n <= BROADCAST_HOSTS:
+        return rows.join(F.broadcast(table), "host", "left")
+    names = [c for c in table.columns if c != "host"]
+    hot = table.where(F.col("rows") > total // BROADCAST_HOSTS).select("host", *[F.col(c).alias(f"hot_{c}") for c in names])
+    first = rows.join(F.broadcast(hot), "host", "left")
+    known = F.col("hot_rows").isNotNull()
+    key = F.when(known, F.concat(F.lit("#"), F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)).cast("string"))).otherwise(F.col("host"))
+    rest = table.select(F.col("host").alias("own"), *[F.col(c).alias(f"own_{c}") for c in names])
+    both = first.withColumn("key", key).join(rest, F.col("key") == F.col("own"), "left")
+    return both.select(*rows.columns, *[F.when(known, F.col(f"hot_{c}")).otherwise(F.col(f"own_{c}")).alias(c) for c in names])
 
 
 def induce(pages: DataFrame, *, url: str = "url", source: str = "html") -> DataFrame:
-    """One row for each host: host, reference, template (slots) and constant (array<struct<slot, hash>>)."""
+    """One row for each host: host, reference, rows (its pages), template (slots) and constant (array<struct<slot, hash>>)."""
     shapes = written(_shapes(_hosted(pages, url, source), source))
-    distinct = written(shapes.groupBy("host", "said").agg(F.min(F.struct("shape", "seen", "gist")).alias("p")).select("host", "p.*"))
-    common = distinct.groupBy("host", "shape").agg(F.count("*").alias("n"))
-    reference = written(common.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("reference"), F.sum("n").alias("pages")))
-    placed = _by_host(distinct, reference).where(F.col("pages") >= LEAST_PAGES).select("host", "shape", "reference", "pages", "gist", "seen")
+    distinct = written(shapes.groupBy("host", "said").agg(F.min(F.struct("shape", "seen", "gist")).alias("p"), F.count("*").alias("copies")).select("host", "copies", "p.*"))
+    common = distinct.groupBy("host", "shape").agg(F.count("*").alias("n"), F.sum("copies").alias("copies"))
+    reference = written(common.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("reference"), F.sum("n").alias("pages"), F.sum("copies").alias("rows")))
+    placed = _by_host(distinct, reference).where(F.col("pages") >= LEAST_OUTSIDE).select("host", "shape", "reference", "pages", "gist", "seen")
 
     def run(batches):
         matcher = _Matcher()
@@ -394,11 +412,11 @@ def induce(pages: DataFrame, *, url: str = "url", source: str = "html") -> DataF
 
     blocks = placed.mapInArrow(run, "host string, pages bigint, gist bigint, slot int, hash bigint, inside boolean")
     counts = blocks.groupBy("host", "slot", "hash").agg(F.count("*").alias("n"), F.max("pages").alias("pages"), F.max("inside").alias("inside"), (F.min("gist") < F.max("gist")).alias("varied"))
-    constant = F.col("varied") & (F.col("n") >= F.col("pages") * CONSTANT)
+    constant = F.col("varied") & (F.col("n") >= F.col("pages") * CONSTANT) & (~F.col("inside") | (F.col("pages") >= LEAST_PAGES))
     slots = counts.groupBy("host", "slot").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("varied"), F.col("n")).otherwise(0)).alias("again"), F.max("inside").alias("inside"), F.collect_list(F.when(constant, F.struct("slot", "hash"))).alias("constant"))
     rotating = ~F.col("inside") & (F.col("again") >= F.col("all") * ROTATING) & (F.col("all") >= LEAST_PAGES)
     found = slots.groupBy("host").agg(F.collect_list(F.when(rotating, F.col("slot"))).alias("template"), F.flatten(F.collect_list("constant")).alias("constant"))
-    return written(reference.join(found, "host", "left").select("host", "reference", F.coalesce("template", F.array().cast("array<int>")).alias("template"), F.coalesce("constant", F.array().cast("array<struct<slot:int,hash:bigint>>")).alias("constant")))
+    return written(reference.join(found, "host", "left").select("host", "reference", "rows", F.coalesce("template", F.array().cast("array<int>")).alias("template"), F.coalesce("constant", F.array().cast("array<struct<slot:int,hash:bigint>>")).alias("constant")))
 
 
 def _hosted(pages: DataFrame, url: str, source: str, *more: str) -> DataFrame:
@@ -413,23 +431,24 @@ def content(page: Page, template: frozenset[int] = frozenset(), constant: frozen
     for i in range(len(page.labels)):
         slot = slots[places[i]] if slots else -1
         hidden[i] = (i > 0 and hidden[page.parents[i]]) or slot in template
-    for node, text, links in page.blocks:
+    for block in page.blocks:
+        node, text, *_ = block
         if standing[node] == DROP or hidden[node]:
             continue
         if constant and (slot := slots[places[node]]) >= 0 and (slot, _hash(text)) in constant:
             continue
-        kept.append((node, text, links))
+        kept.append(block)
     marked = [b for b in kept if standing[b[0]] == ARTICLE]
     size = sum(len(b[1]) for b in kept)
     if 4 * sum(len(b[1]) for b in marked) >= size:
         return "\n\n".join(b[1] for b in marked)
-    prose = [b for b in kept if 5 * b[2] < 3 * len(b[1]) or page.tags[b[0]] in ("p", "h1", "h2", "h3", "blockquote", "pre")]
+    prose = [b for b in kept if 5 * b[2] < 3 * len(b[1]) or b[3] in ("p", "h1", "h2", "h3", "blockquote", "pre")]
     held, size = [0] * len(page.labels), sum(len(b[1]) for b in prose)
-    for node, text, _ in prose:
+    for node, text, *_ in prose:
         held[node] += len(text)
     for i in range(len(held) - 1, 0, -1):
         held[page.parents[i]] += held[i]
-    root, above = 0, next((node for node, _, _ in prose if page.tags[node] == "h1"), 0)  # the title stays inside
+    root, above = 0, next((b[0] for b in prose if b[3] == "h1"), 0)  # the title stays inside
     path = {0}
     while above:
         path.add(above)
@@ -440,7 +459,7 @@ def content(page: Page, template: frozenset[int] = frozenset(), constant: frozen
     inside = [False] * len(held)
     for at in range(len(held)):
         inside[at] = at == root or (at > 0 and inside[page.parents[at]])
-    return "\n\n".join(text for node, text, _ in prose if inside[node])
+    return "\n\n".join(text for node, text, *_ in prose if inside[node])
 
 
 def extract(pages: DataFrame, wrappers: DataFrame, *, url: str = "url", source: str = "html", keep: Sequence[str] = ("page_id", "url")) -> DataFrame:
