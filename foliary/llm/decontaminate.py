@@ -24,7 +24,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliary.llm.frames import map_text, written
+from foliary.llm.frames import aside, map_text
 from foliary.llm.kernels import Words, covered
 
 WORDS = 10
@@ -170,7 +170,6 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, *, n: int = WORDS,
     A span runs from its first hit word's first character to the next word after it (so what parts the words goes with
     them). n_chars, where it is a column, follows the new text. Untouched documents are returned as they are.
     """
-    names = documents.columns
     blocks = _sent(documents, benchmark, n, "item_id", item_text, block_windows)
     if not blocks:  # no window at all
         return documents
@@ -198,12 +197,12 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, *, n: int = WORDS,
 
         return kernel
 
-    keep = documents.withColumn("__whole", F.col("text"))
-    found = map_text(keep, make, [("__clean", "string"), ("__drop", "boolean")], keep=(*names[: names.index("text")], "__whole", *names[names.index("text") + 1 :]))
-    changes = {"text": F.coalesce("__clean", "__whole")}
-    if "n_chars" in names:
-        changes["n_chars"] = F.when(F.col("__clean").isNotNull(), F.length("__clean").cast("long")).otherwise(F.col("n_chars"))
-    return found.where(~F.col("__drop")).select(*[changes.get(c, F.col(f"`{c}`")).alias(c) for c in names])
+    given, alias = aside(documents)
+    found = map_text(given, make, [("__clean", "string"), ("__drop", "boolean")], text=alias["text"], keep=tuple(alias.values()))
+    changes = {"text": F.coalesce("__clean", alias["text"])}
+    if "n_chars" in alias:
+        changes["n_chars"] = F.when(F.col("__clean").isNotNull(), F.length("__clean").cast("long")).otherwise(F.col(alias["n_chars"]))
+    return found.where(~F.col("__drop")).select(*[changes.get(c, F.col(a)).alias(c) for c, a in alias.items()])
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

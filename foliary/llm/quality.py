@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliary.llm.frames import map_text
+from foliary.llm.frames import aside, map_text
 from foliary.llm.kernels import SAME, SPACED, Words, covered, hash_ranges, mix, spread, sums_by_text
 
 #: Size of the sample on which cost and selectivity are estimated.
@@ -189,9 +189,8 @@ def quality(documents: DataFrame, *, keep: Sequence[str] = ("doc_id",), text: st
 
 def filter_quality(documents: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """The documents that the base rule and the cascade keep, with their own columns."""
-    names = documents.columns
     ordered = order_rules(documents, rules)
-    given = documents.withColumn("__whole", F.col("text"))
+    given, alias = aside(documents)
 
     def make():
         def kernel(texts):
@@ -202,8 +201,8 @@ def filter_quality(documents: DataFrame, rules: Sequence[Rule] = RULES) -> DataF
 
         return kernel
 
-    judged = map_text(given, make, [("__kept", "boolean")], keep=tuple("__whole" if c == "text" else c for c in names))
-    return judged.where("__kept").select(*[F.col("__whole" if c == "text" else f"`{c}`").alias(c) for c in names])
+    judged = map_text(given, make, [("__kept", "boolean")], text=alias["text"], keep=tuple(alias.values()))
+    return judged.where("__kept").select(*[F.col(a).alias(c) for c, a in alias.items()])
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
