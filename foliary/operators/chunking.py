@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from foliary import schema as S
 from foliary.functions.text import has_text, let, lines, normalize_for_chunks, role_mark, token_estimate
-from foliary.operators.splitting import split
+from foliary.operators.splitting import HEADING_FORM, split
+from foliary.sources.files import spread
 
-#: The words and forms by which kinds of documents are told apart, and roles by the mark in the file name.
+#: The words and forms by which kinds of documents are told apart (a heading's own form is splitting's), and roles by the mark in the file name.
 DRAFT_WORDS = ("수신", "경유", "제목", "시행", "접수", "결재", "붙임")
 LAW_MARKS = (r"제\s*\d+\s*(장|절|관|조(?:\s*의\s*\d+)?)", "[①②③④⑤⑥⑦⑧⑨⑩]")
-HEADING = r"(?m)^((Ⅰ|Ⅱ|Ⅲ|Ⅳ|Ⅴ|Ⅵ|Ⅶ|Ⅷ|Ⅸ|Ⅹ)\.|[0-9]+(\.[0-9]+)*\.|[가-하]\.|[A-Z]\.)\s+.+$"
+HEADING = f"(?m)^{HEADING_FORM}$"
 ROLES = {"N": "DRAFT_BODY", "S": "ATTACHMENT"}
 
 
@@ -69,7 +70,8 @@ def chunk_documents(sources: DataFrame, *, size: int = S.CHUNK_SIZE, overlap: in
     overlap = resolved_overlap(size, overlap)
     fixed = ("extract_idx", *keep, "doc_role", "doc_type")
     n = len(fixed)
-    rows = sources.select("extract_idx", *keep, normalize_for_chunks(F.col("indexing_contents")).alias("t"), doc_role(F.col("file_name"), F.col("zip_entry_file_name")).alias("doc_role")).where(has_text(F.col("t")))
+    rows = spread(sources.where(has_text(F.col("indexing_contents"))))  # what is blank only when normalised splits into nothing
+    rows = rows.select("extract_idx", *keep, normalize_for_chunks(F.col("indexing_contents")).alias("t"), doc_role(F.col("file_name"), F.col("zip_entry_file_name")).alias("doc_role"))
     rows = rows.withColumn("doc_type", doc_type(F.col("t"), F.col("doc_role"))).select(*fixed, "t")
     made = [("chunk_seq", "int", pa.int32()), ("section_path", "string", pa.string()), *((c, "string", pa.string()) for c in _LAW), ("chunk_text", "string", pa.string()), ("start_offset", "int", pa.int32()), ("end_offset", "int", pa.int32())]
 

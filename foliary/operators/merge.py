@@ -1,7 +1,8 @@
-"""Keyed writes as whole-table transformations: before + changes = after. Tables are Parquet, so a write is a join and a swap."""
+"""Keyed writes as whole-table transformations: before + changes = after. Tables are Parquet, so a write is a join and a new version."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,8 +95,40 @@ def propagate_files(items: DataFrame, decided: DataFrame) -> DataFrame:
     return merged(items, new, ("rc_rfile_no",), insert=False)
 
 
+def publish(spark: SparkSession, table: DataFrame, path: str) -> None:
+    """Writes the table as a new version below path and then names it the current one by an empty file, whose creation is one step in any store:
+    readers by published() see the old or the new version, a crash leaves the old one. The version before stays for readers that still have it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(conf)
+    named = _versions(spark, path)
+    version = f"{(int(named[-1][:12]) + 1) if named else 1:012d}-{uuid.uuid4().hex}"
+    table.write.parquet(f"{path}/{version}")
+    fs.mkdirs(hadoop(f"{path}/_current"))
+    fs.create(hadoop(f"{path}/_current/{version}"), False).close()
+    for old in named[:-1]:
+        fs.delete(hadoop(f"{path}/_current/{old}"), False)
+        fs.delete(hadoop(f"{path}/{old}"), True)
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a published table."""
+    named = _versions(spark, path)
+    if not named:
+        raise FileNotFoundError(f"no table has been published at {path}")
+    return spark.read.parquet(f"{path}/{named[-1]}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """The names of published versions, the current one last."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_current")
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
 def swap(spark: SparkSession, table: DataFrame, path: str) -> None:
-    """Writes the table beside the old one and puts it in its place; readers see the old or the new one."""
+    """Writes the table beside the old one and renames it to its place. Between two renames there is no table at the path, so this is for
+    tables without readers meanwhile; publish() is for others."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     at = jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(conf)

@@ -71,7 +71,7 @@ def endpoint(urls: Sequence[str], own: str | None, place: int) -> str:
 
 
 def _get(json: Column, path: str) -> Column:
-    return blank_to_null(F.get_json_object(json, path))
+    return let(F.get_json_object(json, path), blank_to_null)
 
 
 def _choice(body: Column) -> Column:
@@ -81,44 +81,57 @@ def _choice(body: Column) -> Column:
 def message(body: Column, *, envelopes: int = 3) -> Column:
     """The answer's text in a response body: of the first choice; else what response_data holds, as an object, a string, or after a
     prefix, some envelopes deep; else the text itself if it is no response. Null if there is none."""
-    own = F.regexp_replace(trimmed(null_to_blank(body)), r"(?s)^.*?response_data:\s*", "")
+
+    def bare(c: Column) -> Column:
+        """Without a prefix; a text that names none is only trimmed."""
+        return let(trimmed(null_to_blank(c)), lambda x: F.when(x.contains("response_data:"), F.regexp_replace(x, r"(?s)^.*?response_data:\s*", "")).otherwise(x))
 
     def read(b: Column, left: int) -> Column:
-        inner = F.get_json_object(b, "$.response_data")
-        again = let(F.regexp_replace(trimmed(null_to_blank(inner)), r"(?s)^.*?response_data:\s*", ""), lambda x: read(x, left - 1)) if left else blank_to_null(inner)
-        alone = F.when(F.get_json_object(b, "$.choices").isNull(), b)
-        return F.coalesce(_choice(b), F.when(inner.isNotNull(), again), blank_to_null(alone))
+        def inner(held: Column) -> Column:
+            again = let(bare(held), lambda x: read(x, left - 1)) if left else blank_to_null(held)
+            alone = F.when(F.get_json_object(b, "$.choices").isNull(), b)
+            return F.coalesce(F.when(held.isNotNull(), again), let(alone, blank_to_null))
+
+        return F.coalesce(F.when(b.contains("choices"), _choice(b)), let(F.when(b.contains("response_data"), F.get_json_object(b, "$.response_data")), inner))
 
-    return let(own, lambda b: read(b, envelopes))
+    return let(bare(body), lambda b: read(b, envelopes))
 
 
 def json_text(content: Column, *, arrays: bool = False) -> Column:
     """The JSON in a text: without a code fence, from the first opening brace (or bracket, whichever comes first) to the last closing
     one; null if there is none."""
-    own = trimmed(F.regexp_replace(F.regexp_replace(trimmed(null_to_blank(content)), r"^```[a-zA-Z]*", ""), r"```$", ""))
-    thing = blank_to_null(F.regexp_extract(own, r"(?s)(\{.*\})", 1))
-    if not arrays:
-        return thing
-    rows = blank_to_null(F.regexp_extract(own, r"(?s)^[^{\[]*(\[.*\])", 1))
-    return F.when(own.rlike(r"(?s)^[^{\[]*\["), rows).otherwise(thing)
+
+    def found(own: Column) -> Column:
+        thing = let(F.regexp_extract(own, r"(?s)(\{.*\})", 1), blank_to_null)
+        if not arrays:
+            return thing
+        rows = let(F.regexp_extract(own, r"(?s)^[^{\[]*(\[.*\])", 1), blank_to_null)
+        return F.when(own.rlike(r"(?s)^[^{\[]*\["), rows).otherwise(thing)
+
+    return let(trimmed(F.regexp_replace(F.regexp_replace(trimmed(null_to_blank(content)), r"^```[a-zA-Z]*", ""), r"```$", "")), found)
 
 
 def first_object(json: Column) -> Column:
     """The object itself, or the first object of an array, as a variant; null where the JSON is broken."""
-    v = F.try_parse_json(json)
-    rows = F.try_variant_get(v, "$", "array<variant>")
-    return F.coalesce(F.get(F.filter(rows, lambda x: F.schema_of_variant(x).startswith("OBJECT")), 0), F.when(F.schema_of_variant(v).startswith("OBJECT"), v))
+
+    def found(v: Column) -> Column:
+        rows = F.try_variant_get(v, "$", "array<variant>")
+        return F.coalesce(F.when(F.schema_of_variant(v).startswith("OBJECT"), v), F.get(F.filter(rows, lambda x: F.schema_of_variant(x).startswith("OBJECT")), 0))
+
+    return let(F.try_parse_json(json), found)
 
 
 def field(v: Column, *names: str, containers: bool = False) -> Column:
     """The first of these fields with text, trimmed; numbers and booleans as text. Containers count only if asked for, as JSON."""
 
     def one(name: str) -> Column:
-        x = F.try_variant_get(v, f'$["{name}"]', "variant")
-        kind = F.schema_of_variant(x)
-        inside = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        scalar = blank_to_null(F.try_variant_get(v, f'$["{name}"]', "string"))
-        return F.when(inside, F.to_json(x)).otherwise(scalar) if containers else F.when(~inside, scalar)
+        def found(x: Column) -> Column:
+            kind = F.schema_of_variant(x)
+            inside = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+            scalar = let(F.try_variant_get(x, "$", "string"), blank_to_null)
+            return F.when(inside, F.to_json(x)).otherwise(scalar) if containers else F.when(~inside, scalar)
+
+        return let(F.try_variant_get(v, f'$["{name}"]', "variant"), found)
 
     return F.coalesce(*map(one, names))
 

@@ -15,7 +15,8 @@ from foliary import schema as S
 _CHAPTER = re.compile(r"(제\s*\d+\s*장)\s*(.*)", re.A)
 _SECTION = re.compile(r"(제\s*\d+\s*절)\s*(.*)", re.A)
 _ARTICLE = re.compile(r"(제\s*\d+\s*조(?:\s*의\s*\d+)?)\s*(?:\(([^)]*)\))?\s*(.*)", re.A)
-_HEADING = re.compile(r"(?:[ⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]\.|[0-9]+(?:\.[0-9]+)*\.|[가-하]\.|[A-Z]\.)\s+.+", re.A)
+HEADING_FORM = r"(?:[ⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]\.|[0-9]+(?:\.[0-9]+)*\.|[가-하]\.|[A-Z]\.)\s+.+"
+_HEADING = re.compile(HEADING_FORM, re.A)
 _TOC_TITLE = re.compile(r"목\s*차|차\s*례|CONTENTS?", re.A | re.I)
 _TOC_LINE = re.compile(r".*(?:\.{2,}|…{2,}|\s{3,})(?:\d+|[ivxlcdm]+)\s*", re.A | re.I)
 _PARAGRAPH = re.compile(r"\n\s*\n", re.A)

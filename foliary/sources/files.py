@@ -5,7 +5,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary import schema as S
@@ -38,6 +38,14 @@ def catalogued(catalog: DataFrame, files: DataFrame, base: str, default_year: st
     return catalog.withColumn("path", bare(path)).join(found, "path", "left")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt evenly over the cores where they come in fewer partitions than these (small tables before costly maps)."""
+    if rows.isStreaming:
+        return rows
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 _ENTRY = "array<struct<seq:int,name:string,content:binary,code:string,message:string>>"
 _ENTRY_ARROW = pa.list_(pa.struct([("seq", pa.int32()), ("name", pa.string()), ("content", pa.binary()), ("code", pa.string()), ("message", pa.string())]))
 _RESULT = "struct<status:string,code:string,message:string,media_type:string,contents:string>"
@@ -68,16 +76,25 @@ def expand_archives(rows: DataFrame, name: str = "save_file_name") -> DataFrame:
     return outer.unionByName(inner)
 
 
-def extract_files(rows: DataFrame) -> DataFrame:
-    """Extracted documents (foliary.schema.EXTRACTS without idx and summaries) of catalogued rows with content."""
+def extract_files(rows: DataFrame, *, more: parsers.Parsers | None = None, images: str | None = None) -> DataFrame:
+    """Extracted documents (foliary.schema.EXTRACTS without idx and summaries) of catalogued rows with content, by the registered parsers and
+    `more`, which the tasks get from here. With a base folder for pictures img_datas maps their names to where image_files puts them."""
     flat = expand_archives(rows)
-    own = F.coalesce("entry_name", "save_file_name")
+    own, known = F.coalesce("entry_name", "save_file_name"), parsers.PARSERS | (more or {})
     flat = flat.withColumn("__name", own)
-    done = _added(flat, "__r", _RESULT, _RESULT_ARROW, ("__name", "content", "code", "message"), lambda name, content, code, message: parsers.extract(name, content) if code is None else {"status": S.FAIL, "code": code, "message": message, "media_type": None, "contents": None})
+
+    def made(name: str, content: bytes | None, code: str | None, message: str | None) -> dict:
+        return parsers.extract(name, content, known=known) if code is None else {"status": S.FAIL, "code": code, "message": message, "media_type": None, "contents": None}
+
+    done = _added(flat, "__r", _RESULT, _RESULT_ARROW, ("__name", "content", "code", "message"), made)
+    pictures = F.lit("[]")
+    if images is not None:
+        done = _added(done, "__n", "int", pa.int32(), ("content",), lambda content: len(parsers.images(content)))
+        pictures = F.when(F.col("__n") > 0, X.image_map(F.transform(F.sequence(F.lit(1), F.greatest("__n", F.lit(1))), lambda i: _image_path(images, own, i)))).otherwise("[]")
     contents = X.normalize_extracted(F.col("__r.contents"))
     zipped = X.extension(F.col("save_file_name")) == "zip"
     made = done.select(
-        F.col("save_file_name").alias("file_name"), "rc_rfile_no", "rc_ritem_no", "zip_seq", F.col("entry_name").alias("zip_entry_file_name"), contents.alias("contents"), F.lit("[]").alias("img_datas"),
+        F.col("save_file_name").alias("file_name"), "rc_rfile_no", "rc_ritem_no", "zip_seq", F.col("entry_name").alias("zip_entry_file_name"), contents.alias("contents"), pictures.alias("img_datas"),
         X.effective_type(F.col("save_file_name"), F.when(zipped, "ZIP"), F.col("__r.media_type")).alias("file_type"), X.file_group(own).alias("file_gubun"), contents.alias("indexing_contents"),
         X.data_year(F.col("transferyear"), F.col("prodyear")).alias("data_year"), F.when(X.has_text(contents), "Y").otherwise("N").alias("has_contents"), F.col("__r.status").alias("extract_status"),
         F.when(F.col("__r.code").isNotNull(), F.concat_ws(": ", F.col("__r.code"), F.col("__r.message"))).alias("extract_err_msg"),
@@ -89,17 +106,25 @@ _IMAGE = "array<struct<seq:int,data:binary>>"
 _IMAGE_ARROW = pa.list_(pa.struct([("seq", pa.int32()), ("data", pa.binary())]))
 
 
+def _image_path(base: str, name: Column, seq: Column) -> Column:
+    """base/year/file/item/name without extension/imgN.png; an entry of an archive stands below the archive's name."""
+    stem = lambda c: F.regexp_replace(c, r"\.[^.]*$", "")
+    below = F.when(F.col("entry_name").isNotNull(), F.concat_ws("/", stem(F.col("save_file_name")), stem(F.col("entry_name")))).otherwise(stem(name))
+    return F.concat(F.concat_ws("/", F.lit(base), "transferyear", "rc_rfile_no", "rc_ritem_no", below), F.lit("/img"), seq.cast("string"), F.lit(".png"))
+
+
 def image_files(rows: DataFrame, base: str, name: str = "save_file_name") -> DataFrame:
-    """A row for each picture in the files of catalogued rows: keys, seq, data and the path that it belongs at,
-    base/year/file/item/name without extension/imgN.png. Write data by path where a store of pictures is wanted."""
-    found = _added(rows, "__i", _IMAGE, _IMAGE_ARROW, ("content",), parsers.images).select(*[c for c in rows.columns if c != "content"], F.explode("__i").alias("i"))
-    folder = F.concat_ws("/", F.lit(base), "transferyear", "rc_rfile_no", "rc_ritem_no", F.regexp_replace(name, r"\.[^.]*$", ""))
-    return found.select("rc_rfile_no", "rc_ritem_no", name, "i.seq", F.concat(folder, F.lit("/img"), F.col("i.seq").cast("string"), F.lit(".png")).alias("image_path"), "i.data")
+    """A row for each picture in the files of catalogued rows and in the entries of their archives: keys, entry_name (null outside archives), seq,
+    data and the path that it belongs at. Write data by path where a store of pictures is wanted."""
+    flat = expand_archives(rows.withColumn("save_file_name", F.col(name)) if name != "save_file_name" else rows, name)
+    found = _added(flat, "__i", _IMAGE, _IMAGE_ARROW, ("content",), parsers.images)
+    found = found.select(*[c for c in flat.columns if c != "content"], F.explode("__i").alias("i"))
+    return found.select("rc_rfile_no", "rc_ritem_no", name, "entry_name", "i.seq", _image_path(base, F.col(name), F.col("i.seq")).alias("image_path"), "i.data")
 
 
 def page_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """pages with text: the whole body's text, tables as rows of cells."""
-    made = _added(pages.withColumn("__b", F.encode(html, "UTF-8")), "text", "string", pa.string(), ("__b",), lambda b: parsers.web_page(b or b""))
+    made = _added(spread(pages).withColumn("__b", F.encode(html, "UTF-8")), "text", "string", pa.string(), ("__b",), lambda b: parsers.web_page(b or b""))
     return made.drop("__b").withColumn("text", X.normalize_extracted(F.col("text")))
 
 

@@ -1,4 +1,4 @@
-"""Text of single files: web pages, HWPX, Office XML and plain text. Small helpers of foliary.sources.files, which runs them in tasks."""
+"""Text of single files: web pages, HWPX, Office XML and plain text (PDF and binary HWP have modules of their own). Small helpers of foliary.sources.files, which runs them in tasks."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
+from foliary.sources import hwp, pdf
+
 #: Elements whose text goes, and those that stand in lines of their own.
 HIDDEN = frozenset(["script", "style", "noscript", "head"])
 BLOCKS = frozenset("div p section article header footer h1 h2 h3 h4 h5 h6 ul ol li tr".split())
@@ -201,8 +203,11 @@ def plain(content: bytes) -> str:
     return content.decode("utf-8", "replace")
 
 
-#: By extension: media type and parser. PDF and binary HWP have none here; register() adds one.
-PARSERS: dict[str, tuple[str, Callable[[bytes], str]]] = {
+Parsers = dict[str, tuple[str, Callable[[bytes], str]]]
+#: By extension: media type and parser.
+PARSERS: Parsers = {
+    "hwp": ("application/x-hwp", hwp.text),
+    "pdf": ("application/pdf", pdf.text),
     "hwpx": ("application/hwp+zip", hwpx),
     "html": ("text/html", web_page),
     "htm": ("text/html", web_page),
@@ -215,13 +220,16 @@ PARSERS: dict[str, tuple[str, Callable[[bytes], str]]] = {
 
 
 def register(extension: str, media_type: str, parser: Callable[[bytes], str]) -> None:
+    """Adds a parser for runs that start from here on; they take the parsers to their tasks."""
     PARSERS[extension.lower()] = (media_type, parser)
 
 
-def _kind(name: str, content: bytes) -> str:
-    """The extension that decides, else what the first bytes say."""
+def _kind(name: str, content: bytes, known: Parsers) -> str:
+    """The extension that decides (an HWP document may be of the zipped kind), else what the first bytes say."""
     ext = name.rpartition(".")[2].lower() if "." in name else ""
-    if ext in PARSERS or ext in ("hwp", "pdf"):
+    if ext == "hwp" and content.startswith(b"PK"):
+        return "hwpx"
+    if ext in known:
         return ext
     head = content[:512].lstrip().lower()
     if head.startswith((b"<!doctype html", b"<html")):
@@ -229,7 +237,7 @@ def _kind(name: str, content: bytes) -> str:
     if head.startswith(b"%pdf"):
         return "pdf"
     if content[:8] == b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1":
-        return "ole"
+        return "hwp" if "HWP Document File".encode() in content else "ole"
     return "txt" if b"\0" not in content[:4096] else ext or "bin"
 
 
@@ -267,26 +275,28 @@ def images(content: bytes | None) -> list[dict]:
     return [{"seq": i, "data": d} for i, d in enumerate(found, 1)]
 
 
-def extract(name: str, content: bytes | None, seconds: float = 60) -> dict:
-    """status, code, message, media_type, contents of one file; never raises, and gives up after so many seconds."""
+def extract(name: str, content: bytes | None, seconds: float = 60, known: Parsers = PARSERS) -> dict:
+    """status, code, message, media_type, contents of one file by the parsers known; never raises, and gives up after so many seconds."""
     if content is None:
         return {"status": "FAIL", "code": "FILE_NOT_FOUND", "message": f"no such file: {name}", "media_type": None, "contents": None}
-    kind = _kind(name or "", content)
-    media, parser = PARSERS.get(kind, (None, None))
+    kind = _kind(name or "", content, known)
+    media, parser = known.get(kind, (None, None))
     try:
         if parser is None:
-            raise ParseError("PDF_PARSE_FAILED" if kind == "pdf" else "UNSUPPORTED_FORMAT", f"no parser is registered for {kind}")
+            raise ParseError("UNSUPPORTED_FORMAT", f"there is no parser for {kind}")
         with _limit(seconds):
             text = parser(content)
         return {"status": "PASS", "code": None, "message": None, "media_type": media, "contents": text}
     except ParseError as e:
         code, message = e.code, str(e)
+    except hwp.Unreadable as e:
+        code, message = "UNSUPPORTED_FORMAT", str(e)
     except (zipfile.BadZipFile, ElementTree.ParseError, KeyError) as e:
         code, message = "INVALID_DOCUMENT_FORMAT", f"{type(e).__name__}: {e}"
     except Exception as e:  # a row, not the run, fails
         while e.__cause__ is not None:
             e = e.__cause__
-        code, message = "PARSE_FAILED", f"{type(e).__name__}: {e}"
+        code, message = "PDF_PARSE_FAILED" if kind == "pdf" else "PARSE_FAILED", f"{type(e).__name__}: {e}"
     return {"status": "FAIL", "code": code, "message": message[:2000], "media_type": media, "contents": None}
 
 
