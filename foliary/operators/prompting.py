@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliary import schema as S
@@ -11,6 +13,13 @@ from foliary.functions.text import cut, null_to_blank
 #: Variables of the templates.
 ITEM_VARIABLES = ("RC_CODE", "RC_RFILE_NO", "RC_RITEM_NO", "BND_TTL", "JEMOK", "ALL_ORG_NM", "PRODREGDATE", "PRODYEAR")
 
+SUMMARY_VARIABLES = (*ITEM_VARIABLES, "ORG_FILE_PATH", "FILE_NAME", "ZIP_SEQ", "ZIP_ENTRY_FILE_NAME", "FILE_TYPE", "FILE_GUBUN", "INDEXING_CONTENTS")
+
+
+def variables(rows: DataFrame, names: Sequence[str]) -> dict[str, Column]:
+    """The variables of a template that rows have columns for, in their order."""
+    return {v: F.col(v.lower()) for v in names if v.lower() in rows.columns}
+
 
 def escaped(value: Column) -> Column:
     """As the inside of a JSON string."""

@@ -38,9 +38,9 @@ class Params:
 
 
 def page(rows: DataFrame, order: Sequence[str], limit: int, offset: int = 0) -> DataFrame:
-    """A slice of the rows by these columns, then by all others, so that it is the same in every run."""
-    rest = [c for c in rows.columns if c not in order]
-    return rows.orderBy(*order, *rest).offset(offset).limit(limit)
+    """A slice of the rows by these columns (a minus before a name: from the greatest down), then by all others, so that it is the same in every run."""
+    rest = [c for c in rows.columns if c not in {o.removeprefix("-") for o in order}]
+    return rows.orderBy(*[F.col(o[1:]).desc() if o.startswith("-") else F.col(o) for o in order], *rest).offset(offset).limit(limit)
 
 
 def unfinished(status: Column, retry: bool) -> Column:
@@ -201,6 +201,14 @@ def mapping_dictionary(codes: DataFrame, agency: str) -> DataFrame:
     return rows.select("gov_task_no", "gov_task_nm", "detail_task_cd", "detail_task_nm", "direct_mapping_terms", "conditional_mapping_terms", "expand_candidate_terms", "required_combine_terms", "block_terms", "note", "lead_agency")
 
 
+def dictionary_json(rows: DataFrame) -> DataFrame:
+    """dictionary: the mapping dictionary's rows as one JSON array of objects, nulls written, in the order of their codes. A prompt holds it, so it is
+    what one prompt can hold."""
+    row = F.struct(F.col("detail_task_cd"), F.struct(*[F.col(c).alias(c.upper()) for c in rows.columns]).alias("row"))
+    lists = rows.agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    return lists.select(F.to_json(F.transform("rows", lambda r: r["row"]), {"ignoreNullFields": "false"}).alias("dictionary"))
+
+
 def determined(code: Column, name: Column) -> Column:
     """A policy was found: it has a code, and a name that doesn't say otherwise."""
     return has_text(code) & has_text(name) & (F.trim(name) != S.NOT_APPLICABLE)

@@ -259,14 +259,17 @@ def chunk_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _KEPT = "SELECT extract_idx, 1 AS chunk_seq, 'old' AS chunk_text, 'READY' AS chunk_status FROM doc_chunks"
+_DONE = "(SELECT idx, indexing_contents AS t, seq FROM doc_extracts, (VALUES (1), (2)) v(seq) WHERE extract_status = 'FAIL' OR data_year = 2023)"
 
 
-@query(f"SELECT * FROM ({_KEPT}) WHERE extract_idx NOT IN (SELECT idx FROM doc_extracts WHERE extract_status = 'FAIL') UNION ALL SELECT idx, 0, 'No content to split', 'SKIP' FROM doc_extracts WHERE extract_status = 'FAIL'", ("doc_extracts", "doc_chunks"))
+@query(f"SELECT * FROM ({_KEPT}) WHERE extract_idx NOT IN (SELECT idx FROM {_DONE}) UNION ALL SELECT idx, 0, 'No content to split', 'SKIP' FROM {_DONE} WHERE seq = 1 AND length(coalesce(t, '')) = 0 UNION ALL SELECT idx, seq, substr(t, seq * 100 - 99, 100), 'READY' FROM {_DONE} WHERE length(t) > seq * 100 - 100", ("doc_extracts", "doc_chunks"))
 def chunk_replace(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunks of failed documents give way to markers."""
+    """Chunks of failed and of recent documents give way to the first two hundred characters in two chunks, or to a marker where there are none."""
     old = frame(spark, sf, "doc_chunks").select("extract_idx", F.lit(1).alias("chunk_seq"), F.lit("old").alias("chunk_text"), F.lit(S.READY).alias("chunk_status"))
-    sources = frame(spark, sf, "doc_extracts").where(F.col("extract_status") == S.FAIL).select(F.col("idx").alias("extract_idx"))
-    return merge.replace_chunks(old, old.limit(0), sources)
+    done = frame(spark, sf, "doc_extracts").where((F.col("extract_status") == S.FAIL) | (F.col("data_year") == 2023)).select(F.col("idx").alias("extract_idx"), "indexing_contents")
+    seq = done.select("extract_idx", "indexing_contents", F.explode(F.array(F.lit(1), F.lit(2))).alias("chunk_seq")).where(F.length("indexing_contents") > F.col("chunk_seq") * 100 - 100)
+    made = seq.select("extract_idx", "chunk_seq", F.expr("substring(indexing_contents, chunk_seq * 100 - 99, 100)").alias("chunk_text"), F.lit(S.READY).alias("chunk_status"))
+    return merge.replace_chunks(old, made, done)
 
 
 # Keyed writes
@@ -322,11 +325,20 @@ def letter_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("rc_ritem_no", "hwp_sub_title", "implement_org", "implement_date", "receipt_org", "body")
 
 
-@query()
+_SIDES = "SELECT l_orderkey AS doc_id, l_linenumber AS n, 'p' || l_partkey AS text, CAST(CAST(floor(round(l_discount * 5000, 6)) AS INTEGER) AS DOUBLE) AS x FROM lineitem"
+_SIDES = f"SELECT *, x - max(x + 90) OVER (PARTITION BY doc_id, n ORDER BY x, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 72 AS new FROM ({_SIDES})"
+_SIDES = f"SELECT *, count(*) FILTER (new) OVER (PARTITION BY doc_id, n ORDER BY x, text ROWS UNBOUNDED PRECEDING) AS s FROM ({_SIDES})"
+_SIDES = f"SELECT doc_id, n, string_agg(text, ' ' ORDER BY x, text) AS text, min(x) AS min_x, max(x + 90) AS max_x FROM ({_SIDES}) GROUP BY doc_id, n, s"
+_SIDES = f"SELECT *, CASE WHEN max_x < 300 THEN 1 WHEN min_x > 300 THEN 2 ELSE 0 END AS side FROM ({_SIDES})"
+_SIDES = f"SELECT *, count(*) FILTER (side = 1) OVER p AS lefts, count(*) FILTER (side = 2) OVER p AS rights, min(n) FILTER (side > 0) OVER p AS top FROM ({_SIDES}) WINDOW p AS (PARTITION BY doc_id)"
+_SIDES = f"SELECT *, CASE WHEN least(lefts, rights) < 3 THEN 0 WHEN side > 0 THEN side WHEN n < top THEN 0 ELSE 3 END AS part FROM ({_SIDES})"
+
+
+@query(f"SELECT doc_id, 1 AS page, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY part, n, min_x, text) AS INTEGER) AS line, text, min_x, max_x, n * 10.0::DOUBLE AS min_y, n * 10.0::DOUBLE + 8 AS max_y FROM ({_SIDES})")
 def pdf_column_order(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as text runs of pages: an order is a page."""
     rows = spark.read.parquet(f"{sf}/lineitem.parquet")
-    x = (F.col("l_discount") * 5000).cast("int").cast("double")
+    x = F.floor(F.round(F.col("l_discount") * 5000, 6)).cast("double")
     runs = rows.select(F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("page"), F.concat(F.lit("p"), "l_partkey").alias("text"), x.alias("min_x"), (x + 90).alias("max_x"), (F.col("l_linenumber") * 10.0).alias("min_y"), (F.col("l_linenumber") * 10.0 + 8).alias("max_y"), F.lit(600.0).alias("page_width"))
     return columns.reading_order(runs)
 
@@ -426,6 +438,234 @@ def records_crud(spark: SparkSession, sf: str) -> DataFrame:
     return merge.merged(records, changed, ("id",), insert=False).join(gone, "id", "left_anti")
 
 
+# Sorted pages, logs, maps and messages
+
+
+@query("SELECT id, lang FROM (SELECT doc_id AS id, lang FROM documents ORDER BY doc_id DESC LIMIT 50)")
+def records_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """The page is the feature: the fifty records with the greatest ids."""
+    return Q.page(spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("id"), "lang"), ("-id",), 50)
+
+
+@query("SELECT rc_code, rc_rfile_no, rc_ritem_no, 'run' AS run_id, 'POLICY' AS subject_type, CASE WHEN llm_policy_status = 'FAIL' THEN 'FAIL' ELSE 'PASS' END AS status, substr(repeat(all_org_nm || ' ', 60), 1, 500) AS org_nm, substr(prodyear || '-12', 1, 4) AS prod_year, substr(repeat(policy_cd || ',', 30), 1, 50) AS detail_task_cd, substr(repeat(policy_nm || ',', 30), 1, 100) AS detail_task_nm, CASE WHEN llm_policy_status = 'FAIL' THEN repeat('e' || rc_code, 1333) || 'e' END AS error_msg, CAST(NULL AS VARCHAR) AS matching_terms FROM items", ("items",))
+def item_log_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Log rows of all items, cut to the log's widths."""
+    long = lambda c, end, n: F.repeat(F.concat(F.col(c), F.lit(end)), n)
+    results = frame(spark, sf, "items").select(*S.ITEM_KEY, long("all_org_nm", " ", 60).alias("org_nm"), F.concat("prodyear", F.lit("-12")).alias("prod_year"), long("policy_cd", ",", 30).alias("detail_task_cd"), long("policy_nm", ",", 30).alias("detail_task_nm"), F.when(F.col("llm_policy_status") == S.FAIL, F.repeat(F.concat(F.lit("e"), "rc_code"), 2000)).alias("error_msg"))
+    return ledger.item_log(results, "run", S.POLICY).select(*S.ITEM_KEY, "run_id", "subject_type", "status", "org_nm", "prod_year", "detail_task_cd", "detail_task_nm", "error_msg", "matching_terms")
+
+
+@query("SELECT rc_rfile_no, rc_ritem_no, 'TEXT' AS subject_type, CASE WHEN extract_status = 'FAIL' THEN 'FAIL' ELSE 'PASS' END AS status, file_gubun AS detail_task_cd, file_name || coalesce(' / ' || zip_entry_file_name, '') AS detail_task_nm, CASE WHEN extract_status = 'FAIL' THEN 'broken' END AS error_msg FROM extracts", ("extracts",))
+def text_log_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = frame(spark, sf, "extracts").withColumn("extract_err_msg", F.when(F.col("extract_status") == S.FAIL, "broken"))
+    return ledger.text_log(rows, "run").select("rc_rfile_no", "rc_ritem_no", "subject_type", "status", "detail_task_cd", "detail_task_nm", "error_msg")
+
+
+@query("SELECT o_orderkey, coalesce('{' || string_agg('\"img' || n || '\":\"/img/' || l_orderkey || '/' || l_linenumber || '.png\"', ',' ORDER BY n) FILTER (n IS NOT NULL) || '}', '[]') AS img_datas FROM orders LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS n FROM lineitem WHERE l_quantity < 20) ON l_orderkey = o_orderkey GROUP BY o_orderkey")
+def image_maps(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as pictures of their order."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_quantity < 20").groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_linenumber")).alias("n"))
+    paths = F.transform(F.coalesce("n", F.array().cast("array<int>")), lambda n: F.concat(F.lit("/img/"), F.col("o_orderkey").cast("string"), F.lit("/"), n.cast("string"), F.lit(".png")))
+    return spark.read.parquet(f"{sf}/orders.parquet").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", X.image_map(paths).alias("img_datas"))
+
+
+_AGENCY = "CASE user_id % 6 WHEN 0 THEN '환경부 ' WHEN 1 THEN '복지부' WHEN 2 THEN '보건복지부 ' WHEN 3 THEN ' 환경부' WHEN 4 THEN '' ELSE 'x복지부' END || event_type"
+
+
+@query(f"SELECT event_id, CASE user_id % 6 WHEN 0 THEN '환경부' WHEN 1 THEN '복지부' WHEN 2 THEN '복지부' END AS agency, CASE user_id % 6 WHEN 0 THEN '환경부' WHEN 1 THEN '복지부' END AS strict FROM events")
+def lead_agencies(spark: SparkSession, sf: str) -> DataFrame:
+    name = F.expr(_AGENCY)
+    return spark.read.parquet(f"{sf}/events.parquet").select("event_id", X.lead_agency(name).alias("agency"), X.lead_agency(name, strict=True).alias("strict"))
+
+
+_ENTRIES = "SELECT gov_task_no, gov_task_nm, detail_task_cd, detail_task_nm, direct_mapping_terms, conditional_mapping_terms, expand_candidate_terms, required_combine_terms, block_terms, note, lead_agency FROM codes WHERE cls_cd = 'POLICY' AND prev_gov_cd = 'LMB' AND lead_agency LIKE 'Brand#1%'"
+_ENTRY = "'{' || " + " || ',' || ".join(f"""'"{c.upper()}":' || coalesce('"' || {c} || '"', 'null')""" for c in "gov_task_no gov_task_nm detail_task_cd detail_task_nm direct_mapping_terms conditional_mapping_terms expand_candidate_terms required_combine_terms block_terms note lead_agency".split()) + " || '}'"
+
+
+@query(f"SELECT coalesce('[' || string_agg({_ENTRY}, ',' ORDER BY detail_task_cd) || ']', '[]') AS dictionary FROM ({_ENTRIES})", ("codes",))
+def dictionary_json(spark: SparkSession, sf: str) -> DataFrame:
+    return Q.dictionary_json(dictionary_prefix(spark, sf))
+
+
+@query(f"SELECT conv_id, turn, '{{\"model\":\"m\",\"messages\":[{{\"role\":\"system\",\"content\":\"sum up\"}},{{\"role\":\"user\",\"content\":\"File: ' || coalesce(role, '') || '\\nItem: ' || turn || '\\n\\n' || {_JSON_ESCAPED.format("substr(coalesce(text, ''), 1, 12000)")} || '\\n\\nas JSON\"}}],\"temperature\":0.2,\"stream\":false}}' AS request FROM conversations")
+def summary_requests(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf}/conversations.parquet")
+    user = prompting.summary_message(F.col("role"), F.col("turn").cast("string"), F.col("text"), "as JSON")
+    return rows.select("conv_id", "turn", prompting.chat_request("m", F.lit("sum up"), user).alias("request"))
+
+
+@query("SELECT rc_ritem_no, 'File ' || rc_rfile_no || ' of ' || coalesce(all_org_nm, '') || ': , {CANDIDATES}' AS of_file, 'Item ' || rc_ritem_no || ': ' || jemok AS of_item FROM items", ("items",))
+def file_level_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same variables for a file as a whole, without the item's number and title, and for the item; a costly variable that no template names isn't made."""
+    items = frame(spark, sf, "items")
+    own = prompting.variables(items, prompting.ITEM_VARIABLES)
+    of_file, of_item = "File {RC_RFILE_NO} of {{ALL_ORG_NM}}: ${RC_RITEM_NO}{JEMOK}, {CANDIDATES}", "Item {RC_RITEM_NO}: {JEMOK}"
+    if prompting.mentions(of_item, "CANDIDATES"):
+        raise AssertionError("the item's prompt names no candidates")
+    return items.select("rc_ritem_no", prompting.render(of_file, prompting.file_level(own)).alias("of_file"), prompting.render(of_item, own).alias("of_item"))
+
+
+# More answers and writes
+
+_K = "json_extract_string(props, '$.k')"
+
+
+def _answers(spark: SparkSession, sf: str, content) -> DataFrame:
+    """Answers to events: content in a response's first choice, but for errors."""
+    body = F.to_json(F.struct(F.array(F.struct(content.alias("text"))).alias("choices")))
+    return spark.read.parquet(f"{sf}/events.parquet").select("event_id", F.when(F.col("event_type") == "error", "sorry").otherwise(body).alias("response"), F.lit(None).cast("string").alias("call_error"))
+
+
+def _parsed(spark: SparkSession, sf: str, subject: str, name: str) -> DataFrame:
+    k = F.get_json_object("props", "$.k")
+    content = F.concat(F.lit('so: {"item_cd": "I'), k, F.lit(f'", "{name}": "  N '), k, F.lit(' ", "reason": '), k, F.lit("} ok"))
+    return responses.parse_subjects(_answers(spark, sf, content), subject).select("event_id", "error", "code", "name", "reason")
+
+
+_PARSED = f"SELECT event_id, CASE WHEN event_type = 'error' THEN '{{}} response can''t be read: sorry' END AS error, CASE WHEN event_type <> 'error' THEN 'I' || {_K} END AS code, CASE WHEN event_type <> 'error' THEN 'N ' || {_K} END AS name, CASE WHEN event_type <> 'error' THEN {_K} END AS reason FROM events"
+
+
+@query(_PARSED.format("EVENT"))
+def event_answers(spark: SparkSession, sf: str) -> DataFrame:
+    return _parsed(spark, sf, S.EVENT, "event_name")
+
+
+@query(_PARSED.format("ACTIVITY"))
+def activity_answers(spark: SparkSession, sf: str) -> DataFrame:
+    return _parsed(spark, sf, S.ACTIVITY, "ACTIVITY_NAME")
+
+
+@query(f"SELECT event_id, CASE WHEN event_type = 'error' THEN 'POLICY_DEPT response can''t be read: sorry' END AS error, CASE WHEN event_type <> 'error' THEN 'D ' || {_K} END AS name, CASE WHEN event_type <> 'error' THEN {_K} END AS code, CASE WHEN event_type <> 'error' THEN '[\"a\",\"' || {_K} || '\"]' END AS matching_terms, CASE WHEN event_type <> 'error' THEN '직접' END AS decision_value, CASE WHEN event_type <> 'error' THEN '' END AS criteria_type FROM events")
+def department_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrays whose first object counts, with names of fields in two languages."""
+    k = F.get_json_object("props", "$.k")
+    content = F.concat(F.lit('```json\n[1, {"후보 세부실천과제": "D '), k, F.lit('", "DETAIL_TASK_CD": '), k, F.lit(', "매칭어": ["a", "'), k, F.lit('"], "판정값": " 직접"}, {"DETAIL_TASK_CD": 0}]\n```'))
+    return responses.parse_departments(_answers(spark, sf, content)).select("event_id", "error", "name", "code", "matching_terms", "decision_value", "criteria_type")
+
+
+def _subject_update(spark: SparkSession, sf: str, subject: str) -> DataFrame:
+    code, name, status, message = merge.RESULT_COLUMNS[subject]
+    none = F.lit(None).cast("string")
+    items = frame(spark, sf, "items").withColumns({code: F.lit("old"), name: none, message: F.lit("before")})
+    results = items.where(F.col("llm_policy_status").isNotNull()).select(*S.ITEM_KEY, F.when(F.col("llm_policy_status") == S.FAIL, F.repeat(F.col("rc_ritem_no"), 200)).alias("error"), F.lit("new").alias("code"), F.lit("제외").alias("name"), F.lit("because").alias("reason"))
+    return merge.item_results(items, results, subject).select(*S.ITEM_KEY, code, name, status, message)
+
+
+_UPDATED = "SELECT rc_code, rc_rfile_no, rc_ritem_no, CASE WHEN llm_policy_status = 'PASS' THEN 'new' ELSE 'old' END AS {0}, CASE WHEN llm_policy_status = 'PASS' THEN '제외' END AS {1}, coalesce(llm_policy_status, {2}) AS {2}, CASE WHEN llm_policy_status = 'FAIL' THEN substr(repeat(rc_ritem_no, 200), 1, 500) WHEN llm_policy_status IS NULL THEN 'before' END AS {3} FROM items"
+
+
+@query(_UPDATED.format(*merge.RESULT_COLUMNS[S.EVENT]), ("items",))
+def event_update(spark: SparkSession, sf: str) -> DataFrame:
+    return _subject_update(spark, sf, S.EVENT)
+
+
+@query(_UPDATED.format(*merge.RESULT_COLUMNS[S.ACTIVITY]), ("items",))
+def activity_update(spark: SparkSession, sf: str) -> DataFrame:
+    return _subject_update(spark, sf, S.ACTIVITY)
+
+
+@query("SELECT idx, CASE WHEN idx % 4 = 1 THEN 'old' WHEN idx % 4 = 0 THEN 'new' WHEN idx % 4 = 2 THEN NULL ELSE 'old' END AS implement_org, CASE WHEN idx % 4 IN (1, 3) THEN 'before' WHEN idx % 4 = 2 THEN '2020' END AS receipt_date, 'done' AS extract_status FROM extracts", ("extracts",))
+def letter_update(spark: SparkSession, sf: str) -> DataFrame:
+    """Extracts written again: the letter's columns change only where any of them has text."""
+    old = frame(spark, sf, "extracts").withColumns({"implement_org": F.lit("old"), "implement_date": F.lit("old"), "receipt_org": F.lit("old"), "receipt_date": F.lit("before")})
+    kind = F.col("idx") % 4
+    new = old.select(*S.EXTRACT_KEY, F.lit("done").alias("extract_status"), F.when(kind == 0, "new").when(kind == 3, " ").alias("implement_org"), F.when(kind == 2, "2020").alias("receipt_date")).distinct()
+    extra = {c: F.lit(None).cast("string") for c in ("summary", "llm_summary_err_msg", "create_date")}
+    return merge.upsert_extracts(old.withColumns(extra), new).select("idx", "implement_org", "receipt_date", "extract_status")
+
+
+@query(f"SELECT rc_ritem_no, file_name, CASE WHEN missing THEN '' ELSE {_PLAIN_TEXT} END AS contents, CASE WHEN missing THEN 'FAIL' ELSE 'PASS' END AS extract_status, CASE WHEN missing THEN 'FILE_NOT_FOUND: no such file: ' || file_name END AS extract_err_msg, CASE WHEN missing OR NOT regexp_matches({_PLAIN_TEXT}, '\\S') THEN 'N' ELSE 'Y' END AS has_contents FROM (SELECT 'R' || conv_id AS rc_ritem_no, turn || '_N01.txt' AS file_name, turn % 7 = 3 AS missing, coalesce(text, '') AS text FROM conversations)")
+def file_extracts(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns as stored text files, some of which are gone: each gives a row, whatever becomes of it."""
+    rows = spark.read.parquet(f"{sf}/conversations.parquet")
+    gone = F.col("turn") % 7 == 3
+    given = rows.select(F.lit("2023").alias("transferyear"), F.lit("F").alias("rc_rfile_no"), F.concat(F.lit("R"), "conv_id").alias("rc_ritem_no"), F.lit("2020").alias("prodyear"), F.concat("turn", F.lit("_N01.txt")).alias("save_file_name"), F.when(~gone, F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("content"))
+    return files.extract_files(given).select("rc_ritem_no", "file_name", F.coalesce("contents", F.lit("")).alias("contents"), "extract_status", "extract_err_msg", "has_contents")
+
+
+@query("SELECT conv_id, turn, 'PASS' AS status, 'Conversation ' || conv_id || chr(10) || 'Turn (' || turn || ')' || chr(10) || 'by ' || role AS text FROM conversations")
+def pdf_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns written as PDF files and read again."""
+    rows = spark.read.parquet(f"{sf}/conversations.parquet")
+    lines = rows.select("conv_id", "turn", F.array(F.concat(F.lit("Conversation "), "conv_id"), F.concat(F.lit("Turn ("), "turn", F.lit(")")), F.concat(F.lit("by "), "role")).alias("lines"), F.lit("turn.pdf").alias("name"))
+    stored = files._added(lines, "content", "binary", files.pa.binary(), ("lines",), files.parsers.pdf.written)
+    done = files._added(stored, "r", files._RESULT, files._RESULT_ARROW, ("name", "content"), files.parsers.extract)
+    return done.select("conv_id", "turn", F.col("r.status").alias("status"), F.regexp_replace(X.normalize_extracted(F.col("r.contents")), r"\s+$", "").alias("text"))
+
+
+# More runs
+
+
+@query()
+def summary_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Summaries by a client that answers from the message itself."""
+    none = F.lit(None).cast("string")
+    extracts = frame(spark, sf, "extracts").withColumns({"summary": none, "llm_summary_err_msg": none})
+    after, _ = workflow.summary_run(extracts, frame(spark, sf, "catalog"), frame(spark, sf, "items"), "Sum up {FILE_NAME}.", "as JSON", summary_client, Q.Params())
+    return after.select(*S.EXTRACT_KEY, "summary_flag", "summary", "llm_summary_status", "llm_summary_err_msg")
+
+
+def summary_client():
+    """A stub: the summary is the message's first line, asked for where the item is a plan; leases are answered without JSON."""
+
+    def send(body: str) -> str:
+        first, item = json.loads(body)["messages"][1]["content"].split("\n")[:2]
+        answer = "none" if "lease" in item else json.dumps({"flag": "y" if "plan" in item else "n", "summary": first})
+        return json.dumps({"choices": [{"message": {"content": answer}}]})
+
+    return send
+
+
+_SUMMED_UP = "(SELECT z.file_name, z.rc_rfile_no, z.rc_ritem_no, z.zip_seq, min(a.bnd_ttl) AS bnd_ttl, min(a.jemok) AS jemok FROM " + _SUMMARY.format("z.summary_flag IS NULL AND z.llm_summary_status IS NULL").split(" FROM ", 1)[1] + " GROUP BY ALL)"
+ORACLES["summary_run"] = f"WITH {ctes('extracts', 'catalog', 'items')} SELECT e.file_name, e.rc_rfile_no, e.rc_ritem_no, e.zip_seq, CASE WHEN jemok IS NULL THEN summary_flag WHEN jemok LIKE '%plan%' THEN 'Y' ELSE 'N' END AS summary_flag, CASE WHEN jemok LIKE '%lease%' THEN NULL WHEN jemok LIKE '%plan%' THEN 'File: ' || bnd_ttl WHEN jemok IS NOT NULL THEN '' END AS summary, CASE WHEN jemok IS NULL THEN llm_summary_status WHEN jemok LIKE '%lease%' THEN 'FAIL' ELSE 'PASS' END AS llm_summary_status, CASE WHEN jemok LIKE '%lease%' THEN 'SUMMARY response can''t be read: {{\"choices\": [{{\"message\": {{\"content\": \"none\"}}}}]}}' END AS llm_summary_err_msg FROM extracts e LEFT JOIN {_SUMMED_UP} q USING (file_name, rc_rfile_no, rc_ritem_no, zip_seq)"
+
+
+@query()
+def subjects_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Policy, event and activity, each where its own status is open."""
+    none = F.lit(None).cast("string")
+    extra = {c: none for s in (S.EVENT, S.ACTIVITY) for c in merge.RESULT_COLUMNS[s] if not c.endswith("status")}
+    clients = {s: (lambda s=s: subject_client(s)) for s in S.SUBJECTS}
+    after, _ = workflow.subjects_run(frame(spark, sf, "items").withColumns(extra), frame(spark, sf, "catalog"), dict.fromkeys(S.SUBJECTS, '{"title": "{{JEMOK}}"}'), clients, Q.Params())
+    return after.select(*S.ITEM_KEY, *[c for s in S.SUBJECTS for c in merge.RESULT_COLUMNS[s][:3]])
+
+
+def subject_client(subject: str):
+    """A stub: the name is the title's last word, the code the subject."""
+    name = {S.POLICY: "POLICY", S.EVENT: "event_name", S.ACTIVITY: "activity_name"}[subject]
+
+    def send(body: str) -> str:
+        title = json.loads(json.loads(body)["messages"][1]["content"])["title"]
+        return json.dumps({"choices": [{"text": json.dumps({"ITEM_CD": subject, name: title.split()[-1]})}]})
+
+    return send
+
+
+_OPEN = {s: f"(q.rc_ritem_no IS NOT NULL AND coalesce(trim(llm_{s.lower()}_status), '') = '')" for s in S.SUBJECTS}
+_THREE = ", ".join(f"CASE WHEN {_OPEN[s]} THEN '{s}' ELSE {old[0]} END AS {c[0]}, CASE WHEN {_OPEN[s]} THEN string_split(jemok, ' ')[-1] ELSE {old[1]} END AS {c[1]}, CASE WHEN {_OPEN[s]} THEN 'PASS' ELSE {c[2]} END AS {c[2]}" for s, c in merge.RESULT_COLUMNS.items() for old in [c if s == S.POLICY else ("NULL", "NULL")])
+ORACLES["subjects_run"] = f"WITH {ctes('items', 'catalog')} SELECT rc_code, rc_rfile_no, i.rc_ritem_no, {_THREE} FROM items i LEFT JOIN (SELECT DISTINCT a.rc_ritem_no FROM items a JOIN catalog b ON a.rc_rfile_no = b.rc_rfile_no AND a.rc_ritem_no = b.rc_ritem_no WHERE b.transferyear = '2023' AND (a.llm_policy_status IS NULL OR a.llm_event_status IS NULL OR a.llm_activity_status IS NULL)) q ON q.rc_ritem_no = i.rc_ritem_no"
+
+
+@query()
+def department_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with an even number are decided as a whole; then the open items, of which those whose number ends with 7 fail."""
+    even = F.col("rc_rfile_no").rlike("[02468]$")
+
+    def of_files(rows: DataFrame) -> DataFrame:
+        return rows.select("rc_rfile_no", F.lit(None).cast("string").alias("error"), F.when(even, "P").alias("code"), F.when(even, "whole").otherwise(S.NOT_APPLICABLE).alias("name"))
+
+    def of_items(rows: DataFrame) -> DataFrame:
+        return rows.select(*S.ITEM_KEY, F.when(F.col("rc_ritem_no").endswith("7"), "failed").alias("error"), F.lit("").alias("code"), F.lit("").alias("name"), F.lit("open").alias("reason"))
+
+    after, _ = workflow.department_run(frame(spark, sf, "items"), frame(spark, sf, "catalog"), _DEPARTMENTS, of_files, of_items, _YEAR)
+    return after.select(*S.ITEM_KEY, *merge.RESULT_COLUMNS[S.POLICY])
+
+
+_WHOLE = f"SELECT rc_rfile_no FROM items WHERE {_FIRST} IN {_IN} AND rc_rfile_no IN (SELECT rc_rfile_no FROM catalog WHERE transferyear = '2023' AND prodyear = '1998') AND regexp_matches(rc_rfile_no, '[02468]$')"
+_LEFT = f"(rc_rfile_no NOT IN ({_WHOLE}) AND policy_cd IS NULL AND (llm_policy_status IS NULL OR llm_policy_status <> 'PASS') AND {_FIRST} IN {_IN} AND (rc_rfile_no, rc_ritem_no) IN (SELECT (rc_rfile_no, rc_ritem_no) FROM catalog WHERE transferyear = '2023' AND prodyear = '1998'))"
+ORACLES["department_run"] = f"WITH {ctes('items', 'catalog')} SELECT rc_code, rc_rfile_no, rc_ritem_no, CASE WHEN whole THEN 'P' WHEN late AND NOT bad THEN '' ELSE policy_cd END AS policy_cd, CASE WHEN whole THEN 'whole' WHEN late AND NOT bad THEN '' ELSE policy_nm END AS policy_nm, CASE WHEN whole THEN 'PASS' WHEN late AND bad THEN 'FAIL' WHEN late THEN 'PASS' ELSE llm_policy_status END AS llm_policy_status, CASE WHEN NOT whole AND late AND bad THEN 'failed' END AS llm_policy_err_msg FROM (SELECT *, rc_rfile_no IN ({_WHOLE}) AS whole, {_LEFT} AS late, rc_ritem_no LIKE '%7' AS bad FROM items)"
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages to chunks, as statistics of each kind of document."""
     found = page_chunks(spark, sf_dir).groupBy("doc_type")

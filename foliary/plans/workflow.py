@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary import schema as S
@@ -18,7 +19,9 @@ def extract_run(catalog: DataFrame, extracts: DataFrame, stored: DataFrame, base
     targets = Q.extract_targets(catalog, extracts, p)
     made = files.extract_files(files.catalogued(targets, stored, base, p.transfer_year))
     key = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in S.EXTRACT_KEY])
-    made = made.dropDuplicates(list(S.EXTRACT_KEY)).withColumn("idx", key)
+    made = made.withColumn("idx", key)
+    rest = [c for c in made.columns if c not in S.EXTRACT_KEY]
+    made = made.groupBy(*S.EXTRACT_KEY).agg(F.min(F.struct(*rest)).alias("__m")).select(*S.EXTRACT_KEY, "__m.*")  # of files catalogued twice the first
     return merge.upsert_extracts(extracts, made), made
 
 
@@ -28,15 +31,77 @@ def chunk_run(extracts: DataFrame, catalog: DataFrame, chunks: DataFrame, *, tra
     return merge.replace_chunks(chunks, chunking.chunk_documents(targets, size=size, overlap=overlap), targets)
 
 
+def ask(targets: DataFrame, key: tuple[str, ...], system: Column, user: Column, client: Callable[[], responses.Client], *, model: str = "model", workers: int | None = None) -> DataFrame:
+    """The key, response and call_error of a call for each target. Of rows that repeat a key the first by all their columns is asked about."""
+    rest = [c for c in targets.columns if c not in key]
+    first = targets.withColumn("__request", prompting.chat_request(model, system, user)).groupBy(*key).agg(F.min_by("__request", F.struct(*rest) if rest else F.lit(0)).alias("request"))
+    return responses.call(first, client, workers=workers)
+
+
 def subject_run(items: DataFrame, targets: DataFrame, template: str, client: Callable[[], responses.Client], subject: str, *, model: str = "model", workers: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The item table after a run of one subject over its targets, and the results. An item that stands among the targets more than once is asked about
     once."""
-    variables = {v: F.col(v.lower()) for v in prompting.ITEM_VARIABLES if v.lower() in targets.columns}
-    asked = targets.dropDuplicates(list(S.ITEM_KEY)).select(*S.ITEM_KEY, prompting.chat_request(model, F.lit(f"Answer in JSON for {subject}."), prompting.render(template, variables)).alias("request"))
-    results = responses.parse_subjects(responses.call(asked, client, workers=workers), subject)
+    user = prompting.render(template, prompting.variables(targets, prompting.ITEM_VARIABLES))
+    results = responses.parse_subjects(ask(targets, S.ITEM_KEY, F.lit(f"Answer in JSON for {subject}."), user, client, model=model, workers=workers), subject)
     return merge.item_results(items, results, subject), results
 
 
+def subjects_run(items: DataFrame, catalog: DataFrame, templates: dict[str, str], clients: dict[str, Callable[[], responses.Client]], p: Q.Params, *, workers: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """A run of all subjects over the items that lack any result, each subject only where its own status is open: the item table after it and the
+    results of all (subject, item key, error, code, name, reason). Write the results before using them twice."""
+    work = Q.subject_work(Q.subject_targets(items, catalog, p), retry=p.retry)
+    every, after = None, items
+    for subject, template in templates.items():
+        own = work.where(F.col("subject") == subject).drop("subject", "status")
+        after, results = subject_run(after, own, template, clients[subject], subject, workers=workers)
+        named = results.select(F.lit(subject).alias("subject"), *S.ITEM_KEY, "error", "code", "name", "reason")
+        every = named if every is None else every.unionByName(named)
+    return after, every
+
+
+def summary_run(extracts: DataFrame, catalog: DataFrame, items: DataFrame, system: str, output_format: str, client: Callable[[], responses.Client], p: Q.Params, *, model: str = "model", workers: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The extract table after a run of summaries over the texts that have none, and the results (extract key, error, flag, summary)."""
+    targets = Q.summary_targets(extracts, catalog, items, p)
+    user = prompting.summary_message(F.col("bnd_ttl"), F.col("jemok"), F.col("indexing_contents"), output_format)
+    system_text = prompting.render(system, prompting.variables(targets, prompting.SUMMARY_VARIABLES))
+    results = responses.parse_summaries(ask(targets, S.EXTRACT_KEY, system_text, user, client, model=model, workers=workers))
+    return merge.summary_results(extracts, results), results
+
+
+def accounted(spark: SparkSession, registry: ledger.Registry, key: ledger.RunKey, path: str, work: Callable[[str], tuple[DataFrame, DataFrame, DataFrame]]) -> DataFrame:
+    """A run under the ledger at path: refused if it overlaps another; its start, its tally and its end are rows of path/runs, its items' log of path/items.
+
+    work(run id) gives (table after the run, results with `status`, log rows). An error of the work ends the run as failed and goes on to the caller;
+    an error of writing the log only warns. Returns the table after the run."""
+    registry.acquire(key)
+    run_id, counts = ledger.new_run_id(), (0, 0, 0)
+
+    def event(status: str, error: str | None = None) -> None:
+        row = [(run_id, key.process, key.transfer_year, key.prod_year, status, 1, *counts, error)]
+        names = "run_id string, process_type string, transfer_year string, prod_year string, status string, loop_count bigint, total_target_count bigint, total_success_count bigint, total_fail_count bigint, error_msg string"
+        try:
+            spark.createDataFrame(row, names).withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/runs")
+        except Exception as e:  # the work counts, not its record
+            warnings.warn(f"run {run_id} isn't recorded as {status}: {e}", stacklevel=2)
+
+    try:
+        event(S.RUNNING)
+        after, results, log = work(run_id)
+        tally = ledger.tally(results).first()
+        counts = tuple(tally[c] for c in ("total_target_count", "total_success_count", "total_fail_count"))
+        try:
+            log.write.mode("append").parquet(f"{path}/items")
+        except Exception as e:
+            warnings.warn(f"items of run {run_id} aren't recorded: {e}", stacklevel=2)
+        event(ledger.final_status(True, counts[2]))
+        return after
+    except Exception as e:
+        event(S.FAIL, f"{type(e).__name__}: {e}"[:4000])
+        raise
+    finally:
+        registry.release(key)
+
+
 def department_run(items: DataFrame, catalog: DataFrame, departments: tuple[str, ...], decide_files: Callable[[DataFrame], DataFrame], decide_items: Callable[[DataFrame], DataFrame], p: Q.Params) -> tuple[DataFrame, DataFrame]:
     """Files first: a decision (rc_rfile_no, error, code, name) goes to all items of its file. Then the items that are still open, each by its own
     decision (item key, error, code, name, reason); one that stays undecided has passed without a code. Returns the items and the tally by phase."""

@@ -319,3 +319,11 @@ def text(content: bytes) -> str:
     """All pages' lines in reading order, an empty line after each page."""
     pages = ["\n".join(" ".join(line[0].split()) for line in ordered(own, width)) for width, own in runs(content)]
     return "\n".join(f"{p}\n" for p in pages)
+
+
+def written(lines: list[str]) -> bytes:
+    """A one-page file that shows these lines (characters that Windows-1252 lacks become question marks)."""
+    shown = b"".join(b"(" + re.sub(rb"([\\()])", rb"\\\1", x.encode("cp1252", "replace")) + b") Tj T* " for x in lines)
+    body = zlib.compress(b"BT /F1 12 Tf 14 TL 50 760 Td " + shown + b"ET")
+    parts = [b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /Kids [3 0 R] /Count 1 /MediaBox [0 0 600 800] >>", b"<< /Type /Page /Parent 2 0 R /Contents 4 0 R /Resources << /Font << /F1 5 0 R >> >> >>", b"<< /Length %d /Filter /FlateDecode >>\nstream\n%s\nendstream" % (len(body), body), b"<< /Type /Font /Subtype /Type1 /BaseFont /Helvetica /Encoding /WinAnsiEncoding >>"]
+    return b"%PDF-1.4\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % (i, x) for i, x in enumerate(parts, 1)) + b"trailer << /Root 1 0 R >>\n%%EOF\n"
