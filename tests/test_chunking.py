@@ -1,11 +1,12 @@
 """Chunks against golden cases and a plain sequential model of the rules."""
 
+import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from foliary.functions.text import token_estimate
+from foliary.functions.text import normalize_for_chunks, token_estimate
 from foliary.operators import chunking, splitting
 
 COLUMNS = "extract_idx long, file_name string, zip_entry_file_name string, indexing_contents string"
@@ -94,6 +95,96 @@ def test_paragraphs_pack_while_they_fit(spark):
     assert [c["start_offset"] for c in found] == [0, 2 * len(one) + 4, 4 * len(one) + 8] and found[-1]["end_offset"] == len(text)
 
 
+def plain_chunks(text, kind, size, overlap):
+    """The whole chunker, one line and character after the other: texts of the chunks, with their paths."""
+    edge = "".join(map(chr, range(33)))
+    lines = text.split("\n")
+
+    def starts(line):
+        line = line.strip(edge)
+        if kind == "STRUCTURED":
+            return line if re.match(r"([ⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]|\d+(\.\d+)*|[가-하]|[A-Z])\.\s+\S", line, re.A) else None
+        return line if re.match(r"제\s*\d+\s*(장|절|조)", line, re.A) else None
+
+    blocks = []
+    if kind == "DRAFT":
+        at = text.find("붙임") if "붙임" in text else text.find("첨부")
+        blocks = [text] if at <= 0 else [text[:at].strip(edge), text[at:].strip(edge)]
+    elif kind in ("STRUCTURED", "LAW"):
+        held = []
+        for line in lines:
+            if starts(line) and held:
+                blocks.append("\n".join(held).strip(edge))
+                held = []
+            held.append(line)
+        blocks.append("\n".join(held).strip(edge))
+    else:
+        paragraphs, held = [], []
+        for line in [*lines, ""]:
+            if line.strip() or (not held and line):
+                held.append(line)
+            elif held:
+                paragraphs.append("\n".join(held).strip(edge))
+                held = []
+        current = ""
+        for x in filter(None, paragraphs):
+            if current and len(current) + 2 + len(x) > size:
+                blocks.append(current)
+                current = ""
+            current = f"{current}\n\n{x}" if current else x
+        blocks += [current] if current else []
+
+    def substantive(t):
+        return len(t) >= 300 and (splitting.table_like(t) or sum(c in ".!?" for c in t) >= 2 or sum(len(x.strip(edge)) >= 80 for x in t.split("\n")) >= 2)
+
+    def front(t, first):
+        rows = [x.strip(edge) for x in t.split("\n") if x.strip(edge)]
+        title = [x for x in rows if re.fullmatch(r"목\s*차|차\s*례|contents?", x, re.I | re.A)]
+        dotted = [x for x in rows if x not in title and re.search(r"(\.\.|……|\s\s\s)(\d+|[ivxlcdm]+)\s*$", x, re.I | re.A)]
+        if (title and (len(rows) <= 2 or len(dotted) >= 2)) or (len(dotted) >= 4 and 2 * len(dotted) >= len(rows) - 1):
+            return True
+        if not first or len(t) > 1500 or substantive(t) or any(x[-2:] in ("다.", "요.", "함.", "음.") for x in rows):
+            return False
+        return len(rows) <= 4 or sum(any(w in x for w in splitting.COVER_WORDS) for x in rows) >= 2
+
+    out = []
+    for block in blocks:
+        for part in plain_parts(block, size, overlap):
+            if not part.strip(edge) or front(part.strip(edge), not out):
+                continue
+            if out and len(part.strip(edge)) < 120:
+                out[-1] += "\n\n" + part.strip(edge)
+            else:
+                out.append(part)
+    if not out and (len(text) > 1500 or substantive(text) or sum(text.count(e) for e in ("다.", "요.", "함.", "음.")) >= 3):
+        return None if kind not in ("GENERAL", "TABLE") else [p for b in blocks for p in plain_parts(b, size, overlap)]
+    return out
+
+
+def test_whole_chunker_equals_a_plain_model(spark):
+    """Texts of every kind, short and long, with covers, tables of contents, laws, letters and forms; and the driver's documents."""
+    import random
+
+    r = random.Random(21)
+    pieces = ["제1장 총칙", "제2조(목적) 이 법은 대기를 지킨다.", "① 하나", "② 둘", "1. 개요", "1.2. 세부 사항", "가. 대상", "Ⅰ. 결론", "목차", "개요 .....1", "본론 .....2", "결론 .....9", "부록   iv", "기관명 환경부", "보고서", "a | b | c", "x  y  z  w", "", "", "붙임 1. 계획서", "수신 환경부", "제목 계획", "문장은 이렇게 이어진다. 그리고 끝난다.", "긴 문장이 이어지고 또 이어져서 " * 6 + "끝난다.", "words of 3.14 in English! Is it? yes.", "a" * 90]
+    texts = ["\n".join(r.choices(pieces, k=r.choice([1, 3, 8, 20, 60, 150]))) for _ in range(400)]
+    rows = [(i, r.choice(["1_2_N01.hwp", "x.txt"]), None, t) for i, t in enumerate(texts)]
+    sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    rows += [(1000 + x.doc_id, "d.txt", None, x.text) for x in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    sources = spark.createDataFrame(rows, COLUMNS)
+    text = normalize_for_chunks(F.col("indexing_contents"))
+    kinds = sources.select("extract_idx", text.alias("t"), chunking.doc_type(text, chunking.doc_role(F.col("file_name"), F.lit(None).cast("string"))).alias("kind")).collect()
+    assert {k.kind for k in kinds} == {"DRAFT", "LAW", "STRUCTURED", "TABLE", "GENERAL"}
+    for size, overlap in ((3500, 350), (300, 30)):
+        found = {}
+        for c in chunking.chunk_documents(sources, size=size, overlap=overlap).orderBy("extract_idx", "chunk_seq").collect():
+            found.setdefault(c.extract_idx, []).append(c.chunk_text)
+        for k in kinds:
+            want = plain_chunks(k.t, k.kind, size, overlap) if k.t.strip() else []
+            if want is not None:
+                assert found.get(k.extract_idx, []) == want, (k.kind, k.t)
+
+
 def test_front_matter():
     assert [splitting.contents_table(t) for t in ("목차\n개요 .....1\n본론 .....2\n결론 .....9", "개요 ...1\n가 ...2\n나 ...3\n다    iv", "가\n나", "차 례")] == [True, True, False, True]
     assert splitting.cover("가\n나") and not splitting.cover("알립니다.\n문장이 끝난다.")
