@@ -35,14 +35,30 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/foliary-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, *partition_by: str) -> DataFrame:
+def written(df: DataFrame, path: str | None = None) -> DataFrame:
     """df, written as Parquet to the shared folder and read back: the lineage ends there and survives lost executors."""
-    spark, path = df.sparkSession, scratch(df.sparkSession)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
+    spark, path = df.sparkSession, path or scratch(df.sparkSession)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Held:
+    """Scratch tables that a computation needs until its result is written: held(df) writes one, clear() removes all of them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.paths.append(scratch(self.spark))
+        return written(df, self.paths[-1])
+
+    def clear(self) -> None:
+        for path in self.paths:
+            at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        self.paths.clear()
+
+
 def segments(sizes: Sequence[int], most: int = SEGMENT_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges whose sizes add up to about `most`; one larger row stands alone."""
     lo, held = 0, 0

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliary.llm.frames import map_text, written
+from foliary.llm.frames import Held, map_text, written
 
 MOST_DEPTH = 48
 #: Pages with different contents that a host must have for rotating slots, and for constants in marked articles and elsewhere.
@@ -397,10 +397,11 @@ def _by_host(rows: DataFrame, table: DataFrame) -> DataFrame:
 
 def induce(pages: DataFrame, *, url: str = "url", source: str = "html") -> DataFrame:
     """One row for each host: host, reference, rows (its pages), template (slots) and constant (array<struct<slot, hash>>)."""
-    shapes = written(_shapes(_hosted(pages, url, source), source))
-    distinct = written(shapes.groupBy("host", "said").agg(F.min(F.struct("shape", "seen", "gist")).alias("p"), F.count("*").alias("copies")).select("host", "copies", "p.*"))
+    held = Held(pages.sparkSession)
+    shapes = held(_shapes(_hosted(pages, url, source), source))
+    distinct = held(shapes.groupBy("host", "said").agg(F.min(F.struct("shape", "seen", "gist")).alias("p"), F.count("*").alias("copies")).select("host", "copies", "p.*"))
     common = distinct.groupBy("host", "shape").agg(F.count("*").alias("n"), F.sum("copies").alias("copies"))
-    reference = written(common.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("reference"), F.sum("n").alias("pages"), F.sum("copies").alias("rows")))
+    reference = held(common.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("reference"), F.sum("n").alias("pages"), F.sum("copies").alias("rows")))
     placed = _by_host(distinct, reference).where(F.col("pages") >= LEAST_OUTSIDE).select("host", "shape", "reference", "pages", "gist", "seen")
 
     def run(batches):
@@ -416,7 +417,9 @@ def induce(pages: DataFrame, *, url: str = "url", source: str = "html") -> DataF
     slots = counts.groupBy("host", "slot").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("varied"), F.col("n")).otherwise(0)).alias("again"), F.max("inside").alias("inside"), F.collect_list(F.when(constant, F.struct("slot", "hash"))).alias("constant"))
     rotating = ~F.col("inside") & (F.col("again") >= F.col("all") * ROTATING) & (F.col("all") >= LEAST_PAGES)
     found = slots.groupBy("host").agg(F.collect_list(F.when(rotating, F.col("slot"))).alias("template"), F.flatten(F.collect_list("constant")).alias("constant"))
-    return written(reference.join(found, "host", "left").select("host", "reference", "rows", F.coalesce("template", F.array().cast("array<int>")).alias("template"), F.coalesce("constant", F.array().cast("array<struct<slot:int,hash:bigint>>")).alias("constant")))
+    wrappers = written(reference.join(found, "host", "left").select("host", "reference", "rows", F.coalesce("template", F.array().cast("array<int>")).alias("template"), F.coalesce("constant", F.array().cast("array<struct<slot:int,hash:bigint>>")).alias("constant")))
+    held.clear()
+    return wrappers
 
 
 def _hosted(pages: DataFrame, url: str, source: str, *more: str) -> DataFrame:

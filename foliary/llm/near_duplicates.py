@@ -5,13 +5,13 @@ similarity of 0.8 or more. Documents of one word sequence are copies and stand f
 whatever its documents' ids are; ids, of any type, only label texts and classes in the result. Band and row counts follow from the
 recall wanted at the threshold. Then:
 
-1. each text is compared with the least text of each of its buckets, the bucket's leader (stars, not all pairs). The verified
-   links join texts to groups;
+1. each text is compared with the leader of each of its buckets (stars, not all pairs): of the bucket's texts the one with most company in
+   all its buckets, so of copies with edits of their own the one in the middle. The verified links join texts to groups;
 2. two texts of one bucket that are in different groups are compared by rarity: of two sets at the threshold or above, the rarest
    fifths (in any one order of the shingles) have a shingle in common, and what precedes the first of these is no more than
    the sets may differ by. So texts are joined on the rarest fifth of their shingles, by how many such texts hold them: first as
-   stars, which join groups, then as all pairs of what is still apart, each once, at its first common shingle. A passage that
-   many texts share is no reason to compare them, and no pair is lost;
+   stars, which join groups, again with other leaders while many pairs are left, then as all pairs of what is still apart, each once,
+   at its first common shingle. A passage that many texts share is no reason to compare them, and no pair is lost;
 3. links within a group are counted in blocks of texts, where counts are asked for: a task takes two blocks, multiplies their shingle
    matrices and returns one number for each text, not a row for each pair. A text is sent as what it has and lacks against
    its group's first text, so near copies are sent as a few numbers. Near copies that lie about the threshold leave no other way
@@ -28,10 +28,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliary.llm.frames import aside, map_text, written
+from foliary.llm.frames import Held, aside, map_text, written
 from foliary.llm.kernels import Words, mix
 
 WORDS = 5
@@ -46,6 +46,8 @@ BROADCAST_IDS = 2_000_000
 BLOCK_TEXTS, BLOCK_GRAMS = 4096, 1 << 21
 _CELLS = 1 << 23
 _SEED = 20_011
+#: Rounds of stars go on (so many at most) while shingles that groups share would give more pairs than so many times their rows.
+STAR_ROUNDS, FEW_PAIRS = 6, 2
 
 
 def bands_and_rows(threshold: float = THRESHOLD, recall: float = RECALL, most_hashes: int = MOST_HASHES) -> tuple[int, int]:
@@ -147,12 +149,12 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", F.size("ga").alias("na"), F.size("gb").alias("nb"), F.size(F.array_intersect("ga", "gb")).alias("both")).withColumn("linked", near)
 
 
-def _components(edges: DataFrame) -> DataFrame:
+def _components(edges: DataFrame, held: Held) -> DataFrame:
     """node, root (the least node that links reach): alternating large and small stars until nothing changes.
 
     edges: a < b. The rows of a round are at most those of the edges; no node's neighbours are gathered in one place.
     """
-    edges, before = written(edges.select("a", "b").distinct()), None
+    edges, before = held(edges.select("a", "b").distinct()), None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -160,54 +162,66 @@ def _components(edges: DataFrame) -> DataFrame:
         floor = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(floor, "x")
         new = small.select(F.col("y").alias("u"), F.col("m")).unionByName(small.select(F.col("x").alias("u"), "m")).where("u <> m").distinct()
-        edges = written(new.select(F.col("m").alias("a"), F.col("u").alias("b")))
+        edges = held(new.select(F.col("m").alias("a"), F.col("u").alias("b")))
         mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == before:
             return edges.groupBy("b").agg(F.min("a").alias("root")).withColumnRenamed("b", "node")
         before = mark
 
 
-def _rare_keys(members: DataFrame, groups: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _rare_keys(members: DataFrame, groups: DataFrame, sets: DataFrame, held: Held) -> tuple[DataFrame, DataFrame]:
     """Keys (text_id, size, gram, at): a row for each shingle of the rarest fifth of the texts of mixed buckets that another such text holds;
     at is how many rarer ones the text has. And (text_id, rare): those shingles in order. A shingle of one text alone takes its place
     but finds no partner, so it is only counted."""
     placed = members.join(groups, "text_id")
     mixed = placed.groupBy("bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("bucket")
-    wanted = written(placed.join(mixed, "bucket").select("text_id").distinct())
-    held = sets.join(wanted, "text_id")
-    grams = written(held.select("text_id", F.explode("grams").alias("gram")))
+    wanted = held(placed.join(mixed, "bucket").select("text_id").distinct())
+    own = sets.join(wanted, "text_id")
+    grams = held(own.select("text_id", F.explode("grams").alias("gram")))
     shared = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     ranked = grams.join(shared, "gram").groupBy("text_id").agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("rare"))
     alone = F.col("size") - F.size("rare")
-    first = held.select("text_id", F.size("grams").alias("size")).join(ranked, "text_id").withColumn("alone", alone)
+    first = own.select("text_id", F.size("grams").alias("size")).join(ranked, "text_id").withColumn("alone", alone)
     places = F.col("size") - F.ceil(F.col("size") * THRESHOLD).cast("int") + 1 - F.col("alone")
-    first = written(first.select("text_id", "size", "alone", F.slice("rare", 1, F.greatest(places, F.lit(0)))["gram"].alias("rare")))
+    first = held(first.select("text_id", "size", "alone", F.slice("rare", 1, F.greatest(places, F.lit(0)))["gram"].alias("rare")))
     keys = first.select("text_id", "size", "alone", F.posexplode("rare").alias("at", "gram"))
     return keys.select("text_id", "size", "gram", (F.col("alone") + F.col("at")).alias("at")), first.select("text_id", "rare")
 
 
-def _across(keys: DataFrame, rare: DataFrame, groups: DataFrame, *, stars: bool) -> DataFrame:
-    """a < b: pairs of texts in different groups that may be linked by their rare keys; of stars only those with the shingle's least text
-    (a row for each key at most), else all, each at its first common shingle."""
+def _shared_keys(keys: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rare keys with their group, of shingles that texts of several groups hold."""
     keys = keys.join(groups, "text_id")
-    several = keys.groupBy("gram").agg(F.min("group").alias("x"), F.max("group").alias("y"), F.min("text_id").alias("least")).where("x <> y").select("gram", "least")
-    keys = keys.join(several, "gram")
-    left = keys.where(F.col("text_id") == F.col("least")) if stars else keys.join(rare, "text_id")
-    right = keys if stars else left
-    names = {"text_id": "", "group": "g", "size": "n", "at": "at", **({} if stars else {"rare": "r"})}
-    left = left.select("gram", *[F.col(c).alias(f"{k}a") for c, k in names.items()])
-    right = right.select("gram", *[F.col(c).alias(f"{k}b") for c, k in names.items()])
-    near = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & (F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")) * 9 >= (F.col("na") + F.col("nb")) * 4)
-    if not stars:
-        near = near & (F.get(F.array_intersect("ra", "rb"), 0) == F.col("gram"))
-    return left.join(right, "gram").where(near).select("a", "b").distinct()
-
-
-def _regrouped(groups: DataFrame, links: DataFrame) -> DataFrame:
+    several = keys.groupBy("gram").agg(F.min("group").alias("x"), F.max("group").alias("y")).where("x <> y").select("gram")
+    return keys.join(several, "gram")
+
+
+def _stars(keys: DataFrame, turn: int) -> DataFrame:
+    """a < b: each text of shared keys beside one text of each of its shingles: in the first turn the one with most company, then any."""
+    order = F.struct(-F.col("company") if turn == 0 else F.xxhash64("text_id", F.lit(turn)), "text_id")
+    leaders = keys.groupBy("gram").agg(F.min_by(F.struct("text_id", "group", "size", "at"), order).alias("l"))
+    met = keys.join(leaders, "gram").where(_possible(F.col("group"), F.col("l.group"), F.col("size"), F.col("l.size"), F.col("at"), F.col("l.at")))
+    return met.select(F.least("text_id", "l.text_id").alias("a"), F.greatest("text_id", "l.text_id").alias("b")).distinct()
+
+
+def _possible(ga: Column, gb: Column, na: Column, nb: Column, at: Column, bt: Column) -> Column:
+    """Whether texts of two groups can be linked that have a shingle in common after `at` and `bt` rarer ones."""
+    return (ga != gb) & (F.least(na - at, nb - bt) * 9 >= (na + nb) * 4)
+
+
+def _pairs(keys: DataFrame, rare: DataFrame) -> DataFrame:
+    """a < b: all pairs of texts in different groups that may be linked by their rare keys, each at its first common shingle."""
+    own = keys.join(rare, "text_id")
+    names = {"text_id": "", "group": "g", "size": "n", "at": "at", "rare": "r"}
+    left, right = (own.select("gram", *[F.col(c).alias(f"{k}{side}") for c, k in names.items()]) for side in "ab")
+    met = left.join(right, "gram").where((F.col("a") < F.col("b")) & _possible(F.col("ga"), F.col("gb"), F.col("na"), F.col("nb"), F.col("ata"), F.col("atb")))
+    return met.where(F.get(F.array_intersect("ra", "rb"), 0) == F.col("gram")).select("a", "b").distinct()
+
+
+def _regrouped(groups: DataFrame, links: DataFrame, held: Held) -> DataFrame:
     """The groups after links between their texts."""
     ends = links.join(groups.toDF("a", "ga"), "a").join(groups.toDF("b", "gb"), "b").where("ga <> gb").select(F.least("ga", "gb").alias("a"), F.greatest("ga", "gb").alias("b"))
-    roots = _components(ends).withColumnRenamed("node", "group")
-    return written(groups.join(roots, "group", "left").select("text_id", F.coalesce("root", "group").alias("group")))
+    roots = _components(ends, held).withColumnRenamed("node", "group")
+    return held(groups.join(roots, "group", "left").select("text_id", F.coalesce("root", "group").alias("group")))
 
 
 def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -227,19 +241,19 @@ def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _links_within(groups: DataFrame, sets: DataFrame, copies: DataFrame) -> DataFrame:
+def _links_within(groups: DataFrame, sets: DataFrame, copies: DataFrame, keep: Held) -> DataFrame:
     """text_id and links: the documents of other texts of its group at the threshold or above.
 
     Of sets a and b that lack ma and mb shingles of the group's first text, r in number, and have others besides, the
     intersection is r - ma - mb and the numbers that both lack or both have besides.
     """
     many = groups.groupBy("group").agg(F.count("*").alias("n"), F.min("text_id").alias("first")).where("n > 1")
-    placed = written(groups.join(many, "group"))
+    placed = keep(groups.join(many, "group"))
     reference = sets.join(placed.where("text_id = first").select("text_id", "group", F.ceil(F.col("n") / BLOCK_TEXTS).cast("int").alias("parts")), "text_id").select("group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("grams").alias("ref"))
     dealt = sets.join(placed.select("text_id", "group", F.pmod(F.xxhash64("text_id"), F.ceil(F.col("n") / BLOCK_TEXTS)).cast("int").alias("part")), "text_id")
     lacks, has = F.array_except("ref", "grams"), F.array_except("grams", "ref")
     full = dealt.join(reference, ["group", "part"]).select("group", "text_id", F.size("grams").alias("size"), (F.size("ref") - 2 * F.size(lacks)).alias("base"), F.concat(lacks, has).alias("grams"))
-    full = written(full.join(copies, "text_id").select("group", "text_id", "copies", "size", "base", "grams"))
+    full = keep(full.join(copies, "text_id").select("group", "text_id", "copies", "size", "base", "grams"))
     sums = full.groupBy("group").agg(F.count("*").alias("n"), F.sum(F.size("grams").cast("long")).alias("all"))
     blocks = sums.select("group", F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("all") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     dealt = full.join(blocks, "group").withColumn("own", F.pmod(F.xxhash64("text_id"), F.col("blocks")).cast("int"))
@@ -293,25 +307,37 @@ def _classes(documents: DataFrame, doc_id: str, text: str, recall: float, most_h
     bands, rows = bands_and_rows(THRESHOLD, recall, most_hashes)
     signed = written(_signatures(documents, doc_id, text, bands, rows))
     texts = signed.where("f1 is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("label"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
-    texts = written(texts.withColumn("text_id", F.monotonically_increasing_id()))
+    held = Held(documents.sparkSession)
+    texts = held(texts.withColumn("text_id", F.monotonically_increasing_id()))
     keyed = texts.select("text_id", F.explode("bands").alias("bucket"))
-    leaders = keyed.groupBy("bucket").agg(F.min("text_id").alias("leader"), F.count("*").alias("n")).where("n > 1").select("bucket", "leader")
-    members = written(keyed.join(leaders, "bucket"))  # of buckets with two texts or more
-
-    stars = written(members.where("text_id > leader").select(F.col("leader").alias("a"), F.col("text_id").alias("b")).distinct())
-    wanted = written(texts.join(stars.select(F.explode(F.array("a", "b")).alias("text_id")).distinct(), "text_id").select("f1", "f2", "text_id", "label"))
-    labels = written(wanted.select(F.col("label").alias("__label")).distinct())
+    shared = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = held(keyed.join(shared, "bucket"))  # of buckets with two texts or more
+    company = held(members.groupBy("text_id").agg(F.sum("n").alias("company")))
+    placed = members.join(company, "text_id")
+    leaders = placed.groupBy("bucket").agg(F.min_by("text_id", F.struct(-F.col("company"), "text_id")).alias("leader"))
+    stars = members.join(leaders, "bucket").where("text_id <> leader")
+    stars = held(stars.select(F.least("text_id", "leader").alias("a"), F.greatest("text_id", "leader").alias("b")).distinct())
+    wanted = held(texts.join(stars.select(F.explode(F.array("a", "b")).alias("text_id")).distinct(), "text_id").select("f1", "f2", "text_id", "label"))
+    labels = held(wanted.select(F.col("label").alias("__label")).distinct())
     given = beside(documents.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("text")), labels, F.col("__id").eqNullSafe(F.col("__label")), "left_semi")
-    sets = written(beside(_sets(given, "text"), wanted.drop("label"), ["f1", "f2"], "inner").select("text_id", "grams").dropDuplicates(["text_id"]))
-    groups = _regrouped(wanted.select("text_id", F.col("text_id").alias("group")), written(_verified(stars, sets).where("linked").select("a", "b")))
-    keys, rare = _rare_keys(members, groups, sets)
-    for only_stars in (True, False):
-        groups = _regrouped(groups, written(_verified(_across(keys, rare, groups, stars=only_stars), sets).where("linked").select("a", "b")))
+    sets = held(beside(_sets(given, "text"), wanted.drop("label"), ["f1", "f2"], "inner").select("text_id", "grams").dropDuplicates(["text_id"]))
+    groups = _regrouped(wanted.select("text_id", F.col("text_id").alias("group")), held(_verified(stars, sets).where("linked").select("a", "b")), held)
+    keys, rare = _rare_keys(members, groups, sets, held)
+    keys = keys.join(company, "text_id")
+    for turn in range(STAR_ROUNDS):
+        open_ = held(_shared_keys(keys, groups))
+        met = open_.groupBy("gram").agg(F.count("*").alias("n")).agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
+        if (met[1] or 0) <= FEW_PAIRS * (met[0] or 0):  # whatever is left is compared below
+            break
+        groups = _regrouped(groups, held(_verified(_stars(open_, turn), sets).where("linked").select("a", "b")), held)
+    groups = _regrouped(groups, held(_verified(_pairs(_shared_keys(keys, groups), rare), sets).where("linked").select("a", "b")), held)
     found = texts.drop("bands").join(groups, "text_id", "left").withColumn("root", F.coalesce("group", "text_id")).drop("group")
     if count_links:
-        links = _links_within(groups, sets, texts.select("text_id", "copies"))
-        return signed, written(found.join(links, "text_id", "left").withColumn("links", F.col("copies") - 1 + F.coalesce("links", F.lit(0))))
-    return signed, written(found)
+        links = _links_within(groups, sets, texts.select("text_id", "copies"), held)
+        found = found.join(links, "text_id", "left").withColumn("links", F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
+    found = written(found)
+    held.clear()
+    return signed, found
 
 
 def near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", recall: float = RECALL, most_hashes: int = MOST_HASHES, count_links: bool = True) -> DataFrame:
