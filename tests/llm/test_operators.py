@@ -583,3 +583,58 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     assert {x.doc_id for x in docs.collect()} == set(range(30))
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert packed.select("doc_id").distinct().count() == 30 and json.dumps(packed.columns)
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Each stage against a plain model of it: who goes, which words are cut, what is masked, and the packed ids of what is left."""
+    import corpus_pipeline
+
+    r = random.Random(23)
+    vocabulary = [f"term{i}" for i in range(3000)]
+    prose = lambda k: " ".join(r.choices(vocabulary, k=k))
+    bases, item, long = [prose(r.randint(60, 200)) for _ in range(12)], prose(30), prose(2500)
+    texts = [*bases, *(b + " more words at the end" for b in bases[:4]), *(b.upper() for b in bases[4:8]), *(f"{prose(60)} {item} {prose(60)}" for _ in range(3)), f"{item} {prose(15)} and some more words of {prose(20)}", item, f"{prose(70)} password = abcdef012345 {prose(5)}", f"{prose(70)} Zk3vQ9xL2mP7tR4wB8nC", long, "too short", "! " * 300, None, ""]
+    rows = [(i, t, "en", None, len(t) if t is not None else None) for i, t in enumerate(texts)]
+    r.shuffle(rows)
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = {d: t for d, t, *_ in rows}
+    stage = {}
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, run in corpus_pipeline.STAGES:
+        docs = run(spark, docs, str(tmp_path))
+        stage[name] = docs
+    # quality rules
+    left = {d: t for d, t in left.items() if t and len(t.split()) >= 50 and 2 * t.count("!") <= len(t.split()) and 2 * sum(c.isupper() for c in t) <= sum(c.isalpha() for c in t)}
+    assert {x.doc_id: x.text for x in stage["quality_rules"].collect()} == left
+    # near duplicates: the least id of what links reach
+    sets = {d: {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for d, t in left.items() for w in [words(t)]}
+    root = {d: d for d in left}
+    for _ in left:
+        root = {d: min([root[d], *(root[e] for e in left if 9 * len(sets[d] & sets[e]) >= 4 * (len(sets[d]) + len(sets[e])))]) for d in left}
+    left = {d: t for d, t in left.items() if root[d] == d}
+    assert {x.doc_id: x.text for x in stage["ngram_jaccard_join"].collect()} == left
+    # decontamination: hit words go up to the next word; documents that are mostly benchmark go
+    windows = {tuple(words(item)[i : i + 10]) for i in range(21)}
+    for d, t in list(left.items()):
+        found = [(m.start(), m.group().lower()) for m in WORDS.finditer(t)]
+        hit = {p for i in range(len(found) - 9) if tuple(w for _, w in found[i : i + 10]) in windows for p in range(i, i + 10)}
+        if 2 * len(hit) > len(found):
+            del left[d]
+        elif hit:
+            ends = [*(at for at, _ in found[1:]), len(t)]
+            left[d] = t[: found[0][0]] + "".join(t[at:end] for i, ((at, _), end) in enumerate(zip(found, ends, strict=True)) if i not in hit)
+    assert {x.doc_id: x.text for x in stage["benchmark_decontamination"].collect()} == left
+    # secrets
+    left = {d: t.replace("password = abcdef012345", "[SECRET]").replace("Zk3vQ9xL2mP7tR4wB8nC", "[SECRET]") for d, t in left.items()}
+    assert {x.doc_id: x.text for x in stage["secret_scans"].collect()} == left and sum("[SECRET]" in t for t in left.values()) == 2
+    assert all(x.n_chars == len(x.text) for x in stage["secret_scans"].collect())
+    # packing
+    pieces = stage["best_fit_packing"].collect()
+    want = sorted((d, k, zlib.crc32(ids[2048 * k : 2048 * (k + 1)].tobytes())) for d, t in left.items() for ids in [ids_of(t, 0)] for k in range(-(-len(ids) // 2048)))
+    assert sorted((x.doc_id, x.piece, x.ids_crc32) for x in pieces) == want and max(x.piece for x in pieces) >= 1
+    ends = defaultdict(int)
+    for x in sorted(pieces, key=lambda x: (x.sequence_id, x.offset)):
+        assert x.offset == ends[x.sequence_id]
+        ends[x.sequence_id] += x.length
+    assert max(ends.values()) <= 2048
