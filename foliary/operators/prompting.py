@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,12 +14,27 @@ from foliary.functions.text import cut, null_to_blank
 #: Variables of the templates.
 ITEM_VARIABLES = ("RC_CODE", "RC_RFILE_NO", "RC_RITEM_NO", "BND_TTL", "JEMOK", "ALL_ORG_NM", "PRODREGDATE", "PRODYEAR")
 
-SUMMARY_VARIABLES = (*ITEM_VARIABLES, "ORG_FILE_PATH", "FILE_NAME", "ZIP_SEQ", "ZIP_ENTRY_FILE_NAME", "FILE_TYPE", "FILE_GUBUN", "INDEXING_CONTENTS")
+POLICY_VARIABLES = ("RC_CODE", "RC_RFILE_NO", "RC_RITEM_NO", "CLSS_ID", "BND_TTL", "JEMOK", "ALL_ORG_NM", "DEPT_NM", "PRODREGDATE", "PRODYEAR", "candidate_policy_list_json")
+DEPARTMENT_VARIABLES = (*POLICY_VARIABLES[:-1], "Mapping_Dictionary")
+SUBJECT_VARIABLES = (*ITEM_VARIABLES, "candidate_event_list_json")
+SUMMARY_VARIABLES = (
+    "BND_TTL", "JEMOK", "RC_CODE", "ALL_ORG_NM", "PRODREGDATE", "PRODYEAR", "RC_RFILE_NO", "RC_RITEM_NO", "ORG_FILE_PATH", "ORG_FILE_NAME", "SAVE_FILE_NAME", "FILE_NAME",
+    "CONTENTS", "INDEXING_CONTENTS", "ZIP_SEQ", "ZIP_ENTRY_FILE_NAME", "FILE_TYPE", "FILE_GUBUN", "maxContentLength", "maxSummaryLength",
+)
+#: Templates of this package, by the work that they are for.
+TEMPLATES = ("summary", "policy_extract", "policy_extract_sample", "policy_extract_dept", "event_extract", "activity_extract")
 
 
-def variables(rows: DataFrame, names: Sequence[str]) -> dict[str, Column]:
-    """The variables of a template that rows have columns for, in their order."""
-    return {v: F.col(v.lower()) for v in names if v.lower() in rows.columns}
+def template(name: str) -> str:
+    if name not in TEMPLATES:
+        raise ValueError(f"unknown prompt {name}; there are {', '.join(TEMPLATES)}")
+    return resources.files("foliary").joinpath(f"prompts/{name}.txt").read_text(encoding="utf-8")
+
+
+def variables(rows: DataFrame, names: Sequence[str], more: dict[str, Column] | None = None) -> dict[str, Column]:
+    """The variables of a template in their order: those of `more`, else columns of rows by their names in lower case; others are left out."""
+    own = {v: (more or {}).get(v, F.col(v.lower()) if v.lower() in rows.columns else None) for v in names}
+    return {v: c for v, c in own.items() if c is not None}
 
 
 def escaped(value: Column) -> Column:

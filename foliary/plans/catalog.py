@@ -601,7 +601,7 @@ def summary_run(spark: SparkSession, sf: str) -> DataFrame:
     """Summaries by a client that answers from the message itself."""
     none = F.lit(None).cast("string")
     extracts = frame(spark, sf, "extracts").withColumns({"summary": none, "llm_summary_err_msg": none})
-    after, _ = workflow.summary_run(extracts, frame(spark, sf, "catalog"), frame(spark, sf, "items"), "Sum up {FILE_NAME}.", "as JSON", summary_client, Q.Params())
+    after, _ = workflow.summary_run(extracts, frame(spark, sf, "catalog"), frame(spark, sf, "items"), prompting.template("summary"), "as JSON", summary_client, Q.Params())
     return after.select(*S.EXTRACT_KEY, "summary_flag", "summary", "llm_summary_status", "llm_summary_err_msg")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary import schema as S
+from foliary.functions.text import cut
 from foliary.operators import chunking, ledger, merge, prompting, responses
 from foliary.operators import selection as Q
 from foliary.sources import files
@@ -63,7 +64,8 @@ def summary_run(extracts: DataFrame, catalog: DataFrame, items: DataFrame, syste
     """The extract table after a run of summaries over the texts that have none, and the results (extract key, error, flag, summary)."""
     targets = Q.summary_targets(extracts, catalog, items, p)
     user = prompting.summary_message(F.col("bnd_ttl"), F.col("jemok"), F.col("indexing_contents"), output_format)
-    system_text = prompting.render(system, prompting.variables(targets, prompting.SUMMARY_VARIABLES))
+    more = {"SAVE_FILE_NAME": F.col("file_name"), "ORG_FILE_NAME": F.lit(None).cast("string"), "CONTENTS": cut(F.col("indexing_contents"), S.CONTENT_CHARS), "maxContentLength": F.lit(S.CONTENT_CHARS), "maxSummaryLength": F.lit(S.SUMMARY_CHARS)}
+    system_text = prompting.render(system, prompting.variables(targets, [v for v in prompting.SUMMARY_VARIABLES if prompting.mentions(system, v)], more))
     results = responses.parse_summaries(ask(targets, S.EXTRACT_KEY, system_text, user, client, model=model, workers=workers))
     return merge.summary_results(extracts, results), results
 

@@ -116,3 +116,55 @@ def test_department_run(spark):
     after, tally = workflow.department_run(items, catalog, ("환경부",), by_file, by_item, Params(prod_year="2012"))
     assert [(r.policy_cd, r.llm_policy_status) for r in after.orderBy("rc_ritem_no").collect()] == [("P", "PASS"), ("P", "PASS"), ("", "PASS")]
     assert {r.phase: r.total_target_count for r in tally.collect()} == {"file": 2, "item": 1}
+
+
+def test_templates_name_only_their_variables(spark):
+    import re
+
+    from foliary.operators import prompting
+
+    sets = {"summary": prompting.SUMMARY_VARIABLES, "policy_extract": prompting.POLICY_VARIABLES, "policy_extract_sample": prompting.POLICY_VARIABLES, "policy_extract_dept": prompting.DEPARTMENT_VARIABLES, "event_extract": prompting.SUBJECT_VARIABLES, "activity_extract": prompting.SUBJECT_VARIABLES}
+    assert set(sets) == set(prompting.TEMPLATES) and [len(sets[n]) for n in ("summary", "policy_extract", "policy_extract_dept", "event_extract")] == [20, 11, 11, 9]
+    for name, variables in sets.items():
+        text = prompting.template(name)
+        assert set(re.findall(r"\{(\w+)\}", text)) <= set(variables), name
+        row = spark.range(1).select(prompting.render(text, {v: F.lit(f"<{v}>") for v in variables}).alias("t")).first()
+        assert not re.search(r"\{\w+\}", row.t) and row.t.count("<RC_CODE>") == 1
+    with pytest.raises(ValueError):
+        prompting.template("other")
+
+
+def test_accounted_run_leaves_its_record(spark, tmp_path):
+    from foliary import schema as S
+    from foliary.operators import ledger
+    from foliary.plans import workflow
+
+    registry, key, path = ledger.Registry(), ledger.RunKey("POLICY_ALL", S.POLICY, "2023"), str(tmp_path / "ledger")
+    results = spark.createDataFrame([("c", "f", "r1", "PASS", None), ("c", "f", "r2", "FAIL", "bad")], "rc_code string, rc_rfile_no string, rc_ritem_no string, status string, error_msg string")
+
+    def work(run_id):
+        with pytest.raises(ledger.RunConflict):
+            registry.acquire(key)
+        return results, results, ledger.item_log(results, run_id, S.POLICY)
+
+    assert workflow.accounted(spark, registry, key, path, work) is results
+    with pytest.raises(ZeroDivisionError):
+        workflow.accounted(spark, registry, key, path, lambda run_id: 1 / 0)
+    states = {r.status: r for r in ledger.run_states(spark.read.parquet(f"{path}/runs")).collect()}
+    assert set(states) == {S.PARTIAL, S.FAIL} and tuple(states[S.PARTIAL][c] for c in ("total_target_count", "total_success_count", "total_fail_count")) == (2, 1, 1)
+    assert states[S.FAIL].error_msg.startswith("ZeroDivisionError") and spark.read.parquet(f"{path}/items").where("status = 'FAIL'").count() == 1
+    registry.release(registry.acquire(key))
+
+
+def test_published_tables_keep_a_version_for_their_readers(spark, tmp_path):
+    from foliary.operators import merge
+
+    path = str(tmp_path / "table")
+    with pytest.raises(FileNotFoundError):
+        merge.published(spark, path)
+    merge.publish(spark, spark.range(3), path)
+    first = merge.published(spark, path)
+    merge.publish(spark, first.where("id > 0"), path)
+    assert first.count() == 3 and merge.published(spark, path).count() == 2
+    merge.publish(spark, spark.range(7), path)
+    assert merge.published(spark, path).count() == 7
