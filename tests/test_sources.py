@@ -1,7 +1,9 @@
 """Parsers, archives, catalogued files and letters on small fixtures."""
 
 import io
+import struct
 import zipfile
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from foliary.functions import text as X
 from foliary.operators import merge
 from foliary.operators import selection as Q
 from foliary.plans import workflow
-from foliary.sources import files, parsers
+from foliary.sources import files, hwp, parsers, pdf
 
 
 def archive(entries, encoding=None):
@@ -109,3 +111,93 @@ def test_slow_files_time_out_and_pictures_are_found(spark):
     assert [(i["seq"], i["data"][-2:]) for i in parsers.images(docx)] == [(1, b"xx"), (2, b"yy")] and parsers.images(None) == []
     rows = spark.createDataFrame([("2023", "F", "R", "a.docx", docx)], "transferyear string, rc_rfile_no string, rc_ritem_no string, save_file_name string, content binary")
     assert [r.image_path for r in files.image_files(rows, "/img").orderBy("seq").collect()] == ["/img/2023/F/R/a/img1.png", "/img/2023/F/R/a/img2.png"]
+
+
+def pdf_file(pages, more=(), box="0 0 600 800"):
+    """A file of pages given by their content streams, with a font F1 and further objects from number 90 on."""
+    kids = " ".join(f"{10 + 2 * i} 0 R" for i in range(len(pages)))
+    objects = {1: b"<< /Type /Catalog /Pages 2 0 R >>", 2: f"<< /Type /Pages /Kids [{kids}] /MediaBox [{box}] /Resources << /Font << /F1 3 0 R /F2 90 0 R >> /XObject << /X 91 0 R >> >> >>".encode(), 3: b"<< /Type /Font /Subtype /Type1 /Encoding << /Differences [1 /uni00E9 /A] >> >>"}
+    for i, body in enumerate(pages):
+        data = zlib.compress(body)
+        objects[10 + 2 * i] = f"<< /Type /Page /Parent 2 0 R /Contents [{11 + 2 * i} 0 R] >>".encode()
+        objects[11 + 2 * i] = b"<< /Length %d /Filter /FlateDecode >> stream\r\n%s\nendstream" % (len(data), data)
+    objects |= {90 + i: o for i, o in enumerate(more)}
+    return b"%PDF-1.7\n" + b"".join(b"%d 0 obj %s endobj\n" % kv for kv in objects.items()) + b"trailer << /Root 1 0 R >>"
+
+
+def test_pdf_text():
+    show = lambda x, y, t: f"BT /F1 10 Tf {x} {y} Td ({t}) Tj ET ".encode()
+    left, right = [show(40, 600 - 20 * i, f"left {i}") for i in range(3)], [show(400, 600 - 20 * i, f"right {i}") for i in range(3)]
+    columns = show(200, 700, "Full title of it") + b"".join(a + b for a, b in zip(left, right, strict=True)) + show(250, 100, "foot of the page")
+    joined = b"BT /F1 10 Tf 50 700 Td [(Wo) -50 (rld) -500 (of)] TJ 0 -14 Td (\\(a\\051 \\\\) Tj T* 14 TL T* <0102> Tj ET q 1 0 0 1 0 -300 cm BT /F1 10 Tf 1 0 0 1 50 700 Tm (low) Tj ET Q /X Do"
+    cmap = b"begincmap 1 begincodespacerange <0000> <FFFF> endcodespacerange 1 beginbfchar <0005> <D55C> endbfchar 2 beginbfrange <0010> <0012> <AC00> <0020> <0021> [<0041> <00420043>] endbfrange endcmap"
+    form = b"BT /F2 10 Tf 50 50 Td <000500100012002000210777> Tj ET"
+    more = [b"<< /Type /Font /Subtype /Type0 /ToUnicode 92 0 R /DescendantFonts [93 0 R] >>", b"<< /Type /XObject /Subtype /Form /Length %d >> stream\n%s\nendstream" % (len(form), form), b"<< /Length %d >> stream\n%s\nendstream" % (len(cmap), cmap), b"<< /DW 1000 /W [5 [500] 16 18 700] >>"]
+    found = pdf.text(pdf_file([columns, joined, b""], more)).split("\n\n")
+    assert found[0] == "Full title of it\nleft 0\nleft 1\nleft 2\nright 0\nright 1\nright 2\nfoot of the page"
+    assert found[1].split("\n") == ["World of", "(a) \\", "éA", "low", "한가갂ABC\ufffd"]
+    packed = zlib.compress(b"1 0 2 34 " + b"<< /Type /Catalog /Pages 2 0 R >> " + b"<< /Type /Pages /Kids [10 0 R] /MediaBox [0 0 600 800] /Resources << /Font << /F1 3 0 R >> >> >>")
+    body = pdf_file([show(40, 700, "in an object stream")]).replace(b"1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj\n", b"")
+    body = body[: body.index(b"2 0 obj")] + body[body.index(b"3 0 obj") :] + b"\n80 0 obj << /Type /ObjStm /N 2 /First 9 /Length %d /Filter /FlateDecode >> stream\n%s\nendstream endobj" % (len(packed), packed)
+    assert pdf.text(body) == "in an object stream\n"
+    assert parsers.extract("a.pdf", pdf_file([b"BT"]).replace(b"trailer <<", b"trailer << /Encrypt 5 0 R"))["code"] == "PDF_PARSE_FAILED"
+    assert parsers.extract("x", pdf.written(["one", "(two)"]))["contents"] == "one\n(two)\n"
+
+
+def hwp_file(sections, flags=1):
+    """A compound file of an HWP document, all of whose streams lie in whole sectors."""
+    head = b"HWP Document File".ljust(32, b"\0") + struct.pack("<II", 0x05000300, flags) + bytes(4056)
+    deflated = []
+    for body in sections:
+        c = zlib.compressobj(wbits=-15)
+        deflated.append(c.compress(body) + c.flush() if flags & 1 else body)
+    streams = [("FileHeader", head), *((f"Section{i}", d.ljust(4096, b"\0")) for i, d in enumerate(deflated))]
+    fat, data, at = [0xFFFFFFFD], b"", 1
+    n_dir = -(-(len(streams) + 2) // 4)
+    fat += [*range(2, 1 + n_dir), 0xFFFFFFFE]
+    at += n_dir
+    places = []
+    for _, body in streams:
+        n = -(-len(body) // 512)
+        places.append((at, len(body)))
+        fat += [*range(at + 1, at + n), 0xFFFFFFFE]
+        data += body.ljust(512 * n, b"\0")
+        at += n
+
+    def node(name, kind, right, child, start=0, size=0):
+        raw = name.encode("utf-16-le") + b"\0\0"
+        return raw.ljust(64, b"\0") + struct.pack("<HBBIII", len(raw), kind, 1, 0xFFFFFFFF, right, child) + bytes(36) + struct.pack("<IQ", start, size)
+
+    none = 0xFFFFFFFF
+    nodes = [node("Root Entry", 5, none, 1, 0xFFFFFFFE), node("FileHeader", 2, 2, none, *places[0]), node("BodyText", 1, none, 3 if sections else none)]
+    nodes += [node(streams[i][0], 2, i + 3 if i < len(sections) else none, none, *places[i]) for i in range(1, len(streams))]
+    assert len(fat) <= 128
+    header = b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1" + bytes(16) + struct.pack("<HHHHH", 0x3E, 3, 0xFFFE, 9, 6) + bytes(10) + struct.pack("<IIIIIIII", 1, 1, 0, 4096, 0xFFFFFFFE, 0, 0xFFFFFFFE, 0) + struct.pack("<109I", 0, *[none] * 108)
+    return header + struct.pack("<128I", *fat, *[none] * (128 - len(fat))) + b"".join(nodes).ljust(512 * n_dir, b"\0") + data
+
+
+def hwp_record(text, tag=67):
+    body = text.encode("utf-16-le")
+    head = (tag | min(len(body), 4095) << 20)
+    return struct.pack("<I", head) + (struct.pack("<I", len(body)) if len(body) >= 4095 else b"") + body
+
+
+def test_hwp_text():
+    long = "가나다" * 1000
+    section = hwp_record("x", 66) + hwp_record("\x02abcdefg제목\x09tttttttabc\x0d") + hwp_record(long) + hwp_record("\x0bggggggg\x18끝")
+    for flags in (0, 1):
+        assert hwp.text(hwp_file([section, hwp_record("둘")], flags)) == f"제목\tabc\n{long}\n-끝\n둘"
+    assert parsers.extract("a.hwp", hwp_file([section]))["media_type"] == "application/x-hwp" and parsers.extract("noname", hwp_file([hwp_record("이름 없이")]))["contents"] == "이름 없이"
+    assert parsers.extract("a.hwp", hwp_file([section], 3))["code"] == "UNSUPPORTED_FORMAT"
+    assert parsers.extract("a.hwp", archive([("Contents/section0.xml", "<s><p><t>zip</t></p></s>")]))["contents"] == "zip\n"
+
+
+def test_parsers_and_pictures_of_a_run_reach_its_tasks(spark):
+    picture = b"\x89PNG\r\n\x1a\n"
+    docx = archive([("word/media/image1.png", picture), ("word/media/image2.png", picture), ("word/document.xml", "<d/>")])
+    rows = spark.createDataFrame([("2023", "F", "R", "2020", "a.own", b"abc"), ("2023", "F", "R", "2020", "b.zip", archive([("d.docx", docx)])), ("2023", "F", "R", "2020", "c.docx", docx)], "transferyear string, rc_rfile_no string, rc_ritem_no string, prodyear string, save_file_name string, content binary")
+    made = {r.file_name: r for r in files.extract_files(rows, more={"own": ("x/own", lambda content: content.decode().upper())}, images="/img").collect()}
+    assert made["a.own"].contents == "ABC" and made["a.own"].img_datas == "[]"
+    assert made["b.zip"].img_datas == '{"img1":"/img/2023/F/R/b/d/img1.png","img2":"/img/2023/F/R/b/d/img2.png"}'
+    assert made["c.docx"].img_datas == '{"img1":"/img/2023/F/R/c/img1.png","img2":"/img/2023/F/R/c/img2.png"}'
+    assert sorted(r.image_path for r in files.image_files(rows, "/img").collect()) == [f"/img/2023/F/R/{n}/img{i}.png" for n in ("b/d", "c") for i in (1, 2)]
