@@ -152,4 +152,4 @@ WORDING: tuple[tuple[str, int, str, str], ...] = (
 )
 
 #: Every signature's regex holds one of these: a text without any of them is not tried.
-WORDING_GATES = ("licen", "software", "copyright", "exception", "permission", "warrant", "liable", "endorse", "notice", "redistribut", "public domain", "rights", "prohibited", "font", "publicdomain", "invariant", "linking", "fuck", "png", "mpl", "confidential", "copying")
+WORDING_GATES = ("licen", "software", "copyright", "exception", "permission", "warrant", "liable", "endorse", "notice", "redistribut", "public domain", "rights", "prohibited", "reserved", "publicdomain", "invariant", "linking", "fuck", "png", "mpl", "confidential", "copying")

@@ -164,10 +164,10 @@ def _detections(t: Column) -> Column:
     rows = [{"label": a, "priority": b, "keywords": list(c), "need": d, "pattern": f"(?i){e}"} for a, b, c, d, e in rules()]
     table = F.from_json(F.lit(json.dumps(rows)), "array<struct<label:string,priority:int,keywords:array<string>,need:string,pattern:string>>")
 
-    def tried(lower: Column, words: Column) -> Column:
-        return F.filter(table, lambda r: lower.contains(r["need"]) & F.exists(r["keywords"], lambda k: lower.contains(k) | words.contains(k)))
-
-    kept = bound(F.regexp_replace(F.lower(t), f"{_GAP}+", " "), lambda words: bound(F.regexp_replace(F.lower(t), " +", " "), lambda lower: tried(lower, words)))
+    words = F.from_json(F.lit(json.dumps(sorted({k for r in rows for k in (*r["keywords"], r["need"])}))), "array<string>")
+    there = lambda own: F.filter(words, lambda k: own.contains(k))
+    tried = lambda held: F.filter(table, lambda r: F.array_contains(held, r["need"]) & F.arrays_overlap(held, r["keywords"]))
+    kept = bound(bound(F.regexp_replace(F.lower(t), f"{_GAP}+", " "), there), tried)  # no keyword holds a character of gaps but single blanks
     each = F.transform(kept, lambda r: F.transform(gated(F.regexp_like(t, r["pattern"]), spans(t, r["pattern"])), lambda s: F.struct(r["label"].alias("label"), r["priority"].alias("priority"), s["start"].alias("start"), s["end"].alias("end"))))
     return F.flatten(each)
 
