@@ -47,7 +47,7 @@ BLOCK_TEXTS, BLOCK_GRAMS = 4096, 1 << 21
 _CELLS = 1 << 23
 _SEED = 20_011
 #: Rounds of stars go on (so many at most) while shingles that groups share would give more pairs than so many times their rows.
-STAR_ROUNDS, FEW_PAIRS = 6, 2
+STAR_ROUNDS, FEW_PAIRS = 2, 2
 
 
 def bands_and_rows(threshold: float = THRESHOLD, recall: float = RECALL, most_hashes: int = MOST_HASHES) -> tuple[int, int]:
