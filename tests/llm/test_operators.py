@@ -1,6 +1,8 @@
 """The training-data operators on small fixtures: brute-force models, round trips, and the cases that every operator takes."""
 
+import functools
 import json
+import os
 import random
 import re
 import time
@@ -424,6 +426,29 @@ def test_counts_of_texts(spark):
     assert [(r.n_words, r.n_tokens) for r in rows[:3]] == [(0, 0), (0, 0), (3, 3)] and rows[3].n_words == 2
 
 
+def test_query_of_counts_equals_greedy_pieces(spark):
+    """Every document of the smallest tables, cut word by word into the longest pieces."""
+    import sentencepiece
+
+    sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    ids = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
+    pieces = {model.id_to_piece(i).encode() for i in ids}
+    longest = max(map(len, pieces))
+
+    @functools.cache
+    def count(word):
+        s, n = "▁".encode() + word, 0
+        while s:
+            k = next((k for k in range(min(longest, len(s)), 0, -1) if s[:k] in pieces), 1)
+            s, n = s[k:], n + 1
+        return n
+
+    texts = {x.doc_id: (x.text or "").encode() for x in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    found = {x.doc_id: (x.n_words, x.n_tokens) for x in token_counts.op6_token_counts(spark, sf).collect()}
+    assert found == {d: (len(t.split()), sum(map(count, t.split()))) for d, t in texts.items()}
+
+
 # 7: near duplicates
 
 
