@@ -313,14 +313,14 @@ def page_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return chunking.chunk_documents(sources)
 
 
-_LETTER = "concat('제목 | ', jemok, ' | 1. 본문', chr(10), '시행 | ', rc_code, '-', substr(rc_ritem_no, 2), ' | (', substr({d}, 1, 4), '. ', CAST(CAST(substr({d}, 6, 2) AS INT) AS STRING), '. ', CAST(CAST(substr({d}, 9, 2) AS INT) AS STRING), '.) | 접수 | ', all_org_nm, chr(10), bnd_ttl, ' 끝.', chr(10), 'tail')"
+_LETTER = "concat('제목 | ', jemok, ' | 1. 본문', chr(10), '시행 | ', rc_code, '-', substr(rc_ritem_no, 2), ' | (', prodregdate, '.) | 접수 | ', all_org_nm, chr(10), bnd_ttl, ' 끝.', chr(10), 'tail')"
+_DATED = "prodregdate LIKE '____-__-__' OR prodregdate LIKE '____.__.__'"
 
 
-@query("SELECT rc_ritem_no, jemok AS hwp_sub_title, rc_code || '-' || substr(rc_ritem_no, 2) AS implement_org, prodregdate AS implement_date, CAST(NULL AS VARCHAR) AS receipt_org, 'File ' || substr(rc_rfile_no, 2) || ' 끝.' AS body FROM items WHERE prodregdate LIKE '____-__-__'", ("items",))
+@query(f"SELECT rc_ritem_no, jemok AS hwp_sub_title, CASE WHEN {_DATED} THEN rc_code || '-' || substr(rc_ritem_no, 2) END AS implement_org, CASE WHEN {_DATED} THEN replace(prodregdate, '.', '-') END AS implement_date, CAST(NULL AS VARCHAR) AS receipt_org, 'File ' || substr(rc_rfile_no, 2) || ' 끝.' AS body FROM items", ("items",))
 def letter_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    """Letters written from the items that have a full date, and read again."""
-    items = frame(spark, sf, "items").where(F.col("prodregdate").like("____-__-__"))
-    rows = items.select("rc_ritem_no", F.lit("1_2_N01.hwp").alias("name"), F.expr(_LETTER.format(d="prodregdate")).alias("text"))
+    """Letters written from all items, with their date as it stands, and read again: a number whose date can't be read isn't one."""
+    rows = frame(spark, sf, "items").select("rc_ritem_no", F.lit("1_2_N01.hwp").alias("name"), F.expr(_LETTER).alias("text"))
     found = letters.with_letters(rows.withColumn("body", F.col("text")), file_name="name", contents="text", indexing="body")
     return found.select("rc_ritem_no", "hwp_sub_title", "implement_org", "implement_date", "receipt_org", "body")
 
