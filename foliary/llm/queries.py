@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliary.llm import decontaminate, html_text, language, licenses, near_duplicates, packing, quality, secrets, token_counts, wavelet
+from foliary.llm import decontaminate, html_text, infill, language, licenses, near_duplicates, packing, quality, secrets, token_counts, wavelet
 
 QUERIES = {
     "op1_best_fit": packing.op1_best_fit,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_quality": quality.op10_quality,
+    "op13_fill_in_middle": infill.op13_fill_in_middle,
 }
 ORACLES = {
     "op7_ngram_jaccard": near_duplicates.OP7_SQL,
     "op8_secrets": secrets.OP8_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
     "op10_quality": quality.OP10_SQL,
+    "op13_fill_in_middle": infill.OP13_SQL,
 }
