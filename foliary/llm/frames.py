@@ -109,3 +109,24 @@ def aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """df with its columns under names of no other use (__0, __1, ...), and the new name of each."""
     alias = {c: f"__{i}" for i, c in enumerate(df.columns)}
     return df.toDF(*alias.values()), alias
+
+
+#: Rows of a looked-up table (of some hundred bytes each) that are broadcast.
+BROADCAST_ROWS = 10_000
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """rows beside the columns of a written table with one row for each key (its `weight`: how many of the rows have that key): by broadcast if the
+    table has few rows. Otherwise keys with more than a BROADCAST_ROWS-th of all rows, which are fewer than that, are broadcast, and
+    their rows spread over the shuffle that joins the others. Rows whose key the table lacks have nulls."""
+    n, total = table.agg(F.count("*"), F.sum(weight)).first()
+    names = [c for c in table.columns if c not in (key, weight)]
+    if n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table.drop(weight)), key, "left")
+    hot = table.where(F.col(weight) > total // BROADCAST_ROWS).select(key, F.lit(True).alias("__hot"), *[F.col(c).alias(f"__hot_{c}") for c in names])
+    first = rows.join(F.broadcast(hot), key, "left")
+    known = F.col("__hot").isNotNull()
+    spread_ = F.when(known, F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)))
+    rest = table.select(F.col(key).alias("__key"), F.lit(-1).cast("long").alias("__spread"), *[F.col(c).alias(f"__own_{c}") for c in names])
+    both = first.withColumn("__dealt", F.coalesce(spread_, F.lit(-1).cast("long"))).join(rest, (F.col(key) == F.col("__key")) & (F.col("__dealt") == F.col("__spread")), "left")
+    return both.select(*rows.columns, *[F.when(known, F.col(f"__hot_{c}")).otherwise(F.col(f"__own_{c}")).alias(c) for c in names])
