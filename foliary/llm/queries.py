@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliary.llm import decontaminate, html_text, infill, language, licenses, near_duplicates, packing, phrases, quality, secrets, token_counts, wavelet
+from foliary.llm import decontaminate, html_text, infill, language, licenses, near_duplicates, packing, phrases, quality, secrets, token_counts, warc, wavelet
 
 QUERIES = {
     "op1_best_fit": packing.op1_best_fit,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_quality": quality.op10_quality,
+    "op11_warc": warc.op11_warc,
     "op12_collocations": phrases.op12_collocations,
     "op13_fill_in_middle": infill.op13_fill_in_middle,
 }
@@ -23,6 +24,7 @@ ORACLES = {
     "op8_secrets": secrets.OP8_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
     "op10_quality": quality.OP10_SQL,
+    "op11_warc": warc.OP11_SQL,
     "op12_collocations": phrases.OP12_SQL,
     "op13_fill_in_middle": infill.OP13_SQL,
 }
