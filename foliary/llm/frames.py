@@ -35,10 +35,10 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/foliary-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, path: str | None = None) -> DataFrame:
+def written(df: DataFrame, path: str | None = None, **options: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read back: the lineage ends there and survives lost executors."""
     spark, path = df.sparkSession, path or scratch(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -48,9 +48,9 @@ class Held:
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.paths = spark, []
 
-    def __call__(self, df: DataFrame) -> DataFrame:
+    def __call__(self, df: DataFrame, **options: str) -> DataFrame:
         self.paths.append(scratch(self.spark))
-        return written(df, self.paths[-1])
+        return written(df, self.paths[-1], **options)
 
     def clear(self) -> None:
         for path in self.paths:

@@ -5,7 +5,7 @@
 2. A task writes the phrases of its pieces out and sums their multiplicities in duckdb, within a memory limit and out of core beyond it. The sums leave it in
    the order of hash buckets, as one compressed chunk for each bucket; a bucket's chunks meet in one task, where duckdb sums them up the
    same way. There are as many buckets as keep BUCKET_ROWS in one. Phrases rarer than the least count end here: a part occurs at least as often
-   as the phrase, so nothing that a candidate is judged by is lost. All words of a language are summed before that.
+   as the phrase, so nothing that a candidate is judged by is lost.
 3. A candidate asks for its parts: a request for each part of each cut goes where the part's count lies, the answers go back to the candidate.
    Parts that very many candidates ask for are few, so these are broadcast and their requests stay where they are.
 4. Candidates that lie in a longer one of half their count or more go; the others are ranked within their language, first in shares of bounded
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,7 +40,7 @@ MOST_WORDS, LEAST_COUNT, BEST = 3, 10, 2000
 #: A candidate goes if a longer one around it has so many hundredths of its count or more.
 COVERED_PERCENT = 50
 #: Words of distinct pieces for each hash bucket; memory that duckdb may take in a task before it goes out of core.
-BUCKET_ROWS, MEMORY_MB = 1 << 22, 256
+BUCKET_ROWS, MEMORY_MB = 1 << 21, 384
 #: Most sums in a chunk on its way to its bucket; candidates of a language that are ranked in one task at first.
 CHUNK_ROWS, RANKED_ROWS = 1 << 18, 1 << 20
 
@@ -111,9 +112,9 @@ _SUMS = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("times", pa.in
 
 
 def _packed(rows: pa.Table) -> bytes:
+    """The rows as a Parquet file: phrases stand in order, so each is kept as what it has beyond the one before."""
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, _SUMS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_table(rows)
+    pq.write_table(rows, sink, compression="zstd", compression_level=3, use_dictionary=["lang"], column_encoding={"gram": "DELTA_BYTE_ARRAY", "times": "DELTA_BINARY_PACKED"}, write_statistics=False, store_schema=False)
     return sink.getvalue().to_pybytes()
 
 
@@ -150,25 +151,21 @@ def _chunks(deduplicated: DataFrame, most_words: int, buckets: int, memory_mb: i
     return deduplicated.select("lang", "piece", "times").mapInArrow(run, "bucket int, chunk binary")
 
 
-def count_phrases(deduplicated: DataFrame, *, most_words: int = MOST_WORDS, least: int = LEAST_COUNT, bucket_rows: int = BUCKET_ROWS, memory_mb: int = MEMORY_MB) -> DataFrame:
-    """lang, gram, n_words, f of every run of one to most_words words that occurs `least` times or more in the pieces (a written table), and for each bucket and language
-    a row without a gram (n_words 0): all occurrences of the bucket's single words."""
-    words = deduplicated.agg(F.sum(F.length("piece") - F.length(F.translate("piece", " ", "")) + 1)).first()[0] or 0
+def count_phrases(deduplicated: DataFrame, *, words: int, most_words: int = MOST_WORDS, least: int = LEAST_COUNT, bucket_rows: int = BUCKET_ROWS, memory_mb: int = MEMORY_MB) -> DataFrame:
+    """lang, gram, n_words, f of every run of one to most_words words that occurs `least` times or more in the pieces, which hold so many words in all."""
     buckets = max(1, -(-words // bucket_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def every() -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for chunk in batch.column(1):
-                    with pa.ipc.open_stream(chunk.as_buffer()) as rows:
-                        yield from rows
+                    for rows in pq.ParquetFile(pa.BufferReader(chunk.as_buffer())).iter_batches():
+                        yield rows.cast(_SUMS)
 
         with _duckdb(memory_mb) as db:
             source = pa.RecordBatchReader.from_batches(_SUMS, every())  # noqa: F841
-            db.execute("CREATE TEMP TABLE sums AS SELECT lang, gram, CAST(sum(times) AS BIGINT) AS f FROM source GROUP BY lang, gram")
-            total = "SELECT lang, CAST(NULL AS VARCHAR) AS gram, 0 AS n_words, CAST(sum(f) AS BIGINT) AS f FROM sums WHERE NOT contains(gram, ' ') GROUP BY lang"
-            found = f"SELECT lang, gram, CAST(length(gram) - length(replace(gram, ' ', '')) + 1 AS INTEGER) AS n_words, f FROM sums WHERE f >= {least}"
-            yield from db.sql(f"{total} UNION ALL {found}").to_arrow_reader(1 << 16)
+            found = db.sql(f"SELECT lang, gram, CAST(length(gram) - length(replace(gram, ' ', '')) + 1 AS INTEGER) AS n_words, CAST(sum(times) AS BIGINT) AS f FROM source GROUP BY lang, gram HAVING sum(times) >= {least}")
+            yield from found.to_arrow_reader(1 << 16)
 
     met = _chunks(deduplicated, most_words, buckets, memory_mb).repartition(buckets, "bucket")
     return met.mapInArrow(run, "lang string, gram string, n_words int, f bigint")
@@ -194,13 +191,16 @@ def collocations(documents: DataFrame, *, text: str = "text", lang: str = "lang"
     """The best phrases of 2 to most_words words of each language: lang, rank (from 1), phrase, a (its occurrences), l and r (those of its parts at the cut of the lowest
     score), n (all words of the language), score."""
     held = Held(documents.sparkSession)
-    deduplicated = held(pieces(documents, text=text, lang=lang))
-    counts = held(count_phrases(deduplicated, most_words=most_words, least=least, bucket_rows=bucket_rows, memory_mb=memory_mb))
+    deduplicated = held(pieces(documents, text=text, lang=lang), compression="zstd")
+    n_words = F.length("piece") - F.length(F.translate("piece", " ", "")) + 1
+    totals = held(deduplicated.groupBy("lang").agg(F.sum(n_words * F.col("times")).alias("n"), F.sum(n_words).alias("words")))
+    words = totals.agg(F.sum("words")).first()[0] or 0
+    counts = held(count_phrases(deduplicated, words=words, most_words=most_words, least=least, bucket_rows=bucket_rows, memory_mb=memory_mb))
     candidates = counts.where("n_words > 1").select("lang", F.col("gram").alias("phrase"), F.col("f").alias("a"), "n_words")
     key = lambda part: F.concat_ws("\t", "lang", part)  # noqa: E731  no word holds a tab
     requests = _parts(candidates, most_words).withColumn("key", key("part")).drop("part")
     asked = requests.groupBy("key").agg(F.count("*").alias("asked"))
-    known = held(counts.where("n_words > 0").select(key("gram").alias("key"), "f").join(asked, "key"))
+    known = held(counts.select(key("gram").alias("key"), "f").join(asked, "key"))
     answers = looked_up(requests, known, "key", "asked").repartition("lang", "phrase")
     cuts = answers.groupBy("lang", "phrase", "cut").agg(F.first("a").alias("a"), F.max(F.when(F.col("left"), F.col("f"))).alias("l"), F.max(F.when(~F.col("left"), F.col("f"))).alias("r"))
     exact = {c: F.col(c).cast("decimal(19,0)").alias(f"__{c}") for c in "alr"}
@@ -213,8 +213,7 @@ def collocations(documents: DataFrame, *, text: str = "text", lang: str = "lang"
     first = open_.withColumn("__share", F.pmod(F.xxhash64("phrase"), F.lit(shares)))
     first = first.withColumn("__n", F.row_number().over(Window.partitionBy("lang", "__share").orderBy(*order))).where(F.col("__n") <= best)
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= best)
-    totals = counts.where("n_words = 0").groupBy("lang").agg(F.sum("f").alias("n"))
-    found = written(ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
+    found = written(ranked.join(totals.drop("words"), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
     held.clear()
     return found
 
