@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 
 from foliary.llm.frames import Held, looked_up, scratch, segments, written
 
-ARCHIVE_BYTES, READ_BYTES = 1 << 30, 1 << 22
+#: Bytes of an archive, of what is read at once, and of the records that one task reads.
+ARCHIVE_BYTES, READ_BYTES, TASK_BYTES = 1 << 30, 1 << 22, 1 << 24
 #: Captures that a task sorts at once, and that a merging task holds.
 RUN_ROWS, MERGE_ROWS = 1 << 17, 1 << 17
 #: The time of captures that have none of their own.
@@ -303,7 +304,8 @@ def read_archives(captures: DataFrame, path: str, *, payloads: bool = False) ->
             source.close()
 
     schema = ", ".join(f"{n} {'bigint' if n == 'payload_bytes' else 'binary' if n == 'payload' else 'string'}" for n in names)
-    dealt = captures.select("archive", "offset", "length").repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    tasks = max(1, -(-(captures.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
+    dealt = captures.select("archive", "offset", "length").repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     read = dealt.mapInArrow(run, schema)
     return read.withColumns({"page_id": F.col("page_id").cast(kind), "refers_to": F.col("refers_to").cast(kind)})
 
