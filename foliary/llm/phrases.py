@@ -2,9 +2,10 @@
 
 1. Texts are cut into pieces at stops and line ends, pieces into words. Identical pieces of a language become one row with a multiplicity, counted
    before the shuffle, so copies and lines that many texts repeat are looked at once.
-2. A task writes the phrases of its pieces out and sums their multiplicities in duckdb, within a memory limit and out of core beyond it. The sums leave it in
-   the order of hash buckets, as one compressed chunk for each bucket; a bucket's chunks meet in one task, where duckdb sums them up the
-   same way. There are as many buckets as keep BUCKET_ROWS in one. Phrases rarer than the least count end here: a part occurs at least as often
+2. A task writes the phrases of its pieces out and sums their multiplicities in duckdb, a block of words at a time, within a memory limit and out of core beyond
+   it. The sums leave it in the order of hash buckets, as one compressed chunk for each bucket; a bucket's chunks meet in one task, where duckdb
+   sums them up the same way. There are as many buckets as keep BUCKET_WORDS in one, MOST_BUCKETS at most, and blocks grow with the
+   buckets, so that a chunk stays worth its shuffle. Phrases rarer than the least count end here: a part occurs at least as often
    as the phrase, so nothing that a candidate is judged by is lost.
 3. A candidate asks for its parts: a request for each part of each cut goes where the part's count lies, the answers go back to the candidate.
    Parts that very many candidates ask for are few, so these are broadcast and their requests stay where they are.
@@ -39,8 +40,10 @@ UNKNOWN_LANG = "und"
 MOST_WORDS, LEAST_COUNT, BEST = 3, 10, 2000
 #: A candidate goes if a longer one around it has so many hundredths of its count or more.
 COVERED_PERCENT = 50
-#: Words of distinct pieces for each hash bucket; memory that duckdb may take in a task before it goes out of core.
-BUCKET_ROWS, MEMORY_MB = 1 << 21, 384
+#: Words of distinct pieces for each hash bucket, and buckets at most; memory that duckdb may take in a task before it goes out of core.
+BUCKET_WORDS, MOST_BUCKETS, MEMORY_MB = 1 << 20, 1 << 16, 320
+#: Words whose phrases a task sums before it sends them out: so many, or so many for each bucket if that is more.
+BLOCK_WORDS, BLOCK_WORDS_A_BUCKET = 1 << 19, 1 << 10
 #: Most sums in a chunk on its way to its bucket; candidates of a language that are ranked in one task at first.
 CHUNK_ROWS, RANKED_ROWS = 1 << 18, 1 << 20
 
@@ -121,39 +124,52 @@ def _packed(rows: pa.Table) -> bytes:
 def _chunks(deduplicated: DataFrame, most_words: int, buckets: int, memory_mb: int) -> DataFrame:
     """bucket, chunk: the sums of each task's pieces, a chunk or more for each bucket."""
 
+    most = max(BLOCK_WORDS, buckets * BLOCK_WORDS_A_BUCKET)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def every() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for lo, hi in segments(pc.binary_length(batch.column(1)).to_pylist()):
-                    yield from grams(*(c.slice(lo, hi - lo) for c in batch.columns), most_words)
+        parts, over = (batch.slice(lo, hi - lo) for batch in batches for lo, hi in segments(pc.binary_length(batch.column(1)).to_pylist())), False
+
+        def block() -> Iterator[pa.RecordBatch]:
+            """The phrases of the next pieces, until they have so many words."""
+            nonlocal over
+            n = 0
+            while n < most:
+                part = next(parts, None)
+                if part is None:
+                    over = True
+                    return
+                for k, rows in enumerate(grams(*part.columns, most_words)):
+                    n += 0 if k else len(rows)
+                    yield rows
 
         def row(bucket: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([_packed(pa.Table.from_batches(held, _SUMS))], pa.binary())], names=["bucket", "chunk"])
 
         with _duckdb(memory_mb) as db:
-            source = pa.RecordBatchReader.from_batches(_SUMS, every())  # noqa: F841  named in the query
-            sums = db.sql(f"SELECT CAST(hash(lang, gram) % {buckets} AS INTEGER) AS bucket, lang, gram, CAST(sum(times) AS BIGINT) AS times FROM source GROUP BY lang, gram ORDER BY bucket, lang, gram")
-            last, held, n = -1, [], 0
-            for batch in sums.to_arrow_reader(1 << 16):
-                ids = batch.column(0).to_numpy()
-                rows = batch.select(["lang", "gram", "times"]).cast(_SUMS)
-                edges = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
-                for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                    if held and (ids[lo] != last or n >= CHUNK_ROWS):
-                        yield row(last, held)
-                        held, n = [], 0
-                    last = int(ids[lo])
-                    held.append(rows.slice(lo, hi - lo))
-                    n += hi - lo
-            if held:
-                yield row(last, held)
+            while not over:
+                source = pa.RecordBatchReader.from_batches(_SUMS, block())  # noqa: F841  named in the query
+                sums = db.sql(f"SELECT CAST(hash(lang, gram) % {buckets} AS INTEGER) AS bucket, lang, gram, CAST(sum(times) AS BIGINT) AS times FROM source GROUP BY lang, gram ORDER BY bucket, lang, gram")
+                last, held, n = -1, [], 0
+                for batch in sums.to_arrow_reader(1 << 16):
+                    ids = batch.column(0).to_numpy()
+                    rows = batch.select(["lang", "gram", "times"]).cast(_SUMS)
+                    edges = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
+                    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                        if held and (ids[lo] != last or n >= CHUNK_ROWS):
+                            yield row(last, held)
+                            held, n = [], 0
+                        last = int(ids[lo])
+                        held.append(rows.slice(lo, hi - lo))
+                        n += hi - lo
+                if held:
+                    yield row(last, held)
 
     return deduplicated.select("lang", "piece", "times").mapInArrow(run, "bucket int, chunk binary")
 
 
-def count_phrases(deduplicated: DataFrame, *, words: int, most_words: int = MOST_WORDS, least: int = LEAST_COUNT, bucket_rows: int = BUCKET_ROWS, memory_mb: int = MEMORY_MB) -> DataFrame:
+def count_phrases(deduplicated: DataFrame, *, words: int, most_words: int = MOST_WORDS, least: int = LEAST_COUNT, bucket_words: int = BUCKET_WORDS, memory_mb: int = MEMORY_MB) -> DataFrame:
     """lang, gram, n_words, f of every run of one to most_words words that occurs `least` times or more in the pieces, which hold so many words in all."""
-    buckets = max(1, -(-words // bucket_rows))
+    buckets = min(MOST_BUCKETS, max(1, -(-words // bucket_words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def every() -> Iterator[pa.RecordBatch]:
@@ -187,7 +203,7 @@ def _inner(candidates: DataFrame, most_words: int) -> DataFrame:
     return candidates.select("lang", "a", F.explode(F.array_compact(F.array(*inside))).alias("phrase")).groupBy("lang", "phrase").agg(F.max("a").alias("around"))
 
 
-def collocations(documents: DataFrame, *, text: str = "text", lang: str = "lang", most_words: int = MOST_WORDS, least: int = LEAST_COUNT, best: int = BEST, covered_percent: int = COVERED_PERCENT, bucket_rows: int = BUCKET_ROWS, memory_mb: int = MEMORY_MB) -> DataFrame:
+def collocations(documents: DataFrame, *, text: str = "text", lang: str = "lang", most_words: int = MOST_WORDS, least: int = LEAST_COUNT, best: int = BEST, covered_percent: int = COVERED_PERCENT, bucket_words: int = BUCKET_WORDS, memory_mb: int = MEMORY_MB) -> DataFrame:
     """The best phrases of 2 to most_words words of each language: lang, rank (from 1), phrase, a (its occurrences), l and r (those of its parts at the cut of the lowest
     score), n (all words of the language), score."""
     held = Held(documents.sparkSession)
@@ -195,7 +211,7 @@ def collocations(documents: DataFrame, *, text: str = "text", lang: str = "lang"
     n_words = F.length("piece") - F.length(F.translate("piece", " ", "")) + 1
     totals = held(deduplicated.groupBy("lang").agg(F.sum(n_words * F.col("times")).alias("n"), F.sum(n_words).alias("words")))
     words = totals.agg(F.sum("words")).first()[0] or 0
-    counts = held(count_phrases(deduplicated, words=words, most_words=most_words, least=least, bucket_rows=bucket_rows, memory_mb=memory_mb))
+    counts = held(count_phrases(deduplicated, words=words, most_words=most_words, least=least, bucket_words=bucket_words, memory_mb=memory_mb))
     candidates = counts.where("n_words > 1").select("lang", F.col("gram").alias("phrase"), F.col("f").alias("a"), "n_words")
     key = lambda part: F.concat_ws("\t", "lang", part)  # noqa: E731  no word holds a tab
     requests = _parts(candidates, most_words).withColumn("key", key("part")).drop("part")

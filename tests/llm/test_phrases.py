@@ -63,8 +63,10 @@ def test_phrases_equal_a_plain_model(spark, corpus):
 def test_many_buckets_chunks_and_shares_change_nothing(spark, corpus, monkeypatch):
     monkeypatch.setattr(phrases, "RANKED_ROWS", 7)
     monkeypatch.setattr(phrases, "CHUNK_ROWS", 3)
+    monkeypatch.setattr(phrases, "BLOCK_WORDS", 40)
+    monkeypatch.setattr(phrases, "BLOCK_WORDS_A_BUCKET", 1)
     monkeypatch.setattr(frames, "BROADCAST_ROWS", 3)
-    assert mined(spark, corpus, bucket_rows=50, best=9) == model(corpus, best=9)
+    assert mined(spark, corpus, bucket_words=50, best=9) == model(corpus, best=9)
 
 
 def test_a_long_piece_and_one_that_all_share(spark):
