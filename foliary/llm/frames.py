@@ -71,7 +71,7 @@ def segments(sizes: Sequence[int], most: int = SEGMENT_BYTES) -> Iterator[tuple[
         yield lo, len(sizes)
 
 
-def _let_go() -> None:
+def let_go() -> None:
     """Gives the memory that a task has freed back to the system: the worker waits for its next task beside others."""
     gc.collect()
     pa.default_memory_pool().release_unused()
@@ -100,7 +100,7 @@ def map_text(df: DataFrame, make: Callable[[], Callable], fields: Sequence[tuple
                 made = kernel(texts.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *made], names=[*kept, *new])
         del kernel
-        _let_go()
+        let_go()
 
     return given.mapInArrow(run, schema)
 

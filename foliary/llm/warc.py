@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliary.llm.frames import Held, looked_up, scratch, segments, written
+from foliary.llm.frames import Held, let_go, looked_up, scratch, segments, written
 
 #: Bytes of an archive, of what is read at once, and of the records that one task reads.
 ARCHIVE_BYTES, READ_BYTES, TASK_BYTES = 1 << 30, 1 << 22, 1 << 24
@@ -187,6 +187,8 @@ def _written_runs(captures: DataFrame, path: str) -> DataFrame:
                 out.close()
         if held:
             yield sorted_run()
+        del held
+        let_go()
 
     return captures.mapInArrow(run, schema)
 
@@ -250,6 +252,8 @@ def merge_runs(runs: DataFrame) -> DataFrame:
         stretches = ascending_runs(keys)
         order = [stretches[r][0] + i for r, i in LoserTree([keys[a:b] for a, b in stretches])]
         yield from table.take(pa.array(order, pa.int64())).combine_chunks().to_batches(max_chunksize=1 << 14)
+        del rows, table, keys
+        let_go()
 
     return runs.repartitionByRange(ranges, *_ORDER).mapInArrow(run, runs.schema)
 
@@ -302,6 +306,7 @@ def read_archives(captures: DataFrame, path: str, *, payloads: bool = False) ->
                 i = j
         if source is not None:
             source.close()
+        let_go()
 
     schema = ", ".join(f"{n} {'bigint' if n == 'payload_bytes' else 'binary' if n == 'payload' else 'string'}" for n in names)
     tasks = max(1, -(-(captures.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
