@@ -89,6 +89,25 @@ def item_results(items: DataFrame, results: DataFrame, subject: str = S.POLICY,
     return merged(items, new, S.ITEM_KEY, insert=False, update={code: passed, name: passed}, order=[f"__o{i}" for i in range(len(order))])
 
 
+def subjects_results(items: DataFrame, results: DataFrame) -> DataFrame:
+    """results: subject beside what item_results() takes. Each item takes the results of all its subjects in one merge; a subject without a result keeps its
+    columns."""
+    fields = F.struct("error", "code", "name", "reason")
+    subjects = list(RESULT_COLUMNS)
+    each = results.groupBy(*S.ITEM_KEY).agg(*[F.max_by(F.when(F.col("subject") == s, fields), F.when(F.col("subject") == s, 1)).alias(f"__{s}") for s in subjects])
+    made, update = {}, {}
+    for s in subjects:
+        code, name, status, message = RESULT_COLUMNS[s]
+        r = F.col(f"__{s}")
+        failed = r["error"].isNotNull()
+        reasoned = F.when(r["name"].isin(*S.REASONED), r["reason"]) if s == S.POLICY else F.lit(None).cast("string")
+        made |= {code: r["code"], name: r["name"], status: F.when(r.isNotNull(), F.when(failed, S.FAIL).otherwise(S.PASS)), message: F.when(failed, cut(r["error"], S.ERROR_WIDTHS[s])).otherwise(reasoned)}
+        told, passed = F.col(f"__n_{status}").isNotNull(), F.col(f"__n_{status}") == S.PASS
+        update |= dict.fromkeys((code, name), lambda old, new, yes=passed: F.when(yes, new).otherwise(old)) | dict.fromkeys((status, message), lambda old, new, yes=told: F.when(yes, new).otherwise(old))
+    new = each.select(*S.ITEM_KEY, *[c.alias(k) for k, c in made.items()])
+    return merged(items, new, S.ITEM_KEY, insert=False, update=update)
+
+
 def propagate_files(items: DataFrame, decided: DataFrame) -> DataFrame:
     """decided: rc_rfile_no, code, name (one row a file): every item of the file takes the decision."""
     new = decided.select("rc_rfile_no", F.col("code").alias("policy_cd"), F.col("name").alias("policy_nm"), F.lit(S.PASS).alias("llm_policy_status"), F.lit(None).cast("string").alias("llm_policy_err_msg"))

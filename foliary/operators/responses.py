@@ -8,9 +8,11 @@ from collections.abc import Callable, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliary import schema as S
 from foliary.functions.text import blank_to_null, cut, let, null_to_blank, trimmed
+from foliary.sources import shared
 
 #: Names under which a department answer gives its fields.
 DEPARTMENT_FIELDS = {
@@ -60,6 +62,36 @@ def call(requests: DataFrame, client: Callable[[], Client], *, request: str = "r
     return rows.mapInArrow(run, rows.withColumns({"response": none, "call_error": none}).schema)
 
 
+#: Calls whose answers are written together: what a crash of the driver can lose.
+CALLS_A_SLICE = 5000
+
+
+def call_once(requests: DataFrame, key: Sequence[str], client: Callable[[], Client], path: str, *, request: str = "request", workers: int | None = None, calls_a_slice: int = CALLS_A_SLICE, after_slice: Callable[[int, int], None] | None = None) -> DataFrame:
+    """call() under a journal at path: the answers are there before anything reads them, and whoever reads them makes no call.
+
+    First the requests are written as a queue, dealt into slices by the key's hash, then the answers of one slice after the other. A run that is taken up
+    again at the same path reads its queue and calls for the slices that have no answers yet; what has been answered stays as it was answered.
+    after_slice(slices done, slices in all) follows each write. The result is the journal: the requests' columns, response and call_error.
+    """
+    spark, queue, answers = requests.sparkSession, f"{path}/requests", f"{path}/answers"
+    if not shared.complete(spark, queue):
+        slices = max(1, -(-requests.count() // calls_a_slice))
+        requests.withColumn("slice", F.pmod(F.xxhash64(*key), F.lit(slices)).cast("int")).write.mode("overwrite").partitionBy("slice").parquet(queue)
+    slice_, answer = T.StructField("slice", T.IntegerType()), [T.StructField(c, T.StringType()) for c in ("response", "call_error")]
+    queued = spark.read.schema(T.StructType([*requests.schema.fields, slice_])).parquet(queue)
+    numbers = sorted(r["slice"] for r in queued.select("slice").distinct().collect())
+    for done, number in enumerate(numbers, 1):
+        at = f"{answers}/slice={number}"
+        if not shared.complete(spark, at):
+            rows = spark.read.schema(requests.schema).parquet(f"{queue}/slice={number}")
+            call(rows, client, request=request, workers=workers or spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(at)
+            if after_slice:
+                after_slice(done, len(numbers))
+    if not numbers:
+        return spark.createDataFrame([], T.StructType([*requests.schema.fields, *answer]))
+    return spark.read.schema(T.StructType([*requests.schema.fields, *answer, slice_])).parquet(answers).drop("slice")
+
+
 def endpoint(urls: Sequence[str], own: str | None, place: int) -> str:
     """The URL set for a subject, else the one at its place in the list, else the first that isn't blank."""
     found = [u for u in urls if u and u.strip()]

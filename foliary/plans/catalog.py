@@ -14,7 +14,7 @@ from foliary.operators import chunking, columns, ledger, merge, prompting, respo
 from foliary.operators import selection as Q
 from foliary.plans import workflow
 from foliary.plans.standins import ctes, frame
-from foliary.sources import files
+from foliary.sources import files, shared, stored
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -380,7 +380,7 @@ def llm_json_parse(spark: SparkSession, sf: str) -> DataFrame:
 _RULES = "(SELECT DISTINCT detail_task_cd, direct_mapping_terms AS d, conditional_mapping_terms AS c, expand_candidate_terms AS e FROM codes WHERE cls_cd = 'POLICY' AND prev_gov_cd = 'LMB' AND lead_agency LIKE 'Brand#1%')"
 
 
-@query(f"SELECT rc_code, rc_rfile_no, rc_ritem_no, coalesce(max(CASE r WHEN 0 THEN '직접' WHEN 1 THEN '검토' ELSE '제외' END) FILTER (r = m), '후보없음') AS decision FROM (SELECT i.*, r, min(r) OVER (PARTITION BY rc_ritem_no) AS m FROM items i LEFT JOIN LATERAL (SELECT CASE WHEN contains(t.ttl, lower(d)) THEN CASE WHEN contains(t.ttl, 'lease') THEN 1 ELSE 0 END WHEN contains(t.ttl, 'lease') THEN 2 WHEN contains(t.ttl, lower(c)) AND contains(t.ttl, 'plan') THEN 0 ELSE 1 END AS r FROM (SELECT lower(i.bnd_ttl || ' ' || i.jemok) AS ttl) t, {_RULES} z WHERE contains(t.ttl, lower(d)) OR list_contains(string_split(t.ttl, ' '), lower(c)) OR list_contains(string_split(t.ttl, ' '), lower(e))) ON true) GROUP BY rc_code, rc_rfile_no, rc_ritem_no", ("items", "codes"))
+@query(f"SELECT rc_code, rc_rfile_no, rc_ritem_no, coalesce(max(CASE r WHEN 0 THEN '직접' WHEN 1 THEN '검토' ELSE '제외' END) FILTER (r = m), '후보없음') AS decision FROM (SELECT i.*, r, min(r) OVER (PARTITION BY rc_ritem_no) AS m FROM items i LEFT JOIN LATERAL (SELECT CASE WHEN contains(t.ttl, lower(d)) THEN CASE WHEN contains(t.ttl, 'lease') THEN 1 ELSE 0 END WHEN contains(t.ttl, 'lease') THEN 2 WHEN contains(t.ttl, lower(c)) AND contains(t.ttl, 'plan') THEN 0 ELSE 1 END AS r FROM (SELECT lower(i.bnd_ttl || ' ' || i.jemok) AS ttl) t, {_RULES} z WHERE contains(t.ttl, lower(d)) OR contains(t.ttl, lower(c)) OR contains(t.ttl, lower(e))) ON true) GROUP BY rc_code, rc_rfile_no, rc_ritem_no", ("items", "codes"))
 def rule_mapping(spark: SparkSession, sf: str) -> DataFrame:
     found = rules.map_by_rules(frame(spark, sf, "items"), Q.mapping_dictionary(frame(spark, sf, "codes"), "Brand#1"))
     return found.select(*S.ITEM_KEY, "decision")
@@ -428,6 +428,49 @@ _ASKED = "(SELECT DISTINCT a.rc_ritem_no FROM items a JOIN catalog b ON a.rc_rfi
 ORACLES["subject_run"] = f"WITH {ctes('items', 'catalog')} SELECT rc_code, rc_rfile_no, i.rc_ritem_no, CASE WHEN q.rc_ritem_no IS NULL THEN policy_cd ELSE 'X' END AS policy_cd, CASE WHEN q.rc_ritem_no IS NULL THEN policy_nm ELSE string_split(jemok, ' ')[-1] END AS policy_nm, CASE WHEN q.rc_ritem_no IS NULL THEN llm_policy_status ELSE 'PASS' END AS llm_policy_status, CASE WHEN q.rc_ritem_no IS NULL THEN llm_policy_err_msg END AS llm_policy_err_msg FROM items i LEFT JOIN {_ASKED} q ON q.rc_ritem_no = i.rc_ritem_no"
 
 
+def careful_client():
+    """A stub that fails on leases; the code is the subject's, the name the title's last word."""
+    answer = workflow_client()
+
+    def send(body: str) -> str:
+        if "lease" in body:
+            raise TimeoutError("no answer")
+        return answer(body)
+
+    return send
+
+
+_LEASE = "jemok LIKE '%lease%'"
+_WANTED = f"(SELECT DISTINCT rc_code, rc_rfile_no, i.rc_ritem_no, {_LEASE} AS bad FROM items i JOIN {_ASKED} q ON q.rc_ritem_no = i.rc_ritem_no)"
+
+
+@query(f"SELECT 'run' AS kind, CASE WHEN bool_or(bad) THEN 'PARTIAL' ELSE 'SUCCESS' END AS status, count(*) AS targets, count(*) FILTER (NOT bad) AS passed, count(*) FILTER (bad) AS failed FROM {_WANTED} UNION ALL SELECT 'log', CASE WHEN bad THEN 'FAIL' ELSE 'PASS' END, count(*), count(*) FILTER (NOT bad), count(*) FILTER (bad) FROM {_WANTED} GROUP BY bad UNION ALL SELECT 'calls', CASE WHEN bad THEN 'TimeoutError: no answer' ELSE 'PASS' END, count(*), count(*) FILTER (NOT bad), count(*) FILTER (bad) FROM {_WANTED} GROUP BY bad UNION ALL SELECT 'items', coalesce(CASE WHEN bad THEN 'FAIL' WHEN NOT bad THEN 'PASS' ELSE llm_policy_status END, 'OPEN'), count(*), count(*) FILTER (coalesce(NOT bad, false)), count(*) FILTER (coalesce(bad, false)) FROM items i LEFT JOIN {_WANTED} w USING (rc_code, rc_rfile_no, rc_ritem_no) GROUP BY 2", ("items", "catalog"))
+def accounted_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A run of one subject under the ledger: what its ledger, its log, its journal of calls and the items after it say."""
+    items, catalog, path = frame(spark, sf, "items"), frame(spark, sf, "catalog"), shared.scratch(spark)
+    targets = Q.item_targets(items, catalog, Q.Params())
+    after = workflow.accounted(
+        spark, ledger.Registry(), ledger.RunKey("POLICY_ALL", S.POLICY, "2023"), path,
+        lambda run: workflow.subject_answers(targets, '{"title": "{{JEMOK}}"}', careful_client, S.POLICY, journal=run.journal, after_slice=run.progress),
+        lambda results: merge.item_results(items, results, S.POLICY),
+        lambda results, run_id: ledger.item_log(results.withColumnRenamed("error", "error_msg"), run_id, S.POLICY),
+    )
+    own = targets.select(*S.ITEM_KEY).distinct().withColumn("asked", F.lit(True))
+    count = lambda ok, bad: (F.count("*").alias("targets"), F.sum(F.when(ok, 1).otherwise(0)).alias("passed"), F.sum(F.when(bad, 1).otherwise(0)).alias("failed"))
+    runs = ledger.run_states(spark.read.parquet(f"{path}/runs")).select(F.lit("run").alias("kind"), "status", F.col("total_target_count").alias("targets"), F.col("total_success_count").alias("passed"), F.col("total_fail_count").alias("failed"))
+    log = spark.read.parquet(f"{path}/items").groupBy("status").agg(*count(F.col("status") == S.PASS, F.col("status") == S.FAIL)).select(F.lit("log").alias("kind"), "*")
+    calls = _journal(spark, path).groupBy(F.coalesce("call_error", F.lit(S.PASS)).alias("status")).agg(*count(F.col("call_error").isNull(), F.col("call_error").isNotNull())).select(F.lit("calls").alias("kind"), "*")
+    told = after.join(own, list(S.ITEM_KEY), "left").withColumn("status", F.coalesce("llm_policy_status", F.lit("OPEN")))
+    told = told.groupBy("status").agg(*count(F.col("asked") & (F.col("status") == S.PASS), F.col("asked") & (F.col("status") == S.FAIL))).select(F.lit("items").alias("kind"), "*")
+    return runs.unionByName(log).unionByName(calls).unionByName(told)
+
+
+def _journal(spark: SparkSession, path: str) -> DataFrame:
+    """The answers in the journals of all runs of a ledger."""
+    return spark.read.schema("rc_code string, rc_rfile_no string, rc_ritem_no string, request string, response string, call_error string").parquet(f"{path}/journal/*/answers/slice=*")
+
+
+
 @query("SELECT id, title, description FROM (SELECT doc_id AS id, CASE WHEN l.labelled IS NULL THEN lang ELSE 'changed' END AS title, source AS description FROM documents d LEFT JOIN (SELECT DISTINCT doc_id AS labelled FROM labels WHERE toxic = 0) l ON l.labelled = d.doc_id WHERE d.doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))")
 def records_crud(spark: SparkSession, sf: str) -> DataFrame:
     """Records updated and deleted by id."""
@@ -583,6 +626,17 @@ def file_extracts(spark: SparkSession, sf: str) -> DataFrame:
     return files.extract_files(given).select("rc_ritem_no", "file_name", F.coalesce("contents", F.lit("")).alias("contents"), "extract_status", "extract_err_msg", "has_contents")
 
 
+@query(ORACLES["file_extracts"])
+def stored_extracts(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns as files of their own, put into a store by their paths and read by the catalogue's; those that were never put there are rows too."""
+    rows, base = spark.read.parquet(f"{sf}/conversations.parquet"), shared.scratch(spark)
+    turns = rows.select(F.lit("2023").alias("transferyear"), F.lit("F").alias("rc_rfile_no"), F.concat(F.lit("R"), "conv_id").alias("rc_ritem_no"), F.lit("2020").alias("prodyear"), F.lit(None).cast("string").alias("org_file_path"), F.concat("turn", F.lit("_N01.txt")).alias("save_file_name"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data"), "turn")
+    path = X.resolved_path(F.col("org_file_path"), F.col("save_file_name"), F.col("transferyear"), F.col("rc_rfile_no"), F.col("rc_ritem_no"), base, "2023")
+    stored.put_files(turns.where("turn % 7 <> 3").select(path.alias("path"), "data"), base)
+    found = files.extract_files(files.scan_catalogued(turns.drop("data", "turn"), base))
+    return found.select("rc_ritem_no", "file_name", F.coalesce("contents", F.lit("")).alias("contents"), "extract_status", "extract_err_msg", "has_contents")
+
+
 @query("SELECT conv_id, turn, 'PASS' AS status, 'Conversation ' || conv_id || chr(10) || 'Turn (' || turn || ')' || chr(10) || 'by ' || role AS text FROM conversations")
 def pdf_text(spark: SparkSession, sf: str) -> DataFrame:
     """Turns written as PDF files and read again."""

@@ -25,7 +25,7 @@ EXTRACTS = f"""SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS idx, {_N
 
 _DAY = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
 ITEMS = f"""SELECT 'C' || (o_custkey % 5) AS rc_code, 'F' || {_FILE.format(k="o_orderkey")} AS rc_rfile_no, 'R' || o_orderkey AS rc_ritem_no, 'File ' || {_FILE.format(k="o_orderkey")} AS bnd_ttl,
-  'On a ' || CASE o_custkey % 4 WHEN 0 THEN 'small ring' WHEN 1 THEN 'red widget' WHEN 2 THEN 'blue bolt' ELSE 'leave' END || ' and ' || CASE o_custkey % 3 WHEN 0 THEN 'lease' WHEN 1 THEN 'plan' ELSE 'old anvil' END AS jemok,
+  'On a ' || CASE o_custkey % 4 WHEN 0 THEN 'small ring' WHEN 1 THEN 'infrared widgets' WHEN 2 THEN 'blue bolt' ELSE 'leave' END || ' and ' || CASE o_custkey % 3 WHEN 0 THEN 'lease' WHEN 1 THEN 'plan' ELSE 'old anvil' END AS jemok,
   replace(o_orderpriority, '-', ' ') AS all_org_nm,
   CASE o_custkey % 5 WHEN 0 THEN {_DAY} WHEN 1 THEN replace({_DAY}, '-', '.') WHEN 2 THEN replace({_DAY}, '-', '') WHEN 3 THEN substr({_DAY}, 1, 4) ELSE ' ' END AS prodregdate,
   CASE WHEN o_custkey % 7 = 0 THEN ' ' WHEN o_custkey % 7 = 1 THEN 'y' || CAST(year(o_orderdate) AS STRING) ELSE CAST(year(o_orderdate) AS STRING) END AS prodyear,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from foliary import schema as S
 from foliary.functions import text as X
 from foliary.functions.letters import with_letters
-from foliary.sources import parsers
+from foliary.sources import parsers, stored
 
 
 def table(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -38,6 +38,13 @@ def catalogued(catalog: DataFrame, files: DataFrame, base: str, default_year: st
     return catalog.withColumn("path", bare(path)).join(found, "path", "left")
 
 
+def scan_catalogued(catalog: DataFrame, base: str, default_year: str = "2023", **plan) -> DataFrame:
+    """The catalogue's rows with path and content, which tasks read by path: nothing else is listed or read, and no content is shuffled. Content is null where no file
+    lies at the path."""
+    path = X.resolved_path(F.col("org_file_path"), F.col("save_file_name"), F.col("transferyear"), F.col("rc_rfile_no"), F.col("rc_ritem_no"), base, default_year)
+    return stored.scanned(catalog.withColumn("path", path), **plan)
+
+
 def spread(rows: DataFrame) -> DataFrame:
     """rows dealt evenly over the cores where they come in fewer partitions than these (small tables before costly maps)."""
     if rows.isStreaming:
@@ -115,7 +122,7 @@ def _image_path(base: str, name: Column, seq: Column) -> Column:
 
 def image_files(rows: DataFrame, base: str, name: str = "save_file_name") -> DataFrame:
     """A row for each picture in the files of catalogued rows and in the entries of their archives: keys, entry_name (null outside archives), seq,
-    data and the path that it belongs at. Write data by path where a store of pictures is wanted."""
+    data and the path that it belongs at. stored.put_files(pictures, base, "image_path") puts them there."""
     flat = expand_archives(rows.withColumn("save_file_name", F.col(name)) if name != "save_file_name" else rows, name)
     found = _added(flat, "__i", _IMAGE, _IMAGE_ARROW, ("content",), parsers.images)
     found = found.select(*[c for c in flat.columns if c != "content"], F.explode("__i").alias("i"))
@@ -123,8 +130,8 @@ def image_files(rows: DataFrame, base: str, name: str = "save_file_name") -> Dat
 
 
 def page_text(pages: DataFrame, html: str = "html") -> DataFrame:
-    """pages with text: the whole body's text, tables as rows of cells."""
-    made = _added(spread(pages).withColumn("__b", F.encode(html, "UTF-8")), "text", "string", pa.string(), ("__b",), lambda b: parsers.web_page(b or b""))
+    """pages with text: the whole body's text, tables as rows of cells; null where a page can't be read within the parsers' time."""
+    made = _added(spread(pages).withColumn("__b", F.encode(html, "UTF-8")), "text", "string", pa.string(), ("__b",), lambda b: parsers.extract("page.html", b or b"")["contents"])
     return made.drop("__b").withColumn("text", X.normalize_extracted(F.col("text")))
 
 

@@ -31,45 +31,56 @@ class ParseError(Exception):
 
 
 class _Node:
-    __slots__ = ("children", "tag")
+    __slots__ = ("children", "tag", "tables", "text")
 
-    def __init__(self, tag: str) -> None:
-        self.tag, self.children = tag, []
+    def __init__(self, tag: str, tables: int = 0) -> None:
+        self.tag, self.children, self.tables, self.text = tag, [], tables, ""
 
 
 class _Tree(HTMLParser):
+    """Elements as they nest; the places of open ones are kept by tag, so an end costs what it ends."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = _Node("body")
         self.stack = [self.root]
+        self.places: dict[str, list[int]] = {"body": [0]}
+
+    def _cut(self, at: int) -> None:
+        while len(self.stack) > at:
+            self.places[self.stack.pop().tag].pop()
+
+    def _last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in ("html", "body"):
             return
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag in _ENDS.get(tag, ("p",) if tag in BLOCKS or tag == "table" else ()):
-                del self.stack[i:]
-                break
-            if self.stack[i].tag in _SCOPE:
-                break
-        node = _Node(tag)
-        self.stack[-1].children.append(node)
+        ended = self._last(_ENDS.get(tag, ("p",) if tag in BLOCKS or tag == "table" else ()))
+        if ended > self._last(_SCOPE):
+            self._cut(ended)
+        above = self.stack[-1]
+        node = _Node(tag, above.tables + (tag == "table"))
+        above.children.append(node)
         if tag not in _VOID:
+            self.places.setdefault(tag, []).append(len(self.stack))
             self.stack.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.stack[-1].children.append(_Node(tag))
+        self.stack[-1].children.append(_Node(tag, self.stack[-1].tables + (tag == "table")))
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                del self.stack[i:]
-                return
+        if tag not in ("html", "body") and self.places.get(tag):
+            self._cut(self.places[tag][-1])
 
     def handle_data(self, data: str) -> None:
         self.stack[-1].children.append(data)
 
 
+#: A table within so many tables is text like any other: each of them repeats the rows of those within.
+MOST_TABLES = 8
+
+
 def _tidy(s: str) -> str:
     s = re.sub(r"[ \t\x0b\f\r]+", " ", s)
     return re.sub(r"\n{3,}", "\n\n", re.sub(r" *\n *", "\n", s)).strip()
@@ -79,31 +90,45 @@ def _one_line(s: str) -> str:
     return re.sub(r"\s+", " ", s).strip()
 
 
+def _is_table(node: _Node) -> bool:
+    return node.tag == "table" and node.tables <= MOST_TABLES
+
+
 def _text(node: _Node) -> str:
-    """Inline text joined by one blank, blocks in lines of their own, tables as rows."""
-    out = ""
-    for child in node.children:
+    """Inline text joined by one blank, blocks in lines of their own, tables as rows; the elements within have their text already."""
+    told = [c for c in node.children if not isinstance(c, str) or not c.isspace()]
+    if len(told) == 1 and isinstance(told[0], _Node) and told[0].tag not in ("br", "table", *HIDDEN):
+        return told[0].text
+    out: list[str] = []
+    last = ""  # the last character written
+
+    def add(s: str) -> None:
+        nonlocal last
+        out.append(s)
+        last = s[-1]
+
+    for child in told:
         if isinstance(child, str) or (child.tag not in BLOCKS and child.tag not in ("table", "br", *HIDDEN)):
-            own = _one_line(child) if isinstance(child, str) else _text(child).strip()
+            own = _one_line(child) if isinstance(child, str) else child.text.strip()
             if own:
-                out += ("" if not out or out[-1] in "\n " else " ") + own
+                add(("" if not last or last in "\n " else " ") + own)
         elif child.tag == "br":
-            out += "\n"
+            add("\n")
         elif child.tag not in HIDDEN:
-            own = (_table(child) if child.tag == "table" else _text(child)).strip()
+            own = child.text.strip()
             if own:
-                out += ("" if not out or out[-1] == "\n" else "\n") + own + "\n"
-    return _tidy(out)
+                add(("" if not last or last == "\n" else "\n") + own + "\n")
+    return _tidy("".join(out))
 
 
 def _find(node: _Node, tags: tuple[str, ...], deep: bool = True) -> list[_Node]:
-    found = []
-    for child in node.children:
-        if isinstance(child, _Node):
-            if child.tag in tags:
-                found.append(child)
-            if deep:
-                found += _find(child, tags)
+    found, todo = [], [c for c in reversed(node.children) if isinstance(c, _Node)]
+    while todo:
+        child = todo.pop()
+        if child.tag in tags:
+            found.append(child)
+        if deep:
+            todo += [c for c in reversed(child.children) if isinstance(c, _Node)]
     return found
 
 
@@ -112,7 +137,7 @@ def _table(node: _Node) -> str:
     rows = []
     for row in _find(node, ("tr",)):
         cells = _find(row, ("td", "th"), deep=False) or _find(row, ("td", "th"))
-        if own := [t for c in cells if (t := _one_line(_text(c)))]:
+        if own := [t for c in cells if (t := _one_line(c.text))]:
             rows.append(" | ".join(own))
     return "\n".join(rows)
 
@@ -121,7 +146,14 @@ def web_page(content: bytes) -> str:
     tree = _Tree()
     tree.feed(content.decode("utf-8", "replace"))
     tree.close()
-    return _text(tree.root)
+    order, todo = [], [tree.root]
+    while todo:  # however deep elements nest
+        node = todo.pop()
+        order.append(node)
+        todo += [c for c in node.children if isinstance(c, _Node) and c.tag not in HIDDEN]
+    for node in reversed(order):  # what lies within comes first
+        node.text = _table(node) if _is_table(node) else _text(node)
+    return tree.root.text
 
 
 def _xml(archive: zipfile.ZipFile, name: str) -> ElementTree.Element:

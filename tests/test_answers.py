@@ -1,6 +1,8 @@
 """Prompts, answers, rules, ledger, writes and reading order on small fixtures."""
 
 import json
+from pathlib import Path
+
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,28 +136,167 @@ def test_templates_name_only_their_variables(spark):
         prompting.template("other")
 
 
+RESULTS = "rc_code string, rc_rfile_no string, rc_ritem_no string, status string, error_msg string"
+
+
 def test_accounted_run_leaves_its_record(spark, tmp_path):
     from foliary import schema as S
     from foliary.operators import ledger
     from foliary.plans import workflow
 
     registry, key, path = ledger.Registry(), ledger.RunKey("POLICY_ALL", S.POLICY, "2023"), str(tmp_path / "ledger")
-    results = spark.createDataFrame([("c", "f", "r1", "PASS", None), ("c", "f", "r2", "FAIL", "bad")], "rc_code string, rc_rfile_no string, rc_ritem_no string, status string, error_msg string")
+    results = spark.createDataFrame([("c", "f", "r1", "PASS", None), ("c", "f", "r2", "FAIL", "bad")], RESULTS)
 
-    def work(run_id):
+    def work(run):
         with pytest.raises(ledger.RunConflict):
             registry.acquire(key)
-        return results, results, ledger.item_log(results, run_id, S.POLICY)
+        return results
 
-    assert workflow.accounted(spark, registry, key, path, work) is results
+    log = lambda r, run_id: ledger.item_log(r, run_id, S.POLICY)
+    after = workflow.accounted(spark, registry, key, path, work, lambda r: r.where("status = 'PASS'"), log)
+    assert [r.rc_ritem_no for r in after.collect()] == ["r1"]
     with pytest.raises(ZeroDivisionError):
-        workflow.accounted(spark, registry, key, path, lambda run_id: 1 / 0)
+        workflow.accounted(spark, registry, key, path, lambda run: 1 / 0, lambda r: r, log)
     states = {r.status: r for r in ledger.run_states(spark.read.parquet(f"{path}/runs")).collect()}
     assert set(states) == {S.PARTIAL, S.FAIL} and tuple(states[S.PARTIAL][c] for c in ("total_target_count", "total_success_count", "total_fail_count")) == (2, 1, 1)
     assert states[S.FAIL].error_msg.startswith("ZeroDivisionError") and spark.read.parquet(f"{path}/items").where("status = 'FAIL'").count() == 1
     registry.release(registry.acquire(key))
 
 
+def test_a_log_that_cannot_be_written_only_warns(spark, tmp_path):
+    from foliary import schema as S
+    from foliary.operators import ledger
+    from foliary.plans import workflow
+
+    results = spark.createDataFrame([("c", "f", "r1", "PASS", None)], RESULTS)
+    with pytest.warns(UserWarning, match="aren't recorded"):
+        after = workflow.accounted(spark, ledger.Registry(), ledger.RunKey("POLICY_ALL", S.POLICY, "2023"), str(tmp_path), lambda run: results, lambda r: r, lambda r, run_id: 1 / 0)
+    assert after.count() == 1
+
+
+def counting(folder):
+    """A client that leaves a line in a file of its own for each call."""
+
+    def client():
+        import os
+        import uuid
+
+        own = os.path.join(folder, uuid.uuid4().hex)
+
+        def send(body):
+            with open(own, "a") as f:
+                f.write(body.replace("\n", " ") + "\n")
+            if "bad" in body:
+                raise TimeoutError("late")
+            return json.dumps({"choices": [{"text": json.dumps({"ITEM_CD": "X", "POLICY": "ok"})}]})
+
+        return send
+
+    return client
+
+
+def calls_in(folder):
+    return [line for p in Path(folder).iterdir() for line in p.read_text().splitlines()]
+
+
+def asked(spark, n=60):
+    rows = [("C", "F", str(i), "ttl", ("bad " if i % 7 == 0 else "good ") + str(i), None, None, None, None) for i in range(n)]
+    return spark.createDataFrame(rows, "rc_code string, rc_rfile_no string, rc_ritem_no string, bnd_ttl string, jemok string, policy_cd string, policy_nm string, llm_policy_status string, llm_policy_err_msg string")
+
+
+def test_each_target_is_called_once_however_often_the_run_is_read_or_resumed(spark, tmp_path):
+    from foliary import schema as S
+    from foliary.operators import ledger, merge
+    from foliary.plans import workflow
+
+    folder, path, items, registry, key = tmp_path / "calls", str(tmp_path / "ledger"), asked(spark), ledger.Registry(), ledger.RunKey("POLICY_ALL", S.POLICY, "2023")
+    folder.mkdir()
+    work = lambda run: workflow.subject_answers(items.union(items), "{JEMOK}", counting(str(folder)), S.POLICY, journal=run.journal, after_slice=run.progress)
+    log = lambda r, run_id: ledger.item_log(r.withColumnRenamed("error", "error_msg"), run_id, S.POLICY)
+    runs = []
+
+    def broken(results):
+        runs.append(results)
+        raise OSError("the driver is gone")
+
+    with pytest.raises(OSError):
+        workflow.accounted(spark, registry, key, path, work, broken, log)
+    assert len(calls_in(folder)) == 60
+    run_id = spark.read.parquet(f"{path}/runs").first()["run_id"]
+    after = workflow.accounted(spark, registry, key, path, work, lambda r: merge.item_results(items, r, S.POLICY), log, run_id=run_id)
+    assert {(r.llm_policy_status, r.n) for r in after.groupBy("llm_policy_status").agg(F.count("*").alias("n")).collect()} == {("PASS", 51), ("FAIL", 9)}
+    after.write.format("noop").mode("overwrite").save()
+    assert len(calls_in(folder)) == 60 and spark.read.parquet(f"{path}/items").count() == 60
+    assert {(r.status, r.total_target_count, r.total_fail_count) for r in spark.read.parquet(f"{path}/runs").where("status = 'PARTIAL'").collect()} == {("PARTIAL", 60, 9)}
+
+
+def test_a_journal_is_taken_up_after_the_slices_that_it_has(spark, tmp_path):
+    folder = tmp_path / "calls"
+    folder.mkdir()
+    requests = spark.range(200).select(F.col("id").cast("string").alias("k"), F.concat(F.lit("call "), "id").alias("request"))
+
+    def dies(done, every):
+        if done == 3:
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        responses.call_once(requests, ("k",), counting(str(folder)), str(tmp_path / "j"), calls_a_slice=25, after_slice=dies)
+    before = len(calls_in(folder))
+    assert 0 < before < 200
+    found = responses.call_once(requests, ("k",), counting(str(folder)), str(tmp_path / "j"), calls_a_slice=25)
+    assert found.count() == 200 and found.where("response IS NULL").count() == 0
+    found.count()
+    assert sorted(calls_in(folder)) == sorted(f"call {i}" for i in range(200))
+    assert responses.call_once(requests.limit(0), ("k",), counting(str(folder)), str(tmp_path / "none")).count() == 0
+
+
+def test_results_of_all_subjects_go_in_by_one_merge(spark):
+    from foliary import schema as S
+    from foliary.operators import merge
+
+    columns = [c for s in S.SUBJECTS for c in merge.RESULT_COLUMNS[s]]
+    items = spark.createDataFrame([("C", "F", str(i), *(f"old {c}" for c in columns)) for i in range(4)], "rc_code string, rc_rfile_no string, rc_ritem_no string, " + ", ".join(f"{c} string" for c in columns))
+    rows = [(S.POLICY, "0", None, "P", "제외", "why"), (S.EVENT, "0", "x" * 600, None, None, None), (S.ACTIVITY, "1", None, "A", "name", "r"), (S.POLICY, "2", "failed", None, None, None), (S.EVENT, "9", None, "E", "n", "r")]
+    results = spark.createDataFrame([(s, "C", "F", i, e, c, n, r) for s, i, e, c, n, r in rows], "subject string, rc_code string, rc_rfile_no string, rc_ritem_no string, error string, code string, name string, reason string")
+    one = merge.subjects_results(items, results)
+    each = items
+    for s in S.SUBJECTS:
+        each = merge.item_results(each, results.where(F.col("subject") == s), s)
+    assert sorted(one.collect()) == sorted(each.collect()) and one._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_terms_are_met_inside_compound_words_as_contains_does(spark, monkeypatch):
+    import random
+
+    r = random.Random(7)
+    words = ["환경", "보전", "계획", "대기", "수질", "a", "ab", "b c", "법"]
+    dictionary = spark.createDataFrame([(f"T{i}", f"n{i}", ",".join({"".join(r.choices(words, k=r.randint(1, 3))) for _ in range(2)}), r.choice(words), r.choice(words), r.choice(words), r.choice(words)) for i in range(30)], "detail_task_cd string, detail_task_nm string, direct_mapping_terms string, conditional_mapping_terms string, expand_candidate_terms string, required_combine_terms string, block_terms string")
+    items = spark.createDataFrame([("C", "F", str(i), None, "".join(r.choice(words) + r.choice(["", "", " "]) for _ in range(r.randrange(7)))) for i in range(150)], "rc_code string, rc_rfile_no string, rc_ritem_no string, bnd_ttl string, jemok string")
+    each = dictionary.select(F.explode(rules.terms(F.col("direct_mapping_terms"))).alias("t")).distinct().select(F.xxhash64("t").alias("term_id"), F.col("t").alias("term"))
+    pairs = {(i.rc_ritem_no, t.term_id) for i in items.collect() for t in each.collect() if t.term in i.jemok}
+    for most in (200_000, 4):
+        monkeypatch.setattr(rules, "MOST_TERMS", most)
+        found = rules.met_terms(items, "jemok", each)
+        assert {(x.rc_ritem_no, t) for x in found.collect() for t in x.met} == pairs
+        decided = rules.map_by_rules(items, dictionary)
+        best = {x.rc_ritem_no: x.decision for x in decided.collect()}
+        assert len(best) == 150
+        for i in items.collect():
+            told = []
+            for d in dictionary.collect():
+                has = lambda c: any(t in i.jemok for t in c.split(","))
+                if has(d.direct_mapping_terms):
+                    told.append(1 if has(d.block_terms) else 0)
+                if has(d.conditional_mapping_terms):
+                    told.append(2 if has(d.block_terms) else 0 if has(d.required_combine_terms) else 1)
+                if has(d.expand_candidate_terms):
+                    told.append(2 if has(d.block_terms) else 1)
+            assert best[i.rc_ritem_no] == (["직접", "검토", "제외"][min(told)] if told else "후보없음")
+    assert "word" not in decided._jdf.queryExecution().optimizedPlan().toString()
+    empty = dictionary.limit(0)
+    assert {x.decision for x in rules.map_by_rules(items, empty).collect()} == {"후보없음"}
+
+
 def test_published_tables_keep_a_version_for_their_readers(spark, tmp_path):
     from foliary.operators import merge
 

@@ -63,7 +63,7 @@ def test_extract_run_from_stored_files(spark, tmp_path):
 
     empty = spark.createDataFrame([], S.EXTRACTS)
     stored = files.stored_files(spark, str(tmp_path / "files"))
-    after, _ = workflow.extract_run(catalog, empty, stored, str(tmp_path / "files"), Q.Params())
+    after, _ = workflow.extract_run(catalog, empty, str(tmp_path / "files"), Q.Params(), stored=stored)
     found = {(r.file_name, r.zip_seq): r for r in after.collect()}
     assert set(found) == {("1_2_N01.txt", 0), ("x_S01.zip", 1), ("x_S01.zip", 2), ("gone.txt", 0)}
     letter = found["1_2_N01.txt", 0]
@@ -201,3 +201,81 @@ def test_parsers_and_pictures_of_a_run_reach_its_tasks(spark):
     assert made["b.zip"].img_datas == '{"img1":"/img/2023/F/R/b/d/img1.png","img2":"/img/2023/F/R/b/d/img2.png"}'
     assert made["c.docx"].img_datas == '{"img1":"/img/2023/F/R/c/img1.png","img2":"/img/2023/F/R/c/img2.png"}'
     assert sorted(r.image_path for r in files.image_files(rows, "/img").collect()) == [f"/img/2023/F/R/{n}/img{i}.png" for n in ("b/d", "c") for i in (1, 2)]
+
+
+def test_files_are_read_by_the_catalogue_and_shuffled_by_nothing(spark, tmp_path, monkeypatch):
+    from foliary import schema as S
+    from foliary.sources import files, stored
+
+    monkeypatch.setattr(stored, "OPEN_BYTES", 10)
+    base = f"file://{tmp_path}/store"
+    rows = [("2023", "F", f"R{i}", None, f"{i}_N01.txt", f"text {i} " * i) for i in range(40)]
+    catalog = spark.createDataFrame(rows, "transferyear string, rc_rfile_no string, rc_ritem_no string, org_file_path string, save_file_name string, text string")
+    path = files.X.resolved_path(F.col("org_file_path"), F.col("save_file_name"), F.col("transferyear"), F.col("rc_rfile_no"), F.col("rc_ritem_no"), base, "2023")
+    stored.put_files(catalog.where("rc_ritem_no <> 'R7'").select(path.alias("path"), F.encode("text", "UTF-8").alias("data")), base)
+    (tmp_path / "store" / "2023" / "F" / "R7" / "7_N01.txt").mkdir(parents=True)  # a folder is no file
+    wanted = catalog.where("rc_ritem_no NOT IN ('R1', 'R2')").drop("text").withColumn("prodyear", F.lit("2020"))
+    found = files.scan_catalogued(wanted, base, split_bytes=300)
+    assert found.rdd.getNumPartitions() > 5
+    assert {r.rc_ritem_no: None if r.content is None else bytes(r.content).decode() for r in found.collect()} == {r[2]: None if r[2] == "R7" else r[5] for r in rows if r[2] not in ("R1", "R2")}
+    done = files.extract_files(found)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    by = {r.rc_ritem_no: r for r in done.collect()}
+    assert by["R7"].extract_err_msg.startswith("FILE_NOT_FOUND") and by["R3"].extract_status == S.PASS and by["R0"].has_contents == "N"
+    assert not (tmp_path / "store" / "_attempts").exists() or not list((tmp_path / "store" / "_attempts").iterdir())
+    assert files.scan_catalogued(wanted.limit(0), base).count() == 0
+
+
+def test_an_extraction_run_reads_only_what_is_wanted(spark, tmp_path):
+    from foliary import schema as S
+    from foliary.operators import selection as Q
+    from foliary.plans import workflow
+    from foliary.plans.standins import TABLES
+
+    folder = tmp_path / "store" / "2023" / "F" / "R1"
+    folder.mkdir(parents=True)
+    (folder / "a_N01.txt").write_text("hello")
+    catalog = spark.createDataFrame([("2023", "F", "R1", "m", 1, "2020", None, "a_N01.txt"), ("2023", "F", "R2", "m", 1, "2020", None, "b.txt"), ("2022", "F", "R3", "m", 1, "2020", None, "c.txt")], "transferyear string, rc_rfile_no string, rc_ritem_no string, mngno string, detno int, prodyear string, org_file_path string, save_file_name string")
+    extracts = spark.sql(TABLES["extracts"].replace("{lineitem}", "(SELECT 1L AS l_orderkey, 1 AS l_linenumber, 'N' AS l_returnflag, 1L AS l_suppkey, 1L AS l_partkey, 1.0D AS l_extendedprice, 1.0D AS l_quantity, 0.0D AS l_tax, current_timestamp() AS l_shipdate)"))
+    extra = {c: F.lit(None).cast("string") for c in ("contents", "img_datas", "extract_err_msg", "implement_org", "implement_date", "receipt_org", "receipt_date", "summary", "llm_summary_err_msg", "create_date")}
+    after, made = workflow.extract_run(catalog, extracts.withColumns(extra), f"file://{tmp_path}/store", Q.Params())
+    assert {(r.rc_ritem_no, r.extract_status, r.contents) for r in after.collect()} == {("R1", S.PASS, "hello"), ("R2", S.FAIL, None)} or {(r.rc_ritem_no, r.extract_status) for r in after.collect()} == {("R1", S.PASS), ("R2", S.FAIL)}
+    assert made.count() == 2
+
+
+def test_a_sink_leaves_one_file_a_path(spark, tmp_path):
+    from foliary.sources import stored
+
+    base = f"file://{tmp_path}/pictures"
+    rows = spark.createDataFrame([(f"{base}/2023/a b/img{i % 5}.png", f"picture {i % 5}".encode(), i) for i in range(50)] + [(None, b"x", 1), (f"{base}/none.png", None, 1)], "path string, data binary, other int").repartition(8)
+    for _ in range(2):  # again, as after a failure
+        stored.put_files(rows, base)
+    names = sorted(str(p.relative_to(tmp_path / "pictures")) for p in (tmp_path / "pictures").rglob("*") if p.is_file())
+    assert names == [f"2023/a b/img{i}.png" for i in range(5)]
+    assert (tmp_path / "pictures/2023/a b/img3.png").read_bytes() == b"picture 3"
+
+
+@pytest.mark.parametrize("source", ["<div>" * 200_000 + "x", "<span>" * 200_000 + "x", "<p>" * 100_000 + "x" + "</li>" * 100_000, "<ul><li>" * 100_000 + "x"])
+def test_pages_of_any_depth_give_rows(spark, source):
+    from foliary.sources import files
+
+    pages = spark.createDataFrame([(1, source), (2, "<p>a</p><p>b</p>"), (3, None)], "page_id int, html string")
+    found = {r.page_id: r.text for r in files.page_text(pages).collect()}
+    assert found[2] == "a\nb" and found[1].endswith("x") and found[3] == ""
+
+
+def test_tables_within_tables_do_not_explode():
+    from foliary.sources import parsers
+
+    assert parsers.web_page(b"<table><tr><td>a</td><td><table><tr><td>b</td><td>c</td></tr></table></td></tr></table>").splitlines() == ["a | b | c", "b | c"]
+    assert parsers.web_page(b"<table><tr><td>" * 60 + b"x").count("x") <= 60 * 2**parsers.MOST_TABLES
+
+
+def test_a_page_that_cannot_be_read_is_a_row(spark, monkeypatch):
+    from foliary.sources import parsers
+
+    def broken(content):
+        raise RecursionError("deep")
+
+    assert parsers.extract("page.html", b"<p>x", known={"html": ("text/html", broken)})["code"] == "PARSE_FAILED"
