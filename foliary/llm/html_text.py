@@ -13,20 +13,24 @@ or without one all blocks that no keyword marks), so copies count once and diffe
   (so a host where these are boilerplate on every page gets no wrapper);
 * other slots vary and are content.
 
-Where a host has too few pages to tell, and besides, elements that say what they are (nav, footer, aside, form, roles, telling
-class names) are template. If the page marks its article (article, main, role, itemprop), content lies there; otherwise it is
-the deepest element that holds most of the text that is left, and the title, without link lists.
+Where a host has too few pages to tell, and besides, elements that say what they are are template: nav, footer, aside and the like, the
+controls of forms, hidden ones, whatever they hold; and forms, roles and telling class names, unless the page's prose lies in them (a wrapper may be
+called search-index or be one form around the page, see _standing). Names that begin with has, no, with or without tell of layout and count for
+nothing. If the page marks its article (article, main, role, itemprop), content lies there; otherwise it is the deepest
+element that holds most of the text that is left, and the title, without link lists.
 
 Corpus-wide work is joins and sums by host, slot and block hash; no host's pages meet in one task. Wrappers (one row a host) are
 broadcast if they are few, else joined by shuffle. Null, empty and markup-only pages give an empty text; pages without a
 url are one host; repeated rows are extracted each on its own; no rows, no rows. Skeletons stop at MOST_DEPTH levels: deeper elements are
-no nodes of their own unless what they say of themselves (template, article) changes what holds there, which counts at any depth.
+no nodes of their own unless what they say of themselves (template, article) changes what holds there, which counts at any depth
+up to MOST_DEPTH such changes on one path. Parsing takes time in proportion to the page, however deep its elements nest.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -48,9 +52,9 @@ BROADCAST_HOSTS = 10_000
 _RAW = frozenset("script style title textarea iframe xmp noembed noframes".split())
 _BLOCK = frozenset(
     "address article aside blockquote button canvas caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "header hgroup li legend main menu nav noscript object ol optgroup option p pre search section select summary svg table tbody td template tfoot th thead tr ul video audio".split()
+    "header hgroup label li legend main menu nav noscript object ol optgroup option p pre search section select summary svg table tbody td template tfoot th thead tr ul video audio".split()
 )
-_CLOSES_P = _BLOCK - frozenset("button canvas noscript object optgroup option select svg template video audio caption tbody td tfoot th thead tr".split())
+_CLOSES_P = _BLOCK - frozenset("button canvas label legend noscript object optgroup option select svg template video audio caption tbody td tfoot th thead tr".split())
 #: A start tag ends open elements of these tags, up to the nearest of the others.
 _ENDS = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu", "dir"])),
@@ -64,15 +68,20 @@ _ENDS = {
 _BARRIER = frozenset(["table", "td", "th", "button", "object", "template", "caption"])
 
 #: What elements say of themselves.
-DROP_TAGS = frozenset("nav footer aside form menu dialog noscript template svg button select object canvas video audio search".split())
+DROP_TAGS = frozenset("nav footer aside menu dialog noscript template svg button select label legend object canvas video audio search".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar tablist note status".split())
 DROP_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense banner banners sponsor sponsors sponsored promo promos promotion sidebar sidebars widget widgets menu menus nav navbar "
     "navigation breadcrumb breadcrumbs footer cookie cookies consent gdpr notice notices notification notifications popup modal overlay newsletter subscribe subscription signup login signin search share sharing "
-    "social related recommended recommendations comment comments commentlist disqus respond replies pagination pager skip copyright toolbar paywall outbrain taboola topbar alert disclaimer".split()
+    "social related recommended recommendations pagination pager skip copyright toolbar paywall outbrain taboola topbar alert disclaimer".split()
 )
+_TALK_WORDS = frozenset("comment comments commentlist disqus respond replies reply".split())
 _HEAD_WORDS = frozenset(["header", "masthead"])
-NEUTRAL, DROP, ARTICLE, HEAD = range(4)
+_LAYOUT_WORDS = frozenset(["has", "no", "with", "without"])
+#: What an element is by itself. Those from SAYS on hold unless the page's prose lies in the element.
+NEUTRAL, DROP, ARTICLE, HEAD, SAYS, TALK, TOP = range(7)
+#: Shares of the page's prose that a telling element must hold to be a mere wrapper: with the page's heading or main article in it, and without.
+WITH_HEADING, WITHOUT = 3, 1.5
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*+>|<[!?/][^>]*+>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -83,22 +92,29 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 def _element(tag: str, attributes: str) -> tuple[str, int]:
     """An element's label, and what it says of itself."""
     if not attributes.strip(" /\t\r\n\f"):
-        return tag, ARTICLE if tag in ("article", "main") else HEAD if tag == "header" else DROP if tag in DROP_TAGS else NEUTRAL
+        return tag, ARTICLE if tag in ("article", "main") else HEAD if tag == "header" else DROP if tag in DROP_TAGS else SAYS if tag == "form" else NEUTRAL
     found = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
     names = " ".join(found.get(k, "") for k in ("id", "class"))
     marks = ["#" + i for i in found.get("id", "").split()] + ["." + c for c in sorted(found.get("class", "").split())]
     label = re.sub(r"[^a-z0._#-]+", "", (tag + "".join(marks)).lower().translate(_DIGITS))
-    role, words = found.get("role", "").lower(), {w.lower() for w in _WORD.findall(names)}
+    words: set[str] = set()
+    for name in names.split():
+        own = [w.lower() for w in _WORD.findall(name)]
+        if own and own[0] not in _LAYOUT_WORDS:
+            words.update(own)
+    role = found.get("role", "").lower()
     if role in ("main", "article") or found.get("itemprop") == "articleBody" or tag in ("article", "main"):
-        kind = ARTICLE
-    elif tag in DROP_TAGS or role in DROP_ROLES or "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
+        kind = TALK if words & _TALK_WORDS else ARTICLE
+    elif tag in DROP_TAGS or "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
         kind = DROP
-    elif tag == "header" or words & _HEAD_WORDS:
+    elif tag == "header":
         kind = HEAD
+    elif words & _TALK_WORDS:
+        kind = TALK
+    elif words & _HEAD_WORDS:
+        kind = TOP
     else:
-        kind = DROP if words & DROP_WORDS else NEUTRAL
-    if kind == ARTICLE and words & frozenset(["comment", "comments", "reply"]):
-        kind = DROP
+        kind = SAYS if tag == "form" or role in DROP_ROLES or words & DROP_WORDS else NEUTRAL
     return label, kind
 
 
@@ -116,9 +132,54 @@ class Page:
     blocks: list[tuple[int, str, int, str]] = field(default_factory=list)
 
 
+class _Open:
+    """The open elements of a page, with the places of each tag's: closing one costs what it closes."""
+
+    def __init__(self) -> None:
+        self.stack = [("root", 0, NEUTRAL, 0)]  # tag, node, what was last said of what lies there, changes of that beyond MOST_DEPTH
+        self.places: dict[str, list[int]] = {}
+        self.closers: list[int] = []  # of elements that end a paragraph
+
+    def push(self, tag: str, node: int, said: int, changes: int) -> None:
+        at = len(self.stack)
+        self.places.setdefault(tag, []).append(at)
+        if tag in _CLOSES_P:
+            self.closers.append(at)
+        self.stack.append((tag, node, said, changes))
+
+    def cut(self, at: int) -> None:
+        """Ends all elements from this place on."""
+        while len(self.stack) > at:
+            self.places[self.stack.pop()[0]].pop()
+        while self.closers and self.closers[-1] >= at:
+            self.closers.pop()
+
+    def innermost(self, tags: frozenset) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def end(self, tag: str) -> int:
+        """The place of what an end tag ends; 0 if nothing."""
+        if tag == "p":  # not beyond an element that would have ended it
+            at = self.closers[-1] if self.closers else 0
+            return at if at and self.stack[at][0] == "p" else 0
+        own = self.places.get(tag)
+        return own[-1] if own else 0
+
+    def implied(self, tag: str) -> None:
+        """Ends what a start tag ends."""
+        if tag in _CLOSES_P and (own := self.places.get("p")) and own[-1] > self.innermost(_BARRIER):
+            self.cut(own[-1])
+        if tag in _ENDS:
+            tags, barrier = _ENDS[tag]
+            edge = self.innermost(barrier)
+            first = [own[bisect_right(own, edge)] for t in tags if (own := self.places.get(t)) and own[-1] > edge]
+            if first:
+                self.cut(min(first))
+
+
 def parse(source: str) -> Page:
-    page = Page()
-    stack, parts, links, in_link, at = [("root", 0, NEUTRAL)], [], 0, False, 0  # tag, node and what holds there
+    page, open_ = Page(), _Open()
+    stack, parts, links, in_link, at = open_.stack, [], 0, False, 0
     n, search, last = len(source), _TOKEN.search, source.rfind(">")
 
     def flush() -> None:
@@ -146,13 +207,9 @@ def parse(source: str) -> Page:
         tag = tag.lower()
         if m[1]:
             if tag in _BLOCK:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        flush()
-                        del stack[i:]
-                        break
-                    if tag == "p" and stack[i][0] in _CLOSES_P:
-                        break
+                if place := open_.end(tag):
+                    flush()
+                    open_.cut(place)
             elif tag == "a":
                 in_link = False
             continue
@@ -172,37 +229,23 @@ def parse(source: str) -> Page:
         if tag not in _BLOCK:
             continue
         flush()
-        if tag in _CLOSES_P:
-            _end(stack, frozenset(["p"]), _BARRIER)
-        if tag in _ENDS:
-            _end(stack, *_ENDS[tag])
+        open_.implied(tag)
         label, kind = _element(tag, m[3])
-        above = stack[-1][2]
-        holds = _within(above, kind)
-        if len(stack) <= MOST_DEPTH or holds != above:
+        _, node, above, changes = stack[-1]
+        said = above if above == DROP or kind == NEUTRAL else kind
+        changed = len(stack) > MOST_DEPTH and said != above
+        if len(stack) <= MOST_DEPTH or (changed and changes < MOST_DEPTH):
             page.labels.append(label)
             page.kinds.append(kind)
             page.tags.append(tag)
-            page.parents.append(stack[-1][1])
-            stack.append((tag, len(page.labels) - 1, holds))
+            page.parents.append(node)
+            open_.push(tag, len(page.labels) - 1, said, changes + changed)
         else:
-            stack.append((tag, stack[-1][1], above))
+            open_.push(tag, node, above, changes)
     flush()
     return page
 
 
-def _end(stack: list, tags: frozenset, barrier: frozenset) -> None:
-    """Ends the innermost open element of these tags that lies before a barrier."""
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i][0] in tags:
-            del stack[i:]
-            if barrier is not _BARRIER:
-                continue
-            return
-        if stack[i][0] in barrier:
-            return
-
-
 def skeleton(page: Page) -> tuple[str, list[int]]:
     """The skeleton, written label(child child), and each node's place in it in preorder."""
     n = len(page.labels)
@@ -329,20 +372,56 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _within(above: int, kind: int) -> int:
-    """What holds in an element of this kind, given what holds around it: DROP, ARTICLE or NEUTRAL."""
-    if above == DROP:
-        return DROP
-    if kind == HEAD:
-        return above if above == ARTICLE else DROP
-    return kind if kind != NEUTRAL else above
-
-
 def _standing(page: Page) -> list[int]:
-    """What holds for each node with its ancestors."""
-    out: list[int] = []
-    for kind, parent in zip(page.kinds, page.parents, strict=True):
-        out.append(_within(out[parent] if parent >= 0 else NEUTRAL, kind))
+    """What holds for each node with its ancestors: DROP, ARTICLE or NEUTRAL.
+
+    What an element says by its names, its role or being a form is believed unless it wraps the page's prose (text outside links, not counting what
+    is template for certain): it holds the main one of the marked articles, if that is a third of the prose or more; or else the page's heading (an h1
+    outside headers) and a third of the prose; or, where no such heading is, two thirds and doesn't speak of comments. Such an element says nothing.
+    """
+    n, kinds, parents = len(page.labels), page.kinds, page.parents
+    if max(kinds, default=NEUTRAL) >= SAYS:
+        certain, headed, prose, titled = ([x] * n for x in (False, False, 0, False))
+        for i in range(1, n):
+            certain[i] = certain[parents[i]] or kinds[i] == DROP
+        for node, text, links, _ in page.blocks:
+            if not certain[node]:
+                prose[node] += max(len(text) - links, 0)
+        for i in range(n - 1, 0, -1):
+            prose[parents[i]] += prose[i]
+        for i in range(1, n):
+            headed[i] = headed[parents[i]] or kinds[i] == HEAD or (kinds[i] == TOP and WITH_HEADING * prose[i] < prose[0])
+        for node, _, _, tag in page.blocks:
+            titled[node] |= tag == "h1" and not certain[node] and not headed[node]
+        for i in range(n - 1, 0, -1):
+            titled[parents[i]] |= titled[i]
+        marked = [i for i in range(1, n) if kinds[i] == ARTICLE and not certain[i]]
+        core, wraps = max(marked, key=lambda i: (prose[i], -i), default=0), set()
+        if core and WITH_HEADING * prose[core] >= prose[0]:
+            at = core
+            while at:
+                wraps.add(at)
+                at = parents[at]
+        else:
+            core = 0
+
+        def wrapper(i: int) -> bool:
+            if core:
+                return i in wraps
+            if titled[0]:
+                return titled[i] and WITH_HEADING * prose[i] >= prose[0]
+            return kinds[i] != TALK and WITHOUT * prose[i] >= prose[0] > 0
+
+        kinds = [NEUTRAL if k >= SAYS and wrapper(i) else k for i, k in enumerate(kinds)]
+    out = [NEUTRAL]
+    for kind, parent in zip(kinds[1:], parents[1:], strict=True):
+        above = out[parent]
+        if above == DROP or kind in (DROP, SAYS, TALK):
+            out.append(DROP)
+        elif kind in (HEAD, TOP):
+            out.append(above if above == ARTICLE else DROP)
+        else:
+            out.append(kind if kind == ARTICLE else above)
     return out
 
 
