@@ -4,42 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def _inverse(a: int) -> int:
-    return pow(a, -1, 1 << 64)
-
-
-#: Bytes of which hashes are summed at once; the powers for so many are kept.
-CHUNK = 1 << 18
-
-
-class _Powers:
-    """Powers of the hash base and of its inverse modulo 2**64; more than CHUNK of them are made anew at each call."""
-
-    def __init__(self) -> None:
-        self.kept: tuple[np.ndarray, np.ndarray] | None = None
-
-    def _make(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        out = []
-        for base in (int(_BASE), _inverse(int(_BASE))):
-            a = np.full(n, base, np.uint64)
-            a[0] = 1
-            out.append(np.multiply.accumulate(a))
-        return out[0], out[1]
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > CHUNK + 1:
-            return self._make(n)
-        if self.kept is None:
-            self.kept = self._make(CHUNK + 1)
-        return self.kept[0][:n], self.kept[1][:n]
-
-
-_POWERS = _Powers()
+#: Ranges longer than this are hashed one by one.
+LONG = 64
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -68,17 +41,27 @@ def spread(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
-    """A 64-bit hash of the bytes of each range; ranges are in order and apart. Each byte counts as itself, or as values[byte]."""
-    out, lo, n = np.empty(len(start), np.uint64), 0, len(start)
-    while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(end, start[lo] + CHUNK, "right")))
-        a, b = int(start[lo]), int(end[hi - 1])
-        up, down = _POWERS.get(b - a + 1)
-        sums = np.zeros(b - a + 1, np.uint64)
-        np.cumsum((data[a:b] if values is None else values[data[a:b]]) * up[:-1], out=sums[1:])
-        out[lo:hi] = mix((sums[end[lo:hi] - a] - sums[start[lo:hi] - a]) * down[start[lo:hi] - a])
-        lo = hi
+def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of the bytes of each range; hashes by two seeds have nothing to do with each other.
+
+    Each block of eight bytes goes through the mixing of what was before it, so no sum of differences cancels out. All ranges take their first block
+    at once, those that have one their second, and so on; the few long ones go to a library's hash.
+    """
+    size = end - start
+    out = mix(size.astype(np.uint64) * _BASE + np.uint64((seed * int(_MIX2) + int(_MIX1)) % (1 << 64)))
+    if not len(size):
+        return out
+    blocks = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
+    at, done = np.flatnonzero(size <= LONG), 0
+    while len(at):
+        left = size[at] - done
+        block = np.ascontiguousarray(blocks[start[at] + done]).view("<u8").ravel() & _MASKS[np.minimum(left, 8)]
+        out[at] = mix((out[at] ^ block) * _BASE + _MIX2)
+        at, done = at[left > 8], done + 8
+    long = np.flatnonzero(size > LONG)
+    if len(long):
+        raw = memoryview(np.ascontiguousarray(data))
+        out[long] = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b], seed) for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)), np.uint64, len(long))
     return out
 
 
@@ -100,9 +83,9 @@ class Words:
         self.first = np.searchsorted(self.start, self.offsets)
         self.count = np.diff(self.first)
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word."""
-        return hash_ranges(self.data, self.start, self.end)
+        return hash_ranges(self.data, self.start, self.end, seed)
 
     def windows(self, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all k-word windows that lie in one text, and the position of each one's first word."""

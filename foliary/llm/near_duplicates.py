@@ -83,11 +83,11 @@ def shingles(words: Words, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
 
 def _prints(words: Words) -> list[pa.Array]:
     """128 bits of each text's word sequence in two numbers; null without words."""
-    h, out = words.hashes(), []
-    place = (np.arange(len(h)) - np.repeat(words.first[:-1], words.count)).astype(np.uint64)
-    for salt in (1, 2):
-        total = np.zeros(len(h) + 1, np.uint64)
-        np.cumsum(mix(mix(h + np.uint64(salt)) + place * np.uint64(0x9E3779B97F4A7C15)), out=total[1:])
+    out = []
+    place = (np.arange(len(words.start)) - np.repeat(words.first[:-1], words.count)).astype(np.uint64)
+    for seed in (1, 2):  # words are hashed anew for either number
+        total = np.zeros(len(place) + 1, np.uint64)
+        np.cumsum(mix(words.hashes(seed) + place * np.uint64(0x9E3779B97F4A7C15)), out=total[1:])
         out.append(pa.array((total[words.first[1:]] - total[words.first[:-1]]).view(np.int64), mask=words.count == 0))
     return out
 

@@ -36,7 +36,6 @@ def _table(chars) -> np.ndarray:
 
 _SYMBOL, _UPPER, _LETTER, _BANG = _table(SYMBOLS), _table(range(65, 91)), _table([*range(65, 91), *range(97, 123)]), _table(b"!")
 _WORDY = _table([*range(65, 91), *range(97, 123), *range(128, 256)])
-_ABOVE_ZERO = np.arange(1, 257, dtype=np.uint64)  # a line may begin with zero bytes
 _HEAD = ~_table(range(128, 192))  # all bytes but those that continue a code point
 
 
@@ -70,10 +69,19 @@ def _dup_lines(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray) -> tu
     np.cumsum(in_word, out=flags[1:])
     full = flags[end] > flags[start]
     start, end, owner = start[full], end[full], owner[full]
-    h = hash_ranges(data, start, end, _ABOVE_ZERO) ^ mix(owner.astype(np.uint64))
-    _, first = np.unique(h, return_index=True)
+    h = hash_ranges(data, start, end) ^ mix(owner.astype(np.uint64))
+    _, first, same = np.unique(h, return_index=True, return_inverse=True)
     lines = np.bincount(owner, minlength=n)
-    return lines - np.bincount(owner[first], minlength=n), lines
+    dup = lines - np.bincount(owner[first], minlength=n)
+    again = np.flatnonzero(first[same] != np.arange(len(h)))  # lines of one hash with an earlier one are held against it
+    raw = memoryview(np.ascontiguousarray(data))
+    spans = zip(start[again].tolist(), end[again].tolist(), start[first[same[again]]].tolist(), end[first[same[again]]].tolist(), strict=True)
+    odd = {t for t, f, (a, b, c, d) in zip(owner[again].tolist(), owner[first[same[again]]].tolist(), spans, strict=True) if t != f or raw[a:b] != raw[c:d]}
+    odd |= {f for t, f in zip(owner[again].tolist(), owner[first[same[again]]].tolist(), strict=True) if t != f}
+    for t in odd:  # different lines of one hash: this text's are told by their bytes
+        own = np.flatnonzero(owner == t)
+        dup[t] = len(own) - len({raw[a:b].tobytes() for a, b in zip(start[own].tolist(), end[own].tolist(), strict=True)})
+    return dup, lines
 
 
 def repeated_words(words: Words, k: int = 3) -> np.ndarray:

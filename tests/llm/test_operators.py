@@ -287,6 +287,101 @@ def test_hosts_of_few_pages_and_of_many(spark, monkeypatch, most):
     assert {x.page_id: x.text for x in html_text.extract(d, html_text.induce(d)).collect()} == want
 
 
+WRAPPERS = (
+    "<form id=aspnetForm action=/>{}</form>", "<div class='page has-sidebar'>{}</div>", "<div class='no-sidebar'>{}</div>", "<div class='search-index'>{}</div>", "<div class='sidebar-left header-fixed'>{}</div>",
+    "<div id=comments-open>{}</div>", "<div role=form>{}</div>", "<div class='with-banner'><form><div class='menu-open'>{}</div></form></div>",
+)
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_a_name_around_the_page_loses_no_article(spark, wrapper):
+    r, rows, want = random.Random(26), [], {}
+    for i in range(40):
+        style = i % 2
+        paragraphs = [" ".join(r.choices(["lorem", "ipsum", "dolor", "sit", "amet"], k=r.randint(8, 30))) + f" {i} {k}." for k in range(r.randint(2, 6))]
+        whole = page(f"Title {i}", paragraphs, style)
+        head, body = whole.split("<body>")
+        rows.append((i, f"https://h{style}.example.org/p/{i}", f"{head}<body>{wrapper.format(body.removesuffix('</body></html>'))}</body></html>"))
+        want[i] = "\n\n".join([f"Title {i}", *paragraphs])
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {x.page_id: x.text for x in html_text.extract(d, html_text.induce(d)).collect()} == want
+
+
+def test_what_a_name_says_holds_where_the_prose_is_elsewhere():
+    talk = "".join(f"<div class=reply><p>What reader {i} has to say about all this at some length.</p></div>" for i in range(9))
+    found = lambda html: html_text.content(html_text.parse(html))
+    assert found(f"<article><h1>T</h1><p>Short text.</p></article><section class=comments>{talk}</section>") == "T\n\nShort text."
+    assert found(f"<h1>T</h1><p>Short text.</p><div id=comments>{talk}</div>") == "T\n\nShort text."
+    assert found("<main><article><p>Long enough text of the article.</p></article></main><div class=related><article><p>Card</p></article></div>") == "Long enough text of the article."
+    assert found("<form><h1>T</h1><p>Text of the page.</p><label>Name</label><input><select><option>a</option></select><button>Send</button></form>") == "T\n\nText of the page."
+    assert found("<h1>T</h1><p>Text of the page.</p><form><p>Sign up</p><label>Mail</label><input></form>") == "T\n\nText of the page."
+
+
+@pytest.mark.parametrize("source", ["<div>" * 200_000 + "x", "<div>" * 100_000 + "x" + "</li>" * 100_000, "<div><article>" * 100_000 + "x", "<ul><li>" * 100_000 + "x", "<p>" * 200_000 + "x", "<table><tr><td>" * 70_000 + "x", "<div class=sidebar><nav>" * 50_000 + "x", "<form><div class=comment>" * 50_000 + "</form>" * 9])
+def test_deep_pages_take_seconds(source):
+    began = time.time()
+    parsed = html_text.parse(source)
+    html_text.content(parsed)
+    assert len(html_text.skeleton(parsed)[1]) == len(parsed.labels) and time.time() - began < 15
+
+
+def plain_match(a, b):
+    """Simple tree matching as it is defined, on (label, children): the size of the best matching."""
+    if a[0] != b[0]:
+        return 0
+    m = [[0] * (len(b[1]) + 1) for _ in range(len(a[1]) + 1)]
+    for i, x in enumerate(a[1], 1):
+        for j, y in enumerate(b[1], 1):
+            m[i][j] = max(m[i - 1][j], m[i][j - 1], m[i - 1][j - 1] + plain_match(x, y))
+    return m[-1][-1] + 1
+
+
+def test_matching_equals_the_recursive_definition():
+    r = random.Random(31)
+
+    def grown(depth):
+        return (r.choice("abc"), [grown(depth - 1) for _ in range(r.randrange(4))] if depth else [])
+
+    def told(t):
+        return t[0] + (f"({' '.join(map(told, t[1]))})" if t[1] else "")
+
+    for _ in range(300):
+        a, b = ("root", [grown(3) for _ in range(3)]), ("root", [grown(3) for _ in range(3)])
+        slots = html_text.match(told(a), told(b))
+        used = [x for x in slots if x >= 0]
+        la, lb = html_text._tree(told(a))[0], html_text._tree(told(b))[0]
+        assert len(used) == len(set(used)) == plain_match(a, b)  # one to one, and as many as can be
+        assert all(la[i] == lb[x] for i, x in enumerate(slots) if x >= 0)
+
+
+def test_wrappers_equal_a_plain_count_of_slots(spark):
+    """Constants and rotating slots of every host against counts over lists."""
+    r, pages = random.Random(33), defaultdict(list)
+    for i in range(90):
+        k = i % 3
+        adverts = f"<div class=x>Offer {r.randrange(4)}</div>" if k else ""
+        pages[f"h{k}"].append(f"<div id=a><p>Site {k}</p>{adverts}</div><div id=b><h1>Title {i}</h1><p>{'word ' * r.randint(20, 40)}{i}</p><p>{'more ' * r.randint(5, 30)}{i}</p></div><div id=c>Imprint</div>")
+    d = spark.createDataFrame([(f"http://{h}/", x) for h, own in pages.items() for x in own], "url string, html string")
+    found = {w["host"]: w for w in html_text.induce(d).collect()}
+    for host, own in pages.items():
+        parsed = [html_text.parse(x) for x in own]
+        shapes = [html_text.skeleton(p) for p in parsed]
+        count = defaultdict(int)
+        for s, _ in shapes:
+            count[s] += 1
+        reference = max(count, key=lambda s: (count[s], s))
+        seen = defaultdict(lambda: defaultdict(set))
+        for i, (p, (shape, places)) in enumerate(zip(parsed, shapes)):
+            slots = html_text.match(shape, reference)
+            for node, text, *_ in p.blocks:
+                if slots[places[node]] >= 0:
+                    seen[slots[places[node]]][text].add(i)
+        constant = {(slot, html_text._hash(t)) for slot, texts in seen.items() for t, on in texts.items() if len(on) >= html_text.CONSTANT * len(own)}
+        rotating = {slot for slot, texts in seen.items() if sum(map(len, texts.values())) >= html_text.LEAST_PAGES and sum(len(on) for on in texts.values() if len(on) > 1) >= html_text.ROTATING * sum(map(len, texts.values()))}
+        assert found[host]["reference"] == reference and found[host]["rows"] == len(own)
+        assert {(c["slot"], c["hash"]) for c in found[host]["constant"]} == constant and set(found[host]["template"]) == rotating
+
+
 def test_parser_and_matching():
     p = html_text.parse("<p><b>one<br>two<p>three&nbsp;&lt;x&gt;<ul><li>a<li>b<ul><li>c</ul></ul><!-- <p>no --><script>'</p>'</script>x < y")
     assert [b[1] for b in p.blocks] == ["one two", "three <x>", "a", "b", "c", "x < y"]
@@ -572,6 +667,44 @@ def test_rows_of_one_id_keep_their_own_hits_in_any_blocks(spark):
 # 10: quality
 
 
+def thue_morse(n):
+    own = "a"
+    while len(own) < n:
+        own += own.translate(str.maketrans("ab", "ba"))
+    return own[:n], own[:n].translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [64, 65, 1024, 2048, 4096])
+def test_words_built_to_collide_are_told_apart(spark, n):
+    """Sums of letters times powers are equal for these two words, whatever the (odd) base."""
+    one, two = thue_morse(n)
+    texts = [one, two, f"some words {one} and more of them", f"some words {two} and more of them", "\n".join([one, two, one]), two + "\n" + one]
+    d = frame(spark, texts)
+    assert {x.doc_id: (x.class_id, x.n_links) for x in near_duplicates.near_duplicates(d).collect()} == {i: (i, 0) for i in range(len(texts))}
+    assert sorted(x.doc_id for x in near_duplicates.keep_first(d).collect()) == list(range(len(texts)))
+    assert [x.n_dup_lines for x in quality.quality(d).orderBy("doc_id").collect()] == [0, 0, 0, 0, 1, 0]
+
+
+def test_lines_of_one_hash_are_held_against_each_other(monkeypatch):
+    monkeypatch.setattr(quality, "hash_ranges", lambda data, start, end: np.zeros(len(start), np.uint64))
+    texts = ["a\nb\na\nc\nb", "x\nx", "p\nq"]
+    assert quality.base_statistics(pa.array([t.encode() for t in texts], pa.large_binary()))["n_dup_lines"].tolist() == [2, 1, 0]
+
+
+def test_hash_of_ranges_depends_on_all_their_bytes_alone():
+    from foliary.llm.kernels import hash_ranges
+
+    r = random.Random(41)
+    own = list({r.randbytes(r.choice([1, 2, 7, 8, 9, 15, 16, 17, 63, 64, 65, 200])) for _ in range(3000)} | {b"\0" * k for k in range(1, 90)})
+    def hashes(order, gap, seed=0):
+        data, at = gap.join(order), np.cumsum([0, *(len(x) + len(gap) for x in order)])[:-1]
+        return dict(zip(order, hash_ranges(np.frombuffer(data, np.uint8), at, at + np.array([len(x) for x in order]), seed).tolist()))
+    h = hashes(own, b"")
+    assert len(set(h.values())) == len(own)
+    r.shuffle(own)
+    assert hashes(own, b"--") == h and not set(hashes(own, b"", 1).values()) & set(h.values())
+
+
 def test_quality_statistics_and_order(spark):
     prose = " ".join(f"word{i} sentence" for i in range(40))
     texts = [prose, "ab " * 60, "# $ % " * 40 + prose, prose.upper(), "! " * 200 + prose, ("same line here\n" * 60), "1 2 3 " * 3 + " ".join(str(i) for i in range(90)), None, "few words", "\n".join(f"line {i} of it\nline {i} of it" for i in range(30))]
