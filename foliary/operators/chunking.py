@@ -64,13 +64,13 @@ def resolved_overlap(size: int, overlap: int) -> int:
 _LAW = ("law_chapter", "law_section", "law_article_no", "law_article_title", "law_article_content")
 
 
-def chunk_documents(sources: DataFrame, *, size: int = S.CHUNK_SIZE, overlap: int = S.OVERLAP, parity: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+def chunk_documents(sources: DataFrame, *, size: int = S.CHUNK_SIZE, overlap: int = S.OVERLAP, parity: bool = True, keep: tuple[str, ...] = (), marker: bool = False) -> DataFrame:
     """Chunks (foliary.schema.CHUNKS, and columns `keep` of the sources) of documents: extract_idx, file_name, zip_entry_file_name,
-    indexing_contents. Null and blank texts have none."""
+    indexing_contents. Null and blank texts have none; with `marker` a document without chunks has a row that says so (chunk_seq 0, kind and status SKIP)."""
     overlap = resolved_overlap(size, overlap)
     fixed = ("extract_idx", *keep, "doc_role", "doc_type")
     n = len(fixed)
-    rows = spread(sources.where(has_text(F.col("indexing_contents"))))  # what is blank only when normalised splits into nothing
+    rows = spread(sources if marker else sources.where(has_text(F.col("indexing_contents"))))  # what is blank only when normalised splits into nothing
     rows = rows.select("extract_idx", *keep, normalize_for_chunks(F.col("indexing_contents")).alias("t"), doc_role(F.col("file_name"), F.col("zip_entry_file_name")).alias("doc_role"))
     rows = rows.withColumn("doc_type", doc_type(F.col("t"), F.col("doc_role"))).select(*fixed, "t")
     made = [("chunk_seq", "int", pa.int32()), ("section_path", "string", pa.string()), *((c, "string", pa.string()) for c in _LAW), ("chunk_text", "string", pa.string()), ("start_offset", "int", pa.int32()), ("end_offset", "int", pa.int32())]
@@ -79,13 +79,19 @@ def chunk_documents(sources: DataFrame, *, size: int = S.CHUNK_SIZE, overlap: in
         for batch in batches:
             source, out = [], []
             for i, (text, kind) in enumerate(zip(batch.column(n).to_pylist(), batch.column(n - 1).to_pylist(), strict=True)):
-                for seq, (path, part, start, end, law) in enumerate(split(text, kind, size, overlap, parity), 1):
+                n_before = len(out)
+                for seq, (path, part, start, end, law) in enumerate(split(text, kind, size, overlap, parity) if text else (), 1):
                     source.append(i)
                     out.append((seq, path, *(law or (None,) * 5), part, start, end))
+                if marker and len(out) == n_before:
+                    source.append(i)
+                    out.append((0, None, *(None,) * 5, S.NO_CONTENT, None, None))
             given = [batch.column(k).take(pa.array(source, pa.int32())) for k in range(n)]
             yield pa.RecordBatch.from_arrays([*given, *(pa.array([o[k] for o in out], kind) for k, (_, _, kind) in enumerate(made))], names=[*fixed, *(m[0] for m in made)])
 
     schema = rows.select(*fixed, *[F.lit(None).cast(kind).alias(name) for name, kind, _ in made]).schema
     text = F.col("chunk_text")
     out = rows.mapInArrow(run, schema)
-    return out.select("extract_idx", *keep, "chunk_seq", "doc_role", "doc_type", "section_path", *_LAW, "chunk_text", "start_offset", "end_offset", F.length(text).alias("char_count"), token_estimate(text).alias("token_count"), F.lit(S.READY).alias("chunk_status"))
+    real = F.col("chunk_seq") > 0
+    told = lambda c, none: F.when(real, c).otherwise(none) if marker else c
+    return out.select("extract_idx", *keep, "chunk_seq", told(F.col("doc_role"), S.UNKNOWN).alias("doc_role"), told(F.col("doc_type"), S.SKIP).alias("doc_type"), "section_path", *_LAW, "chunk_text", "start_offset", "end_offset", told(F.length(text), 0).alias("char_count"), told(token_estimate(text), 0).alias("token_count"), told(F.lit(S.READY), S.SKIP).alias("chunk_status"))

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from foliary import schema as S
 from foliary.functions.text import department, has_text, term_date
@@ -154,33 +155,39 @@ def candidates(codes: DataFrame, keys: DataFrame) -> DataFrame:
     """For each distinct (cls_cd, production_date, production_year) of keys the codes that were in force: by date if the key has one
     (bounds and date compared as eight characters), else by year.
 
-    The join is on the class and a coarse bucket, so it shuffles or broadcasts by an equality: a point in time that starts with a year
-    meets the codes dealt out to that year's bucket, and those whose bounds are no years (bucket -1); any other point meets all
-    codes of its class (bucket -2).
+    The points of a class (its distinct dates or years) are numbered in their order, and one sweep over points and bounds gives each code the numbers from the first
+    to the last point within its bounds. Such a stretch falls apart into few aligned stretches of 1, 2, 4, 8, ... points, and each point lies in one
+    of either size, so points and codes are joined by equality on these: what meets is in force, each pair once, and there is nothing left to filter.
     """
     date, year = F.col("production_date"), F.col("production_year")
     by_date = F.coalesce(date != "", F.lit(False))
     keyed = keys.select("cls_cd", "production_date", "production_year").distinct()
-    keyed = keyed.withColumn("__d", F.when(by_date, term_date(date))).withColumn("__y", F.when(~by_date & (year != ""), year))
-    point = F.coalesce("__d", "__y")
-    buckets = F.when(point.rlike(r"^\d{4}"), F.array(F.substring(point, 1, 4).cast("int"), F.lit(-1))).otherwise(F.array(F.lit(-2)))
-    keyed = keyed.where(point.isNotNull()).select("*", F.explode(buckets).alias("__b"))
+    keyed = keyed.select("*", by_date.alias("__by_date"), F.when(by_date, term_date(date)).when(year != "", year).alias("__p")).where("__p IS NOT NULL AND cls_cd IS NOT NULL")
     lo, hi = term_date(F.col("tern_start")), term_date(F.col("tern_end"))
-    spread = F.explode(_years(lo, hi))
-    dated = codes.where(F.col("tern_start").isNotNull() & F.col("tern_end").isNotNull() & (lo <= hi)).select("*", lo.alias("__lo"), hi.alias("__hi"), F.lit(True).alias("__by_date"), spread.alias("__b"))
+    dated = codes.where(F.col("tern_start").isNotNull() & F.col("tern_end").isNotNull() & (lo <= hi)).select("*", lo.alias("__lo"), hi.alias("__hi"), F.lit(True).alias("__by_date"))
     lo, hi = F.col("start_year"), F.col("end_year")
-    yearly = codes.where(lo.isNotNull() & hi.isNotNull() & (lo <= hi)).select("*", lo.alias("__lo"), hi.alias("__hi"), F.lit(False).alias("__by_date"), F.explode(_years(lo, hi)).alias("__b"))
-    ranges = dated.unionByName(yearly)
-    met = keyed.withColumn("__by_date", F.col("__d").isNotNull()).join(ranges, ["cls_cd", "__b", "__by_date"])
-    return met.where(F.coalesce("__d", "__y").between(F.col("__lo"), F.col("__hi"))).drop("__b", "__by_date", "__d", "__y", "__lo", "__hi")
-
-
-def _years(lo: Column, hi: Column) -> Column:
-    """The buckets of a range of texts: its years, or -1 where a bound is no year of four digits or more than 200 years lie between; and -2."""
-    a, b = F.substring(lo, 1, 4), F.substring(hi, 1, 4)
-    plain = a.rlike(r"^\d{4}$") & b.rlike(r"^\d{4}$")
-    x, y = F.when(plain, a.cast("int")), F.when(plain, b.cast("int"))
-    return F.concat(F.when(plain & (y - x <= 200), F.sequence(x, y)).otherwise(F.array(F.lit(-1))), F.array(F.lit(-2)))
+    ranges = dated.unionByName(codes.where(lo.isNotNull() & hi.isNotNull() & (lo <= hi)).select("*", lo.alias("__lo"), hi.alias("__hi"), F.lit(False).alias("__by_date")))
+    group = ("cls_cd", "__by_date")
+    points = keyed.select(*group, F.col("__p").alias("__at")).distinct()
+    bounds = ranges.select(*group, F.explode(F.array(F.struct(F.col("__lo").alias("at"), F.lit(0).alias("kind")), F.struct(F.col("__hi").alias("at"), F.lit(2).alias("kind")))).alias("b")).select(*group, F.col("b.at").alias("__at"), F.col("b.kind").alias("__kind")).distinct()
+    order = Window.partitionBy(*group).orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = points.withColumn("__kind", F.lit(1)).unionByName(bounds).withColumn("__n", F.sum(F.when(F.col("__kind") == 1, 1).otherwise(0)).over(order))
+    numbered = keyed.join(swept.where("__kind = 1").select(*group, F.col("__at").alias("__p"), (F.col("__n") - 1).alias("__i")), [*group, "__p"])
+    first = swept.where("__kind = 0").select(*group, F.col("__at").alias("__lo"), F.col("__n").alias("__a"))
+    past = swept.where("__kind = 2").select(*group, F.col("__at").alias("__hi"), F.col("__n").alias("__z"))
+    placed = ranges.join(first, [*group, "__lo"]).join(past, [*group, "__hi"]).where("__a < __z")
+    stretches = []
+    for k in range(_SIZES):  # of 2**k points: the odd one at either end of what larger ones leave
+        a, z = F.ceil(F.col("__a") / F.lit(1 << k)).cast("long"), F.floor(F.col("__z") / F.lit(1 << k)).cast("long")
+        stretches += [F.when((a < z) & (a % 2 == 1), F.struct(F.lit(k).alias("k"), a.alias("s"))), F.when((a < z) & (z % 2 == 1), F.struct(F.lit(k).alias("k"), (z - 1).alias("s")))]
+    dealt = placed.select("*", F.explode(F.array_compact(F.array(*stretches))).alias("__s")).drop("__lo", "__hi", "__a", "__z")
+    levels = F.array(*[F.struct(F.lit(k).alias("k"), F.shiftright(F.col("__i").cast("long"), k).alias("s")) for k in range(_SIZES)])
+    met = numbered.select("*", F.explode(levels).alias("__s")).join(dealt, [*group, "__s"])
+    return met.drop("__by_date", "__p", "__i", "__s")
+
+
+#: Stretches of 1 to 2**31 points.
+_SIZES = 32
 
 
 #: Columns and order of the candidate list that a prompt holds.
@@ -190,15 +197,29 @@ CANDIDATE_ORDER = ("prev_gov_cd", "sub_cls_cd", "topic_cd", "item_cd")
 
 def candidate_lists(found: DataFrame) -> DataFrame:
     """For each key the candidates as one JSON array of objects, nulls written, in the order of their codes."""
-    row = F.struct(*[F.col(c) for c in CANDIDATE_ORDER], F.struct(*[F.col(c).alias(c.upper()) for c in CANDIDATE_COLUMNS]).alias("row"))
+    told = F.to_json(F.struct(*[F.col(c).alias(c.upper()) for c in CANDIDATE_COLUMNS]), {"ignoreNullFields": "false"})
+    row = F.struct(*[F.col(c) for c in CANDIDATE_ORDER], told.alias("row"))
     lists = found.groupBy("cls_cd", "production_date", "production_year").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    return lists.select("cls_cd", "production_date", "production_year", F.to_json(F.transform("rows", lambda r: r["row"]), {"ignoreNullFields": "false"}).alias("candidates"))
+    return lists.select("cls_cd", "production_date", "production_year", F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["row"]), ","), F.lit("]")).alias("candidates"))
 
 
 def mapping_dictionary(codes: DataFrame, agency: str) -> DataFrame:
     """The policy codes of a government whose lead agency starts with the prefix."""
     rows = codes.where((F.col("cls_cd") == S.POLICY) & (F.col("prev_gov_cd") == "LMB") & F.startswith(F.col("lead_agency"), F.lit(agency)))
-    return rows.select("gov_task_no", "gov_task_nm", "detail_task_cd", "detail_task_nm", "direct_mapping_terms", "conditional_mapping_terms", "expand_candidate_terms", "required_combine_terms", "block_terms", "note", "lead_agency")
+    return rows.select(*DICTIONARY_COLUMNS)
+
+
+def dictionaries(codes: DataFrame, agencies: DataFrame, agency: str = "agency") -> DataFrame:
+    """For each distinct agency of a table its own mapping dictionary: the policy codes of a government whose lead agency starts with it. A code is met under the
+    beginnings of its lead agency that have the length of some agency, so the join is by equality and a record costs no scan."""
+    wanted = agencies.select(F.col(f"`{agency}`").alias("agency")).where("agency IS NOT NULL").distinct()
+    lengths = sorted(r[0] for r in wanted.select(F.length("agency")).distinct().collect())  # of names: some dozens
+    rows = codes.where((F.col("cls_cd") == S.POLICY) & (F.col("prev_gov_cd") == "LMB") & F.col("lead_agency").isNotNull())
+    starts = F.array_compact(F.array(*[F.when(F.length("lead_agency") >= n, F.substring("lead_agency", 1, n)) for n in lengths])) if lengths else F.array().cast("array<string>")
+    return rows.select(F.explode(F.array_distinct(starts)).alias("agency"), *DICTIONARY_COLUMNS).join(wanted, "agency")
+
+
+DICTIONARY_COLUMNS = ("gov_task_no", "gov_task_nm", "detail_task_cd", "detail_task_nm", "direct_mapping_terms", "conditional_mapping_terms", "expand_candidate_terms", "required_combine_terms", "block_terms", "note", "lead_agency")
 
 
 def dictionary_json(rows: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from foliary import schema as S
 from foliary.functions import letters
 from foliary.functions import text as X
-from foliary.operators import chunking, columns, ledger, merge, prompting, responses, rules
+from foliary.operators import chunking, columns, keyed, ledger, merge, prompting, responses, rules
 from foliary.operators import selection as Q
 from foliary.plans import workflow
 from foliary.plans.standins import ctes, frame
@@ -190,6 +190,14 @@ def dictionary_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return Q.mapping_dictionary(frame(spark, sf, "codes"), "Brand#1")
 
 
+@query("SELECT rc_code, rc_rfile_no, rc_ritem_no, 'Brand#' || substr(all_org_nm, 1, 1) AS agency, count(detail_task_cd) AS n_tasks, min(detail_task_cd) AS first_task FROM items LEFT JOIN (SELECT * FROM codes WHERE cls_cd = 'POLICY' AND prev_gov_cd = 'LMB') c ON starts_with(c.lead_agency, 'Brand#' || substr(all_org_nm, 1, 1)) GROUP BY ALL", ("items", "codes"))
+def agency_dictionaries(spark: SparkSession, sf: str) -> DataFrame:
+    """Each item with the dictionary of its own agency: how many tasks it has, and the first."""
+    items = frame(spark, sf, "items").select(*S.ITEM_KEY, F.concat(F.lit("Brand#"), F.substring("all_org_nm", 1, 1)).alias("agency"))
+    own = Q.dictionaries(frame(spark, sf, "codes"), items).groupBy("agency").agg(F.count("*").alias("n_tasks"), F.min("detail_task_cd").alias("first_task"))
+    return items.join(own, "agency", "left").select(*S.ITEM_KEY, "agency", F.coalesce("n_tasks", F.lit(0).cast("long")).alias("n_tasks"), "first_task")
+
+
 # Names, dates and text
 
 _STEM = "regexp_replace(save_file_name, '(.)\\.[^.]*$', '\\1')"
@@ -259,19 +267,33 @@ def chunk_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _KEPT = "SELECT extract_idx, 1 AS chunk_seq, 'old' AS chunk_text, 'READY' AS chunk_status FROM doc_chunks"
-_DONE = "(SELECT idx, indexing_contents AS t, seq FROM doc_extracts, (VALUES (1), (2)) v(seq) WHERE extract_status = 'FAIL' OR data_year = 2023)"
+_DONE = "(SELECT idx, indexing_contents AS t FROM doc_extracts WHERE extract_status = 'FAIL' OR data_year = 2023)"
 
 
-@query(f"SELECT * FROM ({_KEPT}) WHERE extract_idx NOT IN (SELECT idx FROM {_DONE}) UNION ALL SELECT idx, 0, 'No content to split', 'SKIP' FROM {_DONE} WHERE seq = 1 AND length(coalesce(t, '')) = 0 UNION ALL SELECT idx, seq, substr(t, seq * 100 - 99, 100), 'READY' FROM {_DONE} WHERE length(t) > seq * 100 - 100", ("doc_extracts", "doc_chunks"))
+@query(f"SELECT * FROM ({_KEPT}) WHERE extract_idx NOT IN (SELECT idx FROM {_DONE}) UNION ALL SELECT idx, 0, 'No content to split', 'SKIP' FROM {_DONE} WHERE length(coalesce(t, '')) = 0 UNION ALL SELECT idx, CAST(seq AS INTEGER), substr(t, seq * 1000 - 999, 1000), 'READY' FROM (SELECT idx, t, unnest(range(1, CAST(ceil(length(t) / 1000) AS BIGINT) + 1)) AS seq FROM {_DONE})", ("doc_extracts", "doc_chunks"))
 def chunk_replace(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunks of failed and of recent documents give way to the first two hundred characters in two chunks, or to a marker where there are none."""
+    """Chunks of failed and of recent documents give way to their whole texts in pieces of a thousand characters, or to a marker where there is no text."""
     old = frame(spark, sf, "doc_chunks").select("extract_idx", F.lit(1).alias("chunk_seq"), F.lit("old").alias("chunk_text"), F.lit(S.READY).alias("chunk_status"))
     done = frame(spark, sf, "doc_extracts").where((F.col("extract_status") == S.FAIL) | (F.col("data_year") == 2023)).select(F.col("idx").alias("extract_idx"), "indexing_contents")
-    seq = done.select("extract_idx", "indexing_contents", F.explode(F.array(F.lit(1), F.lit(2))).alias("chunk_seq")).where(F.length("indexing_contents") > F.col("chunk_seq") * 100 - 100)
-    made = seq.select("extract_idx", "chunk_seq", F.expr("substring(indexing_contents, chunk_seq * 100 - 99, 100)").alias("chunk_text"), F.lit(S.READY).alias("chunk_status"))
+    pieces = F.ceil(F.length("indexing_contents") / 1000).cast("int")
+    seq = done.where(F.length("indexing_contents") > 0).select("extract_idx", "indexing_contents", F.explode(F.sequence(F.lit(1), pieces)).alias("chunk_seq"))
+    made = seq.select("extract_idx", "chunk_seq", F.expr("substring(indexing_contents, chunk_seq * 1000 - 999, 1000)").alias("chunk_text"), F.lit(S.READY).alias("chunk_status"))
     return merge.replace_chunks(old, made, done)
 
 
+@query(f"SELECT extract_idx, 'old' AS kind FROM ({_KEPT}) WHERE extract_idx NOT IN (SELECT idx FROM {_DONE}) UNION ALL SELECT idx, CASE WHEN regexp_matches(coalesce(t, ''), '\\S') THEN 'text' ELSE 'marker' END FROM {_DONE}", ("doc_extracts", "doc_chunks"))
+def chunk_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The chunker's own chunks in place of the old ones, as what each document is left with: old chunks, chunks of its text or no more than a marker. Texts that the
+    chunker finds nothing in (title pages) count by whether they have any."""
+    old = frame(spark, sf, "doc_chunks").select("extract_idx", F.lit(1).alias("chunk_seq"), F.lit("old").alias("doc_type"), F.lit("old").alias("chunk_text"), F.lit(S.READY).alias("chunk_status"))
+    done = frame(spark, sf, "doc_extracts").where((F.col("extract_status") == S.FAIL) | (F.col("data_year") == 2023)).select(F.col("idx").alias("extract_idx"), "file_name", "zip_entry_file_name", "indexing_contents")
+    after = merge.replace_chunks(old, chunking.chunk_documents(done, marker=True), done, marked=True)
+    left = after.groupBy("extract_idx").agg(F.min("chunk_seq").alias("least"), F.min("doc_type").alias("doc_type"), F.count("*").alias("n"))
+    told = left.join(done.select("extract_idx", F.when(X.has_text(F.col("indexing_contents")), "text").otherwise("marker").alias("has")).distinct(), "extract_idx", "left")
+    kind = F.when(F.col("has").isNull(), F.col("doc_type")).when(F.col("least") > 0, "text").otherwise(F.col("has"))
+    return told.select("extract_idx", kind.alias("kind"))
+
+
 # Keyed writes
 
 _SUMMED = "SELECT rc_code, rc_rfile_no, rc_ritem_no, {} FROM items"
@@ -301,6 +323,16 @@ def upsert_documents(spark: SparkSession, sf: str) -> DataFrame:
 # Files, letters and columns
 
 
+@query(ORACLES["upsert_documents"])
+def bucketed_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """The same upsert into a table of buckets, of which those without a change stay as they are."""
+    old = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.lit("old").alias("lang"), F.lit("kept").alias("summary"))
+    new = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", F.lit("new").alias("summary"))
+    table = keyed.KeyedTable(spark, shared.scratch(spark), old.schema, "doc_id", 16).create(old)
+    table.merge(new, lambda before, changes, flag: merge.merged(before, changes, ("doc_id",), keep=("summary",), flag=flag))
+    return table.read()
+
+
 @query()
 def html_text(spark: SparkSession, sf: str) -> DataFrame:
     return files.page_text(spark.read.parquet(f"{sf}/pages.parquet")).select("page_id", "url", "text")
@@ -504,10 +536,10 @@ def text_log_rows(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.text_log(rows, "run").select("rc_rfile_no", "rc_ritem_no", "subject_type", "status", "detail_task_cd", "detail_task_nm", "error_msg")
 
 
-@query("SELECT o_orderkey, coalesce('{' || string_agg('\"img' || n || '\":\"/img/' || l_orderkey || '/' || l_linenumber || '.png\"', ',' ORDER BY n) FILTER (n IS NOT NULL) || '}', '[]') AS img_datas FROM orders LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS n FROM lineitem WHERE l_quantity < 20) ON l_orderkey = o_orderkey GROUP BY o_orderkey")
+@query("SELECT o_orderkey, coalesce('{' || string_agg('\"img' || n || '\":\"/img/' || l_orderkey || '/' || l_linenumber || '.png\"', ',' ORDER BY n) FILTER (n IS NOT NULL) || '}', '[]') AS img_datas FROM orders LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS n FROM lineitem) ON l_orderkey = o_orderkey GROUP BY o_orderkey")
 def image_maps(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as pictures of their order."""
-    lines = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_quantity < 20").groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_linenumber")).alias("n"))
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_linenumber")).alias("n"))
     paths = F.transform(F.coalesce("n", F.array().cast("array<int>")), lambda n: F.concat(F.lit("/img/"), F.col("o_orderkey").cast("string"), F.lit("/"), n.cast("string"), F.lit(".png")))
     return spark.read.parquet(f"{sf}/orders.parquet").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", X.image_map(paths).alias("img_datas"))
 

@@ -32,7 +32,7 @@ def extract_run(catalog: DataFrame, extracts: DataFrame, base: str, p: Q.Params,
 def chunk_run(extracts: DataFrame, catalog: DataFrame, chunks: DataFrame, *, transfer_year: str | None = None, recreate: bool = False, size: int = S.CHUNK_SIZE, overlap: int = S.OVERLAP) -> DataFrame:
     """The chunk table after the run: targets' chunks replaced, markers for targets without any."""
     targets = Q.chunk_targets(extracts, catalog, chunks, transfer_year=transfer_year, recreate=recreate)
-    return merge.replace_chunks(chunks, chunking.chunk_documents(targets, size=size, overlap=overlap), targets)
+    return merge.replace_chunks(chunks, chunking.chunk_documents(targets, size=size, overlap=overlap, marker=True), targets, marked=True)
 
 
 def ask(targets: DataFrame, key: tuple[str, ...], system: Column, user: Column, client: Callable[[], responses.Client], *, model: str = "model", workers: int | None = None, journal: str | None = None, after_slice: Callable[[int, int], None] | None = None) -> DataFrame:

@@ -10,6 +10,8 @@ READY, SKIP = "READY", "SKIP"
 POLICY, EVENT, ACTIVITY, ALL = "POLICY", "EVENT", "ACTIVITY", "ALL"
 SUBJECTS = (POLICY, EVENT, ACTIVITY)
 UNKNOWN = "UNKNOWN"
+#: Text of the marker of a document without chunks.
+NO_CONTENT = "No content to split"
 
 #: Names of a policy that say that none was found.
 NOT_APPLICABLE = "해당없음"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from foliary.operators import chunking, merge
+from foliary.operators import chunking
 
 
 def arriving(spark: SparkSession, path: str, schema, *, files_at_once: int = 1000) -> DataFrame:
@@ -28,9 +28,7 @@ def chunk_stream(stream: DataFrame, chunks_path: str, checkpoint: str, *, size:
     if the batch is run again."""
 
     def write(rows: DataFrame, batch: int) -> None:
-        made = chunking.chunk_documents(rows, size=size, overlap=overlap)
-        empty = made.limit(0)
-        merge.replace_chunks(empty, made, rows).write.mode("overwrite").parquet(f"{chunks_path}/batch={batch}")
+        chunking.chunk_documents(rows, size=size, overlap=overlap, marker=True).write.mode("overwrite").parquet(f"{chunks_path}/batch={batch}")
 
     return each_batch(stream, write, checkpoint)
 
