@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import threading
+import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary import schema as S
@@ -96,3 +98,56 @@ class Registry:
         with self._lock:
             if key in self._active:
                 self._active.remove(key)
+
+
+class SharedRegistry:
+    """The runs of all drivers that see the same folder. A run claims its records by a file of its own and then looks at the others: of two overlapping claims the
+    one that stands later in the order of (time, name) gives way, and where both come at once both may. A claim that is older than `stale` seconds has
+    lost its driver and holds nothing; a long run calls renew()."""
+
+    def __init__(self, spark: SparkSession, path: str, *, stale: float = 24 * 3600) -> None:
+        self.jvm, self.conf, self.path, self.stale = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), f"{path}/claims", stale
+        self.own: dict[RunKey, str] = {}
+
+    def _fs(self):
+        at = self.jvm.org.apache.hadoop.fs.Path(self.path)
+        return at.getFileSystem(self.conf), at
+
+    def _claims(self) -> list[tuple[float, str, RunKey]]:
+        fs, at = self._fs()
+        if not fs.exists(at):
+            return []
+        found = []
+        for s in fs.listStatus(at):
+            name = s.getPath().getName()
+            try:
+                found.append((s.getModificationTime() / 1000, name, RunKey(**json.loads(bytes.fromhex(name.split("-")[1])))))
+            except (IndexError, ValueError, TypeError):  # no claim
+                continue
+        return found
+
+    def acquire(self, key: RunKey) -> RunKey:
+        fs, _ = self._fs()
+        name = f"{uuid.uuid4().hex}-{json.dumps(asdict(key)).encode().hex()}"
+        fs.create(self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}"), False).close()
+        claims = self._claims()
+        mine = next(c for c in claims if c[1] == name)
+        for at, other, held in claims:
+            if other != name and held.overlaps(key) and mine[0] - at < self.stale and (at, other) < (mine[0], name):
+                self._drop(name)
+                raise RunConflict(f"{held.process} already runs for {held.transfer_year}, {held.prod_year or S.ALL}")
+        self.own[key] = name
+        return key
+
+    def renew(self, key: RunKey) -> None:
+        """Says that the run goes on."""
+        fs, _ = self._fs()
+        fs.setTimes(self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{self.own[key]}"), int(time.time() * 1000), -1)
+
+    def release(self, key: RunKey) -> None:
+        if key in self.own:
+            self._drop(self.own.pop(key))
+
+    def _drop(self, name: str) -> None:
+        fs, _ = self._fs()
+        fs.delete(self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}"), False)

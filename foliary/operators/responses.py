@@ -4,6 +4,7 @@ can't be read is a row with an error."""
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -39,24 +40,27 @@ SUBJECT_FIELDS = {
 Client = Callable[[str], str]
 
 
-def call(requests: DataFrame, client: Callable[[], Client], *, request: str = "request", workers: int | None = None) -> DataFrame:
+def call(requests: DataFrame, client: Callable[[], Client], *, request: str = "request", workers: int | None = None, in_flight: int = 1) -> DataFrame:
     """requests with response and call_error. client() makes, once a task, what sends a request's body and returns the answer's;
-    an exception is that row's error. Rows are dealt evenly to the workers. Write the result before using it twice: a call isn't repeatable."""
+    an exception is that row's error. Rows are dealt evenly to the workers, each of which has up to in_flight calls open at a time and keeps the rows' order. Write
+    the result before using it twice, or use call_once(): a call isn't repeatable."""
     rows = requests.repartition(workers) if workers else requests
     names, at = rows.columns, rows.columns.index(request)
 
     def run(batches):
         send = client()
-        for batch in batches:
-            out, errors = [], []
-            for body in batch.column(at).to_pylist():
-                try:
-                    out.append(send(body))
-                    errors.append(None)
-                except Exception as e:
-                    out.append(None)
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string()), pa.array(errors, pa.string())], names=[*names, "response", "call_error"])
+
+        def one(body: str) -> tuple[str | None, str | None]:
+            try:
+                return send(body), None
+            except Exception as e:
+                return None, f"{type(e).__name__}: {e}"
+
+        with ThreadPoolExecutor(in_flight) as threads:
+            for batch in batches:
+                bodies = batch.column(at).to_pylist()
+                done = list(threads.map(one, bodies) if in_flight > 1 else map(one, bodies))
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([d[k] for d in done], pa.string()) for k in (0, 1))], names=[*names, "response", "call_error"])
 
     none = F.lit(None).cast("string")
     return rows.mapInArrow(run, rows.withColumns({"response": none, "call_error": none}).schema)
@@ -66,7 +70,7 @@ def call(requests: DataFrame, client: Callable[[], Client], *, request: str = "r
 CALLS_A_SLICE = 5000
 
 
-def call_once(requests: DataFrame, key: Sequence[str], client: Callable[[], Client], path: str, *, request: str = "request", workers: int | None = None, calls_a_slice: int = CALLS_A_SLICE, after_slice: Callable[[int, int], None] | None = None) -> DataFrame:
+def call_once(requests: DataFrame, key: Sequence[str], client: Callable[[], Client], path: str, *, request: str = "request", workers: int | None = None, in_flight: int = 1, calls_a_slice: int = CALLS_A_SLICE, after_slice: Callable[[int, int], None] | None = None) -> DataFrame:
     """call() under a journal at path: the answers are there before anything reads them, and whoever reads them makes no call.
 
     First the requests are written as a queue, dealt into slices by the key's hash, then the answers of one slice after the other. A run that is taken up
@@ -84,7 +88,7 @@ def call_once(requests: DataFrame, key: Sequence[str], client: Callable[[], Clie
         at = f"{answers}/slice={number}"
         if not shared.complete(spark, at):
             rows = spark.read.schema(requests.schema).parquet(f"{queue}/slice={number}")
-            call(rows, client, request=request, workers=workers or spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(at)
+            call(rows, client, request=request, workers=workers or spark.sparkContext.defaultParallelism, in_flight=in_flight).write.mode("overwrite").parquet(at)
             if after_slice:
                 after_slice(done, len(numbers))
     if not numbers:

@@ -151,6 +151,14 @@ def file_items(items: DataFrame, catalog: DataFrame, files: DataFrame, p: Params
     return items.select(*_ITEM_COLUMNS, department(F.col("all_org_nm")).alias("dept_nm")).join(years, FILE)
 
 
+def item_targets_of_files(items: DataFrame, catalog: DataFrame, p: Params) -> DataFrame:
+    """rc_code, rc_rfile_no, rc_ritem_no of all items of the files of a transfer year, and of a production year if one is given."""
+    files = catalog.where(F.col("transferyear") == p.transfer_year)
+    if p.prod_year:
+        files = files.where(F.col("prodyear") == p.prod_year)
+    return items.select("rc_code", "rc_rfile_no", "rc_ritem_no").join(files.select("rc_rfile_no", "rc_ritem_no").distinct(), ["rc_rfile_no", "rc_ritem_no"], "left_semi")
+
+
 def candidates(codes: DataFrame, keys: DataFrame) -> DataFrame:
     """For each distinct (cls_cd, production_date, production_year) of keys the codes that were in force: by date if the key has one
     (bounds and date compared as eight characters), else by year.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary import schema as S
-from foliary.functions import letters
+from foliary.functions import letters, registered
 from foliary.functions import text as X
 from foliary.operators import chunking, columns, keyed, ledger, merge, prompting, responses, rules
 from foliary.operators import selection as Q
@@ -294,6 +294,33 @@ def chunk_run(spark: SparkSession, sf: str) -> DataFrame:
     return told.select("extract_idx", kind.alias("kind"))
 
 
+# In SQL
+
+
+@query("SELECT conv_id, CAST(n AS INTEGER) AS entry, name, value FROM (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM conversations), LATERAL (VALUES ('turn', CAST(turn AS VARCHAR)), ('role', role), ('text', text)) v(name, value)")
+def sql_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """A conversation as one answer in JSON, and its entries by a table function, in SQL."""
+    registered.register(spark)
+    text = """SELECT c.conv_id, e.entry, e.name, e.value
+      FROM (SELECT conv_id, to_json(array_sort(collect_list(named_struct('turn', turn, 'role', role, 'text', text))), map('ignoreNullFields', 'false')) AS answer FROM {turns} GROUP BY conv_id) c, LATERAL foliary_entries(c.answer) e"""
+    return spark.sql(text, turns=spark.read.parquet(f"{sf}/conversations.parquet"))
+
+
+@query(f"SELECT rc_ritem_no, {_DATE} AS production_date, {_PRODYEAR} AS production_year, split_part(all_org_nm, ' ', 1) AS department FROM items", ("items",))
+def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
+    """Forms of the items' columns by functions in SQL."""
+    registered.register(spark)
+    return spark.sql("SELECT rc_ritem_no, foliary_production_date(prodregdate) AS production_date, foliary_production_year(prodyear) AS production_year, foliary_first_token(all_org_nm) AS department FROM {items}", items=frame(spark, sf, "items"))
+
+
+@query()
+def sql_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks of all documents by a table function, in SQL."""
+    registered.register(spark)
+    docs = registered.prepared(frame(spark, sf, "doc_extracts").withColumnRenamed("idx", "extract_idx"), "sql_chunks_sources")
+    return spark.sql("SELECT s.extract_idx, c.chunk_seq, s.doc_type, c.chunk_text, foliary_token_estimate(c.chunk_text) AS token_count FROM {docs} s, LATERAL foliary_chunks(s.t, s.doc_type, 3500, 350) c", docs=docs)
+
+
 # Keyed writes
 
 _SUMMED = "SELECT rc_code, rc_rfile_no, rc_ritem_no, {} FROM items"

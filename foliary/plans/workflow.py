@@ -35,14 +35,14 @@ def chunk_run(extracts: DataFrame, catalog: DataFrame, chunks: DataFrame, *, tra
     return merge.replace_chunks(chunks, chunking.chunk_documents(targets, size=size, overlap=overlap, marker=True), targets, marked=True)
 
 
-def ask(targets: DataFrame, key: tuple[str, ...], system: Column, user: Column, client: Callable[[], responses.Client], *, model: str = "model", workers: int | None = None, journal: str | None = None, after_slice: Callable[[int, int], None] | None = None) -> DataFrame:
+def ask(targets: DataFrame, key: tuple[str, ...], system: Column, user: Column, client: Callable[[], responses.Client], *, model: str = "model", workers: int | None = None, in_flight: int = 1, journal: str | None = None, after_slice: Callable[[int, int], None] | None = None) -> DataFrame:
     """The key, request, response and call_error of a call for each target. Of rows that repeat a key the first by all their columns is asked about. With a
     journal each is called once, whatever reads the result and however often the run is taken up; without one each reading calls again."""
     rest = [c for c in targets.columns if c not in key]
     first = targets.withColumn("__request", prompting.chat_request(model, system, user)).groupBy(*key).agg(F.min_by("__request", F.struct(*rest) if rest else F.lit(0)).alias("request"))
     if journal is None:
-        return responses.call(first, client, workers=workers)
-    return responses.call_once(first, key, client, journal, workers=workers, after_slice=after_slice)
+        return responses.call(first, client, workers=workers, in_flight=in_flight)
+    return responses.call_once(first, key, client, journal, workers=workers, in_flight=in_flight, after_slice=after_slice)
 
 
 def subject_answers(targets: DataFrame, template: str, client: Callable[[], responses.Client], subject: str, *, model: str = "model", **call) -> DataFrame:
@@ -162,10 +162,24 @@ def _counts(results: DataFrame) -> list[Column]:
 def department_run(items: DataFrame, catalog: DataFrame, departments: tuple[str, ...], decide_files: Callable[[DataFrame], DataFrame], decide_items: Callable[[DataFrame], DataFrame], p: Q.Params) -> tuple[DataFrame, DataFrame]:
     """Files first: a decision (rc_rfile_no, error, code, name) goes to all items of its file. Then the items that are still open, each by its own
     decision (item key, error, code, name, reason); one that stays undecided has passed without a code. Returns the items and the tally by phase."""
+    after, tally, _ = department_steps(items, catalog, departments, decide_files, decide_items, p, "")
+    return after, tally
+
+
+def department_steps(items: DataFrame, catalog: DataFrame, departments: tuple[str, ...], decide_files: Callable[[DataFrame], DataFrame], decide_items: Callable[[DataFrame], DataFrame], p: Q.Params, run_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """department_run() with the log of both phases: a file that was decided is logged for each of its items, one that wasn't or that failed as a file (without
+    an item), and leaves its items as they are; items are logged each. Decisions may have any of the log's columns. Write what decides before using it twice."""
     of_files = decide_files(Q.department_files(items, catalog, departments, p))
     decided = of_files.where(F.col("error").isNull() & Q.determined(F.col("code"), F.col("name")))
     after = merge.propagate_files(items, decided.select("rc_rfile_no", "code", "name"))
     of_items = decide_items(Q.department_compare(after, catalog, departments, p))
     status = F.when(F.col("error").isNull(), S.PASS).otherwise(S.FAIL).alias("status")
     tallied = of_files.select(F.lit("file").alias("phase"), status).unionByName(of_items.select(F.lit("item").alias("phase"), status))
-    return merge.item_results(after, of_items), ledger.tally(tallied, "phase")
+    more = [c for c in of_files.columns if c in S.LOG_WIDTHS]
+    own = Q.item_targets_of_files(items, catalog, p)
+    by_item = decided.select("rc_rfile_no", *more).join(own, "rc_rfile_no").withColumn("error_msg", F.lit(None).cast("string"))
+    none = F.lit(None).cast("string")
+    by_file = of_files.where(F.col("error").isNotNull() | ~F.coalesce(Q.determined(F.col("code"), F.col("name")), F.lit(False))).select(none.alias("rc_code"), "rc_rfile_no", none.alias("rc_ritem_no"), *more, F.col("error").alias("error_msg"))
+    log = ledger.item_log(by_item, run_id, "POLICY_DEPT_FILE").unionByName(ledger.item_log(by_file, run_id, "POLICY_DEPT_FILE"), allowMissingColumns=True)
+    log = log.unionByName(ledger.item_log(of_items.withColumnRenamed("error", "error_msg"), run_id, "POLICY_DEPT"), allowMissingColumns=True)
+    return merge.item_results(after, of_items), ledger.tally(tallied, "phase"), log
