@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from foliary import schema as S
@@ -49,6 +50,21 @@ def unfinished(status: Column, retry: bool) -> Column:
     return status.isNull() | (status != S.PASS) if retry else status.isNull()
 
 
+#: How the archive's database compares names: without regard to case and to blanks at the end.
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def collated(rows: DataFrame, *columns: str, collation: str = COLLATION) -> DataFrame:
+    """rows with these text columns (none named: all) under a collation, which every comparison, grouping, join and order by them then follows; plain() takes it
+    away. Names compare by bytes otherwise."""
+    texts = [f.name for f in rows.schema if isinstance(f.dataType, StringType) and (not columns or f.name in columns)]
+    return rows.withColumns({c: F.collate(F.col(f"`{c}`"), collation) for c in texts})
+
+
+def plain(rows: DataFrame) -> DataFrame:
+    return collated(rows, collation="UTF8_BINARY")
+
+
 def extract_targets(catalog: DataFrame, extracts: DataFrame, p: Params) -> DataFrame:
     """Files of a transfer year that no extract row has settled."""
     settled = (S.PASS,) if p.retry else (S.PASS, S.FAIL)

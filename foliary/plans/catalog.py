@@ -154,6 +154,17 @@ def select_file_items(spark: SparkSession, sf: str) -> DataFrame:
     return Q.file_items(frame(spark, sf, "items"), frame(spark, sf, "catalog"), file_rollup_min(spark, sf), _YEAR)
 
 
+_OTHER_CASE = "CASE detno % 3 WHEN 0 THEN upper(save_file_name) WHEN 1 THEN save_file_name || '  ' ELSE save_file_name END"
+_LOOSE = "lower(rtrim({}, ' '))"
+
+
+@query(f"SELECT transferyear, rc_rfile_no, rc_ritem_no, mngno, detno, prodyear, org_file_path, save_file_name FROM (SELECT * REPLACE ({_OTHER_CASE} AS save_file_name) FROM catalog) c WHERE transferyear = '2023' AND save_file_name IS NOT NULL AND NOT EXISTS (SELECT 1 FROM extracts e WHERE {_LOOSE.format('e.rc_rfile_no')} = {_LOOSE.format('c.rc_rfile_no')} AND {_LOOSE.format('e.rc_ritem_no')} = {_LOOSE.format('c.rc_ritem_no')} AND {_LOOSE.format('e.file_name')} = {_LOOSE.format('c.save_file_name')} AND e.extract_status IN ('PASS', 'FAIL'))", ("catalog", "extracts"))
+def select_extract_targets_collated(spark: SparkSession, sf: str) -> DataFrame:
+    """The selection under the database's collation, over names in other cases and with blanks at the end."""
+    catalog = frame(spark, sf, "catalog").withColumn("save_file_name", F.expr(_OTHER_CASE))
+    return Q.plain(Q.extract_targets(Q.collated(catalog), Q.collated(frame(spark, sf, "extracts")), Q.Params()))
+
+
 # Candidates
 
 _NORM = "substr(replace(replace(replace(replace({}, '-', ''), '.', ''), '/', ''), ' ', ''), 1, 8)"

@@ -130,3 +130,16 @@ def test_entries_of_answers(spark):
     spark.createDataFrame(list(enumerate(answers)), "i int, answer string").createOrReplaceTempView("answers_of_a_test")
     found = {tuple(r) for r in spark.sql("SELECT i, e.* FROM answers_of_a_test, LATERAL foliary_entries(answer) e").collect()}
     assert found == {(3, 2, "a", "1"), (3, 2, "b", None), (3, 2, "c", '[true, "é"]'), (3, 3, "a", "x"), (4, 1, "k", "2.5")}
+
+
+def test_keys_compare_under_a_collation(spark):
+    from foliary.operators import merge
+    from foliary.operators import selection as Q
+
+    one = spark.createDataFrame([("A.hwp ", 1), ("b", 2), (None, 3)], "k string, v int")
+    two = spark.createDataFrame([("a.HWP", 9), ("B  ", 8), ("c", 7)], "k string, v int")
+    met = lambda x, y: {(r[0], r[1]) for r in x.join(y.withColumnRenamed("v", "w"), "k").select("v", "w").collect()}
+    assert met(one, two) == set() and met(Q.collated(one), Q.collated(two)) == {(1, 9), (2, 8)}
+    after = Q.plain(merge.merged(Q.collated(one), Q.collated(two), ("k",)))
+    assert sorted((r.v for r in after.collect())) == [3, 7, 8, 9] and after.schema["k"].dataType.simpleString() == "string"
+    assert Q.collated(one.union(two), "k").groupBy("k").count().count() == 4
