@@ -195,17 +195,23 @@ def candidates(codes: DataFrame, keys: DataFrame) -> DataFrame:
     points = keyed.select(*group, F.col("__p").alias("__at")).distinct()
     bounds = ranges.select(*group, F.explode(F.array(F.struct(F.col("__lo").alias("at"), F.lit(0).alias("kind")), F.struct(F.col("__hi").alias("at"), F.lit(2).alias("kind")))).alias("b")).select(*group, F.col("b.at").alias("__at"), F.col("b.kind").alias("__kind")).distinct()
     order = Window.partitionBy(*group).orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    swept = points.withColumn("__kind", F.lit(1)).unionByName(bounds).withColumn("__n", F.sum(F.when(F.col("__kind") == 1, 1).otherwise(0)).over(order))
+    swept = points.withColumn("__kind", F.lit(1)).unionByName(bounds).withColumn("__n", F.sum(F.when(F.col("__kind") == 1, 1).otherwise(0)).over(order).cast("long"))
     numbered = keyed.join(swept.where("__kind = 1").select(*group, F.col("__at").alias("__p"), (F.col("__n") - 1).alias("__i")), [*group, "__p"])
     first = swept.where("__kind = 0").select(*group, F.col("__at").alias("__lo"), F.col("__n").alias("__a"))
     past = swept.where("__kind = 2").select(*group, F.col("__at").alias("__hi"), F.col("__n").alias("__z"))
     placed = ranges.join(first, [*group, "__lo"]).join(past, [*group, "__hi"]).where("__a < __z")
-    stretches = []
-    for k in range(_SIZES):  # of 2**k points: the odd one at either end of what larger ones leave
-        a, z = F.ceil(F.col("__a") / F.lit(1 << k)).cast("long"), F.floor(F.col("__z") / F.lit(1 << k)).cast("long")
-        stretches += [F.when((a < z) & (a % 2 == 1), F.struct(F.lit(k).alias("k"), a.alias("s"))), F.when((a < z) & (z % 2 == 1), F.struct(F.lit(k).alias("k"), (z - 1).alias("s")))]
-    dealt = placed.select("*", F.explode(F.array_compact(F.array(*stretches))).alias("__s")).drop("__lo", "__hi", "__a", "__z")
-    levels = F.array(*[F.struct(F.lit(k).alias("k"), F.shiftright(F.col("__i").cast("long"), k).alias("s")) for k in range(_SIZES)])
+    shifted = lambda x, k: F.call_function("shiftright", x, k)
+    sizes = F.sequence(F.lit(0), F.lit(_SIZES - 1))
+    whole = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1
+
+    def ends(k: Column) -> Column:
+        """The odd stretches of 2**k points at either end of what larger ones leave."""
+        first_, past_ = shifted(F.col("__a") + whole(k), k), shifted(F.col("__z"), k)
+        one = lambda yes, s: F.when((first_ < past_) & (yes % 2 == 1), F.struct(k.alias("k"), s.alias("s")))
+        return F.array(one(first_, first_), one(past_, past_ - 1))
+
+    dealt = placed.select("*", F.explode(F.array_compact(F.flatten(F.transform(sizes, ends)))).alias("__s")).drop("__lo", "__hi", "__a", "__z")
+    levels = F.transform(sizes, lambda k: F.struct(k.alias("k"), shifted(F.col("__i"), k).alias("s")))
     met = numbered.select("*", F.explode(levels).alias("__s")).join(dealt, [*group, "__s"])
     return met.drop("__by_date", "__p", "__i", "__s")
 
