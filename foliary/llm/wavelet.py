@@ -7,7 +7,7 @@ null mask byte each, u64 ids of each document; then for each plane u64 zeros, u3
 the packed bits. Rank directories (one u32 for 2048 bits) are rebuilt when a plane is opened.
 
 Shards are rows of a Parquet table with one record a file, so any file system that Spark writes works and a lost task leaves
-nothing behind. Null and empty texts are documents of the end id alone; documents without an id come first; rows that repeat an
+nothing behind. Ids are whole numbers of 64 bits (the blob holds them so; a column of others can't be cast and raises). Null and empty texts are documents of the end id alone; documents without an id come first; rows that repeat an
 id stand side by side; an empty table gives no shard.
 """
 
