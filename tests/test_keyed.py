@@ -129,3 +129,25 @@ def test_stretches_cover_each_pair_once(spark, n):
     keys = spark.createDataFrame([("E", "", str(2000 + i)) for i in range(n)], "cls_cd string, production_date string, production_year string")
     found = sorted((x.production_year, x.item_cd) for x in Q.candidates(codes, keys).collect())
     assert found == sorted((str(2000 + i), f"{a}-{z}") for a in range(n) for z in range(a, n) for i in range(a, z + 1))
+
+
+@pytest.mark.parametrize("most", [1, 1 << 26])
+def test_a_list_is_made_once_for_all_keys_between_two_bounds(spark, monkeypatch, most):
+    import json
+
+    text = lambda i: {"prev_gov_cd": f"g{i % 2}", "sub_cls_cd": "s", "topic_cd": None if i == 1 else "t", "sub_cls_nm": None, "topic_nm": f'"{i}"', "prev_gov_nm": "n", "description": "d"}
+    bounds = [("19950101", "1995-06-30", "1995", "1996"), ("19950301", "1995-06-30", "1996", "1996"), ("-", "19950101", None, None), ("19950301", "19950101", "1997", "1996")]
+    codes = [{"cls_cd": "EVENT", "item_cd": f"I{i}", "tern_start": b[0], "tern_end": b[1], "start_year": b[2], "end_year": b[3]} | text(i) for i, b in enumerate(bounds)]
+    table = spark.createDataFrame([tuple(c.values()) for c in codes], ", ".join(f"{c} string" for c in codes[0]))
+    keys = [("EVENT", f"1995{m:02d}{d:02d}", y) for m in range(1, 8) for d in range(1, 29) for y in ("1995", None)] + [("EVENT", x, y) for x in ("", None) for y in ("1995", "1996", "1999")] + [("EVENT", "-", "1995"), ("POLICY", "19950301", "")]
+    asked, plain = [], Q.candidates
+    monkeypatch.setattr(Q, "candidates", lambda c, k: asked.append(k) or plain(c, k))
+    monkeypatch.setattr(Q, "LIST_BYTES", most)
+    listed = Q.candidate_lists(table, spark.createDataFrame(keys, "cls_cd string, production_date string, production_year string"))
+    found = {(x.cls_cd, x.production_date, x.production_year): [o["ITEM_CD"] for o in json.loads(x.candidates)] for x in listed.collect()}
+    want = {}
+    order = {c["item_cd"]: (c["prev_gov_cd"], c["topic_cd"] or "", c["item_cd"]) for c in codes}
+    for x in plain(table, spark.createDataFrame(keys, "cls_cd string, production_date string, production_year string")).collect():
+        want.setdefault((x.cls_cd, x.production_date, x.production_year), []).append(x.item_cd)
+    assert found == {k: sorted(v, key=order.get) for k, v in want.items()} and listed.count() == len(want) > 300
+    assert asked[0].distinct().count() <= 2 * len(codes) * 2
