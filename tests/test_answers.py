@@ -309,3 +309,35 @@ def test_published_tables_keep_a_version_for_their_readers(spark, tmp_path):
     assert first.count() == 3 and merge.published(spark, path).count() == 2
     merge.publish(spark, spark.range(7), path)
     assert merge.published(spark, path).count() == 7
+
+
+def test_a_journal_keeps_the_parts_of_a_slice_that_broke_off_and_has_few_slices(spark, tmp_path):
+    folder, slices = tmp_path / "calls", []
+    folder.mkdir()
+    requests = spark.range(400).select(F.col("id").cast("string").alias("k"), F.concat(F.lit("call "), "id").alias("request"))
+    plain, last = counting(str(folder)), tmp_path / "last"
+
+    def dying():
+        send = plain()
+
+        def one(body):
+            if body == "call 7" and not last.exists():
+                import time
+
+                time.sleep(3)
+                raise KeyboardInterrupt  # the task, not the row
+            return send(body)
+
+        return one
+
+    with pytest.raises(Exception):  # noqa: B017
+        responses.call_once(requests, ("k",), dying, str(tmp_path / "j"), calls_a_slice=400)
+    written = spark.read.schema("k string").parquet(str(tmp_path / "j/answers/slice=0")).count()
+    assert 0 < written < 400
+    kept = {line for line in calls_in(folder)}
+    last.touch()
+    found = responses.call_once(requests, ("k",), dying, str(tmp_path / "j"), calls_a_slice=400)
+    assert sorted(r.request for r in found.collect()) == sorted(f"call {i}" for i in range(400)) and len(kept) < 400
+    assert len(calls_in(folder)) <= 800 - written  # none of the parts that were there is called for again
+    responses.call_once(requests, ("k",), plain, str(tmp_path / "many"), calls_a_slice=2, after_slice=lambda done, every: slices.append((done, every)))
+    assert slices == [(i, responses.MOST_SLICES) for i in range(1, responses.MOST_SLICES + 1)]
