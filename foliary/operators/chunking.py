@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from foliary import schema as S
 from foliary.functions.text import has_text, let, lines, normalize_for_chunks, role_mark, token_estimate
 from foliary.operators.splitting import HEADING_FORM, split
-from foliary.sources.files import spread
+from foliary.sources.files import spread, stepped
 
 #: The words and forms by which kinds of documents are told apart (a heading's own form is splitting's), and roles by the mark in the file name.
 DRAFT_WORDS = ("수신", "경유", "제목", "시행", "접수", "결재", "붙임")
@@ -76,7 +76,7 @@ def chunk_documents(sources: DataFrame, *, size: int = S.CHUNK_SIZE, overlap: in
     made = [("chunk_seq", "int", pa.int32()), ("section_path", "string", pa.string()), *((c, "string", pa.string()) for c in _LAW), ("chunk_text", "string", pa.string()), ("start_offset", "int", pa.int32()), ("end_offset", "int", pa.int32())]
 
     def run(batches):
-        for batch in batches:
+        for batch in stepped(batches):
             source, out = [], []
             for i, (text, kind) in enumerate(zip(batch.column(n).to_pylist(), batch.column(n - 1).to_pylist(), strict=True)):
                 n_before = len(out)

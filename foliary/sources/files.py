@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -59,13 +60,26 @@ _RESULT = "struct<status:string,code:string,message:string,media_type:string,con
 _RESULT_ARROW = pa.struct([(n, pa.string()) for n in ("status", "code", "message", "media_type", "contents")])
 
 
+#: Bytes of rows that a worker turns into Python values and results at a time.
+STEP_BYTES = 1 << 20
+
+
+def stepped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about STEP_BYTES, so that what is made of one leaves the worker before the next: a batch has up to 10,000 rows whatever they hold."""
+    for batch in batches:
+        n = batch.num_rows
+        step = max(1, STEP_BYTES * n // max(1, batch.nbytes))
+        for lo in range(0, n, step):
+            yield batch.slice(lo, step)
+
+
 def _added(rows: DataFrame, name: str, kind: str, arrow: pa.DataType, inputs: tuple[str, ...], make) -> DataFrame:
     """rows with a column that make(*values) gives for each row, in Arrow batches."""
     names = rows.columns
     at = [names.index(i) for i in inputs]
 
     def run(batches):
-        for batch in batches:
+        for batch in stepped(batches):
             made = [make(*v) for v in zip(*(batch.column(i).to_pylist() for i in at), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, arrow)], names=[*names, name])
 

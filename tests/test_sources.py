@@ -279,3 +279,20 @@ def test_a_page_that_cannot_be_read_is_a_row(spark, monkeypatch):
         raise RecursionError("deep")
 
     assert parsers.extract("page.html", b"<p>x", known={"html": ("text/html", broken)})["code"] == "PARSE_FAILED"
+
+
+def test_results_leave_a_worker_step_by_step(spark, monkeypatch):
+    from foliary.operators import chunking
+    from foliary.sources import files
+
+    pages = spark.range(300).select(F.col("id").alias("page_id"), F.concat(F.lit("<p>Text "), "id", F.repeat(F.lit(" and more of it."), 600)).alias("html")).coalesce(1)
+    whole = pages.selectExpr("page_id AS extract_idx", "'a.html' AS file_name", "CAST(NULL AS STRING) AS zip_entry_file_name", "html AS indexing_contents")
+    batches = [b for b in pages.toArrow().combine_chunks().to_batches()]
+    assert [b.num_rows for b in batches] == [300]
+    steps = list(files.stepped(batches))
+    assert len(steps) > 2 and max(b.get_total_buffer_size() if b.num_rows == 300 else b.nbytes for b in steps) <= 2 * files.STEP_BYTES
+    assert [x for b in steps for x in b.column(0).to_pylist()] == list(range(300)) and list(files.stepped([batches[0].slice(0, 0)])) == []
+    made = lambda: (sorted(files.page_text(pages).select("page_id", "text").collect()), sorted(chunking.chunk_documents(whole).collect(), key=str))
+    stepwise = made()
+    monkeypatch.setattr(files, "STEP_BYTES", 1 << 40)
+    assert stepwise == made() and len(stepwise[0]) == 300
