@@ -25,8 +25,8 @@ from pyspark.sql.types import StructType
 from foliary.sources import shared
 
 SPLIT_BYTES = 1 << 27
-#: What opening a file counts for, in bytes; rows with content that leave a task at once; a larger file is an error of its row.
-OPEN_BYTES, BATCH_BYTES, MOST_BYTES = 1 << 20, 1 << 26, (1 << 31) - 1024
+#: What opening a file counts for, in bytes (a split has so some thousand small files, and not a task for each hundred); rows with content that leave a task at once; a larger file is an error of its row.
+OPEN_BYTES, BATCH_BYTES, MOST_BYTES = 1 << 15, 1 << 26, (1 << 31) - 1024
 
 
 def _store(path: str):
@@ -63,14 +63,17 @@ def planned(rows: DataFrame, path: str = "path", *, split_bytes: int = SPLIT_BYT
 
         stores, before, task = _Stores(), 0, TaskContext.get().partitionId()
         for batch in batches:
-            sizes, places = [], []
-            for p in batch.column(at).to_pylist():
-                size = None
+            paths, places = batch.column(at).to_pylist(), []
+            sizes, asked = [None] * len(paths), {}
+            for i, p in enumerate(paths):
                 if p is not None:
                     store, own = stores(p)
-                    info = store.get_file_info(own)
-                    size = info.size if info.is_file else None
-                sizes.append(size)
+                    asked.setdefault(id(store), (store, [], []))[1].append(i)
+                    asked[id(store)][2].append(own)
+            for store, rows_, owns in asked.values():  # a store is asked once a batch
+                for i, info in zip(rows_, store.get_file_info(owns), strict=True):
+                    sizes[i] = info.size if info.is_file else None
+            for size in sizes:
                 places.append(before)
                 before += (size or 0) + OPEN_BYTES
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64()), pa.array([task] * len(sizes), pa.int32()), pa.array(places, pa.int64())], names=[*names, "__size", "__task", "__before"])
@@ -85,6 +88,7 @@ def planned(rows: DataFrame, path: str = "path", *, split_bytes: int = SPLIT_BYT
     for t in tasks:  # a row for each task
         offsets.append((t["__task"], total))
         total += t["n"]
+    split_bytes = max(1, min(split_bytes, -(-total // spark.sparkContext.defaultParallelism)))  # a split for each core at least
     splits = max(1, -(-total // split_bytes))
     table = F.broadcast(spark.createDataFrame(offsets, "__task int, __offset bigint"))
     split = F.floor((F.col("__offset") + F.col("__before")) / F.lit(split_bytes)).cast("int")

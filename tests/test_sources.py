@@ -296,3 +296,11 @@ def test_results_leave_a_worker_step_by_step(spark, monkeypatch):
     stepwise = made()
     monkeypatch.setattr(files, "STEP_BYTES", 1 << 40)
     assert stepwise == made() and len(stepwise[0]) == 300
+
+
+def test_thousands_of_small_files_share_a_split(spark, tmp_path):
+    from foliary.sources import stored
+
+    rows = spark.range(3000).select(F.concat(F.lit(f"{tmp_path}/none/"), "id").alias("path"), "id")
+    found = stored.scanned(rows)
+    assert found.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism and found.where("content IS NULL").count() == 3000
