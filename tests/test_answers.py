@@ -341,3 +341,13 @@ def test_a_journal_keeps_the_parts_of_a_slice_that_broke_off_and_has_few_slices(
     assert len(calls_in(folder)) <= 800 - written  # none of the parts that were there is called for again
     responses.call_once(requests, ("k",), plain, str(tmp_path / "many"), calls_a_slice=2, after_slice=lambda done, every: slices.append((done, every)))
     assert slices == [(i, responses.MOST_SLICES) for i in range(1, responses.MOST_SLICES + 1)]
+
+
+def test_requests_are_made_for_the_rows_that_are_asked_about(spark):
+    from foliary.plans import workflow
+
+    rows = spark.createDataFrame([("a", "2", "x"), ("a", "1", "y"), ("b", None, "z"), ("b", "0", "w")], "k string, v string, w string")
+    made = workflow.ask(rows, ("k",), F.lit("s"), F.concat_ws("/", "v", "w"), lambda: lambda body: json.loads(body)["messages"][1]["content"])
+    assert sorted((r.k, r.response) for r in made.collect()) == [("a", "1/y"), ("b", "z")]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "temperature" in plan[: plan.index("Aggregate")]
