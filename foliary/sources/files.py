@@ -54,12 +54,6 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-_ENTRY = "array<struct<seq:int,name:string,content:binary,code:string,message:string>>"
-_ENTRY_ARROW = pa.list_(pa.struct([("seq", pa.int32()), ("name", pa.string()), ("content", pa.binary()), ("code", pa.string()), ("message", pa.string())]))
-_RESULT = "struct<status:string,code:string,message:string,media_type:string,contents:string>"
-_RESULT_ARROW = pa.struct([(n, pa.string()) for n in ("status", "code", "message", "media_type", "contents")])
-
-
 #: Bytes of rows that a worker turns into Python values and results at a time.
 STEP_BYTES = 1 << 20
 
@@ -73,58 +67,103 @@ def stepped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(lo, step)
 
 
-def _added(rows: DataFrame, name: str, kind: str, arrow: pa.DataType, inputs: tuple[str, ...], make) -> DataFrame:
-    """rows with a column that make(*values) gives for each row, in Arrow batches."""
-    names = rows.columns
-    at = [names.index(i) for i in inputs]
+Columns = list[tuple[str, str, pa.DataType]]
+
+
+def results(batches: Iterator[pa.RecordBatch], keep: tuple[str, ...], columns: Columns, inputs: tuple[str, ...], make) -> Iterator[pa.RecordBatch]:
+    """The rows of `columns` (name, kind, Arrow type) that make(*inputs) gives for each row of the batches, beside the row's columns `keep`. What is made is let go of by
+    the STEP_BYTES, also within a row."""
+    names = [*keep, *(c[0] for c in columns)]
+
+    def table(batch: pa.RecordBatch, source: list[int], out: list[tuple]) -> pa.RecordBatch:
+        at = pa.array(source, pa.int32())
+        return pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in keep), *(pa.array(v, c[2]) for v, c in zip(zip(*out, strict=True), columns, strict=True))], names=names)
+
+    for batch in stepped(batches):
+        source, out, size = [], [], 0
+        for i, given in enumerate(zip(*(batch.column(c).to_pylist() for c in inputs), strict=True)):
+            for row in make(*given):
+                source.append(i)
+                out.append(row)
+                size += sum(len(v) for v in row if isinstance(v, (str, bytes)))
+                if size >= STEP_BYTES:
+                    yield table(batch, source, out)
+                    source, out, size = [], [], 0
+        if out:
+            yield table(batch, source, out)
+
+
+def _made(rows: DataFrame, keep: tuple[str, ...], columns: Columns, inputs: tuple[str, ...], make) -> DataFrame:
+    """results() of the rows, by one pass of Python."""
+    rows = rows.select(*dict.fromkeys((*keep, *inputs)))
+    return rows.mapInArrow(lambda batches: results(batches, keep, columns, inputs, make), rows.select(*keep, *[F.lit(None).cast(kind).alias(name) for name, kind, _ in columns]).schema)
+
+
+def _is_archive(name: str) -> Column:
+    return F.coalesce(X.extension(F.col(name)) == "zip", F.lit(False))
+
 
-    def run(batches):
-        for batch in stepped(batches):
-            made = [make(*v) for v in zip(*(batch.column(i).to_pylist() for i in at), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, arrow)], names=[*names, name])
+_PLACE: Columns = [("zip_seq", "int", pa.int32()), ("entry_name", "string", pa.string())]
+_WRONG: Columns = [("code", "string", pa.string()), ("message", "string", pa.string())]
+_BYTES: Columns = [("content", "binary", pa.binary())]
+_RESULT: Columns = [(n, "string", pa.string()) for n in ("status", "code", "message", "media_type", "contents")]
 
-    return rows.mapInArrow(run, rows.withColumn(name, F.lit(None).cast(kind)).schema)
+
+def _files(rows: DataFrame, keep: tuple[str, ...], columns: Columns, make, name: str = "save_file_name", inputs: tuple[str, ...] = ("content",), content=None) -> DataFrame:
+    """zip_seq, entry_name and the rows of `columns` that make(own name, content, code, message) gives for each file, archives being opened in the same pass: an
+    entry is let go of before the next is read. The bytes are the column content, or what content(*inputs) gives."""
+
+    def run(archive: bool, name: str, *given):
+        stored = content(*given) if content else given[0]
+        for e in parsers.opened(stored) if archive else ({"seq": 0, "name": None, "content": stored, "code": None, "message": None},):
+            for row in make(name if e["name"] is None else e["name"], e["content"], e["code"], e["message"]):
+                yield e["seq"], e["name"], *row
+
+    return _made(rows.withColumn("__archive", _is_archive(name)), keep, [*_PLACE, *columns], ("__archive", name, *inputs), run)
 
 
 def expand_archives(rows: DataFrame, name: str = "save_file_name") -> DataFrame:
     """A row for each file: archives by extension give their entries (zip_seq from 1; 0 and a code if none can be had), others
     stay as they are with zip_seq 0. Adds zip_seq, entry_name, code, message; content is the entry's."""
-    zipped = X.extension(F.col(name)) == "zip"
-    opened = _added(rows.where(zipped), "__e", _ENTRY, _ENTRY_ARROW, ("content",), parsers.entries).drop("content")
-    inner = opened.select("*", F.explode("__e").alias("e")).select(*[c for c in opened.columns if c != "__e"], F.col("e.seq").alias("zip_seq"), F.col("e.name").alias("entry_name"), F.col("e.content").alias("content"), F.col("e.code").alias("code"), F.col("e.message").alias("message"))
     none = F.lit(None).cast("string")
-    outer = rows.where(~F.coalesce(zipped, F.lit(False))).select("*", F.lit(0).alias("zip_seq"), none.alias("entry_name"), none.alias("code"), none.alias("message"))
+    outer = rows.where(~_is_archive(name)).select("*", F.lit(0).alias("zip_seq"), none.alias("entry_name"), none.alias("code"), none.alias("message"))
+    others = tuple(c for c in rows.columns if c != "content")
+    inner = _files(rows.where(_is_archive(name)), others, [*_BYTES, *_WRONG], lambda _, *found: (found,), name)
     return outer.unionByName(inner)
 
 
+def parse_files(rows: DataFrame, *, keep: tuple[str, ...], name: str = "save_file_name", inputs: tuple[str, ...] = ("content",), content=None, more: parsers.Parsers | None = None, count_images: bool = False) -> DataFrame:
+    """Columns `keep` of the rows with zip_seq, entry_name, status, code, message, media_type and contents of each file and each entry of an archive, all in one pass
+    of Python. Bytes that aren't the column content are what content(*inputs) gives. n_images counts pictures where that is asked for, else it is 0."""
+    known = parsers.PARSERS | (more or {})
+
+    def make(name: str, stored: bytes | None, code: str | None, message: str | None):
+        found = parsers.extract(name, stored, known=known) if code is None else {"status": S.FAIL, "code": code, "message": message, "media_type": None, "contents": None}
+        return ((*(found[c[0]] for c in _RESULT), len(parsers.images(stored)) if count_images else 0),)
+
+    return _files(rows, keep, [*_RESULT, ("n_images", "int", pa.int32())], make, name, inputs, content)
+
+
 def extract_files(rows: DataFrame, *, more: parsers.Parsers | None = None, images: str | None = None) -> DataFrame:
     """Extracted documents (foliary.schema.EXTRACTS without idx and summaries) of catalogued rows with content, by the registered parsers and
     `more`, which the tasks get from here. With a base folder for pictures img_datas maps their names to where image_files puts them."""
-    flat = expand_archives(rows)
-    own, known = F.coalesce("entry_name", "save_file_name"), parsers.PARSERS | (more or {})
-    flat = flat.withColumn("__name", own)
-
-    def made(name: str, content: bytes | None, code: str | None, message: str | None) -> dict:
-        return parsers.extract(name, content, known=known) if code is None else {"status": S.FAIL, "code": code, "message": message, "media_type": None, "contents": None}
-
-    done = _added(flat, "__r", _RESULT, _RESULT_ARROW, ("__name", "content", "code", "message"), made)
+    own = F.coalesce("entry_name", "save_file_name")
+    done = parse_files(rows, keep=("transferyear", "rc_rfile_no", "rc_ritem_no", "prodyear", "save_file_name"), more=more, count_images=images is not None)
     pictures = F.lit("[]")
     if images is not None:
-        done = _added(done, "__n", "int", pa.int32(), ("content",), lambda content: len(parsers.images(content)))
-        pictures = F.when(F.col("__n") > 0, X.image_map(F.transform(F.sequence(F.lit(1), F.greatest("__n", F.lit(1))), lambda i: _image_path(images, own, i)))).otherwise("[]")
-    contents = X.normalize_extracted(F.col("__r.contents"))
+        pictures = F.when(F.col("n_images") > 0, X.image_map(F.transform(F.sequence(F.lit(1), F.greatest("n_images", F.lit(1))), lambda i: _image_path(images, own, i)))).otherwise("[]")
+    contents = X.normalize_extracted(F.col("contents"))
     zipped = X.extension(F.col("save_file_name")) == "zip"
     made = done.select(
         F.col("save_file_name").alias("file_name"), "rc_rfile_no", "rc_ritem_no", "zip_seq", F.col("entry_name").alias("zip_entry_file_name"), contents.alias("contents"), pictures.alias("img_datas"),
-        X.effective_type(F.col("save_file_name"), F.when(zipped, "ZIP"), F.col("__r.media_type")).alias("file_type"), X.file_group(own).alias("file_gubun"), contents.alias("indexing_contents"),
-        X.data_year(F.col("transferyear"), F.col("prodyear")).alias("data_year"), F.when(X.has_text(contents), "Y").otherwise("N").alias("has_contents"), F.col("__r.status").alias("extract_status"),
-        F.when(F.col("__r.code").isNotNull(), F.concat_ws(": ", F.col("__r.code"), F.col("__r.message"))).alias("extract_err_msg"),
+        X.effective_type(F.col("save_file_name"), F.when(zipped, "ZIP"), F.col("media_type")).alias("file_type"), X.file_group(own).alias("file_gubun"), contents.alias("indexing_contents"),
+        X.data_year(F.col("transferyear"), F.col("prodyear")).alias("data_year"), F.when(X.has_text(contents), "Y").otherwise("N").alias("has_contents"), F.col("status").alias("extract_status"),
+        F.when(F.col("code").isNotNull(), F.concat_ws(": ", "code", "message")).alias("extract_err_msg"),
     )
     return with_letters(made)
 
 
-_IMAGE = "array<struct<seq:int,data:binary>>"
-_IMAGE_ARROW = pa.list_(pa.struct([("seq", pa.int32()), ("data", pa.binary())]))
+_IMAGE: Columns = [("seq", "int", pa.int32()), ("data", "binary", pa.binary())]
 
 
 def _image_path(base: str, name: Column, seq: Column) -> Column:
@@ -137,16 +176,19 @@ def _image_path(base: str, name: Column, seq: Column) -> Column:
 def image_files(rows: DataFrame, base: str, name: str = "save_file_name") -> DataFrame:
     """A row for each picture in the files of catalogued rows and in the entries of their archives: keys, entry_name (null outside archives), seq,
     data and the path that it belongs at. stored.put_files(pictures, base, "image_path") puts them there."""
-    flat = expand_archives(rows.withColumn("save_file_name", F.col(name)) if name != "save_file_name" else rows, name)
-    found = _added(flat, "__i", _IMAGE, _IMAGE_ARROW, ("content",), parsers.images)
-    found = found.select(*[c for c in flat.columns if c != "content"], F.explode("__i").alias("i"))
-    return found.select("rc_rfile_no", "rc_ritem_no", name, "entry_name", "i.seq", _image_path(base, F.col(name), F.col("i.seq")).alias("image_path"), "i.data")
-
-
-def page_text(pages: DataFrame, html: str = "html") -> DataFrame:
-    """pages with text: the whole body's text, tables as rows of cells; null where a page can't be read within the parsers' time."""
-    made = _added(spread(pages).withColumn("__b", F.encode(html, "UTF-8")), "text", "string", pa.string(), ("__b",), lambda b: parsers.extract("page.html", b or b"")["contents"])
-    return made.drop("__b").withColumn("text", X.normalize_extracted(F.col("text")))
+    rows = rows.withColumn("save_file_name", F.col(name))
+    keep = tuple(dict.fromkeys(("transferyear", "rc_rfile_no", "rc_ritem_no", "save_file_name", name)))
+    found = _files(rows, keep, _IMAGE, lambda _, content, *__: [(i["seq"], i["data"]) for i in parsers.images(content)], name)
+    return found.select("rc_rfile_no", "rc_ritem_no", name, "entry_name", "seq", _image_path(base, F.col(name), F.col("seq")).alias("image_path"), "data")
+
+
+def page_text(pages: DataFrame, html: str = "html", keep: tuple[str, ...] | None = None) -> DataFrame:
+    """pages (or their columns `keep`) with text: the whole body's text, tables as rows of cells; null where a page can't be read within the parsers' time. Spark can't
+    tell which columns are needed after a pass of Python, so `keep` spares large ones the way there and back."""
+    keep = tuple(pages.columns) if keep is None else keep
+    rows = spread(pages.select(*keep, F.col(html).cast("binary").alias("__b")))
+    made = _made(rows, keep, [("text", "string", pa.string())], ("__b",), lambda b: ((parsers.extract("page.html", b or b"")["contents"],),))
+    return made.withColumn("text", X.normalize_extracted(F.col("text")))
 
 
 def prompts(spark: SparkSession, path: str) -> dict[str, str]:

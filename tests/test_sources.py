@@ -304,3 +304,38 @@ def test_thousands_of_small_files_share_a_split(spark, tmp_path):
     rows = spark.range(3000).select(F.concat(F.lit(f"{tmp_path}/none/"), "id").alias("path"), "id")
     found = stored.scanned(rows)
     assert found.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism and found.where("content IS NULL").count() == 3000
+
+
+def passes(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+
+
+def test_files_are_opened_and_parsed_in_one_pass_of_python(spark, tmp_path):
+    from foliary.plans import catalog
+    from foliary.sources import files
+
+    talks = [(1, 1, "user", "hello \n"), (1, 2, None, None), (2, 1, "bot", " ")]
+    spark.createDataFrame(talks, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    zipped = catalog.QUERIES["zip_expand"](spark, str(tmp_path))
+    assert passes(zipped) == 1
+    assert sorted(map(tuple, zipped.collect())) == [(1, 1, 1, "user.txt", "PASS", True), (1, 2, 1, "None.txt", "PASS", False), (2, 1, 1, "bot.txt", "PASS", False)]
+    rows = spark.createDataFrame([("2023", "F", "R", "2020", n, c) for n, c in (("a.zip", archive([("x.txt", "x"), ("y.pdf", "no pdf")])), ("b.zip", b"no zip"), ("c.zip", archive([])), ("d.txt", b"d"), ("e.txt", None), ("f.zip", None))], "transferyear string, rc_rfile_no string, rc_ritem_no string, prodyear string, save_file_name string, content binary")
+    done = files.extract_files(rows, images="/img")
+    assert passes(done) == 1
+    found = sorted((r.file_name, r.zip_seq, r.zip_entry_file_name, r.contents, r.extract_status, (r.extract_err_msg or "").partition(":")[0]) for r in done.collect())
+    assert [f[:2] for f in found] == [("a.zip", 1), ("a.zip", 2), ("b.zip", 0), ("c.zip", 0), ("d.txt", 0), ("e.txt", 0), ("f.zip", 0)]
+    assert [f[2:] for f in found[::4]] == [("x.txt", "x", "PASS", ""), (None, "d", "PASS", "")] and [f[5] for f in found[1:4] + found[5:]] == ["PDF_PARSE_FAILED", "ZIP_FAILED", "EMPTY_ZIP", "FILE_NOT_FOUND", "FILE_NOT_FOUND"]
+    both = {(r.save_file_name, r.zip_seq): (r.entry_name, r.content, r.code) for r in files.expand_archives(rows).collect()}
+    assert both["a.zip", 1] == ("x.txt", b"x", None) and both["d.txt", 0] == (None, b"d", None) and both["c.zip", 0] == (None, None, "EMPTY_ZIP") and len(both) == 7
+
+
+def test_entries_of_one_archive_leave_the_worker_step_by_step():
+    from foliary.sources import files
+
+    size = files.STEP_BYTES // 2
+    large = archive([(f"{i}.txt", "x" * size) for i in range(9)])
+    batch = files.pa.RecordBatch.from_pydict({"id": [7, 8], "content": [large, None]})
+    columns = [("n", "int", files.pa.int32()), ("content", "binary", files.pa.binary())]
+    given = list(files.results(iter([batch]), ("id",), columns, ("content",), lambda c: ((e["seq"], e["content"]) for e in files.parsers.opened(c))))
+    assert len(given) == 6 and max(b.nbytes for b in given) < files.STEP_BYTES * 1.1
+    assert [(r["id"], r["n"], len(r["content"] or b"")) for b in given for r in b.to_pylist()] == [*((7, i, size) for i in range(1, 10)), (8, 0, 0)]
