@@ -339,3 +339,12 @@ def test_entries_of_one_archive_leave_the_worker_step_by_step():
     given = list(files.results(iter([batch]), ("id",), columns, ("content",), lambda c: ((e["seq"], e["content"]) for e in files.parsers.opened(c))))
     assert len(given) == 6 and max(b.nbytes for b in given) < files.STEP_BYTES * 1.1
     assert [(r["id"], r["n"], len(r["content"] or b"")) for b in given for r in b.to_pylist()] == [*((7, i, size) for i in range(1, 10)), (8, 0, 0)]
+
+
+def test_pdf_files_are_written_and_read_in_one_pass_of_python(spark, tmp_path):
+    from foliary.plans import catalog
+
+    spark.createDataFrame([(1, 1, "user", "x"), (2, 1, "bot", None)], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    done = catalog.QUERIES["pdf_text"](spark, str(tmp_path))
+    assert passes(done) == 1
+    assert sorted(map(tuple, done.collect())) == [(1, 1, "PASS", "Conversation 1\nTurn (1)\nby user"), (2, 1, "PASS", "Conversation 2\nTurn (1)\nby bot")]
