@@ -348,3 +348,12 @@ def test_pdf_files_are_written_and_read_in_one_pass_of_python(spark, tmp_path):
     done = catalog.QUERIES["pdf_text"](spark, str(tmp_path))
     assert passes(done) == 1
     assert sorted(map(tuple, done.collect())) == [(1, 1, "PASS", "Conversation 1\nTurn (1)\nby user"), (2, 1, "PASS", "Conversation 2\nTurn (1)\nby bot")]
+
+
+def test_pages_take_only_what_is_kept_through_python(spark):
+    from foliary.sources import files
+
+    pages = spark.createDataFrame([(1, "u", "<p>a</p>"), (2, None, None)], "page_id long, url string, html string")
+    assert sorted(map(tuple, files.page_text(pages).collect())) == [(1, "u", "<p>a</p>", "a"), (2, None, None, "")]
+    kept = files.page_text(pages, keep=("page_id",))
+    assert kept.columns == ["page_id", "text"] and sorted(map(tuple, kept.collect())) == [(1, "a"), (2, "")]
