@@ -350,6 +350,15 @@ def test_pdf_files_are_written_and_read_in_one_pass_of_python(spark, tmp_path):
     assert sorted(map(tuple, done.collect())) == [(1, 1, "PASS", "Conversation 1\nTurn (1)\nby user"), (2, 1, "PASS", "Conversation 2\nTurn (1)\nby bot")]
 
 
+def test_pdf_files_of_a_small_table_are_dealt_over_all_cores(spark, tmp_path):
+    from foliary.plans import catalog
+
+    spark.range(40).selectExpr("id AS conv_id", "id % 3 AS turn", "'user' AS role", "'x' AS text").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = catalog.QUERIES["pdf_text"](spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r["task"] for r in found}) == spark.sparkContext.defaultParallelism
+    assert sorted((r["conv_id"], r["turn"], r["status"], r["text"]) for r in found) == [(i, i % 3, "PASS", f"Conversation {i}\nTurn ({i % 3})\nby user") for i in range(40)]
+
+
 def test_pages_take_only_what_is_kept_through_python(spark):
     from foliary.sources import files
 
