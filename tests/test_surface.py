@@ -57,6 +57,24 @@ def test_a_call_fails_where_all_endpoints_have(spark, server):
         endpoints.pooled([])
 
 
+def test_a_late_answer_counts_while_others_are_asked():
+    def after(seconds, answer):
+        def send(body):
+            time.sleep(seconds)
+            if answer is None:
+                raise OSError("down")
+            return answer
+
+        return lambda: send
+
+    pool = endpoints.pooled([after(0.6, "late"), after(5, "slow"), after(0, None)], in_flight=1, timeout=0.4)()
+    assert pool("x") == "late" and pool.failures[0] == 1
+    began = time.time()
+    with pytest.raises(ConnectionError, match="no answer in 0.2 s; OSError: down"):
+        endpoints.pooled([after(3, "slow"), after(0, None)], in_flight=1, timeout=0.2)()("x")
+    assert time.time() - began < 2
+
+
 def test_calls_go_round():
     asked = []
     pool = endpoints.pooled([lambda i=i: lambda body: asked.append(i) or body for i in range(3)], in_flight=1)()
